@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from paperlake import constants as K
 
+# Whitespace as Unicode defines it, with the four separator controls.
+_SPACES = r"(?U)[\s\x1C-\x1F]+"
+
 # RFC 822: optional weekday, day, month name, year, and a valid time of day.
 _DAY_MONTH_YEAR = (
     r"^(?:[A-Za-z]+,?\s+)?(\d{1,2}\s+[A-Za-z]{3,9}\s+\d{4})\s+"
@@ -13,7 +16,7 @@ _DAY_MONTH_YEAR = (
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$", "")
 
 
 def empty_to_null(text: Column) -> Column:
@@ -32,7 +35,7 @@ def feed_paper_id(guid: Column, link: Column) -> Column:
 def feed_abstract(description: Column) -> Column:
     body = F.regexp_replace(F.coalesce(description, F.lit("")), "(?sU)" + K.ABSTRACT_HEADER, "")
     plain = F.regexp_replace(body, K.MARKUP_TAG, "")
-    return strip(F.regexp_replace(plain, "(?U)" + K.SPACES, " "))
+    return strip(F.regexp_replace(plain, _SPACES, " "))
 
 
 def feed_authors(creator: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from paperlake import constants as K
 from paperlake.functions.tokens import index_terms, is_stop_word, light_stem, words
 from paperlake.operators.dedupe import top_per_group
-from paperlake.session import broadcast_if_small, scratch_path
+from paperlake.session import broadcast_if_small, data_bytes, scratch_path
 from paperlake.sinks.lake import CODEC
 
 TITLE, ABSTRACT = "title", "abstract"
@@ -22,38 +22,48 @@ _BUCKETS, _SALTS = 64, 8
 
 
 class TextIndex(NamedTuple):
-    """Postings `(term, paper_id, field, tf, positions, dl)` and one row `(n_docs, avg_dl)`."""
+    """Postings `(term, paper_id, field, tf, positions, dl)` and one row `(n_docs, avg_dl)`.
+
+    An index cut down to the terms of some questions knows the size of that term table.
+    """
 
     postings: DataFrame
     corpus: DataFrame
+    asked_bytes: int | None = None
 
 
 # --- text analysis ------------------------------------------------------------
 
 
-def _analyzed(docs: DataFrame, stem: bool) -> DataFrame:
-    """(paper_id, tokens, dl): every indexed word with its field and its place in the document.
+def _analyzed(docs: DataFrame) -> DataFrame:
+    """(paper_id, words, n_title, dl): all words of a paper and how many of them are indexed.
 
-    Title and abstract form one sequence of words. Stop words are dropped but keep their place,
-    so phrases can tell `a b` from `a of b`.
+    Title and abstract form one sequence of words. Stop words are not indexed but keep their
+    place, so phrases can tell `a b` from `a of b`.
     """
-    title, abstract = words(F.col(TITLE)), words(F.col(ABSTRACT))
-    split = docs.select("paper_id", title.alias("tt"), abstract.alias("aa"))
-    token = lambda field, shift: lambda w, i: F.struct(
-        (light_stem(w) if stem else w).alias("term"), F.lit(field).alias("field"), (i + shift).alias("pos")
+    fields = docs.select("paper_id", words(F.col(TITLE)).alias("title"), words(F.col(ABSTRACT)).alias("abstract"))
+    joined = fields.select("paper_id", F.concat("title", "abstract").alias("words"), F.size("title").alias("n_title"))
+    return joined.withColumn("dl", F.size(F.filter("words", lambda w: ~is_stop_word(w))))
+
+
+def _exploded(analyzed: DataFrame, stem: bool) -> DataFrame:
+    # The field is told from the place, outside any lambda: Spark evaluates lambda bodies per
+    # element and would repeat whatever an outer expression stands for. The outer form of the
+    # generator keeps Spark from splitting the text a second time in a filter it would infer.
+    rows = analyzed.select("paper_id", "dl", "n_title", F.posexplode_outer("words").alias("pos", "word"))
+    word = F.col("word")
+    return rows.where(~is_stop_word(word)).select(
+        "paper_id",
+        "dl",
+        (light_stem(word) if stem else word).alias("term"),
+        F.when(F.col("pos") < F.col("n_title"), TITLE).otherwise(ABSTRACT).alias("field"),
+        "pos",
     )
-    kept = lambda column, field, shift: F.transform(F.col(column), token(field, shift))
-    both = F.concat(kept("tt", TITLE, F.lit(0)), kept("aa", ABSTRACT, F.size("tt")))
-    # Stems of stop words are dropped by the unstemmed word.
-    stops = F.concat(F.transform(F.col("tt"), is_stop_word), F.transform(F.col("aa"), is_stop_word))
-    marked = split.select("paper_id", both.alias("all"), stops.alias("stops"))
-    tokens = F.filter(F.col("all"), lambda _, i: ~F.get(F.col("stops"), i))
-    return marked.select("paper_id", tokens.alias("tokens")).withColumn("dl", F.size("tokens"))
 
 
 def tokenize(docs: DataFrame, stem: bool = False) -> DataFrame:
     """(paper_id, dl, term, field, pos): one row per indexed word."""
-    return _analyzed(docs, stem).select("paper_id", "dl", F.inline("tokens"))
+    return _exploded(_analyzed(docs), stem)
 
 
 def question_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
@@ -89,7 +99,7 @@ def _group_postings(tokens: DataFrame, *keys: str) -> DataFrame:
 
 def build_index(docs: DataFrame, stem: bool = False) -> TextIndex:
     """The inverted index of a table of papers, not yet written."""
-    lengths = _analyzed(docs, stem).agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl"))
+    lengths = _analyzed(docs).agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl"))
     return TextIndex(_group_postings(tokenize(docs, stem)), lengths)
 
 
@@ -98,11 +108,14 @@ def write_index(docs: DataFrame, path: str, stem: bool = False, buckets: int = _
 
     One shuffle: words move once to (bucket of the term, salt of the paper), where postings are
     grouped, sorted and written. The salt spreads a term that a large share of the papers holds
-    over several tasks and files; sorting lets a term lookup skip row groups.
+    over several tasks and files; sorting lets a term lookup skip row groups. `buckets * salts`
+    bounds the tasks that write, so raise them with the corpus. The corpus totals come from the
+    written counts, not from a second pass over the text.
     """
+    spark = docs.sparkSession
     place = lambda column, n: F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
     tokens = tokenize(docs, stem).withColumns({BUCKET: place("term", buckets), "salt": place("paper_id", salts)})
-    postings = _group_postings(tokens.repartition(buckets * salts, BUCKET, "salt"), BUCKET, "salt")
+    postings = _group_postings(tokens.repartition(BUCKET, "salt"), BUCKET, "salt")
     (
         postings.drop("salt")
         .sortWithinPartitions(BUCKET, "term")
@@ -111,22 +124,28 @@ def write_index(docs: DataFrame, path: str, stem: bool = False, buckets: int = _
         .option("compression", CODEC)
         .parquet(f"{path}/postings")
     )
-    build_index(docs, stem).corpus.write.mode("overwrite").parquet(f"{path}/corpus")
-    return read_index(docs.sparkSession, path)
+    papers = docs.count()
+    indexed = spark.read.parquet(f"{path}/postings").agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("words"))
+    average = F.try_divide(F.col("words"), F.lit(papers)).alias("avg_dl")
+    corpus = indexed.select(F.lit(papers).cast("long").alias("n_docs"), average, F.lit(buckets).alias("buckets"))
+    corpus.write.mode("overwrite").parquet(f"{path}/corpus")
+    return read_index(spark, path)
 
 
 def read_index(spark: SparkSession, path: str) -> TextIndex:
     return TextIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/corpus"))
 
 
-def lookup(index: TextIndex, terms: DataFrame, buckets: int = _BUCKETS) -> TextIndex:
+def lookup(index: TextIndex, terms: DataFrame) -> TextIndex:
     """The index cut down to the given terms, reading only the folders that can hold them."""
     wanted = terms.select("term").distinct()
     on = ["term"]
     if BUCKET in index.postings.columns:
+        buckets = index.corpus.first()["buckets"]
         wanted = wanted.withColumn(BUCKET, F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
         on = [BUCKET, "term"]
-    return TextIndex(index.postings.join(broadcast_if_small(wanted), on, "left_semi"), index.corpus)
+    asked = data_bytes(terms)
+    return TextIndex(index.postings.join(broadcast_if_small(wanted, asked), on, "left_semi"), index.corpus, asked)
 
 
 def scan_index(docs: DataFrame, terms: DataFrame, stem: bool = False) -> TextIndex:
@@ -138,19 +157,18 @@ def scan_index(docs: DataFrame, terms: DataFrame, stem: bool = False) -> TextInd
     """
     spark = docs.sparkSession
     totals = Observation("corpus")
-    analyzed = _analyzed(docs, stem).observe(
-        totals, F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl")
-    )
-    tokens = analyzed.select("paper_id", "dl", F.inline("tokens"))
+    analyzed = _analyzed(docs).observe(totals, F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl"))
+    tokens = _exploded(analyzed, stem)
     wanted = terms.select("term").distinct()
     path = scratch_path(spark, "postings")
-    hits = tokens.join(broadcast_if_small(wanted), "term", "left_semi")
+    asked = data_bytes(terms)
+    hits = tokens.join(broadcast_if_small(wanted, asked), "term", "left_semi")
     hits.write.option("compression", CODEC).parquet(path)
     found = spark.read.schema(hits.schema).parquet(path)
     corpus = spark.range(1).select(
         F.lit(totals.get["n_docs"]).alias("n_docs"), F.lit(totals.get["avg_dl"]).cast("double").alias("avg_dl")
     )
-    return TextIndex(_group_postings(found.repartition("paper_id")), corpus)
+    return TextIndex(_group_postings(found.repartition("paper_id")), corpus, asked)
 
 
 # --- search ----------------------------------------------------------------------
@@ -213,7 +231,9 @@ def match_terms(index: TextIndex, terms: DataFrame, weights: dict[str, float] |
 
     frequency = index.postings.groupBy("term").agg(F.count_distinct("paper_id").alias("df"))
     asked = _prepared_terms(terms)
-    sized = broadcast_if_small(asked.join(frequency, "term"), size_of=asked)
+    # The completed table has the rows of the given one and seven narrow columns more.
+    size = 4 * (data_bytes(terms) if index.asked_bytes is None else index.asked_bytes)
+    sized = broadcast_if_small(asked.join(frequency, "term"), size)
     corpus = index.corpus.select(F.struct("n_docs", "avg_dl")).scalar()
     score = bm25(F.col("tf"), F.col("dl"), F.col("df"), corpus["n_docs"], corpus["avg_dl"])
 

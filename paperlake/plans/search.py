@@ -7,9 +7,11 @@ from paperlake import constants as K
 from paperlake.operators.dense import dense_search
 from paperlake.operators.fusion import best_fused, rrf
 from paperlake.operators.keyword import TextIndex, keyword_search, lookup, question_terms, scan_index
-from paperlake.session import BROADCAST_BYTES, data_bytes
+from paperlake.session import broadcast_if_small
 
 _SHOWN = ("title", "abstract", "url", "published_date")
+# Two ids of up to 64 characters, three numbers and the overhead of a row.
+_RANKED_ROW_BYTES = 256
 
 
 def hybrid_search(
@@ -37,12 +39,10 @@ def hybrid_search(
 def fetch(docs: DataFrame, best: DataFrame, queries: DataFrame, limit: int, with_metadata: bool) -> DataFrame:
     """Join the shown columns to the ranked papers.
 
-    There are at most `limit` rows per question, so the size of the question ids bounds the
-    side that is broadcast.
+    There are at most `limit` narrow rows per question, which bounds the side that is broadcast.
     """
     shown = [*_SHOWN, "metadata"] if with_metadata else list(_SHOWN)
-    row_bytes = data_bytes(queries.select("query_id")) + 64 * queries.count()
-    side = F.broadcast(best) if row_bytes * limit <= BROADCAST_BYTES else best
+    side = broadcast_if_small(best, queries.count() * limit * _RANKED_ROW_BYTES)
     return docs.select("paper_id", *shown).join(side, "paper_id").select(
         "query_id", "place", "paper_id", *shown, "rank_dense", "rank_sparse", "rrf_score"
     )

@@ -73,9 +73,9 @@ def data_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def broadcast_if_small(df: DataFrame, size_of: DataFrame | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only when the measured size allows it; else leave a shuffle join.
+def broadcast_if_small(df: DataFrame, size: int | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only when the size allows it; else leave a shuffle join.
 
-    `size_of` names a cheaper frame that bounds the size of `df`.
+    The size is measured unless the caller already knows a bound in bytes.
     """
-    return F.broadcast(df) if data_bytes(df if size_of is None else size_of) <= limit else df
+    return F.broadcast(df) if (data_bytes(df) if size is None else size) <= limit else df
