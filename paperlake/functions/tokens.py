@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from paperlake.constants import STOP_WORDS
 
 WORD = r"[\p{L}\p{N}]+"
+NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
 def words(text: Column) -> Column:

@@ -1,20 +1,19 @@
 """Text vectors, with a pluggable encoder."""
 
 import hashlib
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperlake import constants as K
-from paperlake.functions.tokens import WORD
+from paperlake.functions.tokens import NOT_WORD
 
 # Builds, once per task, a function from a batch of texts to a matrix with one row per text.
 Encoder = Callable[[], Callable[[Sequence[str]], np.ndarray]]
@@ -30,17 +29,17 @@ def hashing_encoder(dim: int = K.EMBEDDING_DIM) -> Encoder:
         @lru_cache(maxsize=1 << 18)
         def place(word: str) -> tuple[int, int]:
             digest = hashlib.md5(word.encode()).digest()
-            return int.from_bytes(digest[:4], "big") % dim, 1 - 2 * (digest[4] & 1)
-
-        word = regex.compile(WORD)
+            return int.from_bytes(digest[:4], "big") % dim, 1 - 2 * (digest[4] & 1) if word else 0
 
         def encode(texts: Sequence[str]) -> np.ndarray:
-            out = np.zeros((len(texts), dim))
-            for row, text in enumerate(texts):
-                for token, count in Counter(word.findall(text.lower())).items():
-                    column, sign = place(token)
-                    out[row, column] += sign * count
-            return out
+            lowered = pc.utf8_lower(pa.array(texts, pa.string()))
+            split = pc.split_pattern_regex(lowered, NOT_WORD)
+            words = split.flatten().dictionary_encode()
+            places = np.array([place(w) for w in words.dictionary.to_pylist()], dtype=np.int64).reshape(-1, 2)
+            codes = words.indices.to_numpy()
+            rows = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+            cells = rows * dim + places[codes, 0]
+            return np.bincount(cells, weights=places[codes, 1], minlength=len(texts) * dim).reshape(len(texts), dim)
 
         return encode
 
@@ -66,7 +65,8 @@ def embed(df: DataFrame, text_col: str, encoder: Encoder | None = None, dim: int
         for texts in batches:
             yield pd.Series(list(_encode_batch(encode, texts)), index=texts.index)
 
-    return df.withColumn("embedding", vectors(F.col(text_col)))
+    # Declared not deterministic so that the optimizer never evaluates it twice for a row.
+    return df.withColumn("embedding", vectors.asNondeterministic()(F.col(text_col)))
 
 
 def embed_in_batches(

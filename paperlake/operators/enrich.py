@@ -53,7 +53,8 @@ def _batched(extractor: Extractor):
                 out[wanted] = _answers(extract, texts[wanted].tolist())
             yield out
 
-    return respond
+    # Declared not deterministic so that the optimizer never calls the extractor twice for a row.
+    return respond.asNondeterministic()
 
 
 def enrich(df: DataFrame, text_col: str = "abstract", extractor: Extractor | None = None) -> DataFrame:

@@ -14,3 +14,13 @@ def read_lake(spark: SparkSession, path: str, years: tuple[int, int] | None = No
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     """A stage table written by the metadata or the embedding pass."""
     return spark.read.parquet(path)
+
+
+def widen(scan: DataFrame, per_core: int = 2) -> DataFrame:
+    """Deal the rows of a plain file scan out to all cores if its files are too few to do so.
+
+    A table of many files is left as it is, so at scale this adds no shuffle; a single file
+    with one row group would otherwise keep every costly expression on one core.
+    """
+    wanted = scan.sparkSession.sparkContext.defaultParallelism * per_core
+    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted)

@@ -112,7 +112,7 @@ def gate_enforced(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def daily_gate(spark: SparkSession, sf: str) -> DataFrame:
-    pages = views.table(spark, sf, "pages").select(
+    pages = views.texts(spark, sf, "pages").select(
         F.col("page_id").cast("string").alias("paper_id"),
         F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("title"),
         feed_abstract(F.col("html")).alias("abstract"),
@@ -358,7 +358,7 @@ def response_recover(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("value") > 10, F.concat(full, F.lit(" and } more")))
         .otherwise(F.concat(F.lit('["'), k, F.lit('"]')))
     )
-    events = views.table(spark, sf, "events").select("event_id", response.alias("response"))
+    events = views.texts(spark, sf, "events").select("event_id", response.alias("response"))
     return recover_fields(events, "response").drop("response")
 
 
@@ -366,14 +366,14 @@ def extract_metadata(spark: SparkSession, sf: str) -> DataFrame:
     text = F.concat(
         F.lit("We propose "), "source", F.lit(" nets. Evaluated on "), "lang", F.lit(" texts. We show that "), "text"
     )
-    papers = views.table(spark, sf, "documents").select(
+    papers = views.texts(spark, sf, "documents").select(
         "doc_id", F.when(F.col("lang") != "es", text).otherwise(" \n ").alias("abstract")
     )
     return enrich(papers).drop("abstract")
 
 
 def default_fill(spark: SparkSession, sf: str) -> DataFrame:
-    labeled = views.table(spark, sf, "documents").join(views.table(spark, sf, "labels"), "doc_id", "left")
+    labeled = views.texts(spark, sf, "documents").join(views.table(spark, sf, "labels"), "doc_id", "left")
     record = F.when(F.col("quality").isNotNull(), F.to_json(F.struct("quality", "toxic")))
     return fill_missing(labeled.select("doc_id", record.alias("metadata_json")))
 
@@ -384,13 +384,13 @@ def _parts(embedded: DataFrame) -> DataFrame:
 
 
 def embed_hash(spark: SparkSession, sf: str) -> DataFrame:
-    documents = views.table(spark, sf, "documents").select("doc_id", "text")
-    return _parts(embed(spread(documents), "text", dim=DIM))
+    documents = views.texts(spark, sf, "documents").select("doc_id", "text")
+    return _parts(embed(documents, "text", dim=DIM))
 
 
 def embed_batches(spark: SparkSession, sf: str) -> DataFrame:
-    documents = views.table(spark, sf, "documents").select("doc_id", "text")
-    return _parts(embed_in_batches(spread(documents), "text", dim=DIM))
+    documents = views.texts(spark, sf, "documents").select("doc_id", "text")
+    return _parts(embed_in_batches(documents, "text", dim=DIM))
 
 
 # --- whole pipelines -----------------------------------------------------------------------

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from paperlake.functions.cleanse import paper_url
 from paperlake.session import scratch_path
+from paperlake.sources.lake import widen
 
 # Part of every document, so that the cleansing rules meet LaTeX and braces.
 LATEX_SAMPLE = r"\textbf{foo} \alpha $x$ {k} "
@@ -14,13 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of long texts, spread over the cores if it is one small file."""
+    return widen(table(spark, sf_dir, name))
+
+
 def first_line(text):
     return F.get(F.split(text, "\n"), F.lit(0))
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the vector of the same number; not every document has one."""
-    documents, vectors = table(spark, sf_dir, "documents"), table(spark, sf_dir, "embeddings")
+    documents, vectors = texts(spark, sf_dir, "documents"), table(spark, sf_dir, "embeddings")
     joined = documents.join(vectors.select("vec_id", "embedding"), documents["doc_id"] == vectors["vec_id"], "left")
     paper_id = F.col("doc_id").cast("string")
     return joined.select(
@@ -51,7 +57,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in the snapshot schema; the lines of a text stand for its authors."""
     lines = F.transform(F.split("text", "\n"), lambda line: F.split(line, " "))
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("id"),
         F.lit("nobody").alias("submitter"),
         F.col("source").alias("authors"),
@@ -76,7 +82,7 @@ def write_snapshot(spark: SparkSession, sf_dir: str) -> str:
 
 def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as feed items, tags and all; secure pages carry a guid, the others only a link."""
-    pages = table(spark, sf_dir, "pages")
+    pages = texts(spark, sf_dir, "pages")
     return pages.select(
         F.concat(F.lit("\n "), F.regexp_extract("html", r"<title>([^<]*)</title>", 1), F.lit(" \n")).alias("title"),
         F.concat("url", F.lit("/abs/"), F.col("page_id").cast("string"), F.lit("v3")).alias("link"),
