@@ -19,6 +19,7 @@ from paperlake.sinks.lake import CODEC
 TITLE, ABSTRACT = "title", "abstract"
 BUCKET = "term_bucket"
 _BUCKETS, _SALTS = 64, 8
+_PUSHED_TERMS = 10
 
 
 class TextIndex(NamedTuple):
@@ -137,15 +138,23 @@ def read_index(spark: SparkSession, path: str) -> TextIndex:
 
 
 def lookup(index: TextIndex, terms: DataFrame) -> TextIndex:
-    """The index cut down to the given terms, reading only the folders that can hold them."""
+    """The index cut down to the given terms.
+
+    A stored index is read only in the folders that can hold the terms (at most one number per
+    folder comes to the driver). A handful of terms is pushed into the scan as a filter as well,
+    which skips row groups; more are probed by a join.
+    """
     wanted = terms.select("term").distinct()
-    on = ["term"]
-    if BUCKET in index.postings.columns:
-        buckets = index.corpus.first()["buckets"]
-        wanted = wanted.withColumn(BUCKET, F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
-        on = [BUCKET, "term"]
     asked = data_bytes(terms)
-    return TextIndex(index.postings.join(broadcast_if_small(wanted, asked), on, "left_semi"), index.corpus, asked)
+    postings = index.postings
+    if BUCKET in postings.columns:
+        bucket = F.pmod(F.xxhash64("term"), F.lit(index.corpus.first()["buckets"])).cast("int")
+        folders = [row[0] for row in wanted.select(bucket).distinct().collect()]
+        postings = postings.where(F.col(BUCKET).isin(folders))
+    few = [row[0] for row in wanted.limit(_PUSHED_TERMS + 1).collect()]
+    if len(few) <= _PUSHED_TERMS:
+        return TextIndex(postings.where(F.col("term").isin(few)), index.corpus, asked)
+    return TextIndex(postings.join(broadcast_if_small(wanted, asked), "term", "left_semi"), index.corpus, asked)
 
 
 def scan_index(docs: DataFrame, terms: DataFrame, stem: bool = False) -> TextIndex:

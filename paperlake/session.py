@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +27,26 @@ def build_session(app: str = "paperlake", master: str | None = None, **conf: str
     if master:
         builder = builder.master(master)
     settings = DEFAULTS | {key.replace("__", "."): value for key, value in conf.items()}
-    return builder.config(map=settings).getOrCreate()
+    spark = builder.config(map=settings).getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, so that their Python workers can import it.
+
+    Not needed where it is installed or passed with `--py-files`; done once per application.
+    """
+    context = spark.sparkContext
+    if spark.conf.get("spark.paperlake.shipped", None) == context.applicationId:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="paperlake-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for source in sorted(root.rglob("*.py")):
+            target.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    spark.conf.set("spark.paperlake.shipped", context.applicationId)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

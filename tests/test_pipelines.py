@@ -1,0 +1,154 @@
+import datetime
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from paperlake.operators.gate import GateError
+from paperlake.plans import pipelines as P
+from paperlake.schemas import SERVING
+from paperlake.sinks import table
+from paperlake.sinks.lake import spread, write_lake
+from paperlake.sources.lake import read_lake, read_stage
+from paperlake.streaming.feed import stream_feed
+
+DIM = 32
+
+
+def now():
+    return F.lit("2026-01-01 00:00:00").cast("timestamp")
+
+
+def snapshot(path, rows):
+    path.mkdir()
+    (path / "part.json").write_text("".join(json.dumps(r) + "\n" for r in rows))
+    return str(path)
+
+
+def paper(i, **over):
+    return {
+        "id": str(i), "title": f"Title {i}", "abstract": f"We propose method {i}. It is long enough.", "authors": "A",
+        "categories": "cs.AI", "update_date": f"{2020 + i % 3}-01-01", "authors_parsed": [["Doe", "J.", ""]], **over,
+    }
+
+
+def item(number, title="T", abstract="An abstract that is long enough.", url="https://arxiv.org/abs/"):
+    return (
+        f"<item><title>{title}</title><link>{url}{number}</link><guid>oai:arXiv.org:{number}v1</guid>"
+        f"<description>{abstract}</description><pubDate>Thu, 20 Aug 2026 00:00:00 -0400</pubDate></item>"
+    )
+
+
+def feed_file(folder, name, *items):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(f"<rss><channel>{''.join(items)}</channel></rss>")
+
+
+def state(spark, path):
+    return {r.paper_id: r for r in table.resolve(spark, path).collect()}
+
+
+def load(spark, base, rows, name="snap", limit=0.01):
+    source = snapshot(base / name, rows)
+    P.run_backfill(spark, source, f"{base}/lake", f"{base}/dlq", limit)
+    P.run_metadata(spark, f"{base}/lake", f"{base}/metadata", partitions=3)
+    P.run_embeddings(spark, f"{base}/metadata", f"{base}/embeddings", dim=DIM)
+    return P.run_loading(spark, f"{base}/embeddings", f"{base}/serving", dim=DIM, buckets=4)
+
+
+def test_snapshot_to_serving_table(spark, tmp_path):
+    assert load(spark, tmp_path, [paper(i) for i in range(9)] + [paper(3)]) == 1
+    served = state(spark, f"{tmp_path}/serving")
+    assert len(served) == 9 and served["3"].authors == "J. Doe"
+    assert json.loads(served["3"].metadata)["core_method"] == "method 3"
+    assert len(served["3"].embedding) == DIM
+    assert load(spark, tmp_path, [paper(3, title="Changed"), paper(99)], "more") == 2
+    served = state(spark, f"{tmp_path}/serving")
+    assert len(served) == 10 and served["3"].title == "Changed" and served["4"].title == "Title 4"
+
+
+def test_dirty_snapshot_leaves_the_lake_alone(spark, tmp_path):
+    load(spark, tmp_path, [paper(i) for i in range(3)])
+    bad = snapshot(tmp_path / "bad", [paper(0), paper(1, abstract="short")])
+    with pytest.raises(GateError):
+        P.run_backfill(spark, bad, f"{tmp_path}/lake", f"{tmp_path}/dlq")
+    assert read_lake(spark, f"{tmp_path}/lake").count() == 3
+    (reject,) = spark.read.parquet(f"{tmp_path}/dlq").collect()
+    assert reject.paper_id == "1" and reject.reject_reasons == ["abstract"]
+
+
+def test_wrong_vector_width_fails_the_load(spark, tmp_path):
+    load(spark, tmp_path, [paper(0)])
+    with pytest.raises(GateError):
+        P.run_loading(spark, f"{tmp_path}/embeddings", f"{tmp_path}/serving", dim=DIM + 1)
+    assert table.resolve(spark, f"{tmp_path}/serving").count() == 1
+
+
+def test_nothing_to_load(spark, tmp_path):
+    load(spark, tmp_path, [paper(0)])
+    read_stage(spark, f"{tmp_path}/embeddings").where("false").write.parquet(f"{tmp_path}/none")
+    assert P.run_loading(spark, f"{tmp_path}/none", f"{tmp_path}/serving2", dim=DIM) == 0
+
+
+def test_years_are_pruned_and_null_years_survive(spark, tmp_path, plan):
+    rows = spark.createDataFrame([(1, 2020), (2, 2021), (3, None)], "id int, published_year int")
+    write_lake(spread(rows, 2), str(tmp_path / "lake"))
+    one = read_lake(spark, str(tmp_path / "lake"), years=(2021, 2021))
+    assert [r.id for r in one.collect()] == [2]
+    assert "PartitionFilters: [isnotnull(published_year" in plan(one)
+    everything = {r.id: r.published_year for r in read_lake(spark, str(tmp_path / "lake")).collect()}
+    assert everything == {1: 2020, 2: 2021, 3: None}
+
+
+class TestDaily:
+    def known(self, spark, path):
+        old = datetime.datetime(2020, 1, 1)
+        row = ("2608.1", "old", "old abstract", "A", "c", "u", None, 2019, old, [1.0], "{}")
+        table.publish(spark.createDataFrame([row], SERVING), path, buckets=4)
+
+    def test_partial_upsert(self, spark, tmp_path):
+        serving = f"{tmp_path}/serving"
+        self.known(spark, serving)
+        feed_file(tmp_path / "in", "a.xml", item("2608.1", "new"), item("2608.2"), item("2608.2"))
+        report = P.run_daily(spark, f"{tmp_path}/in", serving, f"{tmp_path}/dlq", now=now())
+        served = state(spark, serving)
+        assert (report.total, report.invalid) == (3, 0) and set(served) == {"2608.1", "2608.2"}
+        one, two = served["2608.1"], served["2608.2"]
+        assert (one.title, one.published_year, one.embedding, one.metadata) == ("new", 2026, [1.0], "{}")
+        assert one.ingested_at == two.ingested_at == datetime.datetime(2026, 1, 1)
+        assert two.embedding is None and two.metadata is None
+
+    def test_empty_feed_is_an_error(self, spark, tmp_path):
+        feed_file(tmp_path / "in", "a.xml")
+        with pytest.raises(GateError):
+            P.run_daily(spark, f"{tmp_path}/in", f"{tmp_path}/s", f"{tmp_path}/dlq")
+
+    def test_breaker_keeps_the_table(self, spark, tmp_path):
+        serving = f"{tmp_path}/serving"
+        self.known(spark, serving)
+        feed_file(tmp_path / "in", "a.xml", item("2608.1", "new"), item("2608.3", abstract="short"))
+        with pytest.raises(GateError):
+            P.run_daily(spark, f"{tmp_path}/in", serving, f"{tmp_path}/dlq")
+        assert state(spark, serving)["2608.1"].title == "old"
+        assert spark.read.parquet(f"{tmp_path}/dlq").count() == 1
+
+    def test_stream_equals_batch_and_goes_on_where_it_stopped(self, spark, tmp_path):
+        for name in ("batch", "stream"):
+            self.known(spark, f"{tmp_path}/{name}")
+        items = [item(f"2608.{i}", f"t{i}") for i in range(1, 7)]
+        feed_file(tmp_path / "all", "a.xml", *items)
+        P.run_daily(spark, f"{tmp_path}/all", f"{tmp_path}/batch", f"{tmp_path}/dlq", now=now())
+
+        def run():
+            query = stream_feed(
+                spark, f"{tmp_path}/in", f"{tmp_path}/stream", f"{tmp_path}/dlq2", f"{tmp_path}/cp", now=now(), max_files=1
+            )
+            query.awaitTermination()
+
+        feed_file(tmp_path / "in", "1.xml", *items[:2])
+        feed_file(tmp_path / "in", "2.xml", *items[2:4])
+        run()
+        assert len(state(spark, f"{tmp_path}/stream")) == 4
+        feed_file(tmp_path / "in", "3.xml", *items[4:])
+        run()
+        assert state(spark, f"{tmp_path}/stream") == state(spark, f"{tmp_path}/batch")
