@@ -97,14 +97,17 @@ def dense_search(
     broadcast_limit: int = BROADCAST_BYTES,
     doc_block: int = 65536,
     query_block: int = 4096,
+    max_tasks: int | None = None,
 ) -> DataFrame:
     """The k nearest documents of every query by cosine distance -> (query_id, paper_id, distance, rank_dense).
 
     Documents without a vector rank last, by id. Every task scans its share of the documents
     once against all queries and passes on only its own k best per query, so what is shuffled
-    grows with tasks x queries x k and never with the documents.
+    grows with tasks x queries x k and never with the documents. `max_tasks` lets each task read
+    several splits, to shrink that product for many queries.
     """
     docs = docs.select("paper_id", "embedding")
+    docs = docs.coalesce(max_tasks) if max_tasks else docs
     queries = _query_side(queries)
     schema = _candidate_schema(docs, queries)
     if data_bytes(queries) <= broadcast_limit:

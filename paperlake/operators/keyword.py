@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from paperlake import constants as K
 from paperlake.functions.tokens import index_terms, is_stop_word, light_stem, words
 from paperlake.operators.dedupe import top_per_group
-from paperlake.session import broadcast_if_small, data_bytes, scratch_path
+from paperlake.session import data_bytes, probe, scratch_path
 from paperlake.sinks.lake import CODEC
 
 TITLE, ABSTRACT = "title", "abstract"
@@ -154,7 +154,7 @@ def lookup(index: TextIndex, terms: DataFrame) -> TextIndex:
     few = [row[0] for row in wanted.limit(_PUSHED_TERMS + 1).collect()]
     if len(few) <= _PUSHED_TERMS:
         return TextIndex(postings.where(F.col("term").isin(few)), index.corpus, asked)
-    return TextIndex(postings.join(broadcast_if_small(wanted, asked), "term", "left_semi"), index.corpus, asked)
+    return TextIndex(probe(postings, wanted, "term", "paper_id", "left_semi", asked), index.corpus, asked)
 
 
 def scan_index(docs: DataFrame, terms: DataFrame, stem: bool = False) -> TextIndex:
@@ -171,7 +171,7 @@ def scan_index(docs: DataFrame, terms: DataFrame, stem: bool = False) -> TextInd
     wanted = terms.select("term").distinct()
     path = scratch_path(spark, "postings")
     asked = data_bytes(terms)
-    hits = tokens.join(broadcast_if_small(wanted, asked), "term", "left_semi")
+    hits = probe(tokens, wanted, "term", "paper_id", "left_semi", asked)
     hits.write.option("compression", CODEC).parquet(path)
     found = spark.read.schema(hits.schema).parquet(path)
     corpus = spark.range(1).select(
@@ -242,7 +242,7 @@ def match_terms(index: TextIndex, terms: DataFrame, weights: dict[str, float] |
     asked = _prepared_terms(terms)
     # The completed table has the rows of the given one and seven narrow columns more.
     size = 4 * (data_bytes(terms) if index.asked_bytes is None else index.asked_bytes)
-    sized = broadcast_if_small(asked.join(frequency, "term"), size)
+    matches = probe(postings, asked.join(frequency, "term"), "term", "paper_id", size=size)
     corpus = index.corpus.select(F.struct("n_docs", "avg_dl")).scalar()
     score = bm25(F.col("tf"), F.col("dl"), F.col("df"), corpus["n_docs"], corpus["avg_dl"])
 
@@ -257,7 +257,7 @@ def match_terms(index: TextIndex, terms: DataFrame, weights: dict[str, float] |
         word = F.when(F.col("phrase").isNotNull() & ~F.col("negated"), F.struct("phrase", "pos", "positions"))
         measures.append(F.collect_list(word).alias("phrase_words"))
         holds = holds & _phrases_hold(F.col("phrase_words"))
-    alternatives = postings.join(sized, "term").groupBy("query_id", "paper_id", "alt").agg(*measures)
+    alternatives = matches.groupBy("query_id", "paper_id", "alt").agg(*measures)
     return (
         alternatives.groupBy("query_id", "paper_id")
         .agg(F.sum("score").alias("score"), F.bool_or(holds).alias("holds"))

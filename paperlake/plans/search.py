@@ -1,13 +1,17 @@
 """Hybrid search and question context over a table of questions."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperlake import constants as K
+from paperlake.operators.context import build_context
 from paperlake.operators.dense import dense_search
 from paperlake.operators.fusion import best_fused, rrf
 from paperlake.operators.keyword import TextIndex, keyword_search, lookup, question_terms, scan_index
-from paperlake.session import broadcast_if_small
+from paperlake.session import broadcast_if_small, materialize
+from paperlake.sinks import table
 
 _SHOWN = ("title", "abstract", "url", "published_date")
 # Two ids of up to 64 characters, three numbers and the overhead of a row.
@@ -22,32 +26,43 @@ def hybrid_search(
     index: TextIndex | None = None,
     depth: int = K.CANDIDATES,
     stem: bool = False,
+    dense: DataFrame | None = None,
+    serving: str | None = None,
 ) -> DataFrame:
     """Fused vector and keyword search for every row of `queries` (query_id, text, embedding).
 
     Only ids and ranks travel through ranking and fusion; titles and texts are fetched at the
-    end for the few papers that made it. `index` is a stored index to use instead of the text.
+    end for the few papers that made it. At scale every branch can work on a stored structure
+    instead of a scan of `docs`: `index` is a text index, `dense` the candidates of an
+    approximate search, and `serving` the path of a keyed table to fetch the papers from.
     """
     if not 1 <= limit <= K.MAX_SEARCH_LIMIT:
         raise ValueError(f"limit must lie between 1 and {K.MAX_SEARCH_LIMIT}")
     terms = question_terms(queries, stem)
     found = lookup(index, terms) if index else scan_index(docs, terms, stem)
-    fused = rrf(dense_search(docs, queries, depth), keyword_search(found, terms, depth))
-    return fetch(docs, best_fused(fused, limit), queries, limit, with_metadata)
-
+    dense = dense_search(docs, queries, depth) if dense is None else dense
+    best = best_fused(rrf(dense, keyword_search(found, terms, depth)), limit)
+    if serving is not None:
+        best = materialize(best, "ranked")
+        docs = table.lookup(docs.sparkSession, serving, best)
+    return fetch(docs, best, queries.count() * limit, with_metadata)
 
-def fetch(docs: DataFrame, best: DataFrame, queries: DataFrame, limit: int, with_metadata: bool) -> DataFrame:
-    """Join the shown columns to the ranked papers.
 
-    There are at most `limit` narrow rows per question, which bounds the side that is broadcast.
-    """
+def fetch(docs: DataFrame, best: DataFrame, most_rows: int, with_metadata: bool) -> DataFrame:
+    """Join the shown columns to at most `most_rows` ranked papers."""
     shown = [*_SHOWN, "metadata"] if with_metadata else list(_SHOWN)
-    side = broadcast_if_small(best, queries.count() * limit * _RANKED_ROW_BYTES)
+    side = broadcast_if_small(best, most_rows * _RANKED_ROW_BYTES)
     return docs.select("paper_id", *shown).join(side, "paper_id").select(
         "query_id", "place", "paper_id", *shown, "rank_dense", "rank_sparse", "rrf_score"
     )
 
 
+def ask(docs: DataFrame, queries: DataFrame, model_map: Mapping[str, str] | None = None, **search) -> DataFrame:
+    """Prompt, target model and matched papers for every question."""
+    matches = hybrid_search(docs, queries, limit=K.ASK_LIMIT, with_metadata=True, **search)
+    return build_context(queries, matches, model_map)
+
+
 def result_counts(queries: DataFrame, results: DataFrame) -> DataFrame:
     """Number of results per question, also for those without any."""
     counts = results.groupBy("query_id").agg(F.count(F.lit(1)).alias("count"))

@@ -100,3 +100,19 @@ def broadcast_if_small(df: DataFrame, size: int | None = None, limit: int = BROA
     The size is measured unless the caller already knows a bound in bytes.
     """
     return F.broadcast(df) if (data_bytes(df) if size is None else size) <= limit else df
+
+
+def probe(
+    big: DataFrame, small: DataFrame, key: str, spread_by: str, how: str = "inner", size: int | None = None, salts: int = 16
+) -> DataFrame:
+    """Join a large side with a side that is usually small, whatever share of `big` one key holds.
+
+    A side of checked size is broadcast and `big` stays where it is. Beyond the limit both sides
+    are shuffled by key and salt: rows of `big` are dealt out by a hash of `spread_by`, the other
+    side is copied once per salt, so a hot key is met in `salts` tasks.
+    """
+    if (data_bytes(small) if size is None else size) <= BROADCAST_BYTES:
+        return big.join(F.broadcast(small), key, how)
+    dealt = big.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    copied = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copied, [key, "__salt"], how).drop("__salt")

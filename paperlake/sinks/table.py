@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperlake.operators.upsert import upsert
+from paperlake.session import broadcast_if_small
 from paperlake.sinks.lake import CODEC
 
 BUCKET = "key_bucket"
 _POINTER = "CURRENT.json"
+_PUSHED_KEYS = 10
 
 
 def _file_context(spark: SparkSession, path: str):
@@ -62,6 +64,7 @@ def _write_buckets(rows: DataFrame, table: str, version: int, key: str, buckets:
     (
         rows.withColumn(BUCKET, _bucket_of(key, buckets))
         .hint("rebalance", BUCKET)
+        .sortWithinPartitions(BUCKET, key)
         .write.mode("overwrite")
         .partitionBy(BUCKET)
         .option("compression", CODEC)
@@ -106,6 +109,25 @@ def resolve(spark: SparkSession, table: str) -> DataFrame:
     return _read_folders(spark, table, state)
 
 
+def lookup(spark: SparkSession, table: str, keys: DataFrame) -> DataFrame:
+    """The rows of the table that hold one of `keys`, read only from the folders they hash to.
+
+    At most one number per folder comes to the driver. Rows lie sorted by key, so a handful of
+    keys pushed into the scan skips most of a folder as well.
+    """
+    state = _read_pointer(spark, table)
+    if state is None:
+        raise FileNotFoundError(f"no published table at {table}")
+    key = state["key"]
+    wanted = keys.select(key).distinct()
+    folders = {str(row[0]) for row in wanted.select(_bucket_of(key, state["buckets"])).distinct().collect()}
+    rows = _read_folders(spark, table, state, folders)
+    few = [row[0] for row in wanted.limit(_PUSHED_KEYS + 1).collect()]
+    if len(few) <= _PUSHED_KEYS:
+        return rows.where(F.col(key).isin(few))
+    return rows.join(broadcast_if_small(wanted), key, "left_semi")
+
+
 def merge_into(updates: DataFrame, table: str, **merge) -> int:
     """Upsert `updates` (one row per key) and commit; only buckets holding their keys are rewritten."""
     spark = updates.sparkSession

@@ -266,7 +266,7 @@ ORACLE = {
     "keyword_boolean": f"WITH {keyword(MATCH_BOOLEAN)} {_SPARSE_OUT}",
     "rrf_fuse": f"WITH {keyword(MATCH_ANY)}, {DENSE}, {FUSED} SELECT * REPLACE (round(rrf_score, 9) AS rrf_score) FROM fused",
     "hybrid_search": _HYBRID_OUT,
-    "hybrid_indexed": _HYBRID_OUT,
+    "hybrid_stored": _HYBRID_OUT,
     "search_counts": f"WITH {keyword(MATCH_ALL)} SELECT query_id, count(paper_id) AS count FROM questions LEFT JOIN sparse USING (query_id) GROUP BY 1",
     "rag_context": f"""WITH {HYBRID}, {best(3)}, contexts AS (
         SELECT query_id, {_CONTEXT} AS context, string_agg(concat_ws('|', paper_id, published_date::VARCHAR, metadata), ';' ORDER BY place) AS matched

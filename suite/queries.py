@@ -17,7 +17,7 @@ from paperlake.operators.fusion import rrf
 from paperlake.operators.responses import recover_fields
 from paperlake.operators.upsert import upsert
 from paperlake.plans import pipelines
-from paperlake.plans.search import hybrid_search, result_counts
+from paperlake.plans.search import ask, hybrid_search, result_counts
 from paperlake.session import scratch_path
 from paperlake.sinks import table as keyed
 from paperlake.sinks.jdbc import staging_rows
@@ -298,11 +298,13 @@ def hybrid(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumns({"rrf_score": F.round("rrf_score", 9), "place": F.col("place").cast("long")})
 
 
-def hybrid_indexed(spark: SparkSession, sf: str) -> DataFrame:
-    """Hybrid search on a stored index, written once and read only where the terms lie."""
-    papers = views.papers(spark, sf)
-    index = kw.write_index(papers, scratch_path(spark, "index"), buckets=16, salts=4)
-    found = hybrid_search(papers, views.questions(spark, sf), index=index)
+def hybrid_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Hybrid search on stored tables: a text index, and a keyed table the results are fetched from."""
+    papers, base = views.papers(spark, sf), scratch_path(spark, "stored")
+    index = kw.write_index(papers, f"{base}/index", buckets=16, salts=4)
+    keyed.publish(papers, f"{base}/serving", buckets=8)
+    serving = keyed.resolve(spark, f"{base}/serving")
+    found = hybrid_search(serving, views.questions(spark, sf), index=index, serving=f"{base}/serving")
     return found.withColumns({"rrf_score": F.round("rrf_score", 9), "place": F.col("place").cast("long")})
 
 
@@ -314,7 +316,7 @@ def search_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def rag_context(spark: SparkSession, sf: str) -> DataFrame:
     papers, questions = views.papers(spark, sf), views.questions(spark, sf)
-    context = build_context(questions, hybrid_search(papers, questions, limit=3, with_metadata=True))
+    context = ask(papers, questions)
     matched = F.transform("matched", lambda m: F.concat_ws("|", m["paper_id"], m["published_date"], m["metadata"]))
     return context.select("query_id", "model", "prompt", F.array_join(matched, ";").alias("matched"))
 
@@ -501,7 +503,7 @@ QUERIES = {
     "keyword_boolean": keyword_boolean,
     "rrf_fuse": rrf_fuse,
     "hybrid_search": hybrid,
-    "hybrid_indexed": hybrid_indexed,
+    "hybrid_stored": hybrid_stored,
     "search_counts": search_counts,
     "rag_context": rag_context,
     "rag_no_match": rag_no_match,

@@ -137,5 +137,5 @@ def test_stemmed_search(spark, docs):
 def test_large_term_tables_are_joined_by_shuffle(spark, docs, monkeypatch):
     terms = kw.any_terms(ask(spark, "deep learning", "oven"))
     expected = sorted(search(docs, terms).collect())
-    monkeypatch.setattr("paperlake.session.broadcast_if_small.__defaults__", (None, 0))
+    monkeypatch.setattr("paperlake.session.BROADCAST_BYTES", -1)
     assert sorted(search(docs, terms).collect()) == expected

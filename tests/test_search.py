@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from paperlake.operators import keyword as kw
 from paperlake.operators.context import build_context, target_model
+from paperlake.operators.dense import dense_search_approx
 from paperlake.operators.fusion import best_fused, rrf, rrf_score
 from paperlake.plans.search import hybrid_search, result_counts
+from paperlake.sinks import table
 
 RANKED = "query_id long, paper_id string, {} long"
 
@@ -64,7 +66,13 @@ def test_hybrid_search(corpus, queries):
 def test_hybrid_search_on_a_stored_index(corpus, queries, tmp_path):
     index = kw.write_index(corpus, str(tmp_path / "i"), buckets=2, salts=2)
     by = ["query_id", "place"]
-    assert hybrid_search(corpus, queries, index=index).orderBy(by).collect() == hybrid_search(corpus, queries).orderBy(by).collect()
+    expected = hybrid_search(corpus, queries, with_metadata=True).orderBy(by).collect()
+    table.publish(corpus, str(tmp_path / "t"), buckets=4)
+    dense = dense_search_approx(corpus, queries, dim=2, bits=2, probes=4)
+    stored = hybrid_search(corpus, queries, with_metadata=True, index=index, serving=str(tmp_path / "t"))
+    assert stored.orderBy(by).collect() == expected
+    near = hybrid_search(corpus, queries, with_metadata=True, index=index, dense=dense, limit=2)
+    assert near.orderBy(by).collect() == [r for r in expected if r.place <= 2]
 
 
 @pytest.mark.parametrize("limit", [0, 51])

@@ -103,6 +103,16 @@ class TestKeyedTable:
         table.merge_into(spark.createDataFrame(UPDATES, SCHEMA), path)
         assert table.resolve(spark, path).count() == 2
 
+    @pytest.mark.parametrize("n", [2, 30])
+    def test_lookup_reads_only_the_folders_of_its_keys(self, spark, tmp_path, n):
+        path = str(tmp_path / "t")
+        many = spark.range(500).select(F.col("id").cast("string").alias("paper_id"), F.lit(0).alias("v"))
+        table.publish(many, path, buckets=64)
+        keys = many.where(F.col("paper_id").cast("int") < n)
+        found = table.lookup(spark, path, keys.unionByName(keys))
+        assert {r.paper_id for r in found.collect()} == {str(i) for i in range(n)}
+        assert {f.split("key_bucket=")[1].split("/")[0] for f in found.inputFiles()} < {str(b) for b in range(64)}
+
     def test_missing_table(self, spark, tmp_path):
         with pytest.raises(FileNotFoundError):
             table.resolve(spark, str(tmp_path / "none"))
