@@ -2,7 +2,8 @@
 
 A question is a table of terms `(query_id, term)`; all its terms are required. Optional columns
 add what a search box offers: `alt` numbers alternatives (any may match), `negated` marks terms
-that must not occur, and `phrase` with `pos` asks for terms at consecutive places.
+that must not occur, and `phrase` with `pos` asks for terms at consecutive places. Tables made
+from plain texts by the functions below also carry what `_prepared_terms` would work out.
 """
 
 from typing import NamedTuple
@@ -69,14 +70,18 @@ def tokenize(docs: DataFrame, stem: bool = False) -> DataFrame:
 
 def question_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
     """The distinct words of each question, all required."""
-    terms = F.array_distinct(index_terms(F.col("text"), stem))
-    return queries.select("query_id", F.explode(terms).alias("term"))
+    found = queries.select("query_id", F.array_distinct(index_terms(F.col("text"), stem)).alias("terms"))
+    return found.select(
+        "query_id", F.explode_outer("terms").alias("term"), F.size("terms").alias("required"), F.lit(True).alias("scores")
+    ).where("term IS NOT NULL")
 
 
 def any_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
     """The distinct words of each question, any of which may match."""
-    terms = F.array_distinct(index_terms(F.col("text"), stem))
-    return queries.select("query_id", F.posexplode(terms).alias("alt", "term"))
+    found = queries.select("query_id", F.array_distinct(index_terms(F.col("text"), stem)).alias("terms"))
+    return found.select(
+        "query_id", F.posexplode_outer("terms").alias("alt", "term"), F.lit(1).alias("required"), F.lit(True).alias("scores")
+    ).where("term IS NOT NULL")
 
 
 def phrase_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
@@ -197,6 +202,8 @@ def _prepared_terms(terms: DataFrame) -> DataFrame:
     """
     defaults = {"alt": F.lit(0), "negated": F.lit(False), "phrase": F.lit(None).cast("int"), "pos": F.lit(0)}
     full = terms.withColumns({c: v for c, v in defaults.items() if c not in terms.columns})
+    if {"required", "scores"} <= set(terms.columns):
+        return full  # made from the words of a text, where both are known
     full = full.select("query_id", "term", *defaults).distinct()
     alternative = Window.partitionBy("query_id", "alt")
     same_term = Window.partitionBy("query_id", "term").orderBy("negated", "alt", "phrase", "pos")

@@ -117,6 +117,16 @@ def test_index_rows(spark, docs):
     assert ("the", "3", "abstract") not in rows
 
 
+def test_terms_made_from_text_are_complete(spark, docs):
+    asked = ask(spark, "the deep learning deep", "layers", "")
+    for terms in (kw.question_terms(asked), kw.any_terms(asked)):
+        bare = terms.drop("required", "scores")
+        columns = ["query_id", "term", "alt", "negated", "required", "scores"]
+        complete = lambda t: sorted(tuple(r) for r in kw._prepared_terms(t).select(columns).collect())
+        assert complete(terms) == complete(bare)
+        assert sorted(search(docs, terms).collect()) == sorted(search(docs, bare).collect())
+
+
 def test_text_is_split_once(docs, plan):
     """No filter is inferred that would run the word pattern a second time in the scan."""
     text = plan(kw.tokenize(docs)).split("== Physical Plan ==")[1]
