@@ -38,6 +38,8 @@ def hybrid_search(
     """
     if not 1 <= limit <= K.MAX_SEARCH_LIMIT:
         raise ValueError(f"limit must lie between 1 and {K.MAX_SEARCH_LIMIT}")
+    # Written once: the questions are read by several jobs, and their vectors may be costly to make.
+    queries = materialize(queries.select("query_id", "text", "embedding"), "questions")
     terms = question_terms(queries, stem)
     found = lookup(index, terms) if index else scan_index(docs, terms, stem)
     dense = dense_search(docs, queries, depth) if dense is None else dense

@@ -1,10 +1,12 @@
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from paperlake.functions.vectors import cosine_distance, text_to_vector, vector_to_text
-from paperlake.operators.dense import dense_search, dense_search_approx, lsh_cell, write_lsh_table
+from paperlake.operators.dense import dense_search, dense_search_approx, hyperplanes, lsh_cell, write_lsh_table
 from paperlake.operators.topk import TopK
 
 DIM = 16
@@ -106,6 +108,24 @@ def test_approximate_search_agrees_between_paths_and_finds_most(spark, data, fra
     assert recall > 0.8
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_approximate_search_is_exact_within_the_probed_cells(data, frames, limit):
+    docs, queries = data
+    bits, probes, planes = 4, 5, hyperplanes(DIM, 4, 7)
+    side = lambda v: tuple((planes @ (np.asarray(v, dtype=np.float64) / np.linalg.norm(v))) > 0)
+    expected = set()
+    for query_id, q in queries:
+        margin = planes @ (np.asarray(q, dtype=np.float64) / np.linalg.norm(q))
+        away = {}
+        for cell in itertools.product([False, True], repeat=bits):
+            away[cell] = sum(m * m for m, own, other in zip(margin, margin > 0, cell) if own != other)
+        near = set(sorted(away, key=away.get)[:probes])
+        kept = [d for d in docs if d[1] is not None and any(d[1]) and side(d[1]) in near]
+        expected |= brute_force(kept, [(query_id, q)], 10)
+    found = dense_search_approx(*frames, k=10, dim=DIM, bits=bits, probes=probes, broadcast_limit=limit, doc_block=50)
+    assert ranked(found) == expected
+
+
 def test_cells_of_missing_vectors_are_null(frames):
     cells = frames[0].select("paper_id", lsh_cell(F.col("embedding"), DIM, 4).alias("cell"))
     assert {r.paper_id for r in cells.where("cell IS NULL").collect()} == {"none", "zero"}
