@@ -188,11 +188,15 @@ def scan_index(docs: DataFrame, terms: DataFrame, stem: bool = False) -> TextInd
 # --- search ----------------------------------------------------------------------
 
 
-def bm25(tf: Column, dl: Column, df: Column, n_docs: Column, avg_dl: Column) -> Column:
-    """Robertson and Zaragoza 2009, with the idf that is never negative."""
-    idf = F.log(F.lit(1.0) + (n_docs - df + 0.5) / (df + 0.5))
+def inverse_frequency(df: Column, n_docs: Column) -> Column:
+    """The rarer a term, the more it counts; never negative."""
+    return F.log(F.lit(1.0) + (n_docs - df + 0.5) / (df + 0.5))
+
+
+def saturation(tf: Column, dl: Column, avg_dl: Column) -> Column:
+    """What a term adds the more often it occurs, relative to the length of the document."""
     length = F.lit(1.0 - K.BM25_B) + F.lit(K.BM25_B) * dl / avg_dl
-    return idf * (tf * (K.BM25_K1 + 1.0)) / (tf + F.lit(K.BM25_K1) * length)
+    return tf * (K.BM25_K1 + 1.0) / (tf + F.lit(K.BM25_K1) * length)
 
 
 def _prepared_terms(terms: DataFrame) -> DataFrame:
@@ -230,7 +234,11 @@ def _phrases_hold(words_found: Column) -> Column:
 
 
 def match_terms(index: TextIndex, terms: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """Every paper that satisfies a question, with its BM25 score -> (query_id, paper_id, score).
+    """Every paper that satisfies a question, with its score -> (query_id, paper_id, score).
+
+    The score is BM25 (Robertson and Zaragoza 2009): per term, its inverse frequency times its
+    saturation. The first is worked out on the few asked terms and the second once per posting,
+    so that a match only multiplies them.
 
     `weights` boost fields by multiplying term counts. An alternative made of negated terms
     only matches nothing.
@@ -243,15 +251,21 @@ def match_terms(index: TextIndex, terms: DataFrame, weights: dict[str, float] |
     merged = [tf.cast("double").alias("tf"), F.first("dl").alias("dl")]
     if has_phrases:
         merged.append(F.flatten(F.collect_list("positions")).alias("positions"))
-    postings = index.postings.groupBy("paper_id", "term").agg(*merged)
-
+    corpus = index.corpus.select(F.struct("n_docs", "avg_dl")).scalar()
+    postings = (
+        index.postings.groupBy("paper_id", "term")
+        .agg(*merged)
+        .withColumn("saturation", saturation(F.col("tf"), F.col("dl"), corpus["avg_dl"]))
+        .drop("tf", "dl")
+    )
     frequency = index.postings.groupBy("term").agg(F.count_distinct("paper_id").alias("df"))
+    rarity = frequency.select("term", inverse_frequency(F.col("df"), corpus["n_docs"]).alias("rarity"))
+
     asked = _prepared_terms(terms)
     # The completed table has the rows of the given one and seven narrow columns more.
     size = 4 * (data_bytes(terms) if index.asked_bytes is None else index.asked_bytes)
-    matches = probe(postings, asked.join(frequency, "term"), "term", "paper_id", size=size)
-    corpus = index.corpus.select(F.struct("n_docs", "avg_dl")).scalar()
-    score = bm25(F.col("tf"), F.col("dl"), F.col("df"), corpus["n_docs"], corpus["avg_dl"])
+    matches = probe(postings, asked.join(rarity, "term"), "term", "paper_id", size=size)
+    score = F.col("rarity") * F.col("saturation")
 
     measures = [
         F.count_if(~F.col("negated")).alias("matched"),
