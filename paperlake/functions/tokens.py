@@ -1,6 +1,6 @@
 """Text analysis for keyword search: lower-case words of letters and digits."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperlake.constants import STOP_WORDS
@@ -14,8 +14,16 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def is_stop_word(word: Column) -> Column:
-    return word.isin(STOP_WORDS)
+# As SQL text the list is parsed in one go; as a column it would be built word by word.
+_STOP_LIST = ", ".join(f"'{word}'" for word in STOP_WORDS)
+
+
+def is_stop_word(column: str) -> Column:
+    return F.expr(f"{column} IN ({_STOP_LIST})")
+
+
+def without_stop_words(column: str) -> Column:
+    return F.expr(f"filter({column}, w -> w NOT IN ({_STOP_LIST}))")
 
 
 def light_stem(word: Column) -> Column:
@@ -28,7 +36,7 @@ def light_stem(word: Column) -> Column:
     )
 
 
-def index_terms(text: Column, stem: bool = False) -> Column:
-    """Words that are indexed: stop words dropped, endings reduced on request."""
-    kept = F.filter(words(text), lambda w: ~is_stop_word(w))
-    return F.transform(kept, light_stem) if stem else kept
+def index_terms(df: DataFrame, text: str, name: str = "terms", stem: bool = False) -> DataFrame:
+    """Add the words of a text column that are indexed: no stop words, endings reduced on request."""
+    kept = df.withColumn(name, words(F.col(text))).withColumn(name, without_stop_words(name))
+    return kept.withColumn(name, F.transform(name, light_stem)) if stem else kept

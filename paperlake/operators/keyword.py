@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperlake import constants as K
-from paperlake.functions.tokens import index_terms, is_stop_word, light_stem, words
+from paperlake.functions.tokens import index_terms, is_stop_word, light_stem, without_stop_words, words
 from paperlake.operators.dedupe import top_per_group
-from paperlake.session import data_bytes, probe, scratch_path
+from paperlake.session import BROADCAST_BYTES, data_bytes, probe, scratch_path
 from paperlake.sinks.lake import CODEC
 
 TITLE, ABSTRACT = "title", "abstract"
@@ -45,7 +45,7 @@ def _analyzed(docs: DataFrame) -> DataFrame:
     """
     fields = docs.select("paper_id", words(F.col(TITLE)).alias("title"), words(F.col(ABSTRACT)).alias("abstract"))
     joined = fields.select("paper_id", F.concat("title", "abstract").alias("words"), F.size("title").alias("n_title"))
-    return joined.withColumn("dl", F.size(F.filter("words", lambda w: ~is_stop_word(w))))
+    return joined.withColumn("dl", F.size(without_stop_words("words")))
 
 
 def _exploded(analyzed: DataFrame, stem: bool) -> DataFrame:
@@ -54,7 +54,7 @@ def _exploded(analyzed: DataFrame, stem: bool) -> DataFrame:
     # generator keeps Spark from splitting the text a second time in a filter it would infer.
     rows = analyzed.select("paper_id", "dl", "n_title", F.posexplode_outer("words").alias("pos", "word"))
     word = F.col("word")
-    return rows.where(~is_stop_word(word)).select(
+    return rows.where(~is_stop_word("word")).select(
         "paper_id",
         "dl",
         (light_stem(word) if stem else word).alias("term"),
@@ -68,9 +68,13 @@ def tokenize(docs: DataFrame, stem: bool = False) -> DataFrame:
     return _exploded(_analyzed(docs), stem)
 
 
+def _distinct_words(queries: DataFrame, stem: bool) -> DataFrame:
+    return index_terms(queries, "text", stem=stem).select("query_id", F.array_distinct("terms").alias("terms"))
+
+
 def question_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
     """The distinct words of each question, all required."""
-    found = queries.select("query_id", F.array_distinct(index_terms(F.col("text"), stem)).alias("terms"))
+    found = _distinct_words(queries, stem)
     return found.select(
         "query_id", F.explode_outer("terms").alias("term"), F.size("terms").alias("required"), F.lit(True).alias("scores")
     ).where("term IS NOT NULL")
@@ -78,7 +82,7 @@ def question_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
 
 def any_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
     """The distinct words of each question, any of which may match."""
-    found = queries.select("query_id", F.array_distinct(index_terms(F.col("text"), stem)).alias("terms"))
+    found = _distinct_words(queries, stem)
     return found.select(
         "query_id", F.posexplode_outer("terms").alias("alt", "term"), F.lit(1).alias("required"), F.lit(True).alias("scores")
     ).where("term IS NOT NULL")
@@ -87,7 +91,7 @@ def any_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
 def phrase_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
     """The words of each question as one phrase."""
     found = words(F.col("text"))
-    kept = queries.select("query_id", F.posexplode(found).alias("pos", "word")).where(~is_stop_word(F.col("word")))
+    kept = queries.select("query_id", F.posexplode(found).alias("pos", "word")).where(~is_stop_word("word"))
     term = light_stem(F.col("word")) if stem else F.col("word")
     return kept.select("query_id", term.alias("term"), "pos", F.lit(0).alias("phrase"))
 
@@ -233,6 +237,20 @@ def _phrases_hold(words_found: Column) -> Column:
     return F.forall(F.array_distinct(F.transform(words_found, lambda w: w["phrase"])), holds)
 
 
+def _candidate_matches(postings: DataFrame, asked: DataFrame, size: int) -> DataFrame:
+    """Postings of the asked terms, only in papers that hold the rarest required term of a question.
+
+    A paper without that term cannot match, so frequent terms cost nothing where they stand alone.
+    Postings lie by paper, so candidates meet the other terms of their papers without moving.
+    """
+    rarest = Window.partitionBy("query_id").orderBy(F.col("rarity").desc_nulls_first(), "term", "pos")
+    leads = asked.where("NOT negated").withColumn("place", F.row_number().over(rarest)).where("place = 1")
+    hits = probe(postings.select("paper_id", "term"), leads.select("query_id", "term"), "term", "paper_id", size=size)
+    rows = hits.select("paper_id", "query_id").join(postings, "paper_id")
+    asked = F.broadcast(asked) if size <= BROADCAST_BYTES else asked
+    return rows.join(asked, ["query_id", "term"])
+
+
 def match_terms(index: TextIndex, terms: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """Every paper that satisfies a question, with its score -> (query_id, paper_id, score).
 
@@ -264,7 +282,11 @@ def match_terms(index: TextIndex, terms: DataFrame, weights: dict[str, float] |
     asked = _prepared_terms(terms)
     # The completed table has the rows of the given one and seven narrow columns more.
     size = 4 * (data_bytes(terms) if index.asked_bytes is None else index.asked_bytes)
-    matches = probe(postings, asked.join(rarity, "term"), "term", "paper_id", size=size)
+    asked = asked.join(rarity, "term", "left")
+    if "alt" in terms.columns:
+        matches = probe(postings, asked, "term", "paper_id", size=size)
+    else:
+        matches = _candidate_matches(postings, asked, size)
     score = F.col("rarity") * F.col("saturation")
 
     measures = [

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from paperlake.functions import cleanse
 from paperlake.functions.feedtext import feed_abstract
+from paperlake.functions.tokens import index_terms
 from paperlake.functions.vectors import cosine_distance, text_to_vector, vector_to_text
 from paperlake.operators import gate as G
 from paperlake.operators import keyword as kw
@@ -272,11 +273,10 @@ def keyword_phrase(spark: SparkSession, sf: str) -> DataFrame:
 def boolean_terms(questions: DataFrame) -> DataFrame:
     """Any sentence of the item, all its words, but not the last word of the item."""
     sentences = questions.select("query_id", "text", F.posexplode(F.split("text", r"\.")).alias("alt", "sentence"))
-    words = lambda c: F.array_distinct(kw.index_terms(F.col(c)))
-    wanted = sentences.select("query_id", "alt", F.explode(words("sentence")).alias("term"), F.lit(False).alias("negated"))
-    last = F.element_at(kw.index_terms(F.col("text")), -1)
-    unwanted = sentences.select("query_id", "alt", last.alias("term"), F.lit(True).alias("negated"))
-    return wanted.unionByName(unwanted)
+    found = index_terms(index_terms(sentences, "sentence", "wanted"), "text", "whole")
+    wanted = found.select("query_id", "alt", F.explode(F.array_distinct("wanted")).alias("term"), F.lit(False).alias("negated"))
+    last = F.element_at("whole", -1).alias("term")
+    return wanted.unionByName(found.select("query_id", "alt", last, F.lit(True).alias("negated")))
 
 
 def keyword_boolean(spark: SparkSession, sf: str) -> DataFrame:

@@ -117,6 +117,14 @@ def test_index_rows(spark, docs):
     assert ("the", "3", "abstract") not in rows
 
 
+def test_candidates_give_the_same_answers_as_all_postings(spark, docs):
+    """With an alternative given, every posting is looked at; without, only papers with the rarest term."""
+    asked = ask(spark, "the deep learning deep", "layers", "oven zebra", "learning layers networks")
+    for terms in (kw.question_terms(asked), kw.phrase_terms(asked)):
+        everything = terms.withColumn("alt", F.lit(0))
+        assert sorted(search(docs, terms).collect()) == sorted(search(docs, everything).collect())
+
+
 def test_terms_made_from_text_are_complete(spark, docs):
     asked = ask(spark, "the deep learning deep", "layers", "")
     for terms in (kw.question_terms(asked), kw.any_terms(asked)):
@@ -135,8 +143,7 @@ def test_text_is_split_once(docs, plan):
 
 def test_light_stem(spark):
     words = "queries ponies boxes classes cats bus glass goes trees shoes"
-    frame = ask(spark, words).select(index_terms(F.col("text"), stem=True))
-    assert frame.first()[0] == "query pony boxe classe cat bus glass goe tree shoe".split()
+    assert index_terms(ask(spark, words), "text", stem=True).first().terms == "query pony boxe classe cat bus glass goe tree shoe".split()
 
 
 def test_stemmed_search(spark, docs):
