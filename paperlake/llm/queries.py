@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake.llm import chat, mixing, urls
+from paperlake.llm import chat, labelled, mixing, nbsvm, rules, secrets, toxicity, urls
 
 RULES = [
     urls.Rule.read("allow", "com/"),
@@ -24,12 +24,47 @@ def op1_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def _scored(docs: DataFrame, score, threshold: float) -> DataFrame:
+    scored = docs.select("doc_id", labelled.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = nbsvm.train(docs, table(spark, sf, "labels"), "quality")
+    return _scored(docs, nbsvm.score(docs, F.col("text"), model), 0.7)
+
+
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf, "labels"), "toxic")
+    return _scored(docs, toxicity.score(docs, F.col("text"), model), 0.3)
+
+
 def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     first = mixing.mix(docs).where("copy IS NULL OR copy = 0")
     return first.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex", "random")],
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = rules.train(docs, table(spark, sf, "labels"), "quality")
+    return rules.judge(docs, model).drop("text")
+
+
 def op7_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     marked = spark.range(2).select(
@@ -43,6 +78,10 @@ def op7_chat_format(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_quality": op2_quality,
     "op3_mixing": op3_mixing,
+    "op4_secrets": op4_secrets,
+    "op5_quality_rules": op5_quality_rules,
     "op7_chat_format": op7_chat_format,
+    "op9_toxicity": op9_toxicity,
 }
