@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake.llm import chat, labelled, mixing, nbsvm, rules, secrets, toxicity, urls
+from paperlake.llm import chat, labelled, mixing, nbsvm, rules, secrets, substrings, toxicity, urls
 
 RULES = [
     urls.Rule.read("allow", "com/"),
@@ -35,6 +35,11 @@ def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
     return _scored(docs, nbsvm.score(docs, F.col("text"), model), 0.7)
 
 
+def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    done = substrings.remove_repeated(table(spark, sf, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf, "labels"), "toxic")
@@ -83,5 +88,6 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_quality_rules": op5_quality_rules,
     "op7_chat_format": op7_chat_format,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
 }
