@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake.llm import chat, labelled, mixing, nbsvm, rules, secrets, substrings, toxicity, urls
+from paperlake.llm import chat, jaccard, labelled, mixing, nbsvm, rules, secrets, substrings, toxicity, urls
 
 RULES = [
     urls.Rule.read("allow", "com/"),
@@ -70,6 +70,10 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rules.judge(docs, model).drop("text")
 
 
+def op6_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.similar_components(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op7_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     marked = spark.range(2).select(
@@ -87,6 +91,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_secrets": op4_secrets,
     "op5_quality_rules": op5_quality_rules,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_chat_format": op7_chat_format,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
