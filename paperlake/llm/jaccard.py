@@ -211,8 +211,8 @@ def _matrix_links(docs: DataFrame, scanned: DataFrame, classes: DataFrame, group
     return found.select(F.col("node").alias("a"), "b")
 
 
-def similar_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per document."""
+def _components(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, n, group, component_id) for every row; group numbers components, null for empty sets."""
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scanned = materialize(_scan(docs), "jaccard-prefixes")
@@ -227,19 +227,38 @@ def similar_components(docs: DataFrame) -> DataFrame:
     groups = classes.select("node").join(components(stars), "node", "left")
     groups = groups.select("node", F.coalesce("component", "node").alias("group"))
     sizes = groups.groupBy("group").agg(F.ceil(F.count("*") / PART).alias("parts"))
-    groups = groups.join(sizes, "group").select("node", "group", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
-    groups = materialize(groups, "jaccard-groups")
-    more = _matrix_links(docs, scanned, classes, groups)
+    parts = groups.join(sizes, "group").select("node", "group", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
+    parts = materialize(parts, "jaccard-groups")
+    more = _matrix_links(docs, scanned, classes, parts)
     if more is not None:
-        more = materialize(more, "jaccard-links")
-        whole = components(stars.unionByName(more))
-        named = classes.select("node", "f1", "f2", "first").join(whole, "node", "left")
+        whole = components(stars.unionByName(materialize(more, "jaccard-links")))
+        groups = classes.select("node").join(whole, "node", "left").select("node", F.coalesce("component", "node").alias("group"))
     else:
-        named = classes.select("node", "f1", "f2", "first").join(groups.select("node", F.col("group").alias("component")), "node")
-    named = named.withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = materialize(named.join(least, "component").select("f1", "f2", "component_id"), "jaccard-components")
-    rows = scanned.select("doc_id", "n", "f1", "f2").join(broadcast_if_small(named), ["f1", "f2"], "left")
-    return rows.select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+        groups = parts.select("node", "group")
+    named = classes.select("node", "f1", "f2", "first").join(groups, "node")
+    least = named.groupBy("group").agg(F.min("first").alias("component_id"))
+    named = materialize(named.join(least, "group").select("f1", "f2", "group", "component_id"), "jaccard-components")
+    return scanned.select("doc_id", "key", "n", "f1", "f2").join(broadcast_if_small(named), ["f1", "f2"], "left").drop("f1", "f2")
+
+
+def similar_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id: one row per document."""
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return _components(docs).select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The document with the smallest id of every component, all columns unchanged; texts without words all stay.
+
+    Of rows with the same id and text one stays.
+    """
+    rows = _components(docs)
+    rows = rows.groupBy("group", "doc_id", "key", (F.col("n") > 0).alias("full")).agg(F.count("*").alias("copies"))
+    best = rows.where("full").groupBy("group").agg(F.min(F.struct("doc_id", "key", "copies")).alias("best")).select("best.*")
+    best = best.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("copies").alias("__copies"))
+    empty = rows.where("NOT full").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.lit(1).cast("long").alias("__copies"))
+    best = materialize(best.unionByName(empty), "jaccard-kept")
+    key = F.unhex(F.md5(F.coalesce(docs["text"], F.lit(""))))
+    kept = docs.join(broadcast_if_small(best), (F.col("__key") == key) & F.col("__id").eqNullSafe(docs["doc_id"].cast("long")))
+    once = kept.where("__copies = 1").unionByName(kept.where("__copies > 1").dropDuplicates(["__id", "__key"]))
+    return once.drop("__id", "__key", "__copies")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake.llm import chat, jaccard, labelled, mixing, nbsvm, rules, secrets, substrings, toxicity, urls
+from paperlake.llm import chat, decontaminate, jaccard, labelled, mixing, nbsvm, rules, secrets, substrings, toxicity, urls
 
 RULES = [
     urls.Rule.read("allow", "com/"),
@@ -85,6 +85,12 @@ def op7_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digest(chat.format_conversations(turns.unionByName(marked)))
 
 
+def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontaminate.contaminated(docs, table(spark, sf, "benchmark"))
+    return found.select("doc_id", "item_id", "covered", "longest")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_quality": op2_quality,
@@ -95,4 +101,5 @@ QUERIES = {
     "op7_chat_format": op7_chat_format,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_decontamination": op10_decontamination,
 }

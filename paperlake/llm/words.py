@@ -105,9 +105,13 @@ def texts_of(column: pa.Array) -> Texts:
 
 
 def words_of(texts: Texts, inside: np.ndarray = NOT_BLANK) -> Words:
-    """Maximal runs of the bytes that `inside` marks; no word crosses the end of a text."""
+    """Maximal runs of the byte values that `inside` marks; no word crosses the end of a text."""
+    return runs_of(texts, inside[texts.data])
+
+
+def runs_of(texts: Texts, mask: np.ndarray) -> Words:
+    """Maximal runs of the marked bytes within each text."""
     data, bounds = texts.data, texts.bounds
-    mask = inside[data]
     edges = bounds[(bounds > 0) & (bounds < len(data))]
     first, last = mask.copy(), mask.copy()
     if len(data):
