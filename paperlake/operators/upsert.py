@@ -5,13 +5,14 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperlake.session import BROADCAST_BYTES, data_bytes
+from paperlake import session
+from paperlake.session import data_bytes
 
 _HIT = "__hit"
 
 
 def _insert_rows(target: DataFrame, updates: DataFrame, replaced: Sequence[str], touch: str | None, now: Column):
-    """Updates in the columns of the target; columns they do not carry start as null."""
+    """Updates in the columns and types of the target; columns they do not carry start as null."""
     columns = []
     for field in target.schema.fields:
         if field.name == touch:
@@ -32,12 +33,13 @@ def upsert(
     touch: str | None = None,
     now: Column | None = None,
     invalidate: Iterable[str] = (),
-    broadcast_limit: int = BROADCAST_BYTES,
+    broadcast_limit: int | None = None,
 ) -> DataFrame:
     """Insert new keys and replace `update_cols` of known ones (all columns by default).
 
     `touch` names a time stamp set to `now` on every inserted or updated row, `invalidate`
-    columns that become null when a row is updated. `updates` must hold each key once.
+    columns that become null when a row is updated. `updates` must hold each key once. The result
+    has the schema of the target.
 
     Updates below the broadcast limit are probed by a scan of the target that never shuffles;
     larger ones are merged by one full outer join on the key.
@@ -67,7 +69,7 @@ def upsert(
         return out
 
     carried = updates.select(*[c for c in replaced if c != touch])
-    small = data_bytes(carried) <= broadcast_limit
+    small = data_bytes(carried) <= (session.BROADCAST_BYTES if broadcast_limit is None else broadcast_limit)
     if not small:
         left = target.withColumn("__known", F.lit(True)).alias("t")
         right = carried.withColumn(_HIT, F.lit(True)).alias("u")
@@ -79,7 +81,7 @@ def upsert(
     if set(update_cols) | {key} >= set(target.columns) and touch is None:
         # Every column is replaced: drop the old rows and append the new ones.
         kept = target.join(F.broadcast(updates.select(key)), key, "left_anti").select(target.columns)
-        return kept.unionByName(updates.select(target.columns))
+        return kept.unionByName(_insert_rows(target, updates, replaced, touch, now))
     right = F.broadcast(carried.withColumn(_HIT, F.lit(True))).alias("u")
     joined = target.alias("t").join(right, F.col(f"t.{key}") == F.col(f"u.{key}"), "left")
     return joined.select(merged(F.col(f"u.{_HIT}").isNotNull(), F.lit(False))).unionByName(inserts)

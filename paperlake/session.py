@@ -1,15 +1,22 @@
 """Session defaults, shared scratch space and the size check used before every broadcast."""
 
+import atexit
+import math
+import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+#: What one task should have to hold.
+PART_BYTES = 128 * 1024 * 1024
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -49,19 +56,39 @@ def ship_package(spark: SparkSession) -> None:
     spark.conf.set("spark.paperlake.shipped", context.applicationId)
 
 
+_OPEN_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder on storage every executor can reach.
 
     The cluster names it in `spark.checkpoint.dir`. Only a local master, where driver and
-    executors are one process, may fall back to a temporary folder.
+    executors are one process, may fall back to a temporary folder, removed when Python ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="paperlake-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _OPEN_SCOPES:
+        _OPEN_SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders made inside, for jobs that have written their results elsewhere."""
+    _OPEN_SCOPES.append([])
+    try:
+        yield
+    finally:
+        for name in _OPEN_SCOPES.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
@@ -77,42 +104,67 @@ def materialize(df: DataFrame, label: str, partition: str | None = None) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _width(field: T.StructField):
-    column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(column), F.lit(0)) + F.lit(16)
-    if isinstance(field.dataType, T.ArrayType):
-        return F.coalesce(F.size(column), F.lit(0)) * F.lit(8) + F.lit(16)
-    return F.lit(8)
+def _width(value: Column, kind: T.DataType) -> Column:
+    """Approximate bytes of a value, whatever its nesting."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + F.lit(16)
+    if isinstance(kind, T.StructType):
+        return sum((_width(value[f.name], f.dataType) for f in kind.fields), F.lit(16))
+    if isinstance(kind, T.MapType):
+        return _width(F.map_keys(value), T.ArrayType(kind.keyType)) + _width(F.map_values(value), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.NumericType, T.BooleanType, T.DatetimeType)):
+            return F.coalesce(F.size(value), F.lit(0)) * F.lit(8) + F.lit(16)
+        element = lambda total, x: total + _width(x, kind.elementType).cast("long")
+        return F.coalesce(F.aggregate(value, F.lit(0).cast("long"), element), F.lit(0)) + F.lit(16)
+    if isinstance(kind, (T.NumericType, T.BooleanType, T.DatetimeType, T.NullType)):
+        return F.lit(8)
+    return F.coalesce(F.octet_length(value.cast("string")), F.lit(0)) + F.lit(16)
 
 
 def data_bytes(df: DataFrame) -> int:
     """Approximate size of a frame in memory, from one distributed aggregate."""
     width = F.lit(16)
     for field in df.schema.fields:
-        width = width + _width(field)
+        width = width + _width(F.col(f"`{field.name}`"), field.dataType)
     return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def broadcast_if_small(df: DataFrame, size: int | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a frame's size; for a plain scan the bytes of its files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def parts_for(size: int, part: int, least: int, most: int) -> int:
+    """How many parts of about `part` bytes a frame of `size` bytes is cut into."""
+    return max(least, min(most, math.ceil(size / part)))
+
+
+def is_small(size: int) -> bool:
+    return size <= BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame, size: int | None = None) -> DataFrame:
     """Hint a broadcast only when the size allows it; else leave a shuffle join.
 
     The size is measured unless the caller already knows a bound in bytes.
     """
-    return F.broadcast(df) if (data_bytes(df) if size is None else size) <= limit else df
+    return F.broadcast(df) if is_small(data_bytes(df) if size is None else size) else df
 
 
 def probe(
-    big: DataFrame, small: DataFrame, key: str, spread_by: str, how: str = "inner", size: int | None = None, salts: int = 16
+    big: DataFrame, small: DataFrame, key: str, spread_by: str, how: str = "inner", size: int | None = None, salts: int | None = None
 ) -> DataFrame:
     """Join a large side with a side that is usually small, whatever share of `big` one key holds.
 
     A side of checked size is broadcast and `big` stays where it is. Beyond the limit both sides
     are shuffled by key and salt: rows of `big` are dealt out by a hash of `spread_by`, the other
-    side is copied once per salt, so a hot key is met in `salts` tasks.
+    side is copied once per salt, so a hot key is met in `salts` tasks. There are enough salts
+    for a third of `big` to fall into parts of `PART_BYTES`.
     """
-    if (data_bytes(small) if size is None else size) <= BROADCAST_BYTES:
+    if is_small(data_bytes(small) if size is None else size):
         return big.join(F.broadcast(small), key, how)
+    salts = salts or parts_for(plan_bytes(big) // 3, PART_BYTES, 4, 256)
     dealt = big.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copied = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return dealt.join(copied, [key, "__salt"], how).drop("__salt")

@@ -4,6 +4,10 @@ Rows lie in folders by hash of the key, so a key never changes its folder whatev
 update touches. A commit writes new folders for the buckets it touches and then swaps one small
 pointer file that names the folder of every bucket. Readers resolve the pointer, so they see the
 state before or after a commit; a failed commit leaves folders that nothing names.
+
+Keys are unique and not null: a commit that would break this fails. Every commit has the schema of
+the table. The number of folders follows the bytes of the table, so that a merge of few keys rewrites
+a small share of it; a table that has outgrown its folders is laid out anew by the next merge.
 """
 
 import json
@@ -13,12 +17,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperlake.operators.upsert import upsert
-from paperlake.session import broadcast_if_small
+from paperlake.session import broadcast_if_small, data_bytes, parts_for
 from paperlake.sinks.lake import CODEC
 
 BUCKET = "key_bucket"
 _POINTER = "CURRENT.json"
 _PUSHED_KEYS = 10
+#: Bytes in memory of a folder, and how far it may grow before the table is laid out anew.
+_FOLDER_BYTES, _GROWTH = 256 << 20, 4
+_LEAST, _MOST = 16, 1 << 16
+
+
+class KeyViolation(ValueError):
+    """A key that is null or occurs more than once."""
 
 
 def _file_context(spark: SparkSession, path: str):
@@ -58,11 +69,18 @@ def _bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def _write_buckets(rows: DataFrame, table: str, version: int, key: str, buckets: int) -> dict[str, str]:
-    """Write rows below a new version folder and return the folder of every bucket written."""
+def _check_keys(rows: DataFrame, key: str) -> None:
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    bad = counts.where(F.col(key).isNull() | (F.col("n") > 1)).first()
+    if bad is not None:
+        raise KeyViolation(f"{key} is null" if bad[key] is None else f"{key} {bad[key]!r} occurs {bad['n']} times")
+
+
+def _write_buckets(rows: DataFrame, table: str, version: int, key: str, buckets: int, schema: T.StructType) -> dict[str, str]:
+    """Write rows in the given schema below a new version folder and return the folder of every bucket written."""
     folder = f"v={version}"
     (
-        rows.withColumn(BUCKET, _bucket_of(key, buckets))
+        rows.select([F.col(f.name).cast(f.dataType) for f in schema.fields]).withColumn(BUCKET, _bucket_of(key, buckets))
         .hint("rebalance", BUCKET)
         .sortWithinPartitions(BUCKET, key)
         .write.mode("overwrite")
@@ -79,17 +97,22 @@ def exists(spark: SparkSession, table: str) -> bool:
     return _read_pointer(spark, table) is not None
 
 
-def publish(df: DataFrame, table: str, key: str = "paper_id", buckets: int = 16) -> int:
-    """Replace the whole table; returns the new version."""
+def publish(df: DataFrame, table: str, key: str = "paper_id", buckets: int | None = None) -> int:
+    """Replace the whole table; returns the new version. Folders are as many as its bytes ask for, unless given."""
     spark = df.sparkSession
     current = _read_pointer(spark, table)
     version = current["version"] + 1 if current else 1
-    folders = _write_buckets(df, table, version, key, buckets)
-    _swap_pointer(
-        spark,
-        table,
-        {"version": version, "key": key, "buckets": buckets, "schema": df.schema.jsonValue(), "folders": folders},
-    )
+    size = data_bytes(df)
+    state = {
+        "version": version,
+        "key": key,
+        "buckets": buckets or parts_for(size, _FOLDER_BYTES, _LEAST, _MOST),
+        "bytes": size,
+        "schema": df.schema.jsonValue(),
+    }
+    state["folders"] = _write_buckets(df, table, version, key, state["buckets"], df.schema)
+    _check_keys(_read_folders(spark, table, state).select(key), key)
+    _swap_pointer(spark, table, state)
     return version
 
 
@@ -128,18 +151,32 @@ def lookup(spark: SparkSession, table: str, keys: DataFrame) -> DataFrame:
     return rows.join(broadcast_if_small(wanted), key, "left_semi")
 
 
+def version(spark: SparkSession, table: str) -> int:
+    """The version of the last commit; 0 for a table that was never published."""
+    state = _read_pointer(spark, table)
+    return state["version"] if state else 0
+
+
 def merge_into(updates: DataFrame, table: str, **merge) -> int:
-    """Upsert `updates` (one row per key) and commit; only buckets holding their keys are rewritten."""
+    """Upsert `updates` and commit; only folders holding their keys are rewritten.
+
+    A key that is null or comes twice fails the merge. `updates` is read several times.
+    """
     spark = updates.sparkSession
     state = _read_pointer(spark, table)
     if state is None:
         raise FileNotFoundError(f"no published table at {table}")
     key, buckets = state["key"], state["buckets"]
+    _check_keys(updates.select(key), key)
     touched = {str(row[0]) for row in updates.select(_bucket_of(key, buckets)).distinct().collect()}
     if not touched:
         return state["version"]
+    schema = T.StructType.fromJson(state["schema"])
+    size = state.get("bytes", 0) + data_bytes(updates)
+    if size > _GROWTH * buckets * _FOLDER_BYTES and buckets < _MOST:
+        return publish(upsert(_read_folders(spark, table, state), updates, key=key, **merge), table, key)
     version = state["version"] + 1
     merged = upsert(_read_folders(spark, table, state, touched), updates, key=key, **merge)
-    folders = state["folders"] | _write_buckets(merged, table, version, key, buckets)
-    _swap_pointer(spark, table, state | {"version": version, "folders": folders})
+    folders = state["folders"] | _write_buckets(merged, table, version, key, buckets, schema)
+    _swap_pointer(spark, table, state | {"version": version, "folders": folders, "bytes": size})
     return version

@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paperlake.session import parts_for, plan_bytes
+
 
 def read_lake(spark: SparkSession, path: str, years: tuple[int, int] | None = None) -> DataFrame:
     """The clean papers; a year range becomes a partition filter, so other years are not listed."""
@@ -16,11 +18,18 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def widen(scan: DataFrame, per_core: int = 2) -> DataFrame:
-    """Deal the rows of a plain file scan out to all cores if its files are too few to do so.
+#: Files below this size are dealt out; a larger table has splits enough of its own.
+WIDEN_BYTES = 256 << 20
+_SPLIT_BYTES = 256 << 10
+
+
+def widen(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a small file scan out to more tasks, one for each `_SPLIT_BYTES`.
 
-    A table of many files is left as it is, so at scale this adds no shuffle; a single file
-    with one row group would otherwise keep every costly expression on one core.
+    A single file with one row group would otherwise keep every costly expression on one core. The
+    bytes of the files decide, so no cluster, however large, moves the texts of a large table.
     """
-    wanted = scan.sparkSession.sparkContext.defaultParallelism * per_core
-    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted)
+    size = plan_bytes(scan)
+    if size >= WIDEN_BYTES:
+        return scan
+    return scan.repartition(parts_for(size, _SPLIT_BYTES, 1, 64))

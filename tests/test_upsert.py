@@ -54,6 +54,15 @@ def test_small_updates_do_not_shuffle_the_target(spark, plan):
     assert "FullOuter" in plan(upsert(target, updates, broadcast_limit=0))
 
 
+@pytest.mark.parametrize("limit", LIMITS)
+@pytest.mark.parametrize("how", [{}, {"update_cols": ["v"]}])
+def test_the_result_has_the_schema_of_the_target_whatever_the_updates_bring(spark, limit, how):
+    target = spark.createDataFrame([("a", 1)], "paper_id string, v int")
+    updates = spark.createDataFrame([("a", 2), ("b", 3)], "paper_id string, v bigint")
+    merged = upsert(target, updates, broadcast_limit=limit, **how)
+    assert merged.schema == target.schema and rows(merged) == [("a", 2), ("b", 3)]
+
+
 keys = st.sampled_from("abcdef")
 entries = st.dictionaries(keys, st.integers(0, 9), max_size=6)
 
@@ -94,6 +103,38 @@ class TestKeyedTable:
         assert len(list((path / "v=2").glob("key_bucket=*"))) == 1
         assert table.resolve(spark, str(path)).agg(F.sum("v"), F.count("*")).first() == (1, 200)
 
+    def test_wider_types_and_extra_columns_leave_the_table_readable(self, spark, tmp_path):
+        path = str(tmp_path / "t")
+        table.publish(spark.createDataFrame([("a", 1), ("c", 9)], "paper_id string, v int"), path, buckets=2)
+        table.merge_into(spark.createDataFrame([("a", 2, "x"), ("b", 3, "y")], "paper_id string, v bigint, w string"), path)
+        assert table.resolve(spark, path).dtypes == [("paper_id", "string"), ("v", "int")]
+        assert rows(table.resolve(spark, path)) == [("a", 2), ("b", 3), ("c", 9)]
+
+    @pytest.mark.parametrize("bad", [[("a", 1), ("a", 2)], [(None, 1)]])
+    def test_repeated_and_null_keys_fail(self, spark, tmp_path, bad):
+        path, schema = str(tmp_path / "t"), "paper_id string, v int"
+        with pytest.raises(table.KeyViolation):
+            table.publish(spark.createDataFrame(bad, schema), path)
+        assert not table.exists(spark, path)
+        table.publish(spark.createDataFrame([("z", 0)], schema), path)
+        with pytest.raises(table.KeyViolation):
+            table.merge_into(spark.createDataFrame(bad, schema), path)
+        assert rows(table.resolve(spark, path)) == [("z", 0)]
+
+    def test_more_bytes_get_more_folders_and_an_outgrown_table_is_laid_out_anew(self, spark, tmp_path, monkeypatch):
+        monkeypatch.setattr(table, "_FOLDER_BYTES", 256)
+        monkeypatch.setattr(table, "_LEAST", 1)
+        many = spark.range(400).select(F.col("id").cast("string").alias("paper_id"), F.repeat(F.lit("x"), 10).alias("v"))
+        folders = lambda path: table._read_pointer(spark, str(path))["buckets"]
+        table.publish(many.limit(5), str(tmp_path / "small"))
+        table.publish(many, str(tmp_path / "large"))
+        assert 1 <= folders(tmp_path / "small") < folders(tmp_path / "large")
+        table.merge_into(many.where("paper_id = '7'"), str(tmp_path / "large"))
+        assert len(list((tmp_path / "large" / "v=2").glob("key_bucket=*"))) == 1
+        before = folders(tmp_path / "small")
+        table.merge_into(many, str(tmp_path / "small"))
+        assert folders(tmp_path / "small") > before and table.resolve(spark, str(tmp_path / "small")).count() == 400
+
     def test_empty_table_and_empty_merge(self, spark, tmp_path):
         path = str(tmp_path / "t")
         empty = spark.createDataFrame([], SCHEMA)
