@@ -26,6 +26,11 @@ def without_stop_words(column: str) -> Column:
     return F.expr(f"filter({column}, w -> w NOT IN ({_STOP_LIST}))")
 
 
+def placed_terms(column: str) -> Column:
+    """The words that are indexed with their places: array of word and pos."""
+    return F.expr(f"filter(transform({column}, (w, i) -> struct(w AS word, i AS pos)), p -> p.word NOT IN ({_STOP_LIST}))")
+
+
 def light_stem(word: Column) -> Column:
     """Plural endings only, after Harman's S-stemmer (1991)."""
     return (

@@ -8,29 +8,37 @@ from plain texts by the functions below also carry what `_prepared_terms` would
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperlake import constants as K
-from paperlake.functions.tokens import index_terms, is_stop_word, light_stem, without_stop_words, words
+from paperlake.functions.tokens import index_terms, is_stop_word, light_stem, placed_terms, without_stop_words, words
 from paperlake.operators.dedupe import top_per_group
-from paperlake.session import BROADCAST_BYTES, data_bytes, probe, scratch_path
+from paperlake.session import broadcast_if_small, data_bytes, materialize, parts_for, probe
 from paperlake.sinks.lake import CODEC
 
 TITLE, ABSTRACT = "title", "abstract"
 BUCKET = "term_bucket"
-_BUCKETS, _SALTS = 64, 8
 _PUSHED_TERMS = 10
+#: Bytes of text behind one folder of a stored index, and how many segments it may have.
+_FOLDER_BYTES, _SEGMENTS = 64 << 20, 16
+#: Stands in the place of a term in the one row of a paper that tells its length; no word is empty.
+_PAPER = ""
+
+
+class StaleIndex(RuntimeError):
+    """A stored index that does not belong to the version, or the word forms, that are asked for."""
 
 
 class TextIndex(NamedTuple):
-    """Postings `(term, paper_id, field, tf, positions, dl)` and one row `(n_docs, avg_dl)`.
+    """Postings `(term, paper_id, title_tf, abstract_tf, positions, dl)` and one row `(n_docs, avg_dl)`.
 
     An index cut down to the terms of some questions knows the size of that term table.
     """
 
     postings: DataFrame
     corpus: DataFrame
+    stem: bool = False
     asked_bytes: int | None = None
 
 
@@ -48,26 +56,40 @@ def _analyzed(docs: DataFrame) -> DataFrame:
     return joined.withColumn("dl", F.size(without_stop_words("words")))
 
 
-def _exploded(analyzed: DataFrame, stem: bool) -> DataFrame:
-    # The field is told from the place, outside any lambda: Spark evaluates lambda bodies per
-    # element and would repeat whatever an outer expression stands for. The outer form of the
-    # generator keeps Spark from splitting the text a second time in a filter it would infer.
-    rows = analyzed.select("paper_id", "dl", "n_title", F.posexplode_outer("words").alias("pos", "word"))
-    word = F.col("word")
-    return rows.where(~is_stop_word("word")).select(
+def paper_postings(docs: DataFrame, stem: bool = False) -> DataFrame:
+    """Every paper's postings, one row per (term, paper), and one row per paper with an empty term.
+
+    All words of a paper stand in one row, so they are sorted and counted there: nothing is shuffled.
+    Each step refers to the one before more than once, which keeps Spark from putting it into the
+    lambdas, where it would be evaluated for every element.
+    """
+    analyzed = _analyzed(docs)
+    term = lambda word: light_stem(word) if stem else word
+    placed = F.transform(placed_terms("words"), lambda w: F.struct(term(w["word"]).alias("term"), w["pos"].alias("pos")))
+    rows = analyzed.select("paper_id", "dl", "n_title", F.array_sort(placed).alias("placed"))
+    differs = lambda i: F.get("placed", i)["term"] != F.get("placed", i - 1)["term"]
+    places = F.when(F.size("placed") > 0, F.sequence(F.lit(0), F.size("placed") - 1)).otherwise(F.expr("CAST(array() AS array<int>)"))
+    rows = rows.withColumn("starts", F.filter(places, lambda i: (i == 0) | differs(i)))
+
+    def posting(start: Column, i: Column) -> Column:
+        end = F.coalesce(F.get("starts", i + 1), F.size("placed"))
+        positions = F.transform(F.slice("placed", start + 1, end - start), lambda p: p["pos"])
+        return F.struct(F.get("placed", start)["term"].alias("term"), positions.alias("positions"))
+
+    rows = rows.select("paper_id", "dl", "n_title", F.transform("starts", posting).alias("found"))
+    paper = F.array(F.struct(F.lit(_PAPER).alias("term"), F.expr("CAST(array() AS array<int>)").alias("positions")))
+    rows = rows.select("paper_id", "dl", "n_title", F.explode_outer(F.concat("found", paper)).alias("p"))
+    in_title = F.size(F.filter("p.positions", lambda pos: pos < F.col("n_title"))).cast("long")
+    return rows.select(
+        F.col("p.term").alias("term"),
         "paper_id",
+        in_title.alias("title_tf"),
+        (F.size("p.positions") - in_title).cast("long").alias("abstract_tf"),
+        F.col("p.positions").alias("positions"),
         "dl",
-        (light_stem(word) if stem else word).alias("term"),
-        F.when(F.col("pos") < F.col("n_title"), TITLE).otherwise(ABSTRACT).alias("field"),
-        "pos",
     )
 
 
-def tokenize(docs: DataFrame, stem: bool = False) -> DataFrame:
-    """(paper_id, dl, term, field, pos): one row per indexed word."""
-    return _exploded(_analyzed(docs), stem)
-
-
 def _distinct_words(queries: DataFrame, stem: bool) -> DataFrame:
     return index_terms(queries, "text", stem=stem).select("query_id", F.array_distinct("terms").alias("terms"))
 
@@ -84,7 +106,7 @@ def any_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
     """The distinct words of each question, any of which may match."""
     found = _distinct_words(queries, stem)
     return found.select(
-        "query_id", F.posexplode_outer("terms").alias("alt", "term"), F.lit(1).alias("required"), F.lit(True).alias("scores")
+        "query_id", F.posexplode_outer("terms").alias("alt", "term"), F.lit(1).alias("required"), F.lit(True).alias("scores"), F.lit(True).alias("any")
     ).where("term IS NOT NULL")
 
 
@@ -99,51 +121,105 @@ def phrase_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
 # --- index ---------------------------------------------------------------------
 
 
-def _group_postings(tokens: DataFrame, *keys: str) -> DataFrame:
-    return tokens.groupBy(*keys, "term", "paper_id", "field").agg(
-        F.count(F.lit(1)).alias("tf"),
-        F.sort_array(F.collect_list("pos")).alias("positions"),
-        F.first("dl").alias("dl"),
-    )
+def _totals(rows: DataFrame) -> DataFrame:
+    """Number and mean length of the papers whose rows these are."""
+    papers = rows.where(F.col("term") == _PAPER)
+    return papers.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl"))
 
 
 def build_index(docs: DataFrame, stem: bool = False) -> TextIndex:
     """The inverted index of a table of papers, not yet written."""
-    lengths = _analyzed(docs).agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl"))
-    return TextIndex(_group_postings(tokenize(docs, stem)), lengths)
+    rows = paper_postings(docs, stem)
+    return TextIndex(rows.where(F.col("term") != _PAPER), _totals(rows), stem)
 
 
-def write_index(docs: DataFrame, path: str, stem: bool = False, buckets: int = _BUCKETS, salts: int = _SALTS) -> TextIndex:
-    """Write the index clustered by term, in folders by hash of the term.
+def _segment(docs: DataFrame, path: str, stem: bool, buckets: int, version: int) -> None:
+    """Write the postings of some papers, in folders by hash of the term and sorted by term.
 
-    One shuffle: words move once to (bucket of the term, salt of the paper), where postings are
-    grouped, sorted and written. The salt spreads a term that a large share of the papers holds
-    over several tasks and files; sorting lets a term lookup skip row groups. `buckets * salts`
-    bounds the tasks that write, so raise them with the corpus. The corpus totals come from the
-    written counts, not from a second pass over the text.
+    One shuffle of one row per (term, paper). The rebalance hint lets adaptive execution split a
+    folder by its bytes, so a term that a large share of the papers holds is written by several tasks.
     """
-    spark = docs.sparkSession
-    place = lambda column, n: F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-    tokens = tokenize(docs, stem).withColumns({BUCKET: place("term", buckets), "salt": place("paper_id", salts)})
-    postings = _group_postings(tokens.repartition(BUCKET, "salt"), BUCKET, "salt")
+    rows = paper_postings(docs, stem).withColumn(BUCKET, F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
     (
-        postings.drop("salt")
+        rows.hint("rebalance", BUCKET)
         .sortWithinPartitions(BUCKET, "term")
         .write.mode("overwrite")
         .partitionBy(BUCKET)
         .option("compression", CODEC)
-        .parquet(f"{path}/postings")
+        .parquet(f"{path}/postings/segment={version}")
+    )
+
+
+def _live(rows: DataFrame, path: str, segments: list[int]) -> DataFrame:
+    """Without the rows of papers that a later segment holds again."""
+    if len(segments) == 1:
+        return rows
+    later = rows.sparkSession.read.parquet(f"{path}/papers").where(F.col("segment").isin(segments))
+    later = later.select("paper_id", F.col("segment").alias("since")).where(F.col("since") > segments[0])
+    newest = later.groupBy("paper_id").agg(F.max("since").alias("since"))
+    side = broadcast_if_small(newest)
+    return rows.join(side, "paper_id", "left").where(F.col("since").isNull() | (F.col("segment") >= F.col("since"))).drop("since")
+
+
+def _finish(spark: SparkSession, path: str, version: int, segments: list[int], buckets: int, stem: bool) -> None:
+    """List the papers of the new segment, then describe the index as of this version."""
+    rows = spark.read.parquet(f"{path}/postings").where(F.col("segment") == version)
+    papers = rows.where(F.col("term") == _PAPER).select("paper_id", "dl")
+    papers.write.mode("overwrite").parquet(f"{path}/papers/segment={version}")
+    everyone = spark.read.parquet(f"{path}/papers").where(F.col("segment").isin(segments))
+    totals = _live(everyone, path, segments).agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl"))
+    described = totals.select(
+        "n_docs", "avg_dl", F.lit(buckets).alias("buckets"), F.lit(stem).alias("stem"), F.array(*map(F.lit, segments)).alias("segments")
     )
-    papers = docs.count()
-    indexed = spark.read.parquet(f"{path}/postings").agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("words"))
-    average = F.try_divide(F.col("words"), F.lit(papers)).alias("avg_dl")
-    corpus = indexed.select(F.lit(papers).cast("long").alias("n_docs"), average, F.lit(buckets).alias("buckets"))
-    corpus.write.mode("overwrite").parquet(f"{path}/corpus")
-    return read_index(spark, path)
+    described.coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus/{version}")
+
+
+def write_index(docs: DataFrame, path: str, stem: bool = False, version: int = 1, buckets: int | None = None) -> TextIndex:
+    """Store the index of all papers as of a version of their table. Folders follow the bytes of the texts."""
+    spark = docs.sparkSession
+    buckets = buckets or parts_for(data_bytes(docs.select("paper_id", TITLE, ABSTRACT)), _FOLDER_BYTES, 16, 4096)
+    _segment(docs, path, stem, buckets, version)
+    _finish(spark, path, version, [version], buckets, stem)
+    return read_index(spark, path, version)
+
+
+def refresh_index(docs: DataFrame, changed: DataFrame, path: str, old: int, version: int) -> TextIndex:
+    """Bring a stored index from one version of the table to the next.
+
+    `changed` names the papers (paper_id) that were written since, `docs` is the new table. Only their
+    postings are written; older ones of these papers are hidden. After some versions the index is
+    written anew.
+    """
+    spark = docs.sparkSession
+    known = _described(spark, path, old)
+    if len(known["segments"]) >= _SEGMENTS:
+        return write_index(docs, path, known["stem"], version)
+    _segment(docs.join(broadcast_if_small(changed.select("paper_id").distinct()), "paper_id", "left_semi"), path, known["stem"], known["buckets"], version)
+    _finish(spark, path, version, [*known["segments"], version], known["buckets"], known["stem"])
+    return read_index(spark, path, version)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
+def has_index(spark: SparkSession, path: str) -> bool:
+    return _exists(spark, f"{path}/corpus")
 
 
-def read_index(spark: SparkSession, path: str) -> TextIndex:
-    return TextIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/corpus"))
+def _described(spark: SparkSession, path: str, version: int):
+    if not _exists(spark, f"{path}/corpus/{version}/_SUCCESS"):
+        raise StaleIndex(f"no index for version {version} at {path}")
+    return spark.read.parquet(f"{path}/corpus/{version}").first()
+
+
+def read_index(spark: SparkSession, path: str, version: int = 1) -> TextIndex:
+    """The stored index as of a version of the table; refused if it was not brought up to it."""
+    known = _described(spark, path, version)
+    rows = spark.read.parquet(f"{path}/postings").where(F.col("segment").isin(known["segments"]))
+    postings = _live(rows, path, known["segments"]).where(F.col("term") != _PAPER)
+    return TextIndex(postings, spark.read.parquet(f"{path}/corpus/{version}"), known["stem"])
 
 
 def lookup(index: TextIndex, terms: DataFrame) -> TextIndex:
@@ -151,7 +227,8 @@ def lookup(index: TextIndex, terms: DataFrame) -> TextIndex:
 
     A stored index is read only in the folders that can hold the terms (at most one number per
     folder comes to the driver). A handful of terms is pushed into the scan as a filter as well,
-    which skips row groups; more are probed by a join.
+    which skips row groups; more are probed by a join. What is left is written once, because
+    matching reads it twice.
     """
     wanted = terms.select("term").distinct()
     asked = data_bytes(terms)
@@ -162,31 +239,22 @@ def lookup(index: TextIndex, terms: DataFrame) -> TextIndex:
         postings = postings.where(F.col(BUCKET).isin(folders))
     few = [row[0] for row in wanted.limit(_PUSHED_TERMS + 1).collect()]
     if len(few) <= _PUSHED_TERMS:
-        return TextIndex(postings.where(F.col("term").isin(few)), index.corpus, asked)
-    return TextIndex(probe(postings, wanted, "term", "paper_id", "left_semi", asked), index.corpus, asked)
+        return index._replace(postings=postings.where(F.col("term").isin(few)), asked_bytes=asked)
+    found = probe(postings, wanted, "term", "paper_id", "left_semi", asked)
+    return index._replace(postings=materialize(found.drop(BUCKET, "segment"), "postings"), asked_bytes=asked)
 
 
 def scan_index(docs: DataFrame, terms: DataFrame, stem: bool = False) -> TextIndex:
     """Postings of the given terms straight from the papers, for search without a stored index.
 
-    One pass over the text: words are probed against the wanted terms as they are split, the
-    few that survive are written to shared scratch space, and the corpus totals are counted in
-    the same pass (its tasks feed no shuffle, so no retry can count a document twice).
+    One pass over the text, without a shuffle: words are counted in the row of their paper, and the
+    counts of wanted terms are written to shared scratch space in their final form. The row of each
+    paper is written next to them, so the totals are read from storage, whatever tasks were repeated.
     """
-    spark = docs.sparkSession
-    totals = Observation("corpus")
-    analyzed = _analyzed(docs).observe(totals, F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl"))
-    tokens = _exploded(analyzed, stem)
-    wanted = terms.select("term").distinct()
-    path = scratch_path(spark, "postings")
+    wanted = terms.select("term").unionByName(docs.sparkSession.range(1).select(F.lit(_PAPER).alias("term"))).distinct()
     asked = data_bytes(terms)
-    hits = probe(tokens, wanted, "term", "paper_id", "left_semi", asked)
-    hits.write.option("compression", CODEC).parquet(path)
-    found = spark.read.schema(hits.schema).parquet(path)
-    corpus = spark.range(1).select(
-        F.lit(totals.get["n_docs"]).alias("n_docs"), F.lit(totals.get["avg_dl"]).cast("double").alias("avg_dl")
-    )
-    return TextIndex(_group_postings(found.repartition("paper_id")), corpus, asked)
+    hits = materialize(probe(paper_postings(docs, stem), wanted, "term", "paper_id", "left_semi", asked), "postings")
+    return TextIndex(hits.where(F.col("term") != _PAPER), _totals(hits), stem, asked)
 
 
 # --- search ----------------------------------------------------------------------
@@ -241,14 +309,28 @@ def _candidate_matches(postings: DataFrame, asked: DataFrame, size: int) -> Data
     """Postings of the asked terms, only in papers that hold the rarest required term of a question.
 
     A paper without that term cannot match, so frequent terms cost nothing where they stand alone.
-    Postings lie by paper, so candidates meet the other terms of their papers without moving.
     """
     rarest = Window.partitionBy("query_id").orderBy(F.col("rarity").desc_nulls_first(), "term", "pos")
     leads = asked.where("NOT negated").withColumn("place", F.row_number().over(rarest)).where("place = 1")
     hits = probe(postings.select("paper_id", "term"), leads.select("query_id", "term"), "term", "paper_id", size=size)
-    rows = hits.select("paper_id", "query_id").join(postings, "paper_id")
-    asked = F.broadcast(asked) if size <= BROADCAST_BYTES else asked
-    return rows.join(asked, ["query_id", "term"])
+    rows = probe(postings, materialize(hits.select("paper_id", "query_id"), "candidates"), "paper_id", "term")
+    both = asked.withColumn("key", F.struct("query_id", "term")).drop("query_id", "term")
+    rows = rows.withColumn("key", F.struct("query_id", "term"))
+    return probe(rows, both, "key", "paper_id", size=size).drop("key")
+
+
+def _alternatives_hold(found: Column, phrases: bool) -> Column:
+    """True if some alternative has all its terms, none of the forbidden ones, and its phrases."""
+
+    def holds(alt: Column) -> Column:
+        mine = F.filter(found, lambda w: w["alt"] == alt)
+        wanted = F.filter(mine, lambda w: ~w["negated"])
+        complete = (F.size(wanted) > 0) & (F.size(wanted) == F.size(mine)) & (F.size(wanted) == F.get(wanted, F.lit(0))["required"])
+        if phrases:
+            complete = complete & _phrases_hold(F.filter(wanted, lambda w: w["phrase"].isNotNull()))
+        return F.coalesce(complete, F.lit(False))
+
+    return F.exists(F.array_distinct(F.transform(found, lambda w: w["alt"])), holds)
 
 
 def match_terms(index: TextIndex, terms: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
@@ -256,27 +338,18 @@ def match_terms(index: TextIndex, terms: DataFrame, weights: dict[str, float] |
 
     The score is BM25 (Robertson and Zaragoza 2009): per term, its inverse frequency times its
     saturation. The first is worked out on the few asked terms and the second once per posting,
-    so that a match only multiplies them.
+    so that a match only multiplies them. What matches is aggregated once, by question and paper.
 
     `weights` boost fields by multiplying term counts. An alternative made of negated terms
     only matches nothing.
     """
-    has_phrases = "phrase" in terms.columns
-    tf = F.sum("tf")
-    if weights:
-        boost = F.coalesce(*[F.when(F.col("field") == f, F.lit(float(w))) for f, w in weights.items()], F.lit(1.0))
-        tf = F.sum(F.col("tf") * boost)
-    merged = [tf.cast("double").alias("tf"), F.first("dl").alias("dl")]
-    if has_phrases:
-        merged.append(F.flatten(F.collect_list("positions")).alias("positions"))
+    boost = {field: F.lit(float((weights or {}).get(field, 1.0))) for field in (TITLE, ABSTRACT)}
+    tf = F.col("title_tf") * boost[TITLE] + F.col("abstract_tf") * boost[ABSTRACT]
     corpus = index.corpus.select(F.struct("n_docs", "avg_dl")).scalar()
-    postings = (
-        index.postings.groupBy("paper_id", "term")
-        .agg(*merged)
-        .withColumn("saturation", saturation(F.col("tf"), F.col("dl"), corpus["avg_dl"]))
-        .drop("tf", "dl")
-    )
-    frequency = index.postings.groupBy("term").agg(F.count_distinct("paper_id").alias("df"))
+    has_phrases = "phrase" in terms.columns
+    kept = ["paper_id", "term", saturation(tf, F.col("dl"), corpus["avg_dl"]).alias("saturation")]
+    postings = index.postings.select(*kept, *(["positions"] if has_phrases else []))
+    frequency = index.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     rarity = frequency.select("term", inverse_frequency(F.col("df"), corpus["n_docs"]).alias("rarity"))
 
     asked = _prepared_terms(terms)
@@ -287,26 +360,15 @@ def match_terms(index: TextIndex, terms: DataFrame, weights: dict[str, float] |
         matches = probe(postings, asked, "term", "paper_id", size=size)
     else:
         matches = _candidate_matches(postings, asked, size)
-    score = F.col("rarity") * F.col("saturation")
-
-    measures = [
-        F.count_if(~F.col("negated")).alias("matched"),
-        F.max("required").alias("required"),
-        F.count_if("negated").alias("forbidden"),
-        F.sum(F.when(F.col("scores"), score).otherwise(0.0)).alias("score"),
-    ]
-    holds = (F.col("matched") == F.col("required")) & (F.col("required") > 0) & (F.col("forbidden") == 0)
-    if has_phrases:
-        word = F.when(F.col("phrase").isNotNull() & ~F.col("negated"), F.struct("phrase", "pos", "positions"))
-        measures.append(F.collect_list(word).alias("phrase_words"))
-        holds = holds & _phrases_hold(F.col("phrase_words"))
-    alternatives = matches.groupBy("query_id", "paper_id", "alt").agg(*measures)
-    return (
-        alternatives.groupBy("query_id", "paper_id")
-        .agg(F.sum("score").alias("score"), F.bool_or(holds).alias("holds"))
-        .where("holds")
-        .drop("holds")
-    )
+    score = F.sum(F.when(F.col("scores"), F.col("rarity") * F.col("saturation")).otherwise(0.0)).alias("score")
+    if {"any", "scores"} <= set(terms.columns):
+        return matches.groupBy("query_id", "paper_id").agg(score)
+    if {"required", "scores"} <= set(terms.columns) and "alt" not in terms.columns:  # all words
+        found = matches.groupBy("query_id", "paper_id").agg(score, F.count(F.lit(1)).alias("matched"), F.max("required").alias("required"))
+        return found.where("matched = required").drop("matched", "required")
+    word = F.struct("alt", "negated", "required", *(["phrase", "pos", "positions"] if has_phrases else []))
+    found = matches.groupBy("query_id", "paper_id").agg(score, F.collect_list(word).alias("found"))
+    return found.where(_alternatives_hold(F.col("found"), has_phrases)).drop("found")
 
 
 def keyword_search(

@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 
 from paperlake import constants as K
 from paperlake.operators import gate as G
+from paperlake.operators import keyword as kw
 from paperlake.operators.dedupe import dedupe_latest
 from paperlake.operators.embed import Encoder, embed, fuse_text
 from paperlake.operators.enrich import Extractor, enrich, fill_missing
 from paperlake.schemas import PAPER, SERVING
+from paperlake.session import materialize, scratch_scope
 from paperlake.sinks import table
 from paperlake.sinks.lake import spread, write_lake, write_stage
 from paperlake.sources.feed import parse_feed, read_feed
@@ -22,9 +24,10 @@ def run_backfill(
     spark: SparkSession, snapshot: str, lake: str, dlq: str, max_error_rate: float = K.BACKFILL_ERROR_LIMIT
 ) -> G.GateReport:
     """Snapshot -> cleansing -> gate -> lake by year. A batch that fails the gate leaves the lake alone."""
-    flagged = G.gate(clean_papers(read_snapshot(spark, snapshot)), G.backfill_rules())
-    papers, report = G.enforce(flagged, max_error_rate, dlq)
-    write_lake(papers, lake)
+    with scratch_scope(spark):
+        flagged = G.gate(clean_papers(read_snapshot(spark, snapshot)), G.backfill_rules())
+        papers, report = G.enforce(flagged, max_error_rate, dlq)
+        write_lake(papers, lake)
     return report
 
 
@@ -56,29 +59,57 @@ def serving_rows(enriched: DataFrame) -> DataFrame:
     return named.select([F.col(f.name).cast(f.dataType) for f in SERVING.fields])
 
 
-def run_loading(spark: SparkSession, stage: str, serving: str, dim: int = K.EMBEDDING_DIM, buckets: int = 16) -> int:
-    """Embedding stage -> full-row upsert into the serving table. Returns the version served.
+def text_index(serving: str) -> str:
+    """Where the text index of a published table lies."""
+    return f"{serving}/text_index"
+
+
+def keep_index(spark: SparkSession, serving: str, before: int, changed: DataFrame, stem: bool = False) -> None:
+    """Bring the text index from version `before` to the present one; build it where there is none."""
+    now, path = table.version(spark, serving), text_index(serving)
+    if now == before and kw.has_index(spark, path):
+        return
+    papers = table.resolve(spark, serving)
+    if before and kw.has_index(spark, path):
+        kw.refresh_index(table.lookup(spark, serving, changed), changed, path, before, now)
+    else:
+        kw.write_index(papers, path, stem, now)
+
+
+def run_loading(
+    spark: SparkSession, stage: str, serving: str, dim: int = K.EMBEDDING_DIM, buckets: int | None = None, stem: bool = False
+) -> int:
+    """Embedding stage -> full-row upsert into the serving table and its text index. Returns the version served.
 
     A row that breaks a constraint of the table fails the load, as it would in a database.
     """
     rows = read_stage(spark, stage)
     if rows.isEmpty():
         return 0
-    rows, _ = G.enforce(G.gate(serving_rows(rows), G.serving_rules(dim)), 0.0, None)
-    if table.exists(spark, serving):
-        return table.merge_into(rows, serving)
-    return table.publish(rows, serving, buckets=buckets)
+    with scratch_scope(spark):
+        rows, _ = G.enforce(G.gate(serving_rows(rows), G.serving_rules(dim)), 0.0, None)
+        before = table.version(spark, serving)
+        version = table.merge_into(rows, serving) if before else table.publish(rows, serving, buckets=buckets)
+        keep_index(spark, serving, before, rows, stem)
+    return version
 
 
 def merge_feed(items: DataFrame, serving: str, dlq: str, url_prefix: str, max_error_rate: float, now: Column | None, empty_is_error: bool) -> G.GateReport:
-    """Feed items -> gate -> partial upsert that keeps vectors and metadata of known papers."""
+    """Feed items -> gate -> partial upsert that keeps vectors and metadata of known papers.
+
+    Papers of the feed are searchable at once: the text index follows the table.
+    """
     spark = items.sparkSession
-    flagged = G.gate(parse_feed(items, now), G.daily_rules(url_prefix))
-    papers, report = G.enforce(flagged, max_error_rate, dlq, empty_is_error)
-    newest = dedupe_latest(papers, ["paper_id"], [F.col("published_date").desc_nulls_last()])
-    if not table.exists(spark, serving):
-        table.publish(spark.createDataFrame([], SERVING), serving)
-    table.merge_into(newest, serving, update_cols=FEED_COLUMNS, touch="ingested_at", now=now)
+    with scratch_scope(spark):
+        flagged = G.gate(parse_feed(items, now), G.daily_rules(url_prefix))
+        papers, report = G.enforce(flagged, max_error_rate, dlq, empty_is_error)
+        newest = dedupe_latest(papers, ["paper_id"], [F.col("published_date").desc_nulls_last()])
+        newest = materialize(newest, "feed")  # read for the folders, the size and each join of the merge
+        if not table.exists(spark, serving):
+            table.publish(spark.createDataFrame([], SERVING), serving)
+        before = table.version(spark, serving)
+        table.merge_into(newest, serving, update_cols=FEED_COLUMNS, touch="ingested_at", now=now)
+        keep_index(spark, serving, before, newest)
     return report
 
 

@@ -2,15 +2,16 @@
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperlake import constants as K
 from paperlake.operators.context import build_context
 from paperlake.operators.dense import dense_search
 from paperlake.operators.fusion import best_fused, rrf
-from paperlake.operators.keyword import TextIndex, keyword_search, lookup, question_terms, scan_index
+from paperlake.operators.keyword import StaleIndex, TextIndex, keyword_search, lookup, question_terms, read_index, scan_index
 from paperlake.session import broadcast_if_small, materialize
+from paperlake.plans.pipelines import text_index
 from paperlake.sinks import table
 
 _SHOWN = ("title", "abstract", "url", "published_date")
@@ -28,9 +29,14 @@ def hybrid_search(
     stem: bool = False,
     dense: DataFrame | None = None,
     serving: str | None = None,
+    terms: DataFrame | None = None,
+    weights: dict[str, float] | None = None,
 ) -> DataFrame:
     """Fused vector and keyword search for every row of `queries` (query_id, text, embedding).
 
+    All words of a question's text are required, unless `terms` gives a term table with phrases,
+    alternatives or forbidden words; `weights` boost the fields.
+
     Only ids and ranks travel through ranking and fusion; titles and texts are fetched at the
     end for the few papers that made it. At scale every branch can work on a stored structure
     instead of a scan of `docs`: `index` is a text index, `dense` the candidates of an
@@ -40,16 +46,24 @@ def hybrid_search(
         raise ValueError(f"limit must lie between 1 and {K.MAX_SEARCH_LIMIT}")
     # Written once: the questions are read by several jobs, and their vectors may be costly to make.
     queries = materialize(queries.select("query_id", "text", "embedding"), "questions")
-    terms = question_terms(queries, stem)
-    found = lookup(index, terms) if index else scan_index(docs, terms, stem)
+    if index is not None and index.stem != stem:
+        raise StaleIndex(f"the index was built with stem={index.stem}")
+    terms = question_terms(queries, stem) if terms is None else terms
+    found = lookup(index, terms) if index is not None else scan_index(docs, terms, stem)
     dense = dense_search(docs, queries, depth) if dense is None else dense
-    best = best_fused(rrf(dense, keyword_search(found, terms, depth)), limit)
+    best = best_fused(rrf(dense, keyword_search(found, terms, depth, weights)), limit)
     if serving is not None:
         best = materialize(best, "ranked")
         docs = table.lookup(docs.sparkSession, serving, best)
     return fetch(docs, best, queries.count() * limit, with_metadata)
 
 
+def search_table(spark: SparkSession, serving: str, queries: DataFrame, **search) -> DataFrame:
+    """`hybrid_search` on a published table and its text index; a stale index is refused."""
+    index = read_index(spark, text_index(serving), table.version(spark, serving))
+    return hybrid_search(table.resolve(spark, serving), queries, index=index, stem=index.stem, serving=serving, **search)
+
+
 def fetch(docs: DataFrame, best: DataFrame, most_rows: int, with_metadata: bool) -> DataFrame:
     """Join the shown columns to at most `most_rows` ranked papers."""
     shown = [*_SHOWN, "metadata"] if with_metadata else list(_SHOWN)

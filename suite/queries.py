@@ -241,11 +241,15 @@ def lsh_all_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def inverted_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The postings, field by field."""
     postings = kw.build_index(views.papers(spark, sf)).postings
-    return postings.select(
-        "term", "paper_id", "field", "tf", F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions"),
-        F.col("dl").cast("long").alias("dl"),
-    )
+    title = F.expr("slice(positions, 1, cast(title_tf AS int))")
+    rest = F.expr("slice(positions, cast(title_tf AS int) + 1, cast(abstract_tf AS int))")
+    field = lambda name, places: F.struct(F.lit(name).alias("field"), places.alias("positions"))
+    fields = F.explode(F.array(field("title", title), field("abstract", rest))).alias("f")
+    rows = postings.select("term", "paper_id", F.col("dl").cast("long").alias("dl"), fields).where("size(f.positions) > 0")
+    places = F.array_join(F.col("f.positions").cast("array<string>"), " ").alias("positions")
+    return rows.select("term", "paper_id", "f.field", F.size("f.positions").cast("long").alias("tf"), places, "dl")
 
 
 def _keyword(spark: SparkSession, sf: str, terms: DataFrame, **options) -> DataFrame:
@@ -301,7 +305,7 @@ def hybrid(spark: SparkSession, sf: str) -> DataFrame:
 def hybrid_stored(spark: SparkSession, sf: str) -> DataFrame:
     """Hybrid search on stored tables: a text index, and a keyed table the results are fetched from."""
     papers, base = views.papers(spark, sf), scratch_path(spark, "stored")
-    index = kw.write_index(papers, f"{base}/index", buckets=16, salts=4)
+    index = kw.write_index(papers, f"{base}/index", buckets=16)
     keyed.publish(papers, f"{base}/serving", buckets=8)
     serving = keyed.resolve(spark, f"{base}/serving")
     found = hybrid_search(serving, views.questions(spark, sf), index=index, serving=f"{base}/serving")
