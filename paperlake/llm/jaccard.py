@@ -5,17 +5,18 @@ is the one element; a text without words has an empty set and no links. Two sets
 100 * common >= 75 * all. The result names the connected component of each document by its smallest doc_id.
 
 1. Equal sets become one class (128-bit sums over the elements), whatever the number of copies.
-2. Grouping. Classes that share a minimum under one of three hash functions are compared with two leaders of
+2. Grouping. Classes that share two or three minima under different hash functions are compared with one leader of
    their bucket: a number of comparisons linear in the classes. The links found put similar classes into groups.
 3. Token-group matrix. In one global order of elements two linked sets share an element among the first
    n - ceil(0.75 n) + 1 of each. The matrix has one row per such element and group (a group is split into parts of
-   about `PART` members), with the range of set sizes. Elements in more than `HOT` classes come last in the order;
-   the order only moves work, any order finds all links.
+   about `PART` members), with the range of set sizes.
 4. A class that meets another group in the matrix is bounded by its overlap with the union of the part's sets.
    Only parts that reach 0.75 n are opened, and their members compared one by one.
 
-Elements are 64-bit hashes of five word hashes. Sets are made again from the texts where they are compared, so only
-prefixes are ever stored. Within a group nothing more is compared: its members are connected already.
+The order puts frequent elements last. They are counted in every chunk of every task, from two classes on, and the
+counts are summed. The order only moves work: any order finds all links. Elements are 64-bit hashes of five word
+hashes. Sets are made again from the texts where they are compared, because texts are smaller than sets; only
+prefixes are shuffled, once. Within a group nothing more is compared: its members are connected already.
 
 Null texts are empty. Rows with null ids take part; a component without any id has a null component_id. Repeated
 rows and ties are copies of one class. An empty table gives an empty result.
@@ -23,17 +24,32 @@ rows and ties are copies of one class. An empty table gives an empty result.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperlake.llm.components import components
-from paperlake.llm.words import Texts, map_texts, mix, range_hashes, window_hashes, window_starts, word_hashes, words_of
+from paperlake.llm.words import CHUNK_BYTES, Texts, map_texts, mix, range_hashes, texts_of, window_hashes, window_starts, word_hashes, words_of
 from paperlake.session import broadcast_if_small, materialize, ship_package
 
 SHINGLE, PERCENT = 5, 75
-#: Classes that share an element before it is moved to the end of the order; elements moved at most; members of a part.
+#: Counts from which an element goes to the end of the order; elements moved at most; members of a part.
 HOT, HOT_MOST, PART = 200, 1_000_000, 32
-SKETCHES = 3
+#: Minima kept of each set, an even number; buckets are made of two and of three neighbouring ones.
+SKETCHES = 6
+
+
+def _order(found: np.ndarray, text: np.ndarray, hot: np.ndarray | None) -> np.ndarray:
+    """Sorts elements by text, moved ones last, then by hash."""
+    late = np.zeros(len(found), bool)
+    if hot is not None and len(hot):
+        late = hot[np.minimum(np.searchsorted(hot, found), len(hot) - 1)] == found
+    # one 64-bit key sorts many times faster; it cuts the hash, so look for elements it can't tell apart
+    key = (text.astype(np.uint64) << np.uint64(40)) | (late.astype(np.uint64) << np.uint64(39)) | (found >> np.uint64(25))
+    order = np.argsort(key)
+    same = key[order][1:] == key[order][:-1]
+    if (found[order][1:][same] != found[order][:-1][same]).any():
+        return np.lexsort((found, late, text))
+    return order
 
 
 def shingles(texts: Texts, hot: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -47,11 +63,7 @@ def shingles(texts: Texts, hot: np.ndarray | None = None) -> tuple[np.ndarray, n
     if len(short):
         whole = range_hashes(hashes, words.firsts[short], words.firsts[short + 1])
         found, text = np.concatenate([found, whole]), np.concatenate([text, short])
-    if hot is None or not len(hot):
-        order = np.lexsort((found, text))
-    else:
-        place = np.minimum(np.searchsorted(hot, found), len(hot) - 1)
-        order = np.lexsort((found, hot[place] == found, text))
+    order = _order(found, text, hot)
     found, text = found[order], text[order]
     new = np.ones(len(found), bool)
     new[1:] = (found[1:] != found[:-1]) | (text[1:] != text[:-1])
@@ -80,7 +92,8 @@ def _prefixes(found: np.ndarray, text: np.ndarray, counts: np.ndarray) -> pa.Arr
 def _fingerprints(found: np.ndarray, text: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
     out = []
     for seed in (101, 102):
-        sums = np.concatenate(([0], np.cumsum(mix(found, seed)))).astype(np.uint64)
+        sums = np.zeros(len(found) + 1, np.uint64)
+        np.cumsum(mix(found, seed), out=sums[1:])
         ends = _offsets(counts)
         out.append((sums[ends[1:]] - sums[ends[:-1]]).view(np.int64))
     return out
@@ -98,124 +111,231 @@ def _key() -> Column:
     return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
 
 
+def _frequent(found: np.ndarray, text: np.ndarray, prints: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Elements that two or more different sets of a chunk hold, and how many do."""
+    _, first = np.unique(np.stack(prints, 1), axis=0, return_index=True)
+    once = np.zeros(len(prints[0]), bool)
+    once[first] = True
+    elements, held = np.unique(found[once[text]], return_counts=True)
+    return elements[held > 1], held[held > 1]
+
+
 def _scan(docs: DataFrame) -> DataFrame:
+    """Size, fingerprint and minima of every text's set; the first row of a chunk carries its frequent elements."""
+
     def run(batch: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
         found, text, counts = shingles(texts)
         minima = [pa.array(_minima(found, counts, seed)) for seed in range(1, SKETCHES + 1)]
-        prints = [pa.array(x) for x in _fingerprints(found, text, counts)]
-        columns = [batch.column("doc_id"), batch.column("key"), pa.array(counts, pa.int32()), *prints, *minima, _prefixes(found, text, counts)]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "f1", "f2", *(f"s{i}" for i in range(SKETCHES)), "prefix"])
+        prints = _fingerprints(found, text, counts)
+        elements, held = _frequent(found, text, prints)
+        offsets = pa.array([0] + [len(elements)] * len(texts), pa.int32())
+        frequent = pa.StructArray.from_arrays([pa.array(elements.view(np.int64)), pa.array(held, pa.int32())], ["token", "held"])
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("key"), pa.array(counts, pa.int32()), *map(pa.array, prints), *minima, pa.ListArray.from_arrays(offsets, frequent)],
+            ["doc_id", "key", "n", "f1", "f2", *(f"s{i}" for i in range(SKETCHES)), "frequent"],
+        )
 
     sketches = "".join(f"s{i} bigint, " for i in range(SKETCHES))
-    schema = f"doc_id bigint, key binary, n int, f1 bigint, f2 bigint, {sketches}prefix array<bigint>"
+    schema = f"doc_id bigint, key binary, n int, f1 bigint, f2 bigint, {sketches}frequent array<struct<token: bigint, held: int>>"
     return map_texts(docs.select("doc_id", _key().alias("key"), "text"), schema, run)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, schema: str = "", hot=None, whole: bool = True) -> DataFrame:
-    """(node, n, elements) of the wanted classes, made from the text of their representative; other columns kept.
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The text of each wanted class (rid and rkey name its representative), other columns kept."""
+    side = broadcast_if_small(wanted)
+    rows = docs.select("doc_id", _key().alias("key"), "text")
+    return rows.join(side, (F.col("key") == F.col("rkey")) & F.col("doc_id").eqNullSafe(F.col("rid"))).drop("doc_id", "key", "rid", "rkey")
 
-    `wanted` has node, rid, rkey and the columns named in `schema`. Elements are the whole set, or its prefix.
+
+def _compare(asking: DataFrame, parts: DataFrame, on: list[str]) -> DataFrame:
+    """Links (a, b) between asking classes (node, text) and the members (node, text) of the parts they meet.
+
+    The bound comes first: a part whose union does not hold 0.75 n of a set is not opened. Of the links found
+    in one chunk those are returned that connect something; the others follow from them.
     """
-    names = ["node", *(part.split()[0] for part in schema.split(",") if part.strip())]
-    side = broadcast_if_small(wanted.select("rid", "rkey", *names))
-    rows = docs.select("doc_id", _key().alias("key"), "text").join(side, (F.col("key") == F.col("rkey")) & F.col("doc_id").eqNullSafe(F.col("rid")))
+    met = asking.join(parts, on).select("node", "text", "members")
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("members")
+            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            held = lists.flatten()
+            heads = held.field("node").to_numpy()[ends[:-1]]
+            same = np.append(False, heads[1:] == heads[:-1])  # rows of one part follow each other
+            inside = texts_of(held.field("text")).bounds
+            cost = np.diff(texts_of(batch.column("text")).bounds) + np.where(same, 0, np.diff(inside[ends]))
+            slices = np.cumsum(cost) // (2 * CHUNK_BYTES)
+            for value in np.unique(slices):
+                rows = np.flatnonzero(slices == value)
+                yield compare(batch.slice(rows[0], len(rows)))
+
+    def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = batch.column("members")
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        held = lists.flatten()
+        nodes, members = batch.column("node").to_numpy(), held.field("node").to_numpy()
+        sets = _sets_by_node(np.concatenate([nodes, members]), pa.concat_arrays([batch.column("text"), held.field("text")]))
+        a, b, at, above = [], [], None, {}
+
+        def root(node: int) -> int:
+            while (up := above.get(node, node)) != node:
+                above[node] = above.get(up, up)
+                node = up
+            return node
+
+        for i, node in enumerate(nodes.tolist()):
+            part = members[ends[i] : ends[i + 1]]
+            if at is None or part[0] != at:
+                at, inside = part[0], [sets[m] for m in part.tolist()]
+                union = np.unique(np.concatenate(inside))
+                holds = np.zeros((len(part), len(union)), bool)
+                for k, other in enumerate(inside):
+                    holds[k, np.searchsorted(union, other)] = True
+                sizes = np.array([len(other) for other in inside])
+            own = sets[node]
+            place = np.minimum(np.searchsorted(union, own), len(union) - 1)
+            place = place[union[place] == own]
+            if 100 * len(place) < PERCENT * len(own):
+                continue
+            common = holds[:, place].sum(1)
+            linked = (100 * common >= PERCENT * (len(own) + sizes - common)) & (part != node)
+            for other in part[linked].tolist():
+                if (one := root(node)) != (two := root(other)):  # else a chain of links joins them already
+                    above[one] = two
+                    a.append(node)
+                    b.append(other)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return met.mapInArrow(run, "a bigint, b bigint")
+
+
+def _sets_by_node(nodes: np.ndarray, texts: pa.Array) -> dict[int, np.ndarray]:
+    nodes, first = np.unique(nodes, return_index=True)
+    found, _, counts = shingles(texts_of(texts.take(pa.array(first))))
+    return dict(zip(nodes.tolist(), np.split(found, np.cumsum(counts)[:-1]), strict=True))
 
-    def run(batch: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
-        found, text, counts = shingles(texts, hot.value if hot is not None else None)
-        elements = _lists(found, counts) if whole else _prefixes(found, text, counts)
-        return pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(counts, pa.int32()), elements], [*names, "n", "elements"])
 
-    out = "node bigint, " + (schema + ", " if schema else "") + "n int, elements array<bigint>"
-    return map_texts(rows.select(*names, "text"), out, run)
+def _near(n_a: Column, n_b: Column) -> Column:
+    return (100 * n_a >= PERCENT * n_b) & (100 * n_b >= PERCENT * n_a)
 
 
-def _linked(a: Column, n_a: Column, b: Column, n_b: Column) -> Column:
-    common = F.size(F.array_intersect(a, b))
-    return 100 * common >= PERCENT * (n_a + n_b - common)
+def _share(n: Column) -> Column:
+    """The least overlap of a set of n elements with any linked set."""
+    return F.ceil(n * PERCENT / 100 - 1e-9)
 
 
-def _near(n_a: Column, n_b: Column) -> Column:
-    return (100 * n_a >= PERCENT * n_b) & (100 * n_b >= PERCENT * n_a)
+def _overlap(n: Column, m: Column) -> Column:
+    """The least overlap of linked sets of n and m elements."""
+    return F.ceil((n + m) * PERCENT / (100 + PERCENT) - 1e-9)
+
+
+def _members(texts: DataFrame, *keys: str) -> DataFrame:
+    return texts.groupBy(*keys).agg(F.collect_list(F.struct("node", "text")).alias("members"))
 
 
-def _star_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links (a, b) of classes with the leaders of their buckets."""
-    buckets = classes.select(
-        "node", "n", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"s{i}").alias("low")) for i in range(SKETCHES)])).alias("bucket")
-    ).select("node", "n", "bucket.i", "bucket.low")
-    leader = lambda seed: F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(seed)))
-    leaders = buckets.groupBy("i", "low").agg(F.count("*").alias("members"), F.array(leader(1), leader(2)).alias("leaders")).where("members > 1")
-    pairs = buckets.join(leaders, ["i", "low"]).select("node", "n", F.explode("leaders").alias("leader"))
+def _bucket_pairs(classes: DataFrame) -> DataFrame:
+    """(node, leader): classes of one bucket and about one size, each with the leader of the bucket."""
+    following = lambda i: F.array(*[F.col(f"s{(2 * i + j) % SKETCHES}") for j in range(3)])
+    bands = [F.struct(F.lit(i).alias("i"), F.slice(following(i), 1, size).alias("minima")) for i in range(SKETCHES // 2) for size in (2, 3)]
+    buckets = classes.select("node", "n", F.explode(F.array(*bands)).alias("bucket")).select("node", "n", "bucket.i", F.xxhash64("bucket").alias("bucket"))
+    leader = F.min_by(F.struct("node", "n"), F.xxhash64("node", "i")).alias("leader")
+    leaders = buckets.groupBy("i", "bucket").agg(F.count("*").alias("members"), leader).where("members > 1").drop("members")
+    pairs = buckets.join(leaders, ["i", "bucket"]).select("node", "n", "leader")
     pairs = pairs.where((F.col("node") != F.col("leader.node")) & _near(F.col("n"), F.col("leader.n")))
-    pairs = materialize(pairs.select("node", F.col("leader.node").alias("leader")).distinct(), "jaccard-pairs")
+    pairs = pairs.select(F.greatest("node", "leader.node").alias("node"), F.least("node", "leader.node").alias("leader"))
+    return pairs.distinct()
+
+
+def _star_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are linked."""
+    reps = classes.select("node", "rid", "rkey")
     asked = pairs.groupBy("node").agg(F.collect_set("leader").alias("leaders"))
-    members = _sets(docs, classes.join(asked, "node"), "leaders array<bigint>")
-    members = members.select("node", "n", "elements", F.explode("leaders").alias("leader"))
-    heads = _sets(docs, classes.join(pairs.select(F.col("leader").alias("node")).distinct(), "node", "left_semi"))
-    heads = heads.select(F.col("node").alias("leader"), F.col("n").alias("n_b"), F.col("elements").alias("elements_b"))
-    found = members.join(heads, "leader").where(_linked(F.col("elements"), F.col("n"), F.col("elements_b"), F.col("n_b")))
-    return found.select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    asking = _texts(docs, reps.join(asked, "node")).withColumn("leader", F.explode("leaders")).drop("leaders")
+    heads = _texts(docs, reps.join(pairs.select(F.col("leader").alias("node")).distinct(), "node", "left_semi"))
+    heads = heads.select(F.col("node").alias("leader"), F.array(F.struct("node", "text")).alias("members"))
+    return _compare(asking, heads, ["leader"])
 
 
 def _shared_prefixes(docs: DataFrame, scanned: DataFrame, classes: DataFrame) -> DataFrame:
-    """(token, node, n, pos) of the prefixes in the final order, without tokens that one class alone holds."""
-    reps = classes.select("node", "rid", "rkey")
-    prefixes = scanned.join(broadcast_if_small(reps), (F.col("key") == F.col("rkey")) & F.col("doc_id").eqNullSafe(F.col("rid")))
-    tokens = prefixes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = materialize(tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1"), "jaccard-tokens")
-    hot = shared.where(F.col("held") > HOT).orderBy(F.desc("held"), "token").limit(HOT_MOST).select("token")
-    hot_table = materialize(hot, "jaccard-hot")
-    held = np.sort(hot_table.toArrow().column("token").to_numpy().view(np.uint64))
-    if len(held):
-        spark = docs.sparkSession
-        moved = materialize(tokens.join(F.broadcast(hot_table), "token", "left_semi").select("node").distinct(), "jaccard-moved")
-        again = _sets(docs, reps.join(moved, "node", "left_semi"), hot=spark.sparkContext.broadcast(held), whole=False)
-        again = materialize(again.select("node", "n", F.posexplode("elements").alias("pos", "token")), "jaccard-again")
-        stays = prefixes.join(broadcast_if_small(moved), "node", "left_anti")
-        tokens = stays.select("node", "n", F.posexplode("prefix").alias("pos", "token")).unionByName(again)
-        shared = shared.select("token").unionByName(again.select("token")).distinct()
-    return materialize(tokens.join(shared.select("token"), "token", "left_semi"), "jaccard-shared")
+    """(token, node, pos) of the prefixes, without tokens that one class alone holds."""
+    counted = scanned.select(F.explode("frequent").alias("f")).groupBy("f.token").agg(F.sum("f.held").alias("held"))
+    hot = counted.where(F.col("held") > HOT).orderBy(F.desc("held"), "token").limit(HOT_MOST).select("token")
+    late = docs.sparkSession.sparkContext.broadcast(np.sort(hot.toArrow().column("token").to_numpy().view(np.uint64)))
+
+    def run(batch: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
+        found, text, counts = shingles(texts, late.value)
+        return pa.RecordBatch.from_arrays([batch.column("node"), _prefixes(found, text, counts)], ["node", "prefix"])
+
+    rows = _texts(docs, classes.select("node", "rid", "rkey")).select("node", "text")
+    tokens = map_texts(rows, "node bigint, prefix array<bigint>", run)
+    tokens = tokens.select("node", F.posexplode("prefix").alias("pos", "token"))
+    held = F.count("*").over(Window.partitionBy("token"))
+    return materialize(tokens.withColumn("held", held).where("held > 1").drop("held"), "jaccard-shared")
+
+
+def _groups(classes: DataFrame, pairs: DataFrame, stars: DataFrame) -> DataFrame:
+    """(node, n, component, group, linked, part, alone): linked classes by component, the others by similar buckets."""
+    similar = components(pairs).withColumnRenamed("component", "cluster")
+    named = classes.select("node", "n").join(components(stars), "node", "left").join(similar, "node", "left")
+    linked = F.col("component").isNotNull()
+    named = named.withColumns(
+        {
+            "linked": linked,
+            "group": F.when(linked, F.col("component") * 2 + 1).otherwise(F.coalesce("cluster", "node") * 2),
+            "component": F.coalesce("component", "node"),
+        }
+    ).drop("cluster")
+    sizes = named.groupBy("group").agg(F.ceil(F.count("*") / PART).alias("parts"), (F.count("*") == 1).alias("alone"))
+    return named.join(sizes, "group").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).drop("parts")
 
 
 def _matrix_links(docs: DataFrame, scanned: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame | None:
-    """Links (a, b) between groups: matrix, bound, then the members of qualifying parts."""
-    shared = _shared_prefixes(docs, scanned, classes).join(broadcast_if_small(groups.select("node", "group", "part")), "node")
-    across = shared.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("token")
-    shared = materialize(shared.join(across, "token", "left_semi"), "jaccard-across")
+    """Links (a, b) of classes that are not connected yet: matrix, bound, then the members of qualifying parts."""
+    shared = _shared_prefixes(docs, scanned, classes).join(broadcast_if_small(groups), "node")
+    of_token = Window.partitionBy("token")
+    across = shared.withColumns({"low": F.min("component").over(of_token), "high": F.max("component").over(of_token)})
+    shared = materialize(across.where("low < high").drop("low", "high"), "jaccard-across")
     matrix = shared.groupBy("token", F.col("group").alias("group_b"), F.col("part").alias("part_b")).agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest")
     )
-    # the first shared element leaves room for the overlap that the smallest possible partner asks for
-    smallest = F.greatest("least", F.ceil(F.col("n") * PERCENT / 100).cast("int"))
-    asked = F.ceil((F.col("n") + smallest) * PERCENT / (100 + PERCENT) - 1e-9)
+    # every two parts meet from one side, members of a part that are not linked within it
+    once = F.struct("group", "part") >= F.struct("group_b", "part_b")
     met = shared.join(matrix, "token").where(
-        (F.col("group") > F.col("group_b"))
+        once
+        & ((F.col("group") != F.col("group_b")) | ~F.col("linked") & (~F.col("alone") | (F.col("part") != F.col("part_b"))))
         & (100 * F.col("most") >= PERCENT * F.col("n"))
         & (PERCENT * F.col("least") <= 100 * F.col("n"))
-        & (F.least(F.col("n") - F.col("pos"), "rest") >= asked)
     )
-    met = materialize(met.select("node", "group_b", "part_b").distinct(), "jaccard-met")
+    met = met.groupBy("node", "group_b", "part_b").agg(
+        F.count("*").alias("held"),
+        F.max(F.least(F.col("n") - F.col("pos"), "rest")).alias("first"),
+        F.max("n").alias("n"),
+        F.max("most").alias("most"),
+        F.min("least").alias("least"),
+    )
+    # Partners have low to high elements. From the first shared element on there must be room for the overlap; and
+    # where one of the two prefixes ends, no more than `held` shared elements were seen, only the rest can add to them.
+    low = F.greatest("least", _share(F.col("n")))
+    high = F.least("most", F.floor(F.col("n") * 100 / PERCENT + 1e-9))
+    spare = lambda m: _share(F.greatest("n", m)) - 1 - _overlap(F.col("n"), m)
+    enough = (F.col("first") >= _overlap(F.col("n"), low)) & (F.col("held") + F.greatest(spare(low), spare(high)) >= 0)
+    met = materialize(met.where(enough).select("node", "group_b", "part_b"), "jaccard-met")
     if met.isEmpty():
         return None
-    parts = met.select(F.col("group_b").alias("group"), F.col("part_b").alias("part")).distinct()
-    members = classes.join(groups, "node").join(parts, ["group", "part"], "left_semi")
-    members = _sets(docs, members, "group bigint, part int")
-    members = members.withColumnsRenamed({"group": "group_b", "part": "part_b"})
-    unions = members.groupBy("group_b", "part_b").agg(F.array_distinct(F.flatten(F.collect_list("elements"))).alias("union"))
-    asking = _sets(docs, classes.join(met.select("node").distinct(), "node", "left_semi"))
-    bound = F.size(F.array_intersect("elements", "union"))
-    opened = met.join(asking, "node").join(unions, ["group_b", "part_b"]).where(100 * bound >= PERCENT * F.col("n")).drop("union")
-    inside = members.select("group_b", "part_b", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("elements").alias("elements_b"))
-    pairs = opened.join(inside, ["group_b", "part_b"]).where(_near(F.col("n"), F.col("n_b")))
-    found = pairs.where(_linked(F.col("elements"), F.col("n"), F.col("elements_b"), F.col("n_b")))
-    return found.select(F.col("node").alias("a"), "b")
+    reps = classes.select("node", "rid", "rkey")
+    names = groups.select("node", F.col("group").alias("group_b"), F.col("part").alias("part_b"))
+    names = names.join(met.select("group_b", "part_b").distinct(), ["group_b", "part_b"], "left_semi")
+    parts = _members(_texts(docs, reps.join(names, "node")), "group_b", "part_b")
+    asked = met.groupBy("node").agg(F.collect_list(F.struct("group_b", "part_b")).alias("met"))
+    asking = _texts(docs, reps.join(asked, "node")).withColumn("met", F.explode("met")).select("node", "text", "met.*")
+    return _compare(asking, parts, ["group_b", "part_b"])
 
 
 def _components(docs: DataFrame) -> DataFrame:
     """(doc_id, key, n, group, component_id) for every row; group numbers components, null for empty sets."""
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scanned = materialize(_scan(docs), "jaccard-prefixes")
+    scanned = materialize(_scan(docs), "jaccard-sets")
     sketches = [F.min(f"s{i}").alias(f"s{i}") for i in range(SKETCHES)]
     classes = scanned.where("n > 0").groupBy("f1", "f2").agg(
         F.min("n").alias("n"), F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "key")).alias("rep"), *sketches
@@ -223,18 +343,15 @@ def _components(docs: DataFrame) -> DataFrame:
     named = classes.withColumns({"node": F.monotonically_increasing_id(), "rid": F.col("rep.doc_id"), "rkey": F.col("rep.key")})
     classes = materialize(named.drop("rep"), "jaccard-classes")  # written, so that the numbers stay
 
-    stars = materialize(_star_links(docs, classes), "jaccard-stars")
-    groups = classes.select("node").join(components(stars), "node", "left")
-    groups = groups.select("node", F.coalesce("component", "node").alias("group"))
-    sizes = groups.groupBy("group").agg(F.ceil(F.count("*") / PART).alias("parts"))
-    parts = groups.join(sizes, "group").select("node", "group", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
-    parts = materialize(parts, "jaccard-groups")
-    more = _matrix_links(docs, scanned, classes, parts)
+    pairs = materialize(_bucket_pairs(classes), "jaccard-pairs")
+    stars = materialize(_star_links(docs, classes, pairs), "jaccard-stars")
+    groups = materialize(_groups(classes, pairs, stars), "jaccard-groups")
+    more = _matrix_links(docs, scanned, classes, groups)
     if more is not None:
         whole = components(stars.unionByName(materialize(more, "jaccard-links")))
         groups = classes.select("node").join(whole, "node", "left").select("node", F.coalesce("component", "node").alias("group"))
     else:
-        groups = parts.select("node", "group")
+        groups = groups.select("node", F.col("component").alias("group"))
     named = classes.select("node", "f1", "f2", "first").join(groups, "node")
     least = named.groupBy("group").agg(F.min("first").alias("component_id"))
     named = materialize(named.join(least, "group").select("f1", "f2", "group", "component_id"), "jaccard-components")
