@@ -12,8 +12,8 @@ URL_PREFIX = "https://arxiv.org/abs/"
 
 # --- fixed values: feed ------------------------------------------------------
 FEED_URL_PREFIX = "https://arxiv.org/"
-GUID_ID = r"arXiv\.org:([\w./-]+)"
-LINK_ID = r"/abs/([\w./-]+)"
+GUID_ID = r"arXiv\.org:([A-Za-z.-]+/\d+(?:v\d+)?|[\w.-]+)"
+LINK_ID = r"/abs/([A-Za-z.-]+/\d+(?:v\d+)?|[\w.-]+)"
 ID_VERSION = r"v\d+$"
 ABSTRACT_HEADER = r"^arXiv:.*?\bAbstract:\s*"
 MARKUP_TAG = r"<[^>]+>"

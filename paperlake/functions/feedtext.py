@@ -8,9 +8,9 @@ from paperlake import constants as K
 # Whitespace as Unicode defines it, with the four separator controls.
 _SPACES = r"(?U)[\s\x1C-\x1F]+"
 
-# RFC 822: optional weekday, day, month name, year, and a valid time of day.
+# RFC 822: optional weekday, day, month name, year of four or two digits, and a valid time of day.
 _DAY_MONTH_YEAR = (
-    r"^(?:[A-Za-z]+,?\s+)?(\d{1,2}\s+[A-Za-z]{3,9}\s+\d{4})\s+"
+    r"^(?:[A-Za-z]+,?\s+)?(\d{1,2}\s+[A-Za-z]{3,9}\s+(?:\d{4}|\d{2}))\s+"
     r"(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d)?(?:\s|$)"
 )
 
@@ -48,7 +48,13 @@ def feed_categories(categories: Column) -> Column:
 
 
 def feed_date(pub_date: Column) -> Column:
-    """The calendar day written in an RFC 822 date, in the offset it is written in."""
+    """The calendar day written in an RFC 822 date, in the offset it is written in.
+
+    Two-digit years from 69 on belong to the last century.
+    """
     day = F.regexp_extract(strip(pub_date), _DAY_MONTH_YEAR, 1)
+    short = F.regexp_extract(day, r"\s(\d{2})$", 1)
+    century = F.when(short == "", "").when(short < "69", "20").otherwise("19")
+    day = F.concat(F.regexp_replace(day, r"\d+$", ""), century, F.regexp_extract(day, r"(\d+)$", 1))
     short_month = F.regexp_replace(day, r"\s+([A-Za-z]{3})[A-Za-z]*\s+", " $1 ")
     return F.try_to_date(F.initcap(empty_to_null(short_month)), "d MMM yyyy")

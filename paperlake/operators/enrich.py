@@ -57,6 +57,20 @@ def _batched(extractor: Extractor):
     return respond.asNondeterministic()
 
 
+def enrich_in_batches(df: DataFrame, extractor: Extractor, text_col: str = "abstract", batch_rows: int = 50) -> DataFrame:
+    """`enrich` with an extractor that is handed at most `batch_rows` texts at a time, whatever Arrow's batches are."""
+
+    def cut():
+        extract = extractor()
+
+        def run(texts: Sequence[str]) -> list[str | None]:
+            return [a for i in range(0, len(texts), batch_rows) for a in _answers(extract, texts[i : i + batch_rows])]
+
+        return run
+
+    return enrich(df, text_col, cut)
+
+
 def enrich(df: DataFrame, text_col: str = "abstract", extractor: Extractor | None = None) -> DataFrame:
     """Add `metadata_json` with the three metadata fields.
 

@@ -31,14 +31,22 @@ def daily_rules(url_prefix: str = K.FEED_URL_PREFIX) -> Rules:
     }
 
 
+def is_json(text: Column) -> Column:
+    """Exactly one JSON value. The parser stops after the first one, so the text is read as the elements of a list."""
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    second = F.try_variant_get(listed, "$[1]", "variant")
+    return (F.trim(text) != "") & listed.isNotNull() & second.isNull()
+
+
 def serving_rules(dim: int | None = None) -> Rules:
-    """The constraints of the serving table; keys are made unique by the merge itself."""
+    """The constraints of the serving table on a row; that keys are unique is checked when it is written."""
     rules = {
         "paper_id": F.col("paper_id").isNotNull() & (F.length("paper_id") <= K.MAX_ID_CHARS),
         "title": F.col("title").isNotNull(),
         "abstract": F.col("abstract").isNotNull(),
         "url": F.col("url").isNotNull(),
         "categories": F.col("categories").isNull() | (F.length("categories") <= K.MAX_CATEGORIES_CHARS),
+        "metadata": F.col("metadata").isNull() | is_json(F.col("metadata")),
     }
     if dim is not None:
         rules["embedding"] = F.col("embedding").isNull() | (F.size("embedding") == dim)

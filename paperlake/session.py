@@ -23,13 +23,22 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
 
-def build_session(app: str = "paperlake", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the defaults of the library; `conf` keys use `__` for dots."""
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def build_session(app: str = "paperlake", master: str | None = None, threads: int | None = None, **conf: str) -> SparkSession:
+    """A session with the defaults of the library; `conf` keys use `__` for dots.
+
+    `threads` bounds the threads that an injected encoder or extractor may start in each Python worker.
+    """
+    if threads:
+        conf |= {"spark__executorEnv__OMP_NUM_THREADS": str(threads)}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -42,9 +51,12 @@ def build_session(app: str = "paperlake", master: str | None = None, **conf: str
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, so that their Python workers can import it.
 
-    Not needed where it is installed or passed with `--py-files`; done once per application.
+    Not needed where it is installed or passed with `--py-files`; done once per application. Arrow
+    batches of whole texts are kept small unless the session asks for a size of its own.
     """
     context = spark.sparkContext
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, DEFAULTS[_BATCH])
     if spark.conf.get("spark.paperlake.shipped", None) == context.applicationId:
         return
     root = Path(__file__).resolve().parent

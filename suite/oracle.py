@@ -65,13 +65,13 @@ def page_text(html: str) -> str:
     return strip(f"regexp_replace(regexp_replace({html}, '<[^>]+>', '', 'g'), '{_SPACE}+', ' ', 'g')")
 
 
-_FEED_DATE = "(make_timestamp((1700000000 + 86400 * page_id) * 1000000)::DATE)"
+_FEED_DATE = "(make_timestamp((1700000000 + 86400 * (page_id % 9000)) * 1000000)::DATE)"
 FEED = rf"""feed AS (
   SELECT CASE WHEN url LIKE 'https%' THEN lpad(page_id::VARCHAR, 9, '0') ELSE page_id::VARCHAR END AS paper_id,
          {strip(_PAGE_TITLE)} AS title, {page_text(_DESCRIPTION)} AS abstract,
          nullif(regexp_extract(html, 'lang="(\w+)"', 1), '') AS authors,
          replace(regexp_extract(url, '//([^/]+)/', 1), '.', ', ') AS categories,
-         url || '/abs/' || page_id || 'v3' AS url, {_FEED_DATE} AS published_date, year({_FEED_DATE})::INT AS published_year
+         url || '/abs/' || page_id || 'v3' || CASE WHEN page_id % 3 = 0 THEN '/' ELSE '' END AS url, {_FEED_DATE} AS published_date, year({_FEED_DATE})::INT AS published_year
   FROM pages)"""
 _FEED_COLUMNS = "paper_id, title, abstract, authors, categories, url, published_date, published_year"
 
@@ -161,6 +161,23 @@ MATCH_BOOLEAN = f"""
   matched AS (SELECT query_id, paper_id, sum(part) AS score FROM hit JOIN (SELECT DISTINCT query_id, term FROM alt_terms) USING (query_id)
               JOIN scored USING (paper_id, term) GROUP BY ALL)"""
 
+_STEM = """CASE WHEN regexp_matches(term, 'ies$') AND NOT regexp_matches(term, '[ea]ies$') THEN regexp_replace(term, 'ies$', 'y')
+    WHEN regexp_matches(term, 'es$') AND NOT regexp_matches(term, '[aeo]es$') THEN regexp_replace(term, 'es$', 'e')
+    WHEN regexp_matches(term, 's$') AND NOT regexp_matches(term, '[us]s$') THEN regexp_replace(term, 's$', '') ELSE term END"""
+STEMMED = keyword(MATCH_ANY).replace("kept AS (SELECT * FROM", f"kept AS (SELECT * REPLACE ({_STEM} AS term) FROM")
+STEMMED = STEMMED.replace("asked AS (SELECT DISTINCT query_id, term FROM", f"asked AS (SELECT DISTINCT query_id, {_STEM} AS term FROM")
+_INDEXED = f"list_filter({words('text')}, lambda w: w NOT IN ({_STOPS}))"
+PAIRS = f"""asked AS (SELECT DISTINCT query_id, term FROM (
+    SELECT item * 1000 + i AS query_id, unnest(terms[i + 1:i + 2]) AS term
+    FROM (SELECT query_id AS item, {_INDEXED} AS terms, unnest(range(len({_INDEXED}) - 1)) AS i FROM questions)))"""
+
+# The boolean questions, or the whole item as a phrase.
+MATCH_EITHER = MATCH_BOOLEAN.replace("  hit AS (", "  boolean_hit AS (").replace("  matched AS (", f"""  {MATCH_PHRASE.split("matched AS")[0].strip().removesuffix(",").replace("hit AS (", "phrase_hit AS (")},
+  hit AS (SELECT * FROM boolean_hit UNION SELECT * FROM phrase_hit),
+  matched AS (""")
+RENEWED = PAPERS.replace("papers AS (", "first_papers AS (") + """, papers AS (
+  SELECT * REPLACE (CASE WHEN paper_id::BIGINT % 5 = 0 THEN 'renewed ' || title ELSE title END AS title) FROM first_papers)"""
+
 _MODEL = "CASE model_tag " + " ".join(f"WHEN '{t}' THEN '{m}'" for t, m in MODEL_MAP.items()) + f" ELSE '{MODEL_MAP['gemini-3.7-flash']}' END"
 _NL = "chr(10)"
 _CONTEXT = f"""string_agg('[' || place || '] Title: ' || title || {_NL} || 'Abstract: ' || abstract || {_NL} || 'URL: ' || url || {_NL}
@@ -188,7 +205,9 @@ _DAILY = reasons(
 )
 _SERVING = reasons(
     {
+        "paper_id": "length(abstract) % 7 <> 0",
         "categories": "CASE WHEN length(abstract) > 3000 THEN length(categories) * 100 ELSE length(categories) END <= 255",
+        "metadata": "metadata IS NULL OR length(abstract) % 5 <> 0",
         "embedding": f"embedding IS NULL OR length(abstract) >= 2000 OR {DIM - 1} = {DIM}",
     }
 )
@@ -237,7 +256,7 @@ ORACLE = {
         count(*) FILTER (WHERE NOT {_OK}) / count(*)::DOUBLE AS error_rate FROM papers""",
     "gate_enforced": f"WITH {PAPERS} SELECT paper_id, CASE WHEN {_OK} THEN 'lake' ELSE 'dlq' END AS went_to FROM papers",
     "daily_gate": f"WITH {_PAGE} SELECT paper_id, {_DAILY} = '' AS ok, {_DAILY} AS reject_reasons FROM page",
-    "serving_constraints": f"WITH {PAPERS} SELECT paper_id, {_SERVING} = '' AS ok, {_SERVING} AS reject_reasons FROM papers",
+    "serving_constraints": f"WITH {PAPERS} SELECT CASE WHEN length(abstract) % 7 <> 0 THEN paper_id END AS paper_id, {_SERVING} = '' AS ok, {_SERVING} AS reject_reasons FROM papers",
     "dedupe_latest": "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
     "upsert_full": _UPSERT_FULL,
     "upsert_published": _UPSERT_FULL,
@@ -264,9 +283,13 @@ ORACLE = {
     "keyword_weighted": f"WITH {keyword(MATCH_ANY, 'CASE WHEN pos < n_title THEN 1e0 ELSE 0.4e0 END')} {_SPARSE_OUT}",
     "keyword_phrase": f"WITH {keyword(MATCH_PHRASE)} {_SPARSE_OUT}",
     "keyword_boolean": f"WITH {keyword(MATCH_BOOLEAN)} {_SPARSE_OUT}",
+    "keyword_stemmed": f"WITH {STEMMED} {_SPARSE_OUT}",
+    "keyword_pairs": f"WITH {keyword(MATCH_ALL).replace(ASKED, PAIRS)} {_SPARSE_OUT}",
     "rrf_fuse": f"WITH {keyword(MATCH_ANY)}, {DENSE}, {FUSED} SELECT * REPLACE (round(rrf_score, 9) AS rrf_score) FROM fused",
     "hybrid_search": _HYBRID_OUT,
     "hybrid_stored": _HYBRID_OUT,
+    "hybrid_boolean": _HYBRID_OUT.replace(MATCH_ALL, MATCH_EITHER),
+    "search_after_merge": _HYBRID_OUT.replace(PAPERS, RENEWED),
     "search_counts": f"WITH {keyword(MATCH_ALL)} SELECT query_id, count(paper_id) AS count FROM questions LEFT JOIN sparse USING (query_id) GROUP BY 1",
     "rag_context": f"""WITH {HYBRID}, {best(3)}, contexts AS (
         SELECT query_id, {_CONTEXT} AS context, string_agg(concat_ws('|', paper_id, published_date::VARCHAR, metadata), ';' ORDER BY place) AS matched
@@ -287,13 +310,19 @@ ORACLE = {
         FROM e""",
     "extract_metadata": f"""SELECT doc_id, CASE WHEN lang = 'es' THEN {_DEFAULT_RECORD} ELSE {cues("'We propose ' || source || ' nets. Evaluated on ' || lang || ' texts. We show that ' || text")} END AS metadata_json
         FROM documents""",
+    "enrich_in_batches": f"""SELECT doc_id, CASE WHEN lang = 'es' THEN {_DEFAULT_RECORD} ELSE {cues("'We propose ' || source || ' nets. Evaluated on ' || lang || ' texts. We show that ' || text")} END AS metadata_json
+        FROM documents""",
     "default_fill": f"""SELECT doc_id, CASE WHEN quality IS NOT NULL THEN '{{"quality":' || quality || ',"toxic":' || toxic || '}}' ELSE {_DEFAULT_RECORD} END AS metadata_json
         FROM documents LEFT JOIN labels USING (doc_id)""",
     "embed_hash": _EMBED,
     "embed_batches": _EMBED,
     "pipeline_load": f"""WITH {CLEAN} SELECT * EXCLUDE (lang), CASE WHEN trim(abstract) = '' THEN {_DEFAULT_RECORD} ELSE {cues("abstract")} END AS metadata,
         {DIM}::BIGINT AS dim FROM clean WHERE length(title) > 0 AND length(abstract) >= 20""",
-    "stage_tables": """SELECT unnest(['lake', 'metadata', 'embeddings']) AS stage, count(*) AS n FROM documents""",
+    "stage_tables": f"""WITH {CLEAN}, held AS (
+        SELECT *, CASE WHEN trim(abstract) = '' THEN {_DEFAULT_RECORD} ELSE {cues("abstract")} END AS metadata FROM clean)
+        SELECT 'lake' AS stage, paper_id, title, abstract, published_year, NULL::VARCHAR AS metadata, NULL::VARCHAR AS dim FROM held
+        UNION ALL SELECT 'metadata', paper_id, title, abstract, published_year, metadata, NULL FROM held
+        UNION ALL SELECT 'embeddings', paper_id, title, abstract, published_year, metadata, '{DIM}' FROM held""",
     "daily_merge": _DAILY_MERGED,
     "feed_stream": _DAILY_MERGED,
 }

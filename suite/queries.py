@@ -1,8 +1,12 @@
 """Every registered query: (spark, sf_dir) -> DataFrame."""
 
+import json
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperlake.constants import NOT_SPECIFIED
 from paperlake.functions import cleanse
 from paperlake.functions.feedtext import feed_abstract
 from paperlake.functions.tokens import index_terms
@@ -13,12 +17,12 @@ from paperlake.operators.context import build_context
 from paperlake.operators.dedupe import dedupe_latest
 from paperlake.operators.dense import dense_search, dense_search_approx, write_lsh_table
 from paperlake.operators.embed import embed, embed_in_batches, fuse_text
-from paperlake.operators.enrich import enrich, fill_missing
+from paperlake.operators.enrich import CUES, enrich, enrich_in_batches, fill_missing
 from paperlake.operators.fusion import rrf
 from paperlake.operators.responses import recover_fields
 from paperlake.operators.upsert import upsert
 from paperlake.plans import pipelines
-from paperlake.plans.search import ask, hybrid_search, result_counts
+from paperlake.plans.search import ask, hybrid_search, result_counts, search_table
 from paperlake.session import scratch_path
 from paperlake.sinks import table as keyed
 from paperlake.sinks.jdbc import staging_rows
@@ -126,7 +130,9 @@ def daily_gate(spark: SparkSession, sf: str) -> DataFrame:
 def serving_constraints(spark: SparkSession, sf: str) -> DataFrame:
     odd = F.when(F.length("abstract") < 2000, F.slice("embedding", 1, DIM - 1)).otherwise(F.col("embedding"))
     long_list = F.when(F.length("abstract") > 3000, F.repeat("categories", 100)).otherwise(F.col("categories"))
-    rows = views.papers(spark, sf).withColumns({"embedding": odd, "categories": long_list})
+    key = F.when(F.length("abstract") % 7 == 0, None).otherwise(F.col("paper_id"))
+    bad_json = F.when(F.length("abstract") % 5 == 0, F.concat("metadata", F.lit("}"))).otherwise(F.col("metadata"))
+    rows = views.papers(spark, sf).withColumns({"embedding": odd, "categories": long_list, "paper_id": key, "metadata": bad_json})
     flagged = G.gate(rows, G.serving_rules(DIM))
     return flagged.select("paper_id", "ok", F.array_join("reject_reasons", ",").alias("reject_reasons"))
 
@@ -287,6 +293,22 @@ def keyword_boolean(spark: SparkSession, sf: str) -> DataFrame:
     return _keyword(spark, sf, boolean_terms(views.questions(spark, sf)))
 
 
+def keyword_stemmed(spark: SparkSession, sf: str) -> DataFrame:
+    """Any word of the item, plural endings taken off on both sides."""
+    terms = kw.any_terms(views.questions(spark, sf), stem=True)
+    index = kw.scan_index(views.papers(spark, sf), terms, stem=True)
+    return kw.keyword_search(index, terms).withColumn("score", F.round("score", 6))
+
+
+def keyword_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Both words required, for every two neighbouring words of an item: many matches, so the cut to 20 acts."""
+    found = index_terms(views.questions(spark, sf), "text")
+    neighbours = F.zip_with(F.expr("slice(terms, 1, size(terms) - 1)"), F.expr("slice(terms, 2, size(terms))"), lambda a, b: F.concat_ws(" ", a, b))
+    pairs = found.where("size(terms) > 1").select("query_id", F.posexplode(neighbours).alias("pos", "text"))
+    pairs = pairs.select((F.col("query_id") * 1000 + F.col("pos")).alias("query_id"), "text")
+    return _keyword(spark, sf, kw.question_terms(pairs))
+
+
 # --- hybrid search, context ------------------------------------------------------------
 
 
@@ -312,6 +334,29 @@ def hybrid_stored(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumns({"rrf_score": F.round("rrf_score", 9), "place": F.col("place").cast("long")})
 
 
+def hybrid_boolean(spark: SparkSession, sf: str) -> DataFrame:
+    """The boolean questions in the hybrid search; or the whole item as a phrase, whatever is forbidden."""
+    questions = views.questions(spark, sf)
+    words = boolean_terms(questions).withColumns({"phrase": F.lit(None).cast("int"), "pos": F.lit(0)})
+    phrase = kw.phrase_terms(questions).withColumns({"alt": F.lit(1000), "negated": F.lit(False)})
+    found = hybrid_search(views.papers(spark, sf), questions, terms=words.unionByName(phrase))
+    return found.withColumns({"rrf_score": F.round("rrf_score", 9), "place": F.col("place").cast("long")})
+
+
+def search_after_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Two thirds of the papers are published and indexed, the rest is merged, and some get a new title on the way."""
+    path, number = scratch_path(spark, "merged"), F.col("paper_id").cast("long")
+    papers = views.papers(spark, sf)
+    renewed = papers.withColumn("title", F.when(number % 5 == 0, F.concat(F.lit("renewed "), "title")).otherwise(F.col("title")))
+    keyed.publish(papers.where(number % 3 != 0), path, buckets=8)
+    pipelines.keep_index(spark, path, 0, papers)
+    changed = renewed.where((number % 3 == 0) | (number % 5 == 0))
+    keyed.merge_into(changed, path)
+    pipelines.keep_index(spark, path, 1, changed)
+    found = search_table(spark, path, views.questions(spark, sf))
+    return found.withColumns({"rrf_score": F.round("rrf_score", 9), "place": F.col("place").cast("long")})
+
+
 def search_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Matches per question in the keyword branch, which may be none."""
     questions = views.questions(spark, sf)
@@ -368,14 +413,31 @@ def response_recover(spark: SparkSession, sf: str) -> DataFrame:
     return recover_fields(events, "response").drop("response")
 
 
-def extract_metadata(spark: SparkSession, sf: str) -> DataFrame:
+def _cued_papers(spark: SparkSession, sf: str) -> DataFrame:
     text = F.concat(
         F.lit("We propose "), "source", F.lit(" nets. Evaluated on "), "lang", F.lit(" texts. We show that "), "text"
     )
-    papers = views.texts(spark, sf, "documents").select(
+    return views.texts(spark, sf, "documents").select(
         "doc_id", F.when(F.col("lang") != "es", text).otherwise(" \n ").alias("abstract")
     )
-    return enrich(papers).drop("abstract")
+
+
+def extract_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    return enrich(_cued_papers(spark, sf)).drop("abstract")
+
+
+def cue_extractor():
+    """The cue phrases as an injected extractor: one JSON text per abstract."""
+    patterns = {field: re.compile(pattern, re.ASCII) for field, pattern in CUES.items()}
+
+    def value(match) -> str:
+        return (match.group(1).strip(" ") if match else "") or NOT_SPECIFIED
+
+    return lambda texts: [json.dumps({f: value(p.search(text)) for f, p in patterns.items()}) for text in texts]
+
+
+def enrich_batches(spark: SparkSession, sf: str) -> DataFrame:
+    return enrich_in_batches(_cued_papers(spark, sf), cue_extractor).drop("abstract")
 
 
 def default_fill(spark: SparkSession, sf: str) -> DataFrame:
@@ -417,17 +479,21 @@ def pipeline_load(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stage_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """Each stage read back: rows and columns it holds."""
+    """Each stage read back: what it holds of every paper."""
     base = scratch_path(spark, "stages")
     papers = clean_papers(read_snapshot(spark, views.write_snapshot(spark, sf)))
     write_lake(papers, f"{base}/lake")
     pipelines.run_metadata(spark, f"{base}/lake", f"{base}/metadata")
     pipelines.run_embeddings(spark, f"{base}/metadata", f"{base}/embeddings", dim=DIM)
-    counts = [
-        read_stage(spark, f"{base}/{name}").agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("n"))
-        for name in ("lake", "metadata", "embeddings")
+    none = F.lit(None).cast("string")
+    extras = {"lake": (none, none), "metadata": (F.col("metadata_json"), none), "embeddings": (F.col("metadata_json"), F.size("embedding").cast("string"))}
+    held = [
+        read_stage(spark, f"{base}/{stage}").select(
+            F.lit(stage).alias("stage"), "paper_id", "title", "abstract", "published_year", metadata.alias("metadata"), dim.alias("dim")
+        )
+        for stage, (metadata, dim) in extras.items()
     ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return held[0].unionByName(held[1]).unionByName(held[2])
 
 
 def _known_papers(spark: SparkSession, sf: str) -> DataFrame:
@@ -505,15 +571,20 @@ QUERIES = {
     "keyword_weighted": keyword_weighted,
     "keyword_phrase": keyword_phrase,
     "keyword_boolean": keyword_boolean,
+    "keyword_stemmed": keyword_stemmed,
+    "keyword_pairs": keyword_pairs,
     "rrf_fuse": rrf_fuse,
     "hybrid_search": hybrid,
     "hybrid_stored": hybrid_stored,
+    "hybrid_boolean": hybrid_boolean,
+    "search_after_merge": search_after_merge,
     "search_counts": search_counts,
     "rag_context": rag_context,
     "rag_no_match": rag_no_match,
     "json_fuse": json_fuse,
     "response_recover": response_recover,
     "extract_metadata": extract_metadata,
+    "enrich_in_batches": enrich_batches,
     "default_fill": default_fill,
     "embed_hash": embed_hash,
     "embed_batches": embed_batches,

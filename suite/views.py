@@ -81,11 +81,17 @@ def write_snapshot(spark: SparkSession, sf_dir: str) -> str:
 
 
 def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as feed items, tags and all; secure pages carry a guid, the others only a link."""
+    """Pages as feed items, tags and all; secure pages carry a guid, the others only a link.
+
+    Every third link ends with a slash, and every fourth date has a year of two digits.
+    """
     pages = texts(spark, sf_dir, "pages")
+    at = F.expr("timestamp_seconds(1700000000 + 86400 * (page_id % 9000))")
+    date = lambda year: F.date_format(at, f"d MMM {year} HH:mm:ss 'GMT'")
+    slash = F.when(F.col("page_id") % 3 == 0, "/").otherwise("")
     return pages.select(
         F.concat(F.lit("\n "), F.regexp_extract("html", r"<title>([^<]*)</title>", 1), F.lit(" \n")).alias("title"),
-        F.concat("url", F.lit("/abs/"), F.col("page_id").cast("string"), F.lit("v3")).alias("link"),
+        F.concat("url", F.lit("/abs/"), F.col("page_id").cast("string"), F.lit("v3"), slash).alias("link"),
         F.when(
             F.col("url").startswith("https"),
             F.concat(F.lit("oai:arXiv.org:"), F.lpad(F.col("page_id").cast("string"), 9, "0"), F.lit("v2")),
@@ -93,9 +99,7 @@ def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("arXiv:1 Announce Type: new \nAbstract: "), "html").alias("description"),
         F.split(F.regexp_extract("url", r"//([^/]+)/", 1), r"\.").alias("category"),
         F.regexp_extract("html", r'lang="(\w+)"', 1).alias("dc:creator"),
-        F.date_format(
-            F.expr("timestamp_seconds(1700000000 + 86400 * page_id)"), "d MMM yyyy HH:mm:ss 'GMT'"
-        ).alias("pubDate"),
+        F.when(F.col("page_id") % 4 == 1, date("yy")).otherwise(date("yyyy")).alias("pubDate"),
     )
 
 

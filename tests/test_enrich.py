@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperlake.operators.embed import embed, embed_in_batches, fuse_text
-from paperlake.operators.enrich import enrich, fill_missing
+from paperlake.operators.enrich import enrich, enrich_in_batches, fill_missing
 from paperlake.operators.responses import recover_fields
 
 GOOD = '{"core_method": "m", "dataset_used": "d", "key_findings": "k"}'
@@ -101,3 +101,12 @@ def test_encoder_runs_once_per_row_even_when_its_result_is_exploded(spark, plan)
     frame = spark.createDataFrame([("a b",)], "t string")
     parts = embed(frame, "t", dim=4).select(F.explode("embedding"))
     assert plan(parts).split("== Physical Plan ==")[1].count("ArrowEvalPython") == 1
+
+
+def test_the_extractor_gets_batches_of_the_size_asked_for(spark):
+    def extractor():
+        return lambda texts: [f'{{"core_method": "{len(texts)}"}}' for _ in texts]
+
+    texts = spark.range(130).coalesce(1).selectExpr("concat('text ', id) AS abstract")
+    found = enrich_in_batches(texts, extractor, batch_rows=50).selectExpr("get_json_object(metadata_json, '$.core_method') AS n")
+    assert sorted((r.n, r["count"]) for r in found.groupBy("n").count().collect()) == [("30", 30), ("50", 100)]

@@ -40,6 +40,9 @@ def test_rss_document(spark, tmp_path):
         ("other", "https://example.org/x", ""),
         (None, None, ""),
         ("oai:arXiv.org:hep-th/9901001v1", None, "hep-th/9901001"),
+        (None, "https://arxiv.org/abs/2608.18078v1/", "2608.18078"),
+        (None, "https://arxiv.org/abs/math.GT/0309136v2/", "math.GT/0309136"),
+        ("oai:arXiv.org:2608.18078v3/", None, "2608.18078"),
     ],
 )
 def test_paper_id(spark, guid, link, expected):
@@ -54,6 +57,10 @@ def test_paper_id(spark, guid, link, expected):
         ("Thu, 20 Aug 2026 23:59:00 -0400", datetime.date(2026, 8, 20)),
         ("1 jan 2024 05:00 GMT", datetime.date(2024, 1, 1)),
         ("20 August 2026 10:00:00 +0000", datetime.date(2026, 8, 20)),
+        ("Thu, 20 Aug 26 00:00:00 GMT", datetime.date(2026, 8, 20)),
+        ("1 Jan 69 00:00 GMT", datetime.date(1969, 1, 1)),
+        ("1 Jan 68 00:00 GMT", datetime.date(2068, 1, 1)),
+        ("1 Jan 026 00:00 GMT", None),
         ("Thu, 31 Feb 2026 00:00:00 GMT", None),
         ("Thu, 20 Aug 2026 25:00:00 GMT", None),
         ("2026-08-20", None),

@@ -31,14 +31,14 @@ def test_daily_rules(spark):
 
 def test_serving_rules(spark):
     rows = [
-        ("1", "t", "a", "u", None, [1.0, 2.0]),
-        ("1", "t", "a", "u", "c" * 256, None),
-        (None, None, None, None, None, [1.0]),
+        ("1", "t", "a", "u", None, [1.0, 2.0], None),
+        ("1", "t", "a", "u", "c" * 256, None, '{"a": 1}'),
+        (None, None, None, None, None, [1.0], "{"),
     ]
-    schema = PAPER + ", url string, categories string, embedding array<float>"
+    schema = PAPER + ", url string, categories string, embedding array<float>, metadata string"
     flagged = G.gate(spark.createDataFrame(rows, schema), G.serving_rules(dim=2))
     assert [r.reject_reasons for r in flagged.collect()] == [
-        [], ["categories"], ["paper_id", "title", "abstract", "url", "embedding"]
+        [], ["categories"], ["paper_id", "title", "abstract", "url", "metadata", "embedding"]
     ]
 
 
@@ -84,3 +84,14 @@ def test_source_is_scanned_once(spark, tmp_path):
     text = papers._jdf.queryExecution().toString()
     assert source not in text and "ok=true" in text or "PartitionFilters: [isnotnull(ok" in text
     assert papers.select(F.count(F.lit(1))).first()[0] == 1
+
+
+def test_metadata_must_be_one_json_value(spark):
+    from pyspark.sql import functions as F
+
+    from paperlake.operators.gate import is_json
+
+    good = ['{"a": 1}', "[]", '"x"', "null", " 1 "]
+    bad = ['{"a": 1}}', "{", "", " ", "1, 2", "x", '{"a": 1} tail']
+    frame = spark.createDataFrame([(t,) for t in good + bad], "t string")
+    assert [r.ok for r in frame.select(is_json(F.col("t")).alias("ok")).collect()] == [True] * len(good) + [False] * len(bad)

@@ -64,7 +64,7 @@ def test_hybrid_search(corpus, queries):
 
 
 def test_hybrid_search_on_a_stored_index(corpus, queries, tmp_path):
-    index = kw.write_index(corpus, str(tmp_path / "i"), buckets=2, salts=2)
+    index = kw.write_index(corpus, str(tmp_path / "i"), buckets=2)
     by = ["query_id", "place"]
     expected = hybrid_search(corpus, queries, with_metadata=True).orderBy(by).collect()
     table.publish(corpus, str(tmp_path / "t"), buckets=4)
