@@ -1,21 +1,39 @@
 """Vector search for a table of queries: exact, and approximate by locality-sensitive hashing."""
 
+import heapq
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from paperlake import constants as K
+from paperlake import session
 from paperlake.operators.dedupe import top_per_group
-from paperlake.operators.topk import TopK, scan, to_batch, vector_matrix
-from paperlake.session import BROADCAST_BYTES, data_bytes
+from paperlake.operators.topk import TopK, scan, vector_matrix
+from paperlake.session import data_bytes, materialize
 
 CELL = "cell"
+#: Rows that a search may shuffle: tasks x queries x k.
+_SHUFFLED_ROWS = 100_000_000
+
+
+class StaleTable(RuntimeError):
+    """A stored LSH table that does not belong to the version that is asked for."""
+
+
+class LshTable(NamedTuple):
+    """Documents once per hash table in the cells of their vector, and how the cells were made."""
+
+    rows: DataFrame
+    dim: int
+    bits: int
+    seed: int
+    tables: int
 
 
 def _candidate_schema(docs: DataFrame, queries: DataFrame) -> T.StructType:
@@ -51,174 +69,207 @@ def _scan_with_broadcast(docs: DataFrame, ids: pa.Array, matrix: np.ndarray, k:
 
     def search(batches):
         query_ids, vectors, probes = shared.value
-        return scan(batches, TopK(vectors, k), query_ids, probes)
+        return scan(batches, TopK(vectors, k, once=probes is not None), query_ids, probes)
 
     return docs.mapInArrow(search, schema)
 
 
-def _scan_in_blocks(docs: DataFrame, queries: DataFrame, k: int, schema, doc_block: int, query_block: int) -> DataFrame:
-    """Search when the queries are too many to broadcast; both sides carry a `cell` to meet in.
-
-    Within a cell both sides are cut into hash blocks of bounded size and every pair of blocks
-    becomes one key of an equi-join: documents are copied once per query block, queries once per
-    document block. A task holds two blocks at a time and returns k rows per query, and a
-    crowded cell is spread over as many tasks as it has blocks.
-    """
-
-    def blocks(side: DataFrame, size: int):
-        count = {row[CELL]: max(1, math.ceil(row["count"] / size)) for row in side.groupBy(CELL).count().collect()}
-        pairs = [F.lit(value) for item in count.items() for value in item] or [F.lit(0), F.lit(1)]
-        return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(CELL)), F.lit(1))
-
-    rows, columns = blocks(docs, doc_block), blocks(queries, query_block)
-    block = lambda key, n: F.pmod(F.xxhash64(key), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = docs.withColumn("row", block("paper_id", rows)).withColumn("column", every(columns))
-    right = queries.withColumn("column", block("query_id", columns)).withColumn("row", every(rows))
-    id_type = to_arrow_type(schema["paper_id"].dataType)
+def _blocks(queries: DataFrame, limit: int | None, rows: int | None) -> list[DataFrame]:
+    """The queries as they are if they can be broadcast, else cut by hash into blocks that can."""
+    limit = session.BROADCAST_BYTES if limit is None else limit
+    n = math.ceil(queries.count() / rows) if rows else math.ceil(data_bytes(queries) / limit)
+    if n <= 1:
+        return [queries]
+    number = F.pmod(F.xxhash64("query_id"), F.lit(n))
+    return [queries.where(number == i) for i in range(n)]
 
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        matrix, usable = vector_matrix(right.column("embedding"))
-        topk = TopK(matrix, k)
-        if len(usable):
-            for batch in left.to_batches():
-                topk.add(batch.column("paper_id"), batch.column("embedding"))
-        query_ids = right.column("query_id").combine_chunks().take(pa.array(usable))
-        return pa.Table.from_batches([to_batch(query_ids, topk.result(), id_type)])
 
-    keys = [CELL, "row", "column"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, schema)
+def _in_turn(blocks: list[DataFrame], search) -> DataFrame:
+    """Search block after block. The results of each are written, so no two are held at a time."""
+    if len(blocks) == 1:
+        return search(blocks[0])
+    found = [materialize(search(block), "dense") for block in blocks]
+    for other in found[1:]:
+        found[0] = found[0].unionByName(other)
+    return found[0]
 
 
 def dense_search(
     docs: DataFrame,
     queries: DataFrame,
     k: int = K.CANDIDATES,
-    broadcast_limit: int = BROADCAST_BYTES,
-    doc_block: int = 65536,
-    query_block: int = 4096,
+    broadcast_limit: int | None = None,
+    query_block: int | None = None,
     max_tasks: int | None = None,
 ) -> DataFrame:
     """The k nearest documents of every query by cosine distance -> (query_id, paper_id, distance, rank_dense).
 
-    Documents without a vector rank last, by id. Every task scans its share of the documents
-    once against all queries and passes on only its own k best per query, so what is shuffled
-    grows with tasks x queries x k and never with the documents. `max_tasks` lets each task read
-    several splits, to shrink that product for many queries.
+    Documents without a vector rank last, by id. Every task scans its share of the documents once
+    against all queries and passes on only its own k best per query, so what is shuffled grows
+    with tasks x queries x k and never with the documents; tasks read several splits where that
+    product would be too large. Queries beyond `broadcast_limit` bytes (or `query_block` rows)
+    are searched block after block, each a broadcast and a scan: documents are never copied or moved.
     """
     docs = docs.select("paper_id", "embedding")
-    docs = docs.coalesce(max_tasks) if max_tasks else docs
     queries = _query_side(queries)
     schema = _candidate_schema(docs, queries)
-    if data_bytes(queries) <= broadcast_limit:
-        found = _scan_with_broadcast(docs, *_collect_queries(queries), k, schema)
-    else:
-        one_cell = lambda side: side.withColumn(CELL, F.lit(0))
-        found = _scan_in_blocks(one_cell(docs), one_cell(queries), k, schema, doc_block, query_block)
-    return _rank(found, k)
+
+    def search(block: DataFrame) -> DataFrame:
+        ids, matrix = _collect_queries(block)
+        tasks = max_tasks or max(1, _SHUFFLED_ROWS // max(1, len(ids) * k))
+        return _rank(_scan_with_broadcast(docs.coalesce(tasks), ids, matrix, k, schema), k)
+
+    return _in_turn(_blocks(queries, broadcast_limit, query_block), search)
 
 
 # --- approximate search -------------------------------------------------------
 
 
-def hyperplanes(dim: int, bits: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((bits, dim))
+def hyperplanes(dim: int, bits: int, seed: int, tables: int = 1) -> np.ndarray:
+    """tables x bits x dim"""
+    return np.random.default_rng(seed).standard_normal((tables, bits, dim))
 
 
-def _cells(matrix: np.ndarray, planes: np.ndarray) -> np.ndarray:
-    return ((matrix @ planes.T) > 0) @ (1 << np.arange(len(planes)))
+def _sides(margin: np.ndarray) -> np.ndarray:
+    return (margin > 0) @ (1 << np.arange(margin.shape[1]))
 
 
-def lsh_cell(vector: Column, dim: int, bits: int = 8, seed: int = 7) -> Column:
-    """Cell of a vector: the sides of `bits` random hyperplanes it lies on (Charikar 2002)."""
+def nearest_flips(margin: np.ndarray, probes: int) -> list[int]:
+    """Cells by distance from a vector, as the bits in which they differ from its own (multi-probe, Lv et al. 2007).
+
+    A cell is as far away as the summed squared margins of the planes that separate it. The sets of planes
+    come from a heap in order of that sum, so only `probes` of the 2 ** bits cells are ever looked at.
+    """
+    order = np.argsort(np.abs(margin), kind="stable")
+    cost = (margin**2)[order].tolist()
+    found, heap = [0], [(cost[0], (0,))]
+    while heap and len(found) < probes:
+        total, planes = heapq.heappop(heap)
+        found.append(sum(1 << int(order[p]) for p in planes))
+        last = planes[-1]
+        if last + 1 < len(cost):
+            heapq.heappush(heap, (total + cost[last + 1], (*planes, last + 1)))
+            heapq.heappush(heap, (total - cost[last] + cost[last + 1], (*planes[:-1], last + 1)))
+    return found[:probes]
+
+
+def lsh_cells(vector: Column, dim: int, bits: int = 8, seed: int = 7, tables: int = 4) -> Column:
+    """Cell of a vector in every hash table: the sides of `bits` random hyperplanes it lies on (Charikar 2002)."""
 
-    @F.pandas_udf("int")
+    @F.pandas_udf("array<int>")
     def assign(vectors: pd.Series) -> pd.Series:
-        matrix, rows = vector_matrix(pa.array(vectors, pa.list_(pa.float32())))
-        cells = pd.Series(pd.NA, index=range(len(vectors)), dtype="Int32")
+        matrix, rows = vector_matrix(pa.array(vectors, pa.list_(pa.float32())), dim)
+        cells = [None] * len(vectors)
         if len(rows):
-            cells.iloc[rows] = _sides(matrix @ hyperplanes(dim, bits, seed).T)
-        return cells
-
-    return assign(vector)
+            planes = hyperplanes(dim, bits, seed, tables)
+            own = np.stack([(t << bits) + _sides(matrix @ planes[t].T) for t in range(tables)], 1)
+            for place, row in zip(rows.tolist(), own.tolist()):
+                cells[place] = row
+        return pd.Series(cells, dtype=object)
 
+    # Declared not deterministic so that the optimizer never evaluates it twice for a row.
+    return assign.asNondeterministic()(vector)
 
-def _sides(margin: np.ndarray) -> np.ndarray:
-    return (margin > 0) @ (1 << np.arange(margin.shape[1]))
 
+def _probed(vector: Column, dim: int, bits: int, probes: int, seed: int, tables: int) -> Column:
+    """The cells a query visits, its own and the nearest others of every hash table."""
 
-def _probed_cells(matrix: np.ndarray, planes: np.ndarray, probes: int) -> np.ndarray:
-    """Per query its own cell and the nearest others (multi-probe, Lv et al. 2007).
+    @F.pandas_udf("array<int>")
+    def probe(vectors: pd.Series) -> pd.Series:
+        matrix, rows = vector_matrix(pa.array(vectors, pa.list_(pa.float32())), dim)
+        cells = [None] * len(vectors)
+        planes = hyperplanes(dim, bits, seed, tables)
+        for place, unit in zip(rows.tolist(), matrix):
+            visited = []
+            for t in range(tables):
+                margin = planes[t] @ unit
+                own = int(_sides(margin[None, :])[0])
+                visited += [(t << bits) + (own ^ flips) for flips in nearest_flips(margin, probes)]
+            cells[place] = visited
+        return pd.Series(cells, dtype=object)
 
-    A cell is as far away as the summed squared margins of the planes that separate it.
-    """
-    margin = matrix @ planes.T
-    flips = np.arange(1 << len(planes))
-    crossed = ((flips[:, None] >> np.arange(len(planes))) & 1).astype(np.float64)
-    nearest = np.argsort((margin**2) @ crossed.T, axis=1, kind="stable")[:, :probes]
-    return _sides(margin)[:, None] ^ flips[nearest]
+    return probe.asNondeterministic()(vector)
 
 
-def _probe_column(vector: Column, dim: int, bits: int, probes: int, seed: int) -> Column:
-    @F.pandas_udf("array<int>")
-    def probe(vectors: pd.Series) -> pd.Series:
-        matrix, rows = vector_matrix(pa.array(vectors, pa.list_(pa.float32())))
-        cells = pd.Series([None] * len(vectors), dtype=object)
-        if len(rows):
-            for place, visited in zip(rows, _probed_cells(matrix, hyperplanes(dim, bits, seed), probes)):
-                cells.iat[place] = visited.astype(np.int32)
-        return cells
+def _in_cells(docs: DataFrame, dim: int, bits: int, seed: int, tables: int) -> DataFrame:
+    return docs.withColumn(CELL, F.explode(lsh_cells(F.col("embedding"), dim, bits, seed, tables)))
 
-    return probe(vector)
 
+def write_lsh_table(docs: DataFrame, path: str, dim: int, bits: int = 8, seed: int = 7, tables: int = 4, version: int = 1) -> LshTable:
+    """Documents with a vector, in one folder per cell of every hash table; a crowded cell is split over many files.
 
-def write_lsh_table(docs: DataFrame, path: str, dim: int, bits: int = 8, seed: int = 7) -> None:
-    """Documents with a vector, in one folder per cell; a crowded cell is split over many files."""
-    cells = docs.withColumn(CELL, lsh_cell(F.col("embedding"), dim, bits, seed))
+    How the cells were made, and the version of the documents, is stored next to them.
+    """
+    spark = docs.sparkSession
     (
-        cells.where(F.col(CELL).isNotNull())
+        _in_cells(docs, dim, bits, seed, tables)
         .hint("rebalance", CELL)
         .write.mode("overwrite")
         .partitionBy(CELL)
         .option("compression", "zstd")
-        .parquet(path)
+        .parquet(f"{path}/cells")
     )
+    known = [(dim, bits, seed, tables, version)]
+    spark.createDataFrame(known, "dim int, bits int, seed int, tables int, version int").coalesce(1).write.mode("overwrite").parquet(f"{path}/made")
+    return read_lsh_table(spark, path, version)
+
+
+def read_lsh_table(spark: SparkSession, path: str, version: int | None = None) -> LshTable:
+    """The stored table; refused if it was made from another version of the documents."""
+    made = spark.read.parquet(f"{path}/made").first()
+    if version is not None and made["version"] != version:
+        raise StaleTable(f"the LSH table at {path} was made from version {made['version']}")
+    return LshTable(spark.read.parquet(f"{path}/cells"), made["dim"], made["bits"], made["seed"], made["tables"])
 
 
 def dense_search_approx(
-    docs: DataFrame,
+    docs: DataFrame | LshTable,
     queries: DataFrame,
     k: int = K.CANDIDATES,
-    dim: int = K.EMBEDDING_DIM,
-    bits: int = 8,
+    dim: int | None = None,
+    bits: int | None = None,
     probes: int = 32,
-    seed: int = 7,
-    broadcast_limit: int = BROADCAST_BYTES,
-    doc_block: int = 65536,
-    query_block: int = 4096,
+    seed: int | None = None,
+    tables: int | None = None,
+    broadcast_limit: int | None = None,
+    query_block: int | None = None,
 ) -> DataFrame:
-    """As `dense_search`, but a query meets only documents in the `probes` cells nearest to it.
+    """As `dense_search`, but a query meets only documents in the `probes` cells nearest to it, in every hash table.
 
-    Given a table from `write_lsh_table` the cells become a partition filter and the rest of
-    the table is not read; other documents get their cell on the way. Documents without a
-    vector are not found. With `probes = 2 ** bits` the result is exact.
+    Of a stored table only these cells are read; it knows how it was made, and other values are
+    refused. Other documents get their cells on the way. Documents without a vector are not
+    found. With `probes = 2 ** bits` the result is exact.
     """
+    given = {"dim": dim, "bits": bits, "seed": seed, "tables": tables}
+    if isinstance(docs, LshTable):
+        made = {name: getattr(docs, name) for name in given}
+        if wrong := {n: v for n, v in given.items() if v is not None and v != made[n]}:
+            raise ValueError(f"the table was made with {made}, not with {wrong}")
+        rows = docs.rows
+    else:
+        made = {"dim": K.EMBEDDING_DIM, "bits": 8, "seed": 7, "tables": 4} | {n: v for n, v in given.items() if v is not None}
+        rows = _in_cells(docs.select("paper_id", "embedding"), **made)
+    rows = rows.select("paper_id", "embedding", CELL)
     queries = _query_side(queries)
-    schema = _candidate_schema(docs, queries)
-    probes = min(probes, 1 << bits)
-    if CELL not in docs.columns:
-        docs = docs.withColumn(CELL, lsh_cell(F.col("embedding"), dim, bits, seed))
-    docs = docs.select("paper_id", "embedding", CELL).where(F.col(CELL).isNotNull())
-    if data_bytes(queries) > broadcast_limit:
-        probed = queries.withColumn(CELL, F.explode(_probe_column(F.col("embedding"), dim, bits, probes, seed)))
-        return _rank(_scan_in_blocks(docs, probed, k, schema, doc_block, query_block), k)
-    ids, matrix = _collect_queries(queries)
-    if len(ids) == 0:
-        return _rank(docs.sparkSession.createDataFrame([], schema), k)
-    probed = _probed_cells(matrix, hyperplanes(dim, bits, seed), probes)
-    order = np.argsort(probed, axis=None, kind="stable")
-    values, starts = np.unique(probed.ravel()[order], return_index=True)
-    rows = np.split(order // probes, starts[1:])
-    cells = dict(zip(values.tolist(), rows))
-    docs = docs.where(F.col(CELL).isin(values.tolist()))
-    return _rank(_scan_with_broadcast(docs, ids, matrix, k, schema, cells), k)
+    schema = _candidate_schema(rows, queries)
+    probes = min(probes, 1 << made["bits"])
+
+    def search(block: DataFrame) -> DataFrame:
+        visited = block.withColumn("cells", _probed(F.col("embedding"), made["dim"], made["bits"], probes, made["seed"], made["tables"]))
+        table = visited.toArrow()
+        matrix, usable = vector_matrix(table.column("embedding"), made["dim"])
+        if not len(usable):
+            return _rank(rows.sparkSession.createDataFrame([], schema), k)
+        usable = pa.array(usable)
+        ids = table.column("query_id").combine_chunks().take(usable)
+        lists = table.column("cells").combine_chunks().take(usable)
+        asking = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
+        values = lists.flatten().to_numpy()
+        order = np.argsort(values, kind="stable")
+        names, starts = np.unique(values[order], return_index=True)
+        cells = dict(zip(names.tolist(), np.split(asking[order], starts[1:])))
+        near = rows.where(F.col(CELL).isin(names.tolist()))
+        found = _scan_with_broadcast(near, ids, matrix, k, schema, cells)
+        return _rank(found.dropDuplicates(["query_id", "paper_id"]), k)  # a document may be near in several tables
+
+    return _in_turn(_blocks(queries, broadcast_limit, query_block), search)

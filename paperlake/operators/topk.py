@@ -9,13 +9,20 @@ DISTANCE_DIGITS = 9
 _CELLS = 1 << 22
 
 
-def vector_matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors of the usable rows (not null, not zero) and the positions of those rows."""
+def vector_matrix(column: pa.Array, dim: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of the usable rows (not null, not zero) and the positions of those rows.
+
+    All vectors have the same length, `dim` if it is given.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     present = np.flatnonzero(~np.asarray(column.is_null()))
     if len(present) == 0:
         return np.empty((0, 0)), present
+    lengths = np.diff(column.offsets.to_numpy())[present]
+    expected = lengths[0] if dim is None else dim
+    if (lengths != expected).any():
+        raise ValueError(f"vectors of {sorted(set(lengths.tolist()))} components where {expected} are expected")
     flat = column.take(pa.array(present)).flatten().to_numpy(zero_copy_only=False)
     matrix = flat.astype(np.float64).reshape(len(present), -1)
     norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
@@ -23,6 +30,12 @@ def vector_matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return matrix[usable] / norms[usable, None], present[usable]
 
 
+def _objects(ids: pa.Array, rows: np.ndarray) -> np.ndarray:
+    out = np.empty(len(rows), dtype=object)
+    out[:] = ids.take(pa.array(rows, pa.int64())).to_pylist()
+    return out
+
+
 class TopK:
     """The k nearest rows seen so far for each query, ordered by (distance, id).
 
@@ -30,8 +43,9 @@ class TopK:
     a rank. Rows without a usable vector have no distance and come last, by id.
     """
 
-    def __init__(self, queries: np.ndarray, k: int):
-        self.queries, self.k = queries, k
+    def __init__(self, queries: np.ndarray, k: int, once: bool = False):
+        """With `once` a row that is added again (from another cell) counts a single time."""
+        self.queries, self.k, self.once = queries, k, once
         self.bound = np.full(len(queries), np.inf)
         self.query = np.empty(0, dtype=np.int64)
         self.distance = np.empty(0)
@@ -40,10 +54,9 @@ class TopK:
 
     def add(self, ids: pa.Array, vectors: pa.Array, only: np.ndarray | None = None) -> None:
         """Take in a batch for all queries, or for the query rows `only`."""
-        matrix, rows = vector_matrix(vectors)
-        ids = np.array(ids.to_pylist(), dtype=object)
+        matrix, rows = vector_matrix(vectors, self.queries.shape[1] if len(self.queries) else None)
         if only is None:
-            unusable = np.delete(ids, rows)
+            unusable = _objects(ids, np.setdiff1d(np.arange(len(ids)), rows))
             if len(unusable):
                 self.null_ids = np.sort(np.concatenate([self.null_ids, unusable]))[: self.k]
         if len(rows) == 0:
@@ -51,9 +64,9 @@ class TopK:
         chosen = np.arange(len(self.queries)) if only is None else only
         step = max(1, _CELLS // len(rows))
         for start in range(0, len(chosen), step):
-            self._add_block(chosen[start : start + step], matrix, ids[rows])
+            self._add_block(chosen[start : start + step], matrix, ids, rows)
 
-    def _add_block(self, chosen: np.ndarray, matrix: np.ndarray, ids: np.ndarray) -> None:
+    def _add_block(self, chosen: np.ndarray, matrix: np.ndarray, ids: pa.Array, rows: np.ndarray) -> None:
         distance = np.round(1.0 - self.queries[chosen] @ matrix.T, DISTANCE_DIGITS) + 0.0
         bound = self.bound[chosen]
         if distance.shape[1] > self.k:
@@ -61,7 +74,8 @@ class TopK:
         q, row = np.nonzero(distance <= bound[:, None])
         if len(q) == 0:
             return
-        self._merge(chosen[q], distance[q, row], ids[row])
+        near, place = np.unique(row, return_inverse=True)  # only ids of rows that come near leave Arrow
+        self._merge(chosen[q], distance[q, row], _objects(ids, rows[near])[place])
 
     def _merge(self, query: np.ndarray, distance: np.ndarray, ids: np.ndarray) -> None:
         changed = np.isin(self.query, query)
@@ -70,6 +84,9 @@ class TopK:
         ids = np.concatenate([self.ids[changed], ids])
         order = np.lexsort((np.unique(ids, return_inverse=True)[1], distance, query))
         query, distance, ids = query[order], distance[order], ids[order]
+        if self.once and len(query):
+            new = np.r_[True, (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])]
+            query, distance, ids = query[new], distance[new], ids[new]
         starts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
         place = np.arange(len(query)) - np.repeat(starts, np.diff(np.r_[starts, len(query)]))
         full = place == self.k - 1

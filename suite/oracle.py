@@ -1,6 +1,7 @@
 """SQL for the registered queries, for an engine with RE2 patterns, lists and lambdas."""
 
 from paperlake.constants import MODEL_MAP, STOP_WORDS
+from paperlake.operators.dense import hyperplanes
 
 DIM = 64
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -139,6 +140,30 @@ def dense_query(condition: str = "TRUE") -> str:
     return f"WITH {papers}, {QUESTIONS}, {DENSE.replace('papers p', 'some_papers p')} SELECT query_id, paper_id, round(distance, 6) AS distance, rank_dense FROM dense"
 
 
+def lsh_query(tables: int, bits: int, probes: int, seed: int = 7) -> str:
+    """Cells by the sides of the hyperplanes, written as numbers; per table the nearest cells by squared margins."""
+    planes = ", ".join(
+        f"({t}, {b}, {[float(x) for x in plane]})"
+        for t, table in enumerate(hyperplanes(DIM, bits, seed, tables))
+        for b, plane in enumerate(table)
+    )
+    side = lambda source: f"""SELECT s.id, t, sum(CASE WHEN m > 0 THEN 1 << b ELSE 0 END) AS cell, list({{'b': b, 'm': m}}) AS margins
+      FROM (SELECT id, t, b, list_inner_product(v, plane) AS m FROM {source}, planes) s GROUP BY ALL"""
+    return f"""WITH {PAPERS}, {QUESTIONS}, planes(t, b, plane) AS (SELECT t, b, plane::DOUBLE[] FROM (VALUES {planes}) x(t, b, plane)),
+      documents_v AS (SELECT paper_id AS id, embedding::DOUBLE[] AS v FROM papers WHERE embedding IS NOT NULL),
+      queries_v AS (SELECT query_id AS id, embedding::DOUBLE[] AS v FROM questions WHERE embedding IS NOT NULL),
+      document_cells AS ({side("documents_v")}), query_cells AS ({side("queries_v")}),
+      probed AS (SELECT id, t, xor(cell::BIGINT, flips) AS cell FROM (
+          SELECT id, t, cell, flips, list_sum(list_transform(margins, lambda x: CASE WHEN (flips >> x.b) & 1 = 1 THEN x.m * x.m ELSE 0 END)) AS away
+          FROM query_cells, range({1 << bits}) f(flips))
+        QUALIFY row_number() OVER (PARTITION BY id, t ORDER BY away) <= {probes}),
+      met AS (SELECT DISTINCT p.id AS query_id, d.id AS paper_id FROM probed p JOIN document_cells d ON p.t = d.t AND p.cell = d.cell),
+      ranked AS (SELECT query_id, paper_id, round(list_cosine_distance(q.v, d.v), 9) AS distance
+        FROM met JOIN queries_v q ON q.id = query_id JOIN documents_v d ON d.id = paper_id)
+      SELECT query_id, paper_id, round(distance, 6) AS distance, row_number() OVER (PARTITION BY query_id ORDER BY distance, paper_id) AS rank_dense
+      FROM ranked QUALIFY rank_dense <= 20"""
+
+
 # A phrase holds at a start s if the word at offset i of the question lies at s + i in the paper.
 MATCH_PHRASE = f"""
   spelled AS (SELECT query_id, unnest({words("text")}) AS term, generate_subscripts({words("text")}, 1) - 1 AS off FROM questions),
@@ -274,6 +299,7 @@ ORACLE = {
         SELECT vec_id, round(list_cosine_distance(embedding::DOUBLE[], center), 6) AS distance FROM embeddings JOIN centers USING (label)""",
     "dense_topk": dense_query(),
     "dense_blocks": dense_query(),
+    "lsh_topk": lsh_query(tables=3, bits=6, probes=10),
     "lsh_all_cells": dense_query("embedding IS NOT NULL"),
     "inverted_index": f"""WITH {PAPERS}, {POSTINGS} SELECT term, paper_id, CASE WHEN pos < n_title THEN 'title' ELSE 'abstract' END AS field,
         count(*) AS tf, string_agg(pos::VARCHAR, ' ' ORDER BY pos) AS positions, any_value(dl) AS dl

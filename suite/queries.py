@@ -15,7 +15,7 @@ from paperlake.operators import gate as G
 from paperlake.operators import keyword as kw
 from paperlake.operators.context import build_context
 from paperlake.operators.dedupe import dedupe_latest
-from paperlake.operators.dense import dense_search, dense_search_approx, write_lsh_table
+from paperlake.operators.dense import LshTable, dense_search, dense_search_approx, write_lsh_table
 from paperlake.operators.embed import embed, embed_in_batches, fuse_text
 from paperlake.operators.enrich import CUES, enrich, enrich_in_batches, fill_missing
 from paperlake.operators.fusion import rrf
@@ -34,6 +34,7 @@ from paperlake.streaming.feed import stream_feed
 from suite import views
 
 DIM = 64
+LSH_BITS, LSH_TABLES, LSH_PROBES = 6, 3, 10
 
 
 # --- sources, cleansing ---------------------------------------------------------
@@ -220,26 +221,23 @@ def dense_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dense_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    """The same search with both sides cut into blocks, as for more queries than can be broadcast."""
-    found = dense_search(
-        views.papers(spark, sf), views.questions(spark, sf), broadcast_limit=0, doc_block=2048, query_block=64
-    )
+    """The same search block of questions after block, as for more than can be broadcast."""
+    found = dense_search(views.papers(spark, sf), views.questions(spark, sf), query_block=25)
     return found.withColumn("distance", F.round("distance", 6))
 
 
-def _lsh_table(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "lsh")
-    write_lsh_table(views.papers(spark, sf), path, DIM, bits=6)
-    return spark.read.parquet(path)
+def _lsh_table(spark: SparkSession, sf: str) -> LshTable:
+    return write_lsh_table(views.papers(spark, sf), scratch_path(spark, "lsh"), DIM, bits=LSH_BITS, tables=LSH_TABLES)
 
 
 def lsh_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return dense_search_approx(_lsh_table(spark, sf), views.questions(spark, sf), dim=DIM, bits=6, probes=24)
+    found = dense_search_approx(_lsh_table(spark, sf), views.questions(spark, sf), probes=LSH_PROBES)
+    return found.withColumn("distance", F.round("distance", 6))
 
 
 def lsh_all_cells(spark: SparkSession, sf: str) -> DataFrame:
     """With every cell probed the approximate search is exact."""
-    found = dense_search_approx(_lsh_table(spark, sf), views.questions(spark, sf), dim=DIM, bits=6, probes=64)
+    found = dense_search_approx(_lsh_table(spark, sf), views.questions(spark, sf), probes=1 << LSH_BITS)
     return found.withColumn("distance", F.round("distance", 6))
 
 
