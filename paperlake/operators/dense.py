@@ -209,11 +209,22 @@ def write_lsh_table(docs: DataFrame, path: str, dim: int, bits: int = 8, seed: i
         .option("compression", "zstd")
         .parquet(f"{path}/cells")
     )
-    known = [(dim, bits, seed, tables, version)]
-    spark.createDataFrame(known, "dim int, bits int, seed int, tables int, version int").coalesce(1).write.mode("overwrite").parquet(f"{path}/made")
+    return advance_lsh_table(LshTable(spark.read.parquet(f"{path}/cells"), dim, bits, seed, tables), path, version)
+
+
+def advance_lsh_table(made: LshTable, path: str, version: int) -> LshTable:
+    """Say that the table holds the vectors of this version, after a merge that touched none or when it is new."""
+    spark = made.rows.sparkSession
+    known = spark.createDataFrame([(made.dim, made.bits, made.seed, made.tables, version)], "dim int, bits int, seed int, tables int, version int")
+    known.coalesce(1).write.mode("overwrite").parquet(f"{path}/made")
     return read_lsh_table(spark, path, version)
 
 
+def has_lsh_table(spark: SparkSession, path: str) -> bool:
+    location = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/made/_SUCCESS")
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
 def read_lsh_table(spark: SparkSession, path: str, version: int | None = None) -> LshTable:
     """The stored table; refused if it was made from another version of the documents."""
     made = spark.read.parquet(f"{path}/made").first()

@@ -7,6 +7,7 @@ from paperlake import constants as K
 from paperlake.operators import gate as G
 from paperlake.operators import keyword as kw
 from paperlake.operators.dedupe import dedupe_latest
+from paperlake.operators.dense import advance_lsh_table, has_lsh_table, read_lsh_table, write_lsh_table
 from paperlake.operators.embed import Encoder, embed, fuse_text
 from paperlake.operators.enrich import Extractor, enrich, fill_missing
 from paperlake.schemas import PAPER, SERVING
@@ -76,10 +77,17 @@ def keep_index(spark: SparkSession, serving: str, before: int, changed: DataFram
         kw.write_index(papers, path, stem, now)
 
 
+def lsh_table(serving: str) -> str:
+    """Where the LSH table of a published table lies."""
+    return f"{serving}/lsh"
+
+
 def run_loading(
     spark: SparkSession, stage: str, serving: str, dim: int = K.EMBEDDING_DIM, buckets: int | None = None, stem: bool = False
 ) -> int:
-    """Embedding stage -> full-row upsert into the serving table and its text index. Returns the version served.
+    """Embedding stage -> full-row upsert into the serving table, its text index and its LSH table.
+
+    Returns the version served.
 
     A row that breaks a constraint of the table fails the load, as it would in a database.
     """
@@ -91,6 +99,7 @@ def run_loading(
         before = table.version(spark, serving)
         version = table.merge_into(rows, serving) if before else table.publish(rows, serving, buckets=buckets)
         keep_index(spark, serving, before, rows, stem)
+        write_lsh_table(table.resolve(spark, serving), lsh_table(serving), dim, version=version)
     return version
 
 
@@ -110,6 +119,8 @@ def merge_feed(items: DataFrame, serving: str, dlq: str, url_prefix: str, max_er
         before = table.version(spark, serving)
         table.merge_into(newest, serving, update_cols=FEED_COLUMNS, touch="ingested_at", now=now)
         keep_index(spark, serving, before, newest)
+        if has_lsh_table(spark, lsh_table(serving)):  # the feed brings no vectors, those of known papers stay
+            advance_lsh_table(read_lsh_table(spark, lsh_table(serving), before), lsh_table(serving), table.version(spark, serving))
     return report
 
 

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from paperlake import constants as K
 from paperlake.operators.context import build_context
-from paperlake.operators.dense import dense_search
+from paperlake.operators.dense import dense_search, dense_search_approx, read_lsh_table
 from paperlake.operators.fusion import best_fused, rrf
 from paperlake.operators.keyword import StaleIndex, TextIndex, keyword_search, lookup, question_terms, read_index, scan_index
 from paperlake.session import broadcast_if_small, materialize
-from paperlake.plans.pipelines import text_index
+from paperlake.plans.pipelines import lsh_table, text_index
 from paperlake.sinks import table
 
 _SHOWN = ("title", "abstract", "url", "published_date")
@@ -58,10 +58,15 @@ def hybrid_search(
     return fetch(docs, best, queries.count() * limit, with_metadata)
 
 
-def search_table(spark: SparkSession, serving: str, queries: DataFrame, **search) -> DataFrame:
-    """`hybrid_search` on a published table and its text index; a stale index is refused."""
-    index = read_index(spark, text_index(serving), table.version(spark, serving))
-    return hybrid_search(table.resolve(spark, serving), queries, index=index, stem=index.stem, serving=serving, **search)
+def search_table(spark: SparkSession, serving: str, queries: DataFrame, probes: int | None = None, **search) -> DataFrame:
+    """`hybrid_search` on a published table and what is stored with it; a stale structure is refused.
+
+    With `probes` the vector search reads that many cells of the LSH table instead of all vectors.
+    """
+    version = table.version(spark, serving)
+    index = read_index(spark, text_index(serving), version)
+    dense = None if probes is None else dense_search_approx(read_lsh_table(spark, lsh_table(serving), version), queries, probes=probes)
+    return hybrid_search(table.resolve(spark, serving), queries, index=index, stem=index.stem, serving=serving, dense=dense, **search)
 
 
 def fetch(docs: DataFrame, best: DataFrame, most_rows: int, with_metadata: bool) -> DataFrame:

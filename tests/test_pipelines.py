@@ -4,8 +4,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from paperlake.operators.embed import embed
 from paperlake.operators.gate import GateError
+from paperlake.operators.keyword import StaleIndex
 from paperlake.plans import pipelines as P
+from paperlake.plans.search import search_table
 from paperlake.schemas import SERVING
 from paperlake.sinks import table
 from paperlake.sinks.lake import spread, write_lake
@@ -152,3 +155,22 @@ class TestDaily:
         feed_file(tmp_path / "in", "3.xml", *items[4:])
         run()
         assert state(spark, f"{tmp_path}/stream") == state(spark, f"{tmp_path}/batch")
+
+
+def test_what_is_stored_for_search_follows_the_table(spark, tmp_path):
+    """Loaded, reloaded and fed papers are found by their present words; an index left behind is refused."""
+    serving = f"{tmp_path}/serving"
+    load(spark, tmp_path, [paper(i, title=f"graph {i}") for i in range(6)])
+    load(spark, tmp_path, [paper(3, title="cats"), paper(7, title="dogs")], "more")
+    feed_file(tmp_path / "in", "a.xml", item("3", "horses"), item("2608.2", "cats"))
+    P.run_daily(spark, f"{tmp_path}/in", serving, f"{tmp_path}/dlq-daily", now=now())
+    asked = spark.createDataFrame([(0, "graph"), (1, "cats"), (2, "horses"), (3, "dogs")], "query_id long, text string")
+    asked = embed(asked, "text", dim=DIM)
+    for probes in (None, 256):
+        found = {}
+        for row in search_table(spark, serving, asked, probes=probes, limit=10).where("rank_sparse < 999").collect():
+            found.setdefault(row.query_id, set()).add(row.paper_id)
+        assert found == {0: {"0", "1", "2", "4", "5"}, 1: {"2608.2"}, 2: {"3"}, 3: {"7"}}
+    table.merge_into(table.resolve(spark, serving).where("paper_id = '1'"), serving)
+    with pytest.raises(StaleIndex):
+        search_table(spark, serving, asked)
