@@ -264,6 +264,10 @@ _EMBED = f"""WITH tokens AS (SELECT doc_id, unnest({words("text")}) AS term FROM
 _DAILY_MERGED = f"""WITH {FEED} SELECT {_FEED_COLUMNS}, TIMESTAMP '2026-02-02 00:00:00' AS ingested_at,
   CASE WHEN url LIKE 'https%' THEN 'kept ' || paper_id END AS metadata, CASE WHEN url LIKE 'https%' THEN 1 END::BIGINT AS dim FROM feed"""
 
+_INVERTED = f"""WITH {PAPERS}, {POSTINGS} SELECT term, paper_id, CASE WHEN pos < n_title THEN 'title' ELSE 'abstract' END AS field,
+        count(*) AS tf, string_agg(pos::VARCHAR, ' ' ORDER BY pos) AS positions, any_value(dl) AS dl
+        FROM kept JOIN lengths USING (paper_id) GROUP BY 1, 2, 3"""
+
 ORACLE = {
     "clean_text": f"WITH {CLEAN} SELECT paper_id, title, abstract, categories FROM clean",
     "authors_join": f"WITH {CLEAN} SELECT paper_id, authors FROM clean",
@@ -301,9 +305,8 @@ ORACLE = {
     "dense_blocks": dense_query(),
     "lsh_topk": lsh_query(tables=3, bits=6, probes=10),
     "lsh_all_cells": dense_query("embedding IS NOT NULL"),
-    "inverted_index": f"""WITH {PAPERS}, {POSTINGS} SELECT term, paper_id, CASE WHEN pos < n_title THEN 'title' ELSE 'abstract' END AS field,
-        count(*) AS tf, string_agg(pos::VARCHAR, ' ' ORDER BY pos) AS positions, any_value(dl) AS dl
-        FROM kept JOIN lengths USING (paper_id) GROUP BY 1, 2, 3""",
+    "inverted_index": _INVERTED,
+    "index_written": _INVERTED,
     "keyword_topk": f"WITH {keyword(MATCH_ALL)} {_SPARSE_OUT}",
     "keyword_any": f"WITH {keyword(MATCH_ANY)} {_SPARSE_OUT}",
     "keyword_weighted": f"WITH {keyword(MATCH_ANY, 'CASE WHEN pos < n_title THEN 1e0 ELSE 0.4e0 END')} {_SPARSE_OUT}",

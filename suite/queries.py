@@ -245,8 +245,16 @@ def lsh_all_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def inverted_index(spark: SparkSession, sf: str) -> DataFrame:
+    return _fields(kw.build_index(views.papers(spark, sf)).postings)
+
+
+def index_written(spark: SparkSession, sf: str) -> DataFrame:
+    """The same index, stored and read back."""
+    return _fields(kw.write_index(views.papers(spark, sf), scratch_path(spark, "index")).postings)
+
+
+def _fields(postings: DataFrame) -> DataFrame:
     """The postings, field by field."""
-    postings = kw.build_index(views.papers(spark, sf)).postings
     title = F.expr("slice(positions, 1, cast(title_tf AS int))")
     rest = F.expr("slice(positions, cast(title_tf AS int) + 1, cast(abstract_tf AS int))")
     field = lambda name, places: F.struct(F.lit(name).alias("field"), places.alias("positions"))
@@ -564,6 +572,7 @@ QUERIES = {
     "lsh_topk": lsh_topk,
     "lsh_all_cells": lsh_all_cells,
     "inverted_index": inverted_index,
+    "index_written": index_written,
     "keyword_topk": keyword_topk,
     "keyword_any": keyword_any,
     "keyword_weighted": keyword_weighted,
