@@ -41,6 +41,10 @@ METADATA_FIELDS = ("core_method", "dataset_used", "key_findings")
 NOT_SPECIFIED = "Not specified"
 EXTRACTION_ERROR = "Extraction Error"
 TEXT_SEPARATOR = ". "
+RESPONSE_FENCES = ("```json", "```")
+RESPONSE_LEADING_COMMA = r"^\{\s*,\s*"
+RESPONSE_WIDEST_OBJECT = r"\{.*\}"
+RESPONSE_FIELD = r'"{field}"\s*:\s*"(.*?)(?:"\s*[,}}]|$)'
 
 # --- fixed values: context ---------------------------------------------------
 NO_MATCH_CONTEXT = "No specific matching papers found in the local database."

@@ -18,8 +18,8 @@ def _candidate(response: Column) -> Column:
     """The widest `{...}` from the first brace on, with a stray leading comma removed."""
     first = F.instr(response, "{")
     tail = F.when(first > 0, F.substring(response, first, F.length(response))).otherwise(response)
-    tail = F.regexp_replace(tail, r"^\{\s*,\s*", "{")
-    widest = F.regexp_extract(tail, r"(?s)\{.*\}", 0)
+    tail = F.regexp_replace(tail, K.RESPONSE_LEADING_COMMA, "{")
+    widest = F.regexp_extract(tail, "(?s)" + K.RESPONSE_WIDEST_OBJECT, 0)
     return F.when(widest != "", widest).otherwise(tail)
 
 
@@ -35,7 +35,7 @@ def _parsed_object(candidate: Column) -> Column:
 
 def _field_from_text(response: Column, field: str) -> Column:
     """A quoted value after the field name, also one cut off at the end of the text."""
-    pattern = rf'(?s)"{field}"\s*:\s*"(.*?)(?:"\s*[,}}]|$)'
+    pattern = "(?s)" + K.RESPONSE_FIELD.format(field=field)
     return F.when(response.rlike(pattern), F.trim(F.regexp_extract(response, pattern, 1)))
 
 
@@ -45,8 +45,10 @@ def recover_fields(df: DataFrame, response_col: str) -> DataFrame:
     A valid JSON object is read as such. Otherwise each field is searched in the text. If no
     field is found, all of them say so.
     """
-    fence = lambda c: F.replace(F.replace(c, F.lit("```json"), F.lit("")), F.lit("```"), F.lit(""))
-    response = F.regexp_replace(fence(F.coalesce(F.col(response_col), F.lit(""))), r"(?U)^\s+|\s+$", "")
+    response = F.coalesce(F.col(response_col), F.lit(""))
+    for fence in K.RESPONSE_FENCES:
+        response = F.replace(response, F.lit(fence), F.lit(""))
+    response = F.regexp_replace(response, r"(?U)^\s+|\s+$", "")
     staged = df.withColumn("__response", response).withColumn("__object", _parsed_object(_candidate(F.col("__response"))))
     from_text = {f: _field_from_text(F.col("__response"), f) for f in K.METADATA_FIELDS}
     staged = staged.withColumn(

@@ -16,7 +16,7 @@ from paperlake.sinks import table
 from paperlake.sinks.lake import spread, write_lake, write_stage
 from paperlake.sources.feed import parse_feed, read_feed
 from paperlake.sources.lake import read_stage
-from paperlake.sources.snapshot import clean_papers, read_snapshot
+from paperlake.sources.snapshot import MALFORMED, clean_papers, read_snapshot
 
 FEED_COLUMNS = [c for c in PAPER.fieldNames() if c not in ("paper_id", "ingested_at")]
 
@@ -26,9 +26,9 @@ def run_backfill(
 ) -> G.GateReport:
     """Snapshot -> cleansing -> gate -> lake by year. A batch that fails the gate leaves the lake alone."""
     with scratch_scope(spark):
-        flagged = G.gate(clean_papers(read_snapshot(spark, snapshot)), G.backfill_rules())
-        papers, report = G.enforce(flagged, max_error_rate, dlq)
-        write_lake(papers, lake)
+        flagged = G.gate(clean_papers(read_snapshot(spark, snapshot, keep_malformed=True)), G.backfill_rules())
+        papers, report = G.enforce(flagged, max_error_rate, dlq)  # dead letters keep the text of malformed lines
+        write_lake(papers.drop(MALFORMED), lake)
     return report
 
 

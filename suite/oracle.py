@@ -320,6 +320,7 @@ ORACLE = {
     "hybrid_boolean": _HYBRID_OUT.replace(MATCH_ALL, MATCH_EITHER),
     "search_after_merge": _HYBRID_OUT.replace(PAPERS, RENEWED),
     "search_counts": f"WITH {keyword(MATCH_ALL)} SELECT query_id, count(paper_id) AS count FROM questions LEFT JOIN sparse USING (query_id) GROUP BY 1",
+    "hybrid_counts": f"WITH {HYBRID}, {best(5)} SELECT query_id, count(paper_id) AS count FROM questions LEFT JOIN best USING (query_id) GROUP BY 1",
     "rag_context": f"""WITH {HYBRID}, {best(3)}, contexts AS (
         SELECT query_id, {_CONTEXT} AS context, string_agg(concat_ws('|', paper_id, published_date::VARCHAR, metadata), ';' ORDER BY place) AS matched
         FROM best JOIN papers USING (paper_id) GROUP BY 1)

@@ -369,6 +369,11 @@ def search_counts(spark: SparkSession, sf: str) -> DataFrame:
     return result_counts(questions, keyword_topk(spark, sf))
 
 
+def hybrid_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Results per question after fusion."""
+    return result_counts(views.questions(spark, sf), hybrid(spark, sf))
+
+
 def rag_context(spark: SparkSession, sf: str) -> DataFrame:
     papers, questions = views.papers(spark, sf), views.questions(spark, sf)
     context = ask(papers, questions)
@@ -586,6 +591,7 @@ QUERIES = {
     "hybrid_boolean": hybrid_boolean,
     "search_after_merge": search_after_merge,
     "search_counts": search_counts,
+    "hybrid_counts": hybrid_counts,
     "rag_context": rag_context,
     "rag_no_match": rag_no_match,
     "json_fuse": json_fuse,

@@ -80,6 +80,17 @@ def test_dirty_snapshot_leaves_the_lake_alone(spark, tmp_path):
     assert reject.paper_id == "1" and reject.reject_reasons == ["abstract"]
 
 
+def test_dead_letters_keep_malformed_lines(spark, tmp_path):
+    source = snapshot(tmp_path / "bad", [paper(0)])
+    with open(f"{source}/part.json", "a") as lines:
+        lines.write('{"id": "7", "title": \n')
+    P.run_backfill(spark, source, f"{tmp_path}/lake", f"{tmp_path}/dlq", 0.6)
+    (reject,) = spark.read.parquet(f"{tmp_path}/dlq").collect()
+    assert reject.malformed == '{"id": "7", "title": ' and reject.paper_id is None
+    lake = read_lake(spark, f"{tmp_path}/lake")
+    assert lake.count() == 1 and "malformed" not in lake.columns
+
+
 def test_wrong_vector_width_fails_the_load(spark, tmp_path):
     load(spark, tmp_path, [paper(0)])
     with pytest.raises(GateError):
