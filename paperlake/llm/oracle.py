@@ -59,4 +59,35 @@ SELECT conv_id, count(*) AS n_turns,
            ELSE length(replace({_escaped("role")}, chr(10), '<|nl|>')) + {len(START) + 1 + len(END)} END)::BIGINT AS formatted_chars
 FROM marked GROUP BY conv_id"""
 
-ORACLE = {"op1_url_filter": URL_FILTER, "op3_mixing": MIXING, "op7_chat_format": CHAT_FORMAT}
+SUBSTRING_DEDUP = r"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+words AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS p, len(ws) AS n FROM texts),
+windows AS (
+  SELECT r, p, n, word, string_agg(word, ' ') OVER (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) AS w FROM words),
+hashed AS (SELECT r, p, word, CASE WHEN p + 34 <= n THEN md5(w) END AS h FROM windows),
+counted AS (SELECT r, p, word, CASE WHEN h IS NOT NULL AND count(*) OVER (PARTITION BY h) > 1 THEN p END AS start FROM hashed),
+covered AS (SELECT r, p, word, coalesce(p - max(start) OVER (PARTITION BY r ORDER BY p) <= 34, false) AS removed FROM counted),
+done AS (
+  SELECT r, count(*) AS n_words, count(*) FILTER (removed) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY p) FILTER (NOT removed), '') AS kept
+  FROM covered GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN done USING (r)"""
+
+JACCARD_JOIN = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS ws
+  FROM documents),
+words AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS p, len(ws) AS n FROM texts),
+windows AS (
+  SELECT r, p, n, string_agg(word, ' ') OVER (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS w FROM words),
+sets AS (SELECT DISTINCT r, md5(w) AS s FROM windows WHERE p + 4 <= n OR (n < 5 AND p = 1)),
+sizes AS (SELECT r, count(*) AS n FROM sets GROUP BY r),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(r, x) AS (SELECT r, r FROM texts UNION SELECT reached.r, both_ways.b FROM reached JOIN both_ways ON reached.x = both_ways.a)
+SELECT t.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other.doc_id) AS component_id
+FROM texts t JOIN reached USING (r) JOIN texts other ON other.r = x LEFT JOIN sizes ON sizes.r = t.r GROUP BY t.r, t.doc_id"""
+
+ORACLE = {"op6_jaccard_join": JACCARD_JOIN, "op8_substring_dedup": SUBSTRING_DEDUP, "op1_url_filter": URL_FILTER, "op3_mixing": MIXING, "op7_chat_format": CHAT_FORMAT}
