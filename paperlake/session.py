@@ -4,6 +4,7 @@ import atexit
 import math
 import shutil
 import tempfile
+import threading
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -68,7 +69,14 @@ def ship_package(spark: SparkSession) -> None:
     spark.conf.set("spark.paperlake.shipped", context.applicationId)
 
 
-_OPEN_SCOPES: list[list[str]] = []
+class _Scopes(threading.local):
+    """Scratch folders of the scopes that this thread has open."""
+
+    def __init__(self):
+        self.open: list[list[str]] = []
+
+
+_SCOPES = _Scopes()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -86,19 +94,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if _OPEN_SCOPES:
-        _OPEN_SCOPES[-1].append(path)
+    if _SCOPES.open:
+        _SCOPES.open[-1].append(path)
     return path
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Remove the scratch folders made inside, for jobs that have written their results elsewhere."""
-    _OPEN_SCOPES.append([])
+    _SCOPES.open.append([])
     try:
         yield
     finally:
-        for name in _OPEN_SCOPES.pop():
+        for name in _SCOPES.open.pop():
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
