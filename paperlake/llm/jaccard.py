@@ -32,8 +32,9 @@ from paperlake.llm.words import CHUNK_BYTES, Texts, map_texts, mix, range_hashes
 from paperlake.session import broadcast_if_small, materialize, ship_package
 
 SHINGLE, PERCENT = 5, 75
-#: Counts from which an element goes to the end of the order; elements moved at most; members of a part.
-HOT, HOT_MOST, PART = 200, 1_000_000, 32
+#: Counts from which an element goes to the end of the order; elements moved at most; members of a part; classes
+#: that are compared with one copy of a part.
+HOT, HOT_MOST, PART, ASKING = 200, 1_000_000, 32, 128
 #: Minima kept of each set, an even number; buckets are made of two and of three neighbouring ones.
 SKETCHES = 6
 
@@ -274,8 +275,8 @@ def _shared_prefixes(docs: DataFrame, scanned: DataFrame, classes: DataFrame) ->
 
 
 def _groups(classes: DataFrame, pairs: DataFrame, stars: DataFrame) -> DataFrame:
-    """(node, n, component, group, linked, part, alone): linked classes by component, the others by similar buckets."""
-    similar = components(pairs).withColumnRenamed("component", "cluster")
+    """(node, n, component, group, linked, part, alone): linked classes by component, the others by their smallest leader."""
+    similar = pairs.groupBy("node").agg(F.min("leader").alias("cluster"))
     named = classes.select("node", "n").join(components(stars), "node", "left").join(similar, "node", "left")
     linked = F.col("component").isNotNull()
     named = named.withColumns(
@@ -322,13 +323,16 @@ def _matrix_links(docs: DataFrame, scanned: DataFrame, classes: DataFrame, group
     met = materialize(met.where(enough).select("node", "group_b", "part_b"), "jaccard-met")
     if met.isEmpty():
         return None
+    # a part that many classes meet is copied, so that no task compares more than about `ASKING` of them with it
+    part = ["group_b", "part_b"]
+    slices = broadcast_if_small(met.groupBy(*part).agg(F.ceil(F.count("*") / ASKING).cast("int").alias("slices")))
+    met = met.join(slices, part).withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
     reps = classes.select("node", "rid", "rkey")
-    names = groups.select("node", F.col("group").alias("group_b"), F.col("part").alias("part_b"))
-    names = names.join(met.select("group_b", "part_b").distinct(), ["group_b", "part_b"], "left_semi")
-    parts = _members(_texts(docs, reps.join(names, "node")), "group_b", "part_b")
-    asked = met.groupBy("node").agg(F.collect_list(F.struct("group_b", "part_b")).alias("met"))
+    names = groups.select("node", F.col("group").alias("group_b"), F.col("part").alias("part_b")).join(slices, part)
+    members = _texts(docs, reps.join(names, "node")).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    asked = met.groupBy("node").agg(F.collect_list(F.struct(*part, "slice")).alias("met"))
     asking = _texts(docs, reps.join(asked, "node")).withColumn("met", F.explode("met")).select("node", "text", "met.*")
-    return _compare(asking, parts, ["group_b", "part_b"])
+    return _compare(asking, _members(members, *part, "slice"), [*part, "slice"])
 
 
 def _components(docs: DataFrame) -> DataFrame:

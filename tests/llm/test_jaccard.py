@@ -70,6 +70,7 @@ def test_without_stars_the_matrix_finds_every_link(spark, documents, monkeypatch
     links = jaccard._star_links
     monkeypatch.setattr(jaccard, "_star_links", lambda *args: links(*args).limit(0))
     monkeypatch.setattr(jaccard, "PART", 2)
+    monkeypatch.setattr(jaccard, "ASKING", 2)
     rows = corpus(5)
     assert result(jaccard.similar_components(documents(rows))) == sorted(brute(rows), key=str)
 
