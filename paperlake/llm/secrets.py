@@ -1,7 +1,8 @@
 """Secret scan: three patterns, and a battery of randomness tests for tokens that no pattern names.
 
 Patterns (kinds assign, access, hex) are matched leftmost and non-overlapping per kind; too short matches are
-dropped. The battery looks at other runs of at least `MIN_TOKEN` token characters. Per inferred encoding (hex,
+dropped. The battery looks at other runs of at least `MIN_TOKEN` token characters, wherever they stand ('=' is a part
+only as padding behind a run, so values after `name=` are runs of their own). Per inferred encoding (hex,
 base32, base64) it takes
 
 - chi-squared uniformity over the alphabet, and over its lower case, upper case, digits and signs,
@@ -34,7 +35,7 @@ REJECT, DISCOVER = 0.001, 0.01
 _ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
-_TOKEN = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{{{MIN_TOKEN},}}=*")
+_TOKEN = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{MIN_TOKEN},}}=*")
 
 _LOWER_HEX, _UPPER_HEX, _BASE32 = "0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"

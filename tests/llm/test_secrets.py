@@ -49,6 +49,19 @@ def test_the_battery_finds_random_tokens_and_leaves_words():
     assert not any(secrets.spans_of(text) for text in plain if not re.search("[0-9a-f]{16}", text))
 
 
+def test_the_battery_finds_tokens_after_signs():
+    pick = random.Random(12)
+    alphabet = string.ascii_letters + string.digits
+    for before, after in (("auth=", ""), ("sig=", "&x=1"), ("https://a.org/b?x=", ""), ("AccountKey=", "=="), ("key: ", ""), ('"sig"="', '"'), ("auth='", "'"), ("k==", "")):
+        found = 0
+        for _ in range(100):
+            token = "".join(pick.choices(alphabet, k=40))
+            end = len(before) + 40 + 2 * (after == "==")
+            found += secrets.spans_of(before + token + after) == [("random", len(before), end)]
+        assert found >= 95, before
+    assert secrets.spans_of("some_long_identifier_name=another_long_identifier_name ==========================") == []
+
+
 def test_discovery_is_stricter_for_short_tokens_and_more_tests():
     assert secrets.discover([0.009], [30]) == [True]
     assert secrets.discover([0.009, *[1.0] * 9], [30] * 10) == [False] * 10
