@@ -3,14 +3,15 @@
 Patterns (kinds assign, access, hex) are matched leftmost and non-overlapping per kind; too short matches are
 dropped. The battery looks at other runs of at least `MIN_TOKEN` token characters, wherever they stand ('=' is a part
 only as padding behind a run, so values after `name=` are runs of their own). Per inferred encoding (hex,
-base32, base64) it takes
+base32, base36, base62, base64; the first three in lower or upper case) it takes
 
 - chi-squared uniformity over the alphabet, and over its lower case, upper case, digits and signs,
 - the number of runs above and below the middle of the alphabet,
 - the serial correlation of neighbouring characters.
 
 A token passes if none of them rejects randomness. Its p-value is the chance that a token of its length made of
-ordinary text looks as uniform as it does, so short tokens have to be more uniform. The tokens of a document
+ordinary text looks as uniform as it does (base32 and base36: and holds as many digits), so short tokens have to be more
+uniform. The tokens of a document
 then go through the step-up false-discovery procedure with weights in proportion to their length.
 
 Spans are in code points, end exclusive, ordered by start, then kind as in `KINDS`; spans of the battery never
@@ -37,10 +38,18 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 _TOKEN = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{MIN_TOKEN},}}=*")
 
-_LOWER_HEX, _UPPER_HEX, _BASE32 = "0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-_BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+_DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWER_HEX, _UPPER_HEX, _BASE32 = f"{_DIGITS}abcdef", f"{_DIGITS}ABCDEF", f"{_UPPER}234567"
+_BASE64 = f"{_UPPER}{_LOWER}{_DIGITS}+/"
 #: Encodings by size of the alphabet; the second number is how often two characters of ordinary text agree.
-ENCODINGS = {"hex": (_LOWER_HEX, 0.25), "HEX": (_UPPER_HEX, 0.25), "base32": (_BASE32, 0.07), "base64": (_BASE64, 0.065)}
+ENCODINGS = {
+    "hex": (_LOWER_HEX, 0.25), "HEX": (_UPPER_HEX, 0.25), "base32": (_BASE32, 0.07), "lower base32": (_BASE32.lower(), 0.07),
+    "base36": (_DIGITS + _LOWER, 0.065), "BASE36": (_DIGITS + _UPPER, 0.065), "base62": (_DIGITS + _UPPER + _LOWER, 0.065), "base64": (_BASE64, 0.065),
+}
+#: Encodings of letters in both cases; tokens of the others are words if they have no digit.
+MIXED = ("base62", "base64")
+#: Share of digits in ordinary runs of letters of one case and digits, at most.
+DIGIT_SHARE = 0.1
 
 
 def _normal(z: float) -> float:
@@ -53,6 +62,11 @@ def chi_squared_tail(x: float, degrees: int) -> float:
     return 1 - _normal(((max(x, 1e-12) / degrees) ** (1 / 3) - (1 - a)) / math.sqrt(a))
 
 
+def at_least(k: int, n: int, share: float) -> float:
+    """Chance of k or more of n, each with the same share."""
+    return max(0.0, 1 - sum(math.comb(n, i) * share**i * (1 - share) ** (n - i) for i in range(k)))
+
+
 def infer_encoding(token: str) -> str | None:
     """The smallest alphabet that holds the token; None for plain numbers and words of one kind of letter."""
     body = token.rstrip("=")
@@ -61,7 +75,7 @@ def infer_encoding(token: str) -> str | None:
         return None
     for name, (alphabet, _) in ENCODINGS.items():
         if all(c in alphabet for c in (body if name != "base64" else body.replace("-", "+").replace("_", "/"))):
-            return None if name != "base64" and not digits else name
+            return None if name not in MIXED and not digits else name
     return None
 
 
@@ -100,6 +114,8 @@ def battery(token: str, encoding: str) -> tuple[bool, float]:
 
     excess = (n - 1) * (size * agree - 1)
     chance = _normal((chi - (size - 1 + excess)) / math.sqrt(2 * (size - 1) + 4 * excess))
+    if size in (32, 36):
+        chance *= at_least(sum(c.isdigit() for c in body), n, DIGIT_SHARE)
     return min(p_values) >= REJECT, chance
 
 

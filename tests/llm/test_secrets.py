@@ -62,6 +62,17 @@ def test_the_battery_finds_tokens_after_signs():
     assert secrets.spans_of("some_long_identifier_name=another_long_identifier_name ==========================") == []
 
 
+def test_the_battery_finds_tokens_of_every_alphabet_and_length():
+    pick = random.Random(3)
+    lower, upper, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    alphabets = [upper + "234567", lower + "234567", lower + digits, upper + digits, lower + upper + digits, lower + upper + digits + "+/"]
+    for alphabet in alphabets:
+        for n, least in ((20, 60), (24, 65), (32, 90), (40, 93), (64, 95)):
+            found = sum(any(k == "random" for k, _, _ in secrets.spans_of("a " + "".join(pick.choices(alphabet, k=n)) + " b")) for _ in range(100))
+            assert found >= least, (alphabet, n, found)
+    assert not any(secrets.spans_of(text) for text in ("thisisalongnamewith2numbers4", "CHAPTERTWELVEPARTSEVEN12", "averylonglowercasename20"))
+
+
 def test_discovery_is_stricter_for_short_tokens_and_more_tests():
     assert secrets.discover([0.009], [30]) == [True]
     assert secrets.discover([0.009, *[1.0] * 9], [30] * 10) == [False] * 10
