@@ -230,6 +230,16 @@ def _overlap(n: Column, m: Column) -> Column:
     return F.ceil((n + m) * PERCENT / (100 + PERCENT) - 1e-9)
 
 
+def _spare(n: Column, low: Column, high: Column) -> Column:
+    """Most elements behind the end of the longer prefix that may be unshared, over partners of low to high elements.
+
+    Above n it grows by 9 every 28 sizes, but not evenly: it can be one less at a size than at the size before. So the last
+    size but one counts too.
+    """
+    spare = lambda m: _share(F.greatest(n, m)) - 1 - _overlap(n, m)
+    return F.greatest(spare(low), spare(high), spare(F.greatest(low, high - 1)))
+
+
 def _members(texts: DataFrame, *keys: str) -> DataFrame:
     return texts.groupBy(*keys).agg(F.collect_list(F.struct("node", "text")).alias("members"))
 
@@ -318,8 +328,7 @@ def _matrix_links(docs: DataFrame, scanned: DataFrame, classes: DataFrame, group
     # where one of the two prefixes ends, no more than `held` shared elements were seen, only the rest can add to them.
     low = F.greatest("least", _share(F.col("n")))
     high = F.least("most", F.floor(F.col("n") * 100 / PERCENT + 1e-9))
-    spare = lambda m: _share(F.greatest("n", m)) - 1 - _overlap(F.col("n"), m)
-    enough = (F.col("first") >= _overlap(F.col("n"), low)) & (F.col("held") + F.greatest(spare(low), spare(high)) >= 0)
+    enough = (F.col("first") >= _overlap(F.col("n"), low)) & (F.col("held") + _spare(F.col("n"), low, high) >= 0)
     met = materialize(met.where(enough).select("node", "group_b", "part_b"), "jaccard-met")
     if met.isEmpty():
         return None

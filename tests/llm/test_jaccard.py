@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from paperlake.llm import jaccard
 from paperlake.llm.components import components
@@ -104,3 +105,18 @@ def test_components_of_a_chain_a_star_and_a_ring(spark):
     got = {r.node: r.component for r in components(links).collect()}
     assert got == {**dict.fromkeys(range(42), 0), **dict.fromkeys(range(100, 140), 100), **dict.fromkeys(range(200, 209), 200)}
     assert components(links.limit(0)).count() == 0
+
+
+def test_the_bound_of_a_part_covers_every_size_of_its_members(spark):
+    share = lambda m: -(-75 * m // 100)
+    overlap = lambda n, m: -(-75 * (n + m) // 175)
+    rows = []
+    for n in range(1, 130):
+        for low in range(share(n), n * 100 // 75 + 1, 3):
+            best = -n
+            for high in range(low, n * 100 // 75 + 1):
+                best = max(best, share(max(n, high)) - 1 - overlap(n, high))
+                rows.append((n, low, high, best))
+    frame = spark.createDataFrame(rows, "n int, low int, high int, best int")
+    wrong = frame.where(jaccard._spare(F.col("n"), F.col("low"), F.col("high")) != F.col("best"))
+    assert wrong.count() == 0
