@@ -1,7 +1,8 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick in folded text, normalised by length.
 
 Folding: lower case, look-alike letters of other scripts to Latin ones, digits and signs that stand for letters
-to those letters, all else to spaces. Entries are whole words and word beginnings with the log-odds of
+to those letters, all else to spaces. Signs that follow a letter and end a word may be letters (a$$) or not (note1):
+texts that have such signs are read both ways, and a hit counts as often as in the reading that has more. Entries are whole words and word beginnings with the log-odds of
 documents that hold them; both lists are folded alike. A hit inside an exception phrase does not count.
 The score is a logistic curve over sum(weight * (1 + ln hits)) / (1 + words / 100) ** power.
 
@@ -53,17 +54,24 @@ class _Fold(dict):
 
 
 _FOLD = _Fold()
+#: Runs of signs before no letter: those that follow none, and '!' and '|' at the end of a word; and all of them.
+_FREE = re.compile(r"(?<![^\W_])(?<![@!|$+])[@4839!|10$5726+]++(?![^\W\d_])|[!|][!|1]*+(?![^\W_]|[@!|$+])")
 _SIGNS = re.compile(r"[@4839!|10$5726+]++(?![^\W\d_])")
 
 
-def fold(text: str | None) -> str:
-    """Folded text between spaces. Runs of digits and signs before no letter stand for none."""
-    return f" {_SIGNS.sub(' ', (text or '').lower()).translate(_FOLD)} "
+def fold(text: str | None, signs: re.Pattern = _FREE) -> str:
+    """Folded text between spaces. Runs of digits and signs before no letter stand for none, unless they follow one."""
+    return f" {signs.sub(' ', (text or '').lower()).translate(_FOLD)} "
 
 
-def _line(text: str | None) -> str:
+def _line(text: str | None, signs: re.Pattern = _FREE) -> str:
     """Folded words with one space around each."""
-    return " ".join(["", *fold(text).split(), ""])
+    return " ".join(["", *fold(text, signs).split(), ""])
+
+
+def _lines(text: str | None) -> tuple[str, ...]:
+    """The readings of a text: with and without the signs at the ends of words, if that makes a difference."""
+    return tuple(dict.fromkeys((_line(text), _line(text, _SIGNS))))
 
 
 def candidates(folded: str) -> set[str]:
@@ -99,24 +107,31 @@ class Model:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_tree"}
 
-    def raw(self, folded: str, power: float | None = None) -> float:
-        if not hasattr(self, "_tree"):
-            self._tree = self.automaton()
-        if self._tree is None:
-            return 0.0
+    def _counts(self, folded: str) -> Counter:
         hits, covered = [], []
         for end, (entry, weight) in self._tree.iter(folded):
             (covered if weight is None else hits).append((end - len(entry) + 1, end, entry))
         if covered:
             hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in covered)]
-        if not hits:
+        return Counter(entry for _, _, entry in hits)
+
+    def raw(self, folded: str, power: float | None = None, *others: str) -> float:
+        """The margin of a text; `others` are further readings of it."""
+        if not hasattr(self, "_tree"):
+            self._tree = self.automaton()
+        if self._tree is None:
+            return 0.0
+        counts = self._counts(folded)
+        for other in others:
+            counts |= self._counts(other)
+        if not counts:
             return 0.0
-        counts = Counter(entry for _, _, entry in hits)
         total = sum(self.weights[entry] * (1 + np.log(n)) for entry, n in sorted(counts.items()))
         return total / (1 + len(folded.split()) / 100) ** (self.power if power is None else power)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        return sigmoid(self.slope * np.array([self.raw(_line(t)) for t in texts]) + self.offset)
+        raw = [self.raw(first, None, *others) for first, *others in map(_lines, texts)]
+        return sigmoid(self.slope * np.array(raw) + self.offset)
 
 
 def choose(counted: dict[str, tuple[int, int]], n_one: int, n_zero: int) -> dict[str, float]:
@@ -159,7 +174,7 @@ def train(
         for batch in batches:
             found: dict[str, list[int]] = {}
             for text, known in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                for entry in candidates(fold(text)):
+                for entry in set().union(*map(candidates, _lines(text))):
                     found.setdefault(entry, [0, 0])[1 - known] += 1
             if found:
                 one, zero = zip(*found.values(), strict=True)
@@ -185,7 +200,7 @@ def train(
 
     def measure(batches):
         for batch in batches:
-            raw = [[held.value.raw(line, power) for power in POWERS] for line in map(_line, batch.column("text").to_pylist())]
+            raw = [[held.value.raw(first, power, *others) for power in POWERS] for first, *others in map(_lines, batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(raw, pa.list_(pa.float64())), batch.column("label")], ["raw", "label"])
 
     rest = labelled.where(third == 0).mapInArrow(measure, "raw array<double>, label int").collect()

@@ -121,6 +121,15 @@ def test_folding():
     assert toxicity.fold(None) == "  "
 
 
+def test_substituted_signs_at_the_ends_of_words():
+    assert toxicity.fold("a$$ a55 h4t3 l0s3r5 a$$!! idiot!!1 $100 1,000 2024").split() == ["ass", "ass", "hate", "losers", "ass", "idiot"]
+    model = toxicity.Model({" ass ": 5.0, " hate ": 4.0, " losers ": 3.0}, power=0.0, slope=1.0, offset=0.0)
+    texts = ["a$$", "you a55!", "I h4t3 it", "l0s3r5.", "ass1", "hate 5", "nice", "the trash can5"]
+    raw = [model.raw(first, None, *others) for first, *others in map(toxicity._lines, texts)]
+    assert raw == [5.0, 5.0, 4.0, 3.0, 5.0, 4.0, 0.0, 0.0]
+    assert model.scores(texts) == pytest.approx(labelled.sigmoid(np.array(raw)))
+
+
 def test_exception_phrases_are_no_hits():
     model = toxicity.Model({" clown ": 5.0, " tra": 3.0}, power=0.0, slope=1.0, offset=0.0)
     assert model.raw(" a clown ") == 5.0 and model.raw(" a clown fish ") == 0.0
