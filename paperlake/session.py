@@ -107,8 +107,12 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for name in _SCOPES.open.pop():
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            remove_folder(spark, name)
+
+
+def remove_folder(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
