@@ -90,4 +90,62 @@ reached(r, x) AS (SELECT r, r FROM texts UNION SELECT reached.r, both_ways.b FRO
 SELECT t.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other.doc_id) AS component_id
 FROM texts t JOIN reached USING (r) JOIN texts other ON other.r = x LEFT JOIN sizes ON sizes.r = t.r GROUP BY t.r, t.doc_id"""
 
-ORACLE = {"op6_jaccard_join": JACCARD_JOIN, "op8_substring_dedup": SUBSTRING_DEDUP, "op1_url_filter": URL_FILTER, "op3_mixing": MIXING, "op7_chat_format": CHAT_FORMAT}
+
+def _codes(positions: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every round assigns all parts, then takes the floor of the means of entries that are used."""
+
+    def assigned(book: str) -> str:
+        far = "list_sum(list_transform(list_zip(v, b), lambda x: (x[1] - x[2]) * (x[1] - x[2])))"
+        return f"SELECT r, p, v, min((({far})::BIGINT, e)) AS hit FROM parts JOIN {book} USING (p) GROUP BY r, p, v"
+
+    steps = []
+    for i in range(rounds):
+        steps.append(f"""
+a{i} AS MATERIALIZED ({assigned(f"book{i}")}),
+s{i} AS (SELECT p, e, k, sum(x)::BIGINT AS s, count(*) AS n FROM (
+  SELECT p, hit[2] AS e, unnest(v) AS x, generate_subscripts(v, 1) AS k FROM a{i}) GROUP BY p, e, k),
+m{i} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY k) AS b FROM s{i} GROUP BY p, e),
+book{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(m{i}.b, book{i}.b) AS b FROM book{i} LEFT JOIN m{i} USING (p, e)),""")
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT r, p, list_slice(v, p * (len(v) // {positions}) + 1, (p + 1) * (len(v) // {positions})) AS v FROM kept, range({positions}) AS t(p)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, v AS b FROM parts WHERE r <= {entries}),{"".join(steps)}
+last AS MATERIALIZED ({assigned(f"book{rounds}")}),
+coded AS (SELECT r, string_agg(lpad(lower(to_hex(hit[2])), 2, '0'), '' ORDER BY p) AS code, sum(hit[1])::BIGINT AS error FROM last GROUP BY r),
+digest AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, k)) AS d FROM (
+  SELECT p, e, unnest(b) AS x, generate_subscripts(b, 1) AS k FROM book{rounds}))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, d AS codebooks_sha256
+FROM kept JOIN coded USING (r), digest"""
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word"
+RESAMPLING = rf"""
+WITH found AS (SELECT doc_id, {_WORDS} FROM documents),
+wanted AS (SELECT {_WORDS} FROM benchmark),
+crc AS (SELECT list_transform(range(256), lambda n: list_reduce(
+  list_concat([n], range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS steps),
+spelt AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM found UNION SELECT word FROM wanted)),
+hashed AS (
+  SELECT word, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(range(1, length(h), 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT)),
+    lambda c, b: xor(steps[xor(c & 255, b) + 1], c >> 8))) % 10000 AS bucket FROM spelt, crc),
+corpus AS (SELECT bucket, count(*) AS s FROM found JOIN hashed USING (word) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM wanted JOIN hashed USING (word) GROUP BY bucket),
+sums AS (SELECT (SELECT count(*) FROM found)::DOUBLE AS s_all, (SELECT count(*) FROM wanted)::DOUBLE AS t_all),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + 10000) / ((s + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain
+  FROM corpus LEFT JOIN target USING (bucket), sums),
+weights AS (
+  SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM found JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0)::BIGINT AS weight, coalesce(weight, 0)::BIGINT
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM documents LEFT JOIN weights USING (doc_id)),
+places AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scored s LEFT JOIN places USING (doc_id)"""
+
+ORACLE = {"op6_jaccard_join": JACCARD_JOIN, "op8_substring_dedup": SUBSTRING_DEDUP, "op1_url_filter": URL_FILTER, "op3_mixing": MIXING, "op7_chat_format": CHAT_FORMAT, "op12_vector_codes": _codes(), "op13_resampling": RESAMPLING}

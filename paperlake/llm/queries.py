@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake.llm import chat, decontaminate, jaccard, labelled, mixing, nbsvm, rules, secrets, substrings, toxicity, urls
+from paperlake.llm import ann, chat, codes, decontaminate, jaccard, labelled, mixing, nbsvm, resample, rules, secrets, substrings, toxicity, urls
 
 RULES = [
     urls.Rule.read("allow", "com/"),
@@ -91,6 +91,21 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "item_id", "covered", "longest")
 
 
+def op11_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return ann.search(ann.build_index(vectors, k=10), vectors.where("vec_id % 100 = 0"))
+
+
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    coded = codes.compress(table(spark, sf, "embeddings").select("vec_id", "embedding", "label"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = resample.resample(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark").select("text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_quality": op2_quality,
@@ -102,4 +117,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_nearest": op11_nearest,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_resampling": op13_resampling,
 }
