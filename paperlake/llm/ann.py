@@ -9,8 +9,9 @@ Search (Gao & Long 2023, with the column blocks of Kuffo et al. 2025): query cla
 shuffle. Where a segment is opened, its vectors are rotated by one random orthogonal matrix and laid out in
 blocks of `BLOCK` columns. Distances grow block by block. After d of D dimensions a candidate is abandoned if its partial
 distance, scaled by D / d, is above (1 + epsilon / sqrt(d))^2 times the best k-th distance known: under the hypothesis
-that it is near enough, a random rotation makes that very unlikely. The first such bound comes from the
-sample; each segment tightens it. Distances of what is left are computed anew from the original vectors.
+that it is near enough, a random rotation makes that very unlikely. The first such bound comes from the sample rows in
+the probed lists; each segment tightens it. Distances of what is left are computed anew from the original vectors. Queries
+that find fewer than k rows, though there are more, ask all lists again without tests.
 
 Defined results: rows without an id, and vectors that are null, zero (or empty) or hold null or non-finite
 components take no part. Shorter vectors are read as if filled up with zeros. A row is a candidate of its own however
@@ -52,6 +53,7 @@ class Index(NamedTuple):
     sample: np.ndarray
     probes: int
     k: int
+    n: int
 
 
 def matrix_of(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,10 +140,10 @@ def build_index(
     """Index all usable rows for searches of up to k neighbours."""
     ship_package(table.sparkSession)
     plain, kind = _plain(table, vec_id, vector)
-    found = plain.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("width")).first()
-    n, width = found["n"], max(1, found["width"] or 1)
+    width = max(1, plain.agg(F.max(F.size("embedding"))).first()[0] or 1)
     most = max(256, SAMPLE_VALUES // width)
     keyed = _keyed(plain, width, kind)
+    n = keyed.count()
     share = F.pmod(F.xxhash64("vec_id", "key"), F.lit(1 << 32)) < F.lit(min(1 << 32, math.ceil((1 << 32) * most / max(n, 1))))
     drawn = keyed.where(share).select("vec").limit(2 * most).toArrow().column("vec").combine_chunks()
     sample = np.unique(matrix_of(drawn, width)[1], axis=0)
@@ -163,16 +165,16 @@ def build_index(
     classes = classes.groupBy("key").agg(F.first("vec").alias("vec"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
     rows = materialize(classes.mapInArrow(place, f"list int, key binary, vec array<{kind}>, ids array<long>"), "ann-index")
     segments = rows.groupBy("list").agg(F.ceil(F.count("*") / SEGMENT_ROWS).cast("int").alias("n_segments"))
-    return Index(rows, materialize(segments, "ann-segments"), centroids, rotation, sample, probes, k)
+    return Index(rows, materialize(segments, "ann-segments"), centroids, rotation, sample, probes, k, n)
 
 
-def _probed(queries: DataFrame, index: Index, kind: str) -> DataFrame:
-    """Query classes with the lists they probe and the squared distance within which k + 1 sample rows lie."""
-    held = queries.sparkSession.sparkContext.broadcast((index.centroids, index.sample))
-    width, probes, k = index.rotation.shape[0], index.probes, index.k
+def _probed(queries: DataFrame, index: Index, kind: str, probes: int) -> DataFrame:
+    """Query classes with the lists they probe and the squared distance within which k + 1 sample rows of these lists lie."""
+    held = queries.sparkSession.sparkContext.broadcast((index.centroids, index.sample, _nearest(index.sample, index.centroids)))
+    width, k = index.rotation.shape[0], index.k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centroids, sample = held.value
+        centroids, sample, own = held.value
         for whole in batches:
             for start in range(0, len(whole), 64):
                 batch = whole.slice(start, 64)
@@ -180,15 +182,12 @@ def _probed(queries: DataFrame, index: Index, kind: str) -> DataFrame:
                 lists = np.argsort(_squares(matrix, centroids), 1, kind="stable")[:, :probes]
                 bound = np.full(len(matrix), np.inf)
                 if len(sample) > k:
-                    bound = np.partition(_squares(matrix, sample), k, 1)[:, k] * (1 + 1e-9) + 1e-12
-                yield pa.record_batch(
-                    {
-                        "key": batch.column("key"),
-                        "vec": batch.column("vec"),
-                        "bound": pa.array(bound),
-                        "lists": _lists(lists.astype(np.int32), pa.int32()),
-                    }
-                )
+                    probed = np.zeros((len(matrix), len(centroids)), bool)
+                    np.put_along_axis(probed, lists, True, 1)
+                    far = np.where(probed[:, own], _squares(matrix, sample), np.inf)
+                    bound = np.partition(far, k, 1)[:, k] * (1 + 1e-9) + 1e-12
+                columns = {"key": batch.column("key"), "vec": batch.column("vec"), "bound": pa.array(bound)}
+                yield pa.record_batch(columns | {"lists": _lists(lists.astype(np.int32), pa.int32())})
 
     return queries.mapInArrow(run, f"key binary, vec array<{kind}>, bound double, lists array<int>")
 
@@ -287,30 +286,39 @@ def _scan(rotation: np.ndarray, k: int, epsilon: float):
     return run
 
 
-def search(index: Index, queries: DataFrame, query_id: str = "vec_id", vector: str = "embedding", epsilon: float = EPSILON) -> DataFrame:
-    """The nearest rows found for every query -> (query_id, rank, vec_id, score), without one row that is the query itself."""
-    plain, _ = _plain(queries, query_id, vector)
+def _near(index: Index, classes: DataFrame, probes: int, epsilon: float) -> DataFrame:
+    """(key, near): the k + 1 nearest rows found for every query class, in order."""
     kind = index.rows.schema["vec"].dataType.elementType.simpleString()
-    asking = _keyed(plain, index.rotation.shape[0], kind).withColumnRenamed("vec_id", "query_id")
-    asking = materialize(asking.dropDuplicates(["query_id", "key"]), "ann-queries")
-    classes = asking.groupBy("key").agg(F.first("vec").alias("vec"))
     segments = broadcast_if_small(index.segments)
     absent = lambda kind: F.lit(None).cast(kind)
-
-    probed = _probed(classes, index, kind).withColumn("list", F.explode("lists")).join(segments, "list")
+    probed = _probed(classes, index, kind, probes).withColumn("list", F.explode("lists")).join(segments, "list")
     probed = probed.withColumn("segment", F.explode(F.sequence(F.lit(0), F.col("n_segments") - 1)))
     probed = probed.select("list", "segment", F.lit(1).alias("asks"), "key", absent("binary").alias("member"), "vec", "bound", absent("array<long>").alias("ids"))
     segment = F.pmod(F.xxhash64("key"), F.col("n_segments")).cast("int")
     members = index.rows.join(segments, "list")
     members = members.select("list", segment.alias("segment"), F.lit(0).alias("asks"), absent("binary").alias("key"), F.col("key").alias("member"), "vec", absent("double").alias("bound"), "ids")
     met = members.unionByName(probed).repartition("list", "segment").sortWithinPartitions("list", "segment", "asks")
-    rotation = queries.sparkSession.sparkContext.broadcast(index.rotation)
+    rotation = classes.sparkSession.sparkContext.broadcast(index.rotation)
     found = met.mapInArrow(_scan(rotation, index.k + 1, epsilon), "key binary, score double, own boolean, ids array<long>")
 
     best = _first(found, F.col("score"), F.col("ids")[0], index.k + 1)
     best = best.select("key", "score", "own", F.explode("ids").alias("vec_id"))
     best = _first(best, F.col("score"), F.col("vec_id"), index.k + 1)
-    lists = best.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("score", "vec_id", "own"))).alias("near"))
+    return best.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("score", "vec_id", "own"))).alias("near"))
+
+
+def search(index: Index, queries: DataFrame, query_id: str = "vec_id", vector: str = "embedding", epsilon: float = EPSILON) -> DataFrame:
+    """The nearest rows found for every query -> (query_id, rank, vec_id, score), without one row that is the query itself."""
+    plain, _ = _plain(queries, query_id, vector)
+    kind = index.rows.schema["vec"].dataType.elementType.simpleString()
+    asking = _keyed(plain, index.rotation.shape[0], kind).withColumnRenamed("vec_id", "query_id")
+    asking = materialize(asking.dropDuplicates(["query_id", "key"]), "ann-queries")
+    classes = asking.groupBy("key").agg(F.first("vec").alias("vec"))
+    lists = materialize(_near(index, classes, index.probes, epsilon), "ann-found")
+    full = lists.where(F.size("near") >= min(index.k + 1, index.n))
+    short = materialize(classes.join(full, "key", "left_anti"), "ann-short")
+    if not short.isEmpty():
+        lists = full.unionByName(_near(index, short, len(index.centroids), math.inf))
     joined = probe(asking.select("query_id", "key"), lists, "key", "query_id")
     itself = F.array_position(F.transform("near", lambda x: x["own"] & (x["vec_id"] == F.col("query_id"))), F.lit(True))
     joined = joined.withColumn("itself", itself)
