@@ -9,7 +9,8 @@ base32, base36, base62, base64; the first three in lower or upper case) it takes
 - the number of runs above and below the middle of the alphabet,
 - the serial correlation of neighbouring characters.
 
-A token passes if none of them rejects randomness. Its p-value is the chance that a token of its length made of
+A token passes if none of them rejects randomness; of one with dashes that doesn't, the parts between them are tested, if long
+enough. (UUIDs have only short parts and are not reported: they name things.) Its p-value is the chance that a token of its length made of
 ordinary text looks as uniform as it does (base32 and base36: and holds as many digits), so short tokens have to be more
 uniform. The tokens of a document
 then go through the step-up false-discovery procedure with weights in proportion to their length.
@@ -20,6 +21,7 @@ overlap those of the patterns. Null and empty texts have no spans. The result of
 
 import math
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -63,28 +65,51 @@ def chi_squared_tail(x: float, degrees: int) -> float:
 
 
 def at_least(k: int, n: int, share: float) -> float:
-    """Chance of k or more of n, each with the same share."""
-    return max(0.0, 1 - sum(math.comb(n, i) * share**i * (1 - share) ** (n - i) for i in range(k)))
+    """Chance of k or more of n, each with the same share; in logarithms, from the largest term on."""
+    if k <= 0:
+        return 1.0
+    total, i = 0.0, k
+    at = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(share) + (n - k) * math.log1p(-share)
+    if k <= n * share:  # the lower tail is the smaller one
+        return 1.0 - at_least(n - k + 1, n, 1 - share)
+    term = math.exp(at) if at > -745 else 0.0
+    while i <= n and term > total * 1e-17:
+        total += term
+        term *= (n - i) / (i + 1) * share / (1 - share)
+        i += 1
+    return min(1.0, total)
+
+
+_SETS = {name: frozenset(alphabet) for name, (alphabet, _) in ENCODINGS.items()}
+_NUMERALS = frozenset(_DIGITS)
 
 
 def infer_encoding(token: str) -> str | None:
     """The smallest alphabet that holds the token; None for plain numbers and words of one kind of letter."""
-    body = token.rstrip("=")
-    digits = sum(c.isdigit() for c in body)
-    if digits == len(body):
+    used = set(token.rstrip("="))
+    if used <= _NUMERALS:
         return None
-    for name, (alphabet, _) in ENCODINGS.items():
-        if all(c in alphabet for c in (body if name != "base64" else body.replace("-", "+").replace("_", "/"))):
-            return None if name not in MIXED and not digits else name
+    for name, held in _SETS.items():
+        if used <= (held if name != "base64" else held | {"-", "_"}):
+            return None if name not in MIXED and not used & _NUMERALS else name
     return None
 
 
+def _code_table(alphabet: str) -> np.ndarray:
+    table = np.zeros(128, np.int64)
+    table[list(alphabet.encode())] = np.arange(len(alphabet))
+    return table
+
+
+_CODES = {name: _code_table(alphabet) for name, (alphabet, _) in ENCODINGS.items()}
+
+
 def battery(token: str, encoding: str) -> tuple[bool, float]:
-    """Whether the token passes as random, and the chance that ordinary text looks as uniform."""
+    """Whether the token passes as random, and (if it does) the chance that ordinary text looks as uniform."""
     alphabet, agree = ENCODINGS[encoding]
     body = token.rstrip("=")
     body = body.replace("-", "+").replace("_", "/") if encoding == "base64" else body
-    codes = np.array([alphabet.index(c) for c in body])
+    codes = _CODES[encoding][np.frombuffer(body.encode(), np.uint8)]
     n, size = len(codes), len(alphabet)
     counts = np.bincount(codes, minlength=size)
     chi = float((counts.astype(float) ** 2).sum() * size / n - n)
@@ -112,11 +137,13 @@ def battery(token: str, encoding: str) -> tuple[bool, float]:
     serial = float((centered[1:] * centered[:-1]).sum()) / square if square else 1.0
     p_values.append(2 * _normal(-abs(serial + 1 / n) * math.sqrt(n)))
 
+    if min(p_values) < REJECT:
+        return False, 1.0
     excess = (n - 1) * (size * agree - 1)
     chance = _normal((chi - (size - 1 + excess)) / math.sqrt(2 * (size - 1) + 4 * excess))
     if size in (32, 36):
-        chance *= at_least(sum(c.isdigit() for c in body), n, DIGIT_SHARE)
-    return min(p_values) >= REJECT, chance
+        chance *= at_least(int(counts[kinds == 2].sum()), n, DIGIT_SHARE)
+    return True, chance
 
 
 def discover(chances: list[float], lengths: list[int], level: float = DISCOVER) -> list[bool]:
@@ -135,17 +162,40 @@ def spans_of(text: str | None) -> list[tuple[str, int, int]]:
     found = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 12]
     found += [("access", m.start(), m.end()) for m in _ACCESS.finditer(text) if len(m.group()) >= 18]
     found += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
+    taken = _merged(found)
     tested = []
     for match in _TOKEN.finditer(text):
         start, end = match.span()
-        if any(start < b and a < end for _, a, b in found) or not (encoding := infer_encoding(match.group())):
-            continue
-        tested.append((start, end, *battery(match.group(), encoding)))
+        before = bisect_left(taken, (end, 0))
+        if not before or taken[before - 1][1] <= start:
+            tested += _tested(match.group(), start)
     chosen = discover([t[3] if t[2] else 1.0 for t in tested], [t[1] - t[0] for t in tested])
     found += [("random", t[0], t[1]) for t, yes in zip(tested, chosen, strict=True) if yes and t[2]]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def _merged(spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """The places covered by spans, in order and apart from each other."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted((a, b) for _, a, b in spans):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def _tested(token: str, start: int) -> list[tuple[int, int, bool, float]]:
+    """(start, end, passes, chance) of a token; of its long parts between dashes if it doesn't pass as a whole."""
+    encoding = infer_encoding(token)
+    whole = [(start, start + len(token), *battery(token, encoding))] if encoding else []
+    if "-" not in token or (whole and whole[0][2]):
+        return whole
+    parts = [m for m in re.finditer(rf"[^-]{{{MIN_TOKEN},}}", token) if infer_encoding(m.group())]
+    tested = [(start + m.start(), start + m.end(), *battery(m.group(), infer_encoding(m.group()))) for m in parts]
+    return tested or whole
+
+
 _TYPE = "array<struct<kind: string, start: bigint, end: bigint>>"
 
 

@@ -1,6 +1,8 @@
+import math
 import random
 import re
 import string
+import time
 
 from paperlake.llm import secrets
 
@@ -85,3 +87,38 @@ def test_redaction(spark, documents):
     out = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
     assert out == {1: 'a [secret]" b [secret]', 2: "plain", 3: None, 4: ""}
     assert secrets.redact(docs).columns == docs.columns
+
+
+def test_tokens_of_any_length_and_many_spans():
+    pick = random.Random(4)
+    lower, upper, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    for alphabet in (secrets._UPPER_HEX, upper + "234567", lower + "234567", lower + digits, upper + digits, lower + upper + digits, lower + upper + digits + "+/"):
+        for n in (1_000, 10_000, 1_000_000):
+            start = time.perf_counter()
+            found = secrets.spans_of("a " + "".join(pick.choices(alphabet, k=n)) + " b")
+            assert time.perf_counter() - start < 3, (alphabet, n)
+            if not any(k != "random" for k, _, _ in found):  # long upper-case hex holds runs of sixteen digits
+                assert found == [("random", 2, 2 + n)], (alphabet, n)
+    start = time.perf_counter()
+    many = secrets.spans_of("password=abcdefghijkl " * 50_000 + ("x" * 30 + "1 ") * 50_000)
+    assert len(many) == 50_000 and time.perf_counter() - start < 8
+
+
+def test_chances_of_tails():
+    for n, share in ((20, 0.1), (64, 0.1), (300, 0.3), (900, 0.5)):
+        for k in (0, 1, n // 4, n // 2, n):
+            exact = sum(math.comb(n, i) * share**i * (1 - share) ** (n - i) for i in range(k, n + 1))
+            assert math.isclose(secrets.at_least(k, n, share), exact, rel_tol=1e-6, abs_tol=1e-12)
+    assert secrets.at_least(1_000_000, 1_000_000, 0.1) == 0.0 and secrets.at_least(0, 5, 0.1) == 1.0
+
+
+def test_parts_between_dashes():
+    pick = random.Random(7)
+    code = lambda n, of: "".join(pick.choices(of, k=n))
+    found = 0
+    for _ in range(200):
+        token = f"xoxb-{code(12, string.digits)}-{code(12, string.digits)}-{code(24, string.ascii_letters + string.digits)}"
+        spans = secrets.spans_of(f"a {token} b")
+        found += any(k == "random" and b == 2 + len(token) for k, a, b in spans)
+    assert found >= 150
+    assert not secrets.spans_of("see some-very-long-identifier-name-with-dashes2 and 123e4567-e89b-42d3-a456-426614174000")
