@@ -17,12 +17,15 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_RO
     """(text, label) of at most `rows` labelled documents that are not held out.
 
     Rows without an id or with a label other than 0 and 1 are left out; of several labels of one id the
-    largest counts. The ids are broadcast: their number is bounded by `rows`.
+    largest counts, and of several documents of one id the one whose text has the smallest hash. The ids are broadcast: their
+    number is bounded by `rows`.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "label")
+    found = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    order = F.struct(F.xxhash64("text"), "text")
+    return found.groupBy("doc_id").agg(F.min_by("text", order).alias("text"), F.first("label").alias("label")).select("text", "label")
 
 
 def platt(margins: np.ndarray, labels: np.ndarray, rounds: int = 100) -> tuple[float, float]:

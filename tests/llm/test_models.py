@@ -143,3 +143,12 @@ def test_platt_is_stable_on_separable_and_constant_margins():
     assert p[0] < 0.05 and p[1] > 0.8
     slope, offset = labelled.platt(np.zeros(10), np.array([1] * 3 + [0] * 7))
     assert 0.2 < labelled.sigmoid(np.array([offset]))[0] < 0.45
+
+
+def test_a_sample_holds_one_row_of_each_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(3, "a"), (9, None), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0), (9, 1), (None, 1), (1, 1), (1, 0)], "doc_id long, quality int")
+    rows = [tuple(r) for r in labelled.sample(docs, labels, "quality", 10).collect()]
+    assert len(rows) == 3 and sorted(x for _, x in rows) == [0, 1, 1]
+    assert sorted(map(str, rows)) == sorted(str(tuple(r)) for r in labelled.sample(docs.repartition(7), labels, "quality", 10).collect())
+    assert labelled.sample(docs, labels, "quality", 2).count() == 2
