@@ -19,6 +19,9 @@ START, CONT, END, LINE = "<|im_start|>", "<|im_cont|>", "<|im_end|>\n", "<|nl|>"
 #: Control strings of this and other templates; "<|" covers all markers above.
 CONTROL = ("<|", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 
+#: Turns that are handled together where running totals are needed.
+GROUP = 128
+
 
 def escape(text: Column) -> Column:
     """Double backslashes, then split every control string with a single one."""
@@ -34,20 +37,15 @@ def unescape(text: Column) -> Column:
     return F.replace(text, F.lit("\\\\"), F.lit("\\"))
 
 
-def _merge(turns: Column) -> Column:
-    """Blocks of neighbouring turns with the same role: array<struct<role, texts>>."""
-    start = F.expr("CAST(array() AS array<struct<role: string, texts: array<string>>>)")
+def _block(start: Column, i: Column) -> Column:
+    """The turns from a start up to the next one: struct<role, texts>."""
+    end = F.coalesce(F.get("starts", i + 1), F.size("turns"))
+    texts = F.transform(F.slice("turns", start + 1, end - start), lambda t: t["text"])
+    return F.struct(F.get("turns", start)["role"].alias("role"), texts.alias("texts"))
 
-    def add(blocks: Column, turn: Column) -> Column:
-        last = F.element_at(blocks, -1)
-        alone = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        grown = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-        same = (F.size(blocks) > 0) & (F.try_element_at(blocks, F.lit(-1))["role"] == turn["role"])
-        return F.when(same, F.concat(F.slice(blocks, 1, F.size(blocks) - 1), F.array(grown))).otherwise(
-            F.concat(blocks, F.array(alone))
-        )
 
-    return F.aggregate(turns, start, add)
+def _sum(pieces: Column) -> Column:
+    return F.aggregate(pieces, F.lit(0).cast("long"), lambda total, x: total + x)
 
 
 def _piece(chars: Column, train: Column | None = None) -> Column:
@@ -60,7 +58,10 @@ def format_conversations(turns: DataFrame, train_role: str = "assistant") -> Dat
     collected = turns.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("turn", role.alias("role"), text.alias("text")))).alias("turns")
     )
-    merged = collected.select("conv_id", _merge(F.col("turns")).alias("blocks"))
+    places = F.sequence(F.lit(0), F.size("turns") - 1)
+    first = lambda i: (i == 0) | (F.get("turns", i)["role"] != F.get("turns", i - 1)["role"])
+    starts = collected.withColumn("starts", F.filter(places, first))
+    merged = starts.select("conv_id", F.transform("starts", _block).alias("blocks"))
     written = F.transform(
         "blocks",
         lambda block: F.struct(
@@ -87,18 +88,20 @@ def format_conversations(turns: DataFrame, train_role: str = "assistant") -> Dat
             ),
         )
     )
-    start = F.expr("named_struct('at', 0L, 'loss', CAST(array() AS array<struct<start: bigint, chars: bigint>>))")
+    rows = blocks.select("conv_id", F.array_join(whole, "").alias("formatted"), pieces.alias("pieces"))
+    # Running totals in two levels, of groups and within each: no array grows turn by turn.
+    groups = F.sequence(F.lit(0), F.floor((F.size("pieces") - 1) / GROUP).cast("int"))
+    rows = rows.withColumn("groups", F.transform(groups, lambda g: F.slice("pieces", g * GROUP + 1, GROUP)))
+    rows = rows.withColumn("sums", F.transform("groups", lambda g: _sum(F.transform(g, lambda p: p["chars"]))))
+    rows = rows.withColumn("before", F.transform("sums", lambda _, i: _sum(F.slice("sums", 1, i))))
 
-    def walk(state: Column, piece: Column) -> Column:
-        span = F.struct(state["at"].alias("start"), piece["chars"].alias("chars"))
-        loss = F.when(piece["train"], F.concat(state["loss"], F.array(span))).otherwise(state["loss"])
-        return F.struct((state["at"] + piece["chars"]).alias("at"), loss.alias("loss"))
+    def placed(group: Column, before: Column) -> Column:
+        chars = F.transform(group, lambda p: p["chars"])
+        start = lambda j: (before + _sum(F.slice(chars, 1, j))).alias("start")
+        spans = F.transform(group, lambda p, j: F.when(p["train"], F.struct(start(j), p["chars"].alias("chars"))))
+        return F.filter(spans, lambda s: s.isNotNull())
 
-    return blocks.select(
-        "conv_id",
-        F.array_join(whole, "").alias("formatted"),
-        F.aggregate(pieces, start, walk)["loss"].alias("loss"),
-    )
+    return rows.select("conv_id", "formatted", F.flatten(F.zip_with("groups", "before", placed)).alias("loss"))
 
 
 def read_back(formatted: Column) -> Column:
@@ -118,9 +121,18 @@ def read_back(formatted: Column) -> Column:
 
 
 def loss_text(formatted: Column, loss: Column) -> Column:
-    """All text under the mask, unescaped, nothing between."""
-    texts = F.transform(loss, lambda s: unescape(F.substr(formatted, (s["start"] + 1).cast("int"), s["chars"].cast("int"))))
-    return F.array_join(texts, "")
+    """All text under the mask, unescaped, nothing between. Spans are cut out of the stretch of their group."""
+    cut = lambda text, start, chars: F.substr(text, (start + 1).cast("int"), chars.cast("int"))
+
+    def group(g: Column) -> Column:
+        spans = F.slice(loss, g * GROUP + 1, GROUP)
+        first, last = F.get(spans, F.lit(0))["start"], F.element_at(spans, -1)
+        stretch = F.array(F.struct(cut(formatted, first, last["start"] + last["chars"] - first).alias("text"), spans.alias("spans")))
+        texts = lambda s: F.transform(s["spans"], lambda x: unescape(cut(s["text"], x["start"] - F.get(s["spans"], F.lit(0))["start"], x["chars"])))
+        return F.array_join(F.flatten(F.transform(stretch, texts)), "")
+
+    groups = F.when(F.size(loss) > 0, F.sequence(F.lit(0), F.floor((F.size(loss) - 1) / GROUP).cast("int")))
+    return F.coalesce(F.array_join(F.transform(groups, group), ""), F.lit(""))
 
 
 def digest(formatted: DataFrame) -> DataFrame:

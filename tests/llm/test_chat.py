@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -62,3 +63,15 @@ def test_no_python_in_the_plan(spark, plan):
 
 def test_long_conversation(spark):
     check(spark, [(1, i, ("user", "assistant")[i // 2 % 2], f"text {i} " * 20) for i in range(600)])
+
+
+def test_time_grows_with_the_turns(spark):
+    def seconds(n):
+        turns = spark.range(n, numPartitions=1).selectExpr("1 AS conv_id", "id AS turn", "IF(id % 3 = 0, 'user', 'assistant') AS role", "repeat('wörd ', 20) AS text")
+        start = time.perf_counter()
+        row = chat.digest(chat.format_conversations(turns)).first()
+        assert row.n_turns == n and row.loss_chars == 100 * (n - len(range(0, n, 3)))
+        return time.perf_counter() - start
+
+    seconds(400)
+    assert seconds(16_000) < 5 * seconds(4_000)
