@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: `[^\x20\x09-\x0D]+`
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 
