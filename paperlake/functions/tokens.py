@@ -4,6 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperlake.constants import STOP_WORDS
+from paperlake.functions.porter import english_stems
+
+#: How word endings are reduced: not at all, plural endings only (True), or by the English suffix rules ("english").
+Stem = bool | str
 
 WORD = r"[\p{L}\p{N}]+"
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -31,6 +35,11 @@ def placed_terms(column: str) -> Column:
     return F.expr(f"filter(transform({column}, (w, i) -> struct(w AS word, i AS pos)), p -> p.word NOT IN ({_STOP_LIST}))")
 
 
+def without_stops(placed: Column) -> Column:
+    """An array of structs with a `word`, without those whose word is a stop word."""
+    return F.filter(placed, lambda p: ~p["word"].isin(*STOP_WORDS))
+
+
 def light_stem(word: Column) -> Column:
     """Plural endings only, after Harman's S-stemmer (1991)."""
     return (
@@ -41,7 +50,14 @@ def light_stem(word: Column) -> Column:
     )
 
 
-def index_terms(df: DataFrame, text: str, name: str = "terms", stem: bool = False) -> DataFrame:
+def reduced(found: Column, stem: Stem) -> Column:
+    """An array of words in the forms of an index."""
+    if stem == "english":
+        return english_stems(found)
+    return F.transform(found, light_stem) if stem else found
+
+
+def index_terms(df: DataFrame, text: str, name: str = "terms", stem: Stem = False) -> DataFrame:
     """Add the words of a text column that are indexed: no stop words, endings reduced on request."""
     kept = df.withColumn(name, words(F.col(text))).withColumn(name, without_stop_words(name))
-    return kept.withColumn(name, F.transform(name, light_stem)) if stem else kept
+    return kept.withColumn(name, reduced(F.col(name), stem)) if stem else kept

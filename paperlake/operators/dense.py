@@ -22,10 +22,6 @@ CELL = "cell"
 _SHUFFLED_ROWS = 100_000_000
 
 
-class StaleTable(RuntimeError):
-    """A stored LSH table that does not belong to the version that is asked for."""
-
-
 class LshTable(NamedTuple):
     """Documents once per hash table in the cells of their vector, and how the cells were made."""
 
@@ -195,41 +191,26 @@ def _in_cells(docs: DataFrame, dim: int, bits: int, seed: int, tables: int) -> D
     return docs.withColumn(CELL, F.explode(lsh_cells(F.col("embedding"), dim, bits, seed, tables)))
 
 
-def write_lsh_table(docs: DataFrame, path: str, dim: int, bits: int = 8, seed: int = 7, tables: int = 4, version: int = 1) -> LshTable:
-    """Documents with a vector, in one folder per cell of every hash table; a crowded cell is split over many files.
+def write_lsh_table(docs: DataFrame, path: str, dim: int, bits: int = 8, seed: int = 7, tables: int = 4) -> LshTable:
+    """Ids and vectors in a new folder, by cell of every hash table; a crowded cell is split over many files.
 
-    How the cells were made, and the version of the documents, is stored next to them.
+    How the cells were made is stored next to them.
     """
     spark = docs.sparkSession
     (
-        _in_cells(docs, dim, bits, seed, tables)
+        _in_cells(docs.select("paper_id", "embedding"), dim, bits, seed, tables)
         .hint("rebalance", CELL)
-        .write.mode("overwrite")
-        .partitionBy(CELL)
+        .write.partitionBy(CELL)
         .option("compression", "zstd")
         .parquet(f"{path}/cells")
     )
-    return advance_lsh_table(LshTable(spark.read.parquet(f"{path}/cells"), dim, bits, seed, tables), path, version)
-
-
-def advance_lsh_table(made: LshTable, path: str, version: int) -> LshTable:
-    """Say that the table holds the vectors of this version, after a merge that touched none or when it is new."""
-    spark = made.rows.sparkSession
-    known = spark.createDataFrame([(made.dim, made.bits, made.seed, made.tables, version)], "dim int, bits int, seed int, tables int, version int")
-    known.coalesce(1).write.mode("overwrite").parquet(f"{path}/made")
-    return read_lsh_table(spark, path, version)
-
-
-def has_lsh_table(spark: SparkSession, path: str) -> bool:
-    location = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/made/_SUCCESS")
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+    made = spark.createDataFrame([(dim, bits, seed, tables)], "dim int, bits int, seed int, tables int")
+    made.coalesce(1).write.parquet(f"{path}/made")
+    return read_lsh_table(spark, path)
 
 
-def read_lsh_table(spark: SparkSession, path: str, version: int | None = None) -> LshTable:
-    """The stored table; refused if it was made from another version of the documents."""
+def read_lsh_table(spark: SparkSession, path: str) -> LshTable:
     made = spark.read.parquet(f"{path}/made").first()
-    if version is not None and made["version"] != version:
-        raise StaleTable(f"the LSH table at {path} was made from version {made['version']}")
     return LshTable(spark.read.parquet(f"{path}/cells"), made["dim"], made["bits"], made["seed"], made["tables"])
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperlake import constants as K
-from paperlake.functions.tokens import index_terms, is_stop_word, light_stem, placed_terms, without_stop_words, words
+from paperlake.functions.tokens import Stem, index_terms, is_stop_word, placed_terms, reduced, without_stop_words, without_stops, words
 from paperlake.operators.dedupe import top_per_group
 from paperlake.session import broadcast_if_small, data_bytes, materialize, parts_for, probe
 from paperlake.sinks.lake import CODEC
@@ -20,14 +20,16 @@ from paperlake.sinks.lake import CODEC
 TITLE, ABSTRACT = "title", "abstract"
 BUCKET = "term_bucket"
 _PUSHED_TERMS = 10
-#: Bytes of text behind one folder of a stored index, and how many segments it may have.
-_FOLDER_BYTES, _SEGMENTS = 64 << 20, 16
+#: Bytes of text behind one folder of a stored index.
+_FOLDER_BYTES = 64 << 20
 #: Stands in the place of a term in the one row of a paper that tells its length; no word is empty.
 _PAPER = ""
+#: A quoted phrase, with its closing quote or up to the end, or what stands between blanks and quotes.
+_PIECE = r'-*"[^"]*"?|[^\s"]+'
 
 
-class StaleIndex(RuntimeError):
-    """A stored index that does not belong to the version, or the word forms, that are asked for."""
+class WordForms(ValueError):
+    """An index whose words were reduced in another way than those of the questions."""
 
 
 class TextIndex(NamedTuple):
@@ -38,7 +40,7 @@ class TextIndex(NamedTuple):
 
     postings: DataFrame
     corpus: DataFrame
-    stem: bool = False
+    stem: Stem = False
     asked_bytes: int | None = None
 
 
@@ -56,7 +58,7 @@ def _analyzed(docs: DataFrame) -> DataFrame:
     return joined.withColumn("dl", F.size(without_stop_words("words")))
 
 
-def paper_postings(docs: DataFrame, stem: bool = False) -> DataFrame:
+def paper_postings(docs: DataFrame, stem: Stem = False) -> DataFrame:
     """Every paper's postings, one row per (term, paper), and one row per paper with an empty term.
 
     All words of a paper stand in one row, so they are sorted and counted there: nothing is shuffled.
@@ -64,8 +66,10 @@ def paper_postings(docs: DataFrame, stem: bool = False) -> DataFrame:
     lambdas, where it would be evaluated for every element.
     """
     analyzed = _analyzed(docs)
-    term = lambda word: light_stem(word) if stem else word
-    placed = F.transform(placed_terms("words"), lambda w: F.struct(term(w["word"]).alias("term"), w["pos"].alias("pos")))
+    # Zipped, so that no lambda refers to the reduced words as a whole: it would be evaluated for every element.
+    both = F.arrays_zip(F.col("words").alias("word"), reduced(F.col("words"), stem).alias("term")) if stem else None
+    placed = placed_terms("words") if both is None else without_stops(F.transform(both, lambda z, i: F.struct(z["word"], z["term"], i.alias("pos"))))
+    placed = F.transform(placed, lambda w: F.struct(w["term" if stem else "word"].alias("term"), w["pos"].alias("pos")))
     rows = analyzed.select("paper_id", "dl", "n_title", F.array_sort(placed).alias("placed"))
     differs = lambda i: F.get("placed", i)["term"] != F.get("placed", i - 1)["term"]
     places = F.when(F.size("placed") > 0, F.sequence(F.lit(0), F.size("placed") - 1)).otherwise(F.expr("CAST(array() AS array<int>)"))
@@ -90,11 +94,11 @@ def paper_postings(docs: DataFrame, stem: bool = False) -> DataFrame:
     )
 
 
-def _distinct_words(queries: DataFrame, stem: bool) -> DataFrame:
+def _distinct_words(queries: DataFrame, stem: Stem) -> DataFrame:
     return index_terms(queries, "text", stem=stem).select("query_id", F.array_distinct("terms").alias("terms"))
 
 
-def question_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
+def question_terms(queries: DataFrame, stem: Stem = False) -> DataFrame:
     """The distinct words of each question, all required."""
     found = _distinct_words(queries, stem)
     return found.select(
@@ -102,7 +106,7 @@ def question_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
     ).where("term IS NOT NULL")
 
 
-def any_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
+def any_terms(queries: DataFrame, stem: Stem = False) -> DataFrame:
     """The distinct words of each question, any of which may match."""
     found = _distinct_words(queries, stem)
     return found.select(
@@ -110,12 +114,36 @@ def any_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
     ).where("term IS NOT NULL")
 
 
-def phrase_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
+def phrase_terms(queries: DataFrame, stem: Stem = False) -> DataFrame:
     """The words of each question as one phrase."""
-    found = words(F.col("text"))
-    kept = queries.select("query_id", F.posexplode(found).alias("pos", "word")).where(~is_stop_word("word"))
-    term = light_stem(F.col("word")) if stem else F.col("word")
-    return kept.select("query_id", term.alias("term"), "pos", F.lit(0).alias("phrase"))
+    return _spelt(queries.select("query_id", words(F.col("text")).alias("found")), stem).select("query_id", "term", "pos", F.lit(0).alias("phrase"))
+
+
+def _spelt(texts: DataFrame, stem: Stem) -> DataFrame:
+    """One row for each word in `found` that is indexed, in the forms of the index, with its place."""
+    both = texts.withColumn("both", F.arrays_zip(F.col("found").alias("word"), reduced(F.col("found"), stem).alias("term")))
+    spelt = both.select(*texts.columns, F.posexplode("both").alias("pos", "both")).select(*texts.columns, "pos", "both.word", "both.term")
+    return spelt.where(~is_stop_word("word")).drop("found", "word")
+
+
+def search_terms(queries: DataFrame, stem: Stem = False) -> DataFrame:
+    """What is typed into a search box, as a term table: blanks between words mean all of them, `or` starts an alternative, quotes
+    make a phrase, a leading `-` forbids a word or a phrase.
+
+    A quote that is never closed goes on to the end of the text. Bare signs, empty quotes and stop words outside phrases
+    count as blanks, so an `or` without words on one side does nothing. Several words without blanks between them (`state-of-the-art`)
+    are a phrase. An alternative of forbidden words only matches nothing.
+    """
+    pieces = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(_PIECE), F.lit(0))
+    rows = queries.select("query_id", F.posexplode(pieces).alias("piece", "spelling"))
+    before = Window.partitionBy("query_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    is_or = F.lower("spelling") == "or"
+    rows = rows.withColumn("alt", F.count_if(is_or).over(before).cast("int")).where(~is_or)
+    rows = rows.select("query_id", "alt", "piece", F.col("spelling").startswith("-").alias("negated"), words(F.col("spelling")).alias("found"))
+    spelt = _spelt(rows, stem)
+    together = F.count(F.lit(1)).over(Window.partitionBy("query_id", "piece")) > 1
+    phrase, pos = F.when(together, F.col("piece")), F.when(together, F.col("pos")).otherwise(0)
+    return spelt.select("query_id", "term", "alt", "negated", phrase.alias("phrase"), pos.alias("pos"))
 
 
 # --- index ---------------------------------------------------------------------
@@ -127,105 +155,50 @@ def _totals(rows: DataFrame) -> DataFrame:
     return papers.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl"))
 
 
-def build_index(docs: DataFrame, stem: bool = False) -> TextIndex:
+def build_index(docs: DataFrame, stem: Stem = False) -> TextIndex:
     """The inverted index of a table of papers, not yet written."""
     rows = paper_postings(docs, stem)
     return TextIndex(rows.where(F.col("term") != _PAPER), _totals(rows), stem)
 
 
-def _segment(docs: DataFrame, path: str, stem: bool, buckets: int, version: int) -> None:
-    """Write the postings of some papers, in folders by hash of the term and sorted by term.
+def kept_index(rows: DataFrame, stem: Stem = False) -> TextIndex:
+    """The index whose rows are those of `paper_postings`, for instance as a companion of a keyed table."""
+    return TextIndex(rows.where(F.col("term") != _PAPER), _totals(rows), stem)
+
+
+def write_index(docs: DataFrame, path: str, stem: Stem = False, buckets: int | None = None) -> TextIndex:
+    """Store the index of all papers by hash of the term, in a new folder. Folders follow the bytes of the texts.
 
     One shuffle of one row per (term, paper). The rebalance hint lets adaptive execution split a
     folder by its bytes, so a term that a large share of the papers holds is written by several tasks.
     """
+    spark = docs.sparkSession
+    buckets = buckets or parts_for(data_bytes(docs.select("paper_id", TITLE, ABSTRACT)), _FOLDER_BYTES, 16, 4096)
     rows = paper_postings(docs, stem).withColumn(BUCKET, F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
     (
         rows.hint("rebalance", BUCKET)
         .sortWithinPartitions(BUCKET, "term")
-        .write.mode("overwrite")
-        .partitionBy(BUCKET)
+        .write.partitionBy(BUCKET)
         .option("compression", CODEC)
-        .parquet(f"{path}/postings/segment={version}")
-    )
-
-
-def _live(rows: DataFrame, path: str, segments: list[int]) -> DataFrame:
-    """Without the rows of papers that a later segment holds again."""
-    if len(segments) == 1:
-        return rows
-    later = rows.sparkSession.read.parquet(f"{path}/papers").where(F.col("segment").isin(segments))
-    later = later.select("paper_id", F.col("segment").alias("since")).where(F.col("since") > segments[0])
-    newest = later.groupBy("paper_id").agg(F.max("since").alias("since"))
-    side = broadcast_if_small(newest)
-    return rows.join(side, "paper_id", "left").where(F.col("since").isNull() | (F.col("segment") >= F.col("since"))).drop("since")
-
-
-def _finish(spark: SparkSession, path: str, version: int, segments: list[int], buckets: int, stem: bool) -> None:
-    """List the papers of the new segment, then describe the index as of this version."""
-    rows = spark.read.parquet(f"{path}/postings").where(F.col("segment") == version)
-    papers = rows.where(F.col("term") == _PAPER).select("paper_id", "dl")
-    papers.write.mode("overwrite").parquet(f"{path}/papers/segment={version}")
-    everyone = spark.read.parquet(f"{path}/papers").where(F.col("segment").isin(segments))
-    totals = _live(everyone, path, segments).agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl"))
-    described = totals.select(
-        "n_docs", "avg_dl", F.lit(buckets).alias("buckets"), F.lit(stem).alias("stem"), F.array(*map(F.lit, segments)).alias("segments")
+        .parquet(f"{path}/postings")
     )
-    described.coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus/{version}")
-
-
-def write_index(docs: DataFrame, path: str, stem: bool = False, version: int = 1, buckets: int | None = None) -> TextIndex:
-    """Store the index of all papers as of a version of their table. Folders follow the bytes of the texts."""
-    spark = docs.sparkSession
-    buckets = buckets or parts_for(data_bytes(docs.select("paper_id", TITLE, ABSTRACT)), _FOLDER_BYTES, 16, 4096)
-    _segment(docs, path, stem, buckets, version)
-    _finish(spark, path, version, [version], buckets, stem)
-    return read_index(spark, path, version)
-
-
-def refresh_index(docs: DataFrame, changed: DataFrame, path: str, old: int, version: int) -> TextIndex:
-    """Bring a stored index from one version of the table to the next.
-
-    `changed` names the papers (paper_id) that were written since, `docs` is the new table. Only their
-    postings are written; older ones of these papers are hidden. After some versions the index is
-    written anew.
-    """
-    spark = docs.sparkSession
-    known = _described(spark, path, old)
-    if len(known["segments"]) >= _SEGMENTS:
-        return write_index(docs, path, known["stem"], version)
-    _segment(docs.join(broadcast_if_small(changed.select("paper_id").distinct()), "paper_id", "left_semi"), path, known["stem"], known["buckets"], version)
-    _finish(spark, path, version, [*known["segments"], version], known["buckets"], known["stem"])
-    return read_index(spark, path, version)
-
+    totals = _totals(spark.read.parquet(f"{path}/postings"))
+    totals.select("*", F.lit(buckets).alias("buckets"), F.lit(str(stem or "")).alias("stem")).coalesce(1).write.parquet(f"{path}/corpus")
+    return read_index(spark, path)
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
-
-def has_index(spark: SparkSession, path: str) -> bool:
-    return _exists(spark, f"{path}/corpus")
-
-
-def _described(spark: SparkSession, path: str, version: int):
-    if not _exists(spark, f"{path}/corpus/{version}/_SUCCESS"):
-        raise StaleIndex(f"no index for version {version} at {path}")
-    return spark.read.parquet(f"{path}/corpus/{version}").first()
-
-
-def read_index(spark: SparkSession, path: str, version: int = 1) -> TextIndex:
-    """The stored index as of a version of the table; refused if it was not brought up to it."""
-    known = _described(spark, path, version)
-    rows = spark.read.parquet(f"{path}/postings").where(F.col("segment").isin(known["segments"]))
-    postings = _live(rows, path, known["segments"]).where(F.col("term") != _PAPER)
-    return TextIndex(postings, spark.read.parquet(f"{path}/corpus/{version}"), known["stem"])
+def read_index(spark: SparkSession, path: str) -> TextIndex:
+    """The index stored there."""
+    corpus = spark.read.parquet(f"{path}/corpus")
+    stem = corpus.first()["stem"]
+    postings = spark.read.parquet(f"{path}/postings").where(F.col("term") != _PAPER)
+    return TextIndex(postings, corpus, {"": False, "True": True}.get(stem, stem))
 
 
 def lookup(index: TextIndex, terms: DataFrame) -> TextIndex:
     """The index cut down to the given terms.
 
-    A stored index is read only in the folders that can hold the terms (at most one number per
+    An index stored by term is read only in the folders that can hold the terms (at most one number per
     folder comes to the driver). A handful of terms is pushed into the scan as a filter as well,
     which skips row groups; more are probed by a join. What is left is written once, because
     matching reads it twice.
@@ -241,10 +214,10 @@ def lookup(index: TextIndex, terms: DataFrame) -> TextIndex:
     if len(few) <= _PUSHED_TERMS:
         return index._replace(postings=postings.where(F.col("term").isin(few)), asked_bytes=asked)
     found = probe(postings, wanted, "term", "paper_id", "left_semi", asked)
-    return index._replace(postings=materialize(found.drop(BUCKET, "segment"), "postings"), asked_bytes=asked)
+    return index._replace(postings=materialize(found.drop(BUCKET), "postings"), asked_bytes=asked)
 
 
-def scan_index(docs: DataFrame, terms: DataFrame, stem: bool = False) -> TextIndex:
+def scan_index(docs: DataFrame, terms: DataFrame, stem: Stem = False) -> TextIndex:
     """Postings of the given terms straight from the papers, for search without a stored index.
 
     One pass over the text, without a shuffle: words are counted in the row of their paper, and the
@@ -286,6 +259,7 @@ def _prepared_terms(terms: DataFrame) -> DataFrame:
     return full.withColumns(
         {
             "required": F.count_if(~F.col("negated")).over(alternative),
+            "phrase_size": F.count(F.lit(1)).over(Window.partitionBy("query_id", "alt", "negated", "phrase")),
             "scores": ~F.col("negated") & (F.row_number().over(same_term) == 1),
         }
     )
@@ -305,15 +279,20 @@ def _phrases_hold(words_found: Column) -> Column:
     return F.forall(F.array_distinct(F.transform(words_found, lambda w: w["phrase"])), holds)
 
 
+def _stands(words_found: Column) -> Column:
+    """True if all words of one phrase were found, at consecutive places."""
+    return (F.size(words_found) == F.get(words_found, F.lit(0))["phrase_size"]) & _phrases_hold(words_found)
+
+
 def _candidate_matches(postings: DataFrame, asked: DataFrame, size: int) -> DataFrame:
-    """Postings of the asked terms, only in papers that hold the rarest required term of a question.
+    """Postings of the asked terms, only in papers that hold the rarest required term of an alternative.
 
     A paper without that term cannot match, so frequent terms cost nothing where they stand alone.
     """
-    rarest = Window.partitionBy("query_id").orderBy(F.col("rarity").desc_nulls_first(), "term", "pos")
+    rarest = Window.partitionBy("query_id", "alt").orderBy(F.col("rarity").desc_nulls_first(), "term", "pos")
     leads = asked.where("NOT negated").withColumn("place", F.row_number().over(rarest)).where("place = 1")
-    hits = probe(postings.select("paper_id", "term"), leads.select("query_id", "term"), "term", "paper_id", size=size)
-    rows = probe(postings, materialize(hits.select("paper_id", "query_id"), "candidates"), "paper_id", "term")
+    hits = probe(postings.select("paper_id", "term"), leads.select("query_id", "term").distinct(), "term", "paper_id", size=size)
+    rows = probe(postings, materialize(hits.select("paper_id", "query_id").distinct(), "candidates"), "paper_id", "term")
     both = asked.withColumn("key", F.struct("query_id", "term")).drop("query_id", "term")
     rows = rows.withColumn("key", F.struct("query_id", "term"))
     return probe(rows, both, "key", "paper_id", size=size).drop("key")
@@ -325,9 +304,14 @@ def _alternatives_hold(found: Column, phrases: bool) -> Column:
     def holds(alt: Column) -> Column:
         mine = F.filter(found, lambda w: w["alt"] == alt)
         wanted = F.filter(mine, lambda w: ~w["negated"])
-        complete = (F.size(wanted) > 0) & (F.size(wanted) == F.size(mine)) & (F.size(wanted) == F.get(wanted, F.lit(0))["required"])
-        if phrases:
-            complete = complete & _phrases_hold(F.filter(wanted, lambda w: w["phrase"].isNotNull()))
+        complete = (F.size(wanted) > 0) & (F.size(wanted) == F.get(wanted, F.lit(0))["required"])
+        if not phrases:
+            return F.coalesce(complete & (F.size(wanted) == F.size(mine)), F.lit(False))
+        complete = complete & ~F.exists(mine, lambda w: w["negated"] & w["phrase"].isNull())
+        complete = complete & _phrases_hold(F.filter(wanted, lambda w: w["phrase"].isNotNull()))
+        forbidden = F.filter(mine, lambda w: w["negated"] & w["phrase"].isNotNull())
+        stands = lambda phrase: _stands(F.filter(forbidden, lambda w: w["phrase"] == phrase))
+        complete = complete & ~F.exists(F.array_distinct(F.transform(forbidden, lambda w: w["phrase"])), stands)
         return F.coalesce(complete, F.lit(False))
 
     return F.exists(F.array_distinct(F.transform(found, lambda w: w["alt"])), holds)
@@ -356,7 +340,7 @@ def match_terms(index: TextIndex, terms: DataFrame, weights: dict[str, float] |
     # The completed table has the rows of the given one and seven narrow columns more.
     size = 4 * (data_bytes(terms) if index.asked_bytes is None else index.asked_bytes)
     asked = asked.join(rarity, "term", "left")
-    if "alt" in terms.columns:
+    if {"any", "scores"} <= set(terms.columns):
         matches = probe(postings, asked, "term", "paper_id", size=size)
     else:
         matches = _candidate_matches(postings, asked, size)
@@ -366,7 +350,7 @@ def match_terms(index: TextIndex, terms: DataFrame, weights: dict[str, float] |
     if {"required", "scores"} <= set(terms.columns) and "alt" not in terms.columns:  # all words
         found = matches.groupBy("query_id", "paper_id").agg(score, F.count(F.lit(1)).alias("matched"), F.max("required").alias("required"))
         return found.where("matched = required").drop("matched", "required")
-    word = F.struct("alt", "negated", "required", *(["phrase", "pos", "positions"] if has_phrases else []))
+    word = F.struct("alt", "negated", "required", *(["phrase", "phrase_size", "pos", "positions"] if has_phrases else []))
     found = matches.groupBy("query_id", "paper_id").agg(score, F.collect_list(word).alias("found"))
     return found.where(_alternatives_hold(F.col("found"), has_phrases)).drop("found")
 

@@ -67,7 +67,10 @@ class TopK:
             self._add_block(chosen[start : start + step], matrix, ids, rows)
 
     def _add_block(self, chosen: np.ndarray, matrix: np.ndarray, ids: pa.Array, rows: np.ndarray) -> None:
-        distance = np.round(1.0 - self.queries[chosen] @ matrix.T, DISTANCE_DIGITS) + 0.0
+        self.offer(chosen, np.round(1.0 - self.queries[chosen] @ matrix.T, DISTANCE_DIGITS) + 0.0, ids, rows)
+
+    def offer(self, chosen: np.ndarray, distance: np.ndarray, ids: pa.Array, rows: np.ndarray) -> None:
+        """Take in the distances (chosen queries x rows) of some rows of a batch."""
         bound = self.bound[chosen]
         if distance.shape[1] > self.k:
             bound = np.minimum(bound, np.partition(distance, self.k - 1, axis=1)[:, self.k - 1])

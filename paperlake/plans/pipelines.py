@@ -4,10 +4,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperlake import constants as K
+from paperlake.functions.tokens import Stem
+from paperlake.operators import cells
 from paperlake.operators import gate as G
 from paperlake.operators import keyword as kw
 from paperlake.operators.dedupe import dedupe_latest
-from paperlake.operators.dense import advance_lsh_table, has_lsh_table, read_lsh_table, write_lsh_table
 from paperlake.operators.embed import Encoder, embed, fuse_text
 from paperlake.operators.enrich import Extractor, enrich, fill_missing
 from paperlake.schemas import PAPER, SERVING
@@ -18,6 +19,8 @@ from paperlake.sources.feed import parse_feed, read_feed
 from paperlake.sources.lake import read_stage
 from paperlake.sources.snapshot import MALFORMED, clean_papers, read_snapshot
 
+#: What is kept with a serving table: the postings of its texts, and the codes of its vectors.
+TEXT, CELLS = "text", "cells"
 FEED_COLUMNS = [c for c in PAPER.fieldNames() if c not in ("paper_id", "ingested_at")]
 
 
@@ -60,67 +63,66 @@ def serving_rows(enriched: DataFrame) -> DataFrame:
     return named.select([F.col(f.name).cast(f.dataType) for f in SERVING.fields])
 
 
-def text_index(serving: str) -> str:
-    """Where the text index of a published table lies."""
-    return f"{serving}/text_index"
+def text_companion(stem: Stem = "english") -> table.Companion:
+    """Postings by paper bucket, sorted by term."""
+    return table.Companion(TEXT, lambda rows: kw.paper_postings(rows, stem), ("term",), {"stem": stem})
 
 
-def keep_index(spark: SparkSession, serving: str, before: int, changed: DataFrame, stem: bool = False) -> None:
-    """Bring the text index from version `before` to the present one; build it where there is none."""
-    now, path = table.version(spark, serving), text_index(serving)
-    if now == before and kw.has_index(spark, path):
-        return
-    papers = table.resolve(spark, serving)
-    if before and kw.has_index(spark, path):
-        kw.refresh_index(table.lookup(spark, serving, changed), changed, path, before, now)
-    else:
-        kw.write_index(papers, path, stem, now)
+def cells_companion(spark: SparkSession, model_path: str) -> table.Companion:
+    """Cell and code of every vector by paper bucket, sorted by cell."""
+    model = cells.read_model(spark, model_path)
+    return table.Companion(CELLS, lambda rows: cells.code_rows(rows, model), ("cell",), {"model": model_path})
 
 
-def lsh_table(serving: str) -> str:
-    """Where the LSH table of a published table lies."""
-    return f"{serving}/lsh"
+def kept_companions(spark: SparkSession, serving: str) -> list[table.Companion]:
+    """The companions that a table has, a text index at least."""
+    kept = table.settings(spark, serving)
+    out = [text_companion(**kept[TEXT]) if TEXT in kept else text_companion()]
+    return out + ([cells_companion(spark, kept[CELLS]["model"])] if CELLS in kept else [])
 
 
 def run_loading(
-    spark: SparkSession, stage: str, serving: str, dim: int = K.EMBEDDING_DIM, buckets: int | None = None, stem: bool = False
+    spark: SparkSession, stage: str, serving: str, dim: int = K.EMBEDDING_DIM, buckets: int | None = None, stem: Stem | None = None
 ) -> int:
-    """Embedding stage -> full-row upsert into the serving table, its text index and its LSH table.
+    """Embedding stage -> full-row upsert into the serving table, with its text index and the codes of its vectors.
 
-    Returns the version served.
-
-    A row that breaks a constraint of the table fails the load, as it would in a database.
+    Returns the version served. The first load with vectors fits the cells and codebooks, which stay as they are. A row that
+    breaks a constraint of the table fails the load, as it would in a database.
     """
     rows = read_stage(spark, stage)
     if rows.isEmpty():
         return 0
     with scratch_scope(spark):
         rows, _ = G.enforce(G.gate(serving_rows(rows), G.serving_rules(dim)), 0.0, None)
-        before = table.version(spark, serving)
-        version = table.merge_into(rows, serving) if before else table.publish(rows, serving, buckets=buckets)
-        keep_index(spark, serving, before, rows, stem)
-        write_lsh_table(table.resolve(spark, serving), lsh_table(serving), dim, version=version)
-    return version
-
-
-def merge_feed(items: DataFrame, serving: str, dlq: str, url_prefix: str, max_error_rate: float, now: Column | None, empty_is_error: bool) -> G.GateReport:
+        companions = kept_companions(spark, serving)
+        if stem is not None:
+            companions[0] = text_companion(stem)
+        if len(companions) == 1 and not rows.where("embedding IS NOT NULL").isEmpty():
+            companions.append(cells_companion(spark, cells.write_model(spark, cells.train(rows, dim), f"{serving}/models")))
+        if table.exists(spark, serving):
+            return table.merge_into(rows, serving, companions)
+        return table.publish(rows, serving, buckets=buckets, companions=companions)
+
+
+def merge_feed(
+    items: DataFrame, serving: str, dlq: str, url_prefix: str, max_error_rate: float, now: Column | None, empty_is_error: bool,
+    commit: tuple[str, int] | None = None,
+) -> G.GateReport:
     """Feed items -> gate -> partial upsert that keeps vectors and metadata of known papers.
 
-    Papers of the feed are searchable at once: the text index follows the table.
+    Papers of the feed are searchable at once: what is kept for search is committed with the table. A merge
+    that is lost on the way leaves the table as it was and can run again; one that is repeated under the same `commit` does nothing.
     """
     spark = items.sparkSession
     with scratch_scope(spark):
         flagged = G.gate(parse_feed(items, now), G.daily_rules(url_prefix))
         papers, report = G.enforce(flagged, max_error_rate, dlq, empty_is_error)
         newest = dedupe_latest(papers, ["paper_id"], [F.col("published_date").desc_nulls_last()])
-        newest = materialize(newest, "feed")  # read for the folders, the size and each join of the merge
+        newest = materialize(newest, "feed")  # read for the folders and each join of the merge
         if not table.exists(spark, serving):
             table.publish(spark.createDataFrame([], SERVING), serving)
-        before = table.version(spark, serving)
-        table.merge_into(newest, serving, update_cols=FEED_COLUMNS, touch="ingested_at", now=now)
-        keep_index(spark, serving, before, newest)
-        if has_lsh_table(spark, lsh_table(serving)):  # the feed brings no vectors, those of known papers stay
-            advance_lsh_table(read_lsh_table(spark, lsh_table(serving), before), lsh_table(serving), table.version(spark, serving))
+        kept = kept_companions(spark, serving)
+        table.merge_into(newest, serving, kept, commit, update_cols=FEED_COLUMNS, touch="ingested_at", now=now)
     return report
 
 

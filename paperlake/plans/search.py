@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperlake import constants as K
+from paperlake.functions.tokens import Stem
+from paperlake.operators import cells
 from paperlake.operators.context import build_context
-from paperlake.operators.dense import dense_search, dense_search_approx, read_lsh_table
+from paperlake.operators.dense import dense_search
 from paperlake.operators.fusion import best_fused, rrf
-from paperlake.operators.keyword import StaleIndex, TextIndex, keyword_search, lookup, question_terms, read_index, scan_index
+from paperlake.operators.keyword import TextIndex, WordForms, kept_index, keyword_search, lookup, scan_index, search_terms
+from paperlake.plans.pipelines import CELLS, TEXT
 from paperlake.session import broadcast_if_small, materialize
-from paperlake.plans.pipelines import lsh_table, text_index
 from paperlake.sinks import table
 
 _SHOWN = ("title", "abstract", "url", "published_date")
@@ -26,7 +28,7 @@ def hybrid_search(
     with_metadata: bool = False,
     index: TextIndex | None = None,
     depth: int = K.CANDIDATES,
-    stem: bool = False,
+    stem: Stem = "english",
     dense: DataFrame | None = None,
     serving: str | None = None,
     terms: DataFrame | None = None,
@@ -34,8 +36,8 @@ def hybrid_search(
 ) -> DataFrame:
     """Fused vector and keyword search for every row of `queries` (query_id, text, embedding).
 
-    All words of a question's text are required, unless `terms` gives a term table with phrases,
-    alternatives or forbidden words; `weights` boost the fields.
+    A question's text is read as `keyword.search_terms` says (all words, quotes, `or`, a leading `-`), in English word stems
+    unless `stem` says otherwise; `terms` gives another term table, `weights` boost the fields.
 
     Only ids and ranks travel through ranking and fusion; titles and texts are fetched at the
     end for the few papers that made it. At scale every branch can work on a stored structure
@@ -47,8 +49,8 @@ def hybrid_search(
     # Written once: the questions are read by several jobs, and their vectors may be costly to make.
     queries = materialize(queries.select("query_id", "text", "embedding"), "questions")
     if index is not None and index.stem != stem:
-        raise StaleIndex(f"the index was built with stem={index.stem}")
-    terms = question_terms(queries, stem) if terms is None else terms
+        raise WordForms(f"the index was built with stem={index.stem}")
+    terms = search_terms(queries, stem) if terms is None else terms
     found = lookup(index, terms) if index is not None else scan_index(docs, terms, stem)
     dense = dense_search(docs, queries, depth) if dense is None else dense
     best = best_fused(rrf(dense, keyword_search(found, terms, depth, weights)), limit)
@@ -58,15 +60,19 @@ def hybrid_search(
     return fetch(docs, best, queries.count() * limit, with_metadata)
 
 
-def search_table(spark: SparkSession, serving: str, queries: DataFrame, probes: int | None = None, **search) -> DataFrame:
-    """`hybrid_search` on a published table and what is stored with it; a stale structure is refused.
+def search_table(spark: SparkSession, serving: str, queries: DataFrame, rerank: int | None = None, **search) -> DataFrame:
+    """`hybrid_search` on a published table and the text index that is committed with it.
 
-    With `probes` the vector search reads that many cells of the LSH table instead of all vectors.
+    With `rerank` the vector search reads the codes of vectors first, and only that many vectors a question.
     """
-    version = table.version(spark, serving)
-    index = read_index(spark, text_index(serving), version)
-    dense = None if probes is None else dense_search_approx(read_lsh_table(spark, lsh_table(serving), version), queries, probes=probes)
-    return hybrid_search(table.resolve(spark, serving), queries, index=index, stem=index.stem, serving=serving, dense=dense, **search)
+    kept = table.settings(spark, serving)
+    stem = kept.get(TEXT, {}).get("stem")
+    index = kept_index(table.companion(spark, serving, TEXT), stem)
+    docs, dense = table.resolve(spark, serving), None
+    if rerank is not None:
+        codes = cells.CellIndex(table.companion(spark, serving, CELLS), cells.read_model(spark, kept[CELLS]["model"]))
+        dense = cells.cell_search(codes, docs, queries, rerank=rerank, serving=serving)
+    return hybrid_search(docs, queries, index=index, stem=stem, serving=serving, dense=dense, **search)
 
 
 def fetch(docs: DataFrame, best: DataFrame, most_rows: int, with_metadata: bool) -> DataFrame:

@@ -3,14 +3,20 @@
 Rows lie in folders by hash of the key, so a key never changes its folder whatever columns an
 update touches. A commit writes new folders for the buckets it touches and then swaps one small
 pointer file that names the folder of every bucket. Readers resolve the pointer, so they see the
-state before or after a commit; a failed commit leaves folders that nothing names.
+state before or after a commit; a failed commit leaves folders that nothing names, and the next one writes over them.
+
+Companions are tables derived from the rows, such as the postings of a text index. Each bucket of
+rows has its bucket of each companion, written with it and named by the same pointer, so what is
+stored for search never differs from the table. Where rows change, theirs are derived anew.
 
 Keys are unique and not null: a commit that would break this fails. Every commit has the schema of
-the table. The number of folders follows the bytes of the table, so that a merge of few keys rewrites
-a small share of it; a table that has outgrown its folders is laid out anew by the next merge.
+the table. The number of folders follows the bytes of the table when it is published, so that a merge of few keys
+rewrites a small share of it.
 """
 
 import json
+from collections.abc import Callable, Iterable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +29,8 @@ from paperlake.sinks.lake import CODEC
 BUCKET = "key_bucket"
 _POINTER = "CURRENT.json"
 _PUSHED_KEYS = 10
-#: Bytes in memory of a folder, and how far it may grow before the table is laid out anew.
-_FOLDER_BYTES, _GROWTH = 256 << 20, 4
+#: Bytes in memory of a folder.
+_FOLDER_BYTES = 256 << 20
 _LEAST, _MOST = 16, 1 << 16
 
 
@@ -32,6 +38,19 @@ class KeyViolation(ValueError):
     """A key that is null or occurs more than once."""
 
 
+class Companion(NamedTuple):
+    """What is derived from rows of the table and committed with them.
+
+    `derive` works row by row and keeps the key; `sort` orders the rows of a folder. Other `settings` than
+    the stored ones derive all rows anew.
+    """
+
+    name: str
+    derive: Callable[[DataFrame], DataFrame]
+    sort: tuple[str, ...]
+    settings: dict
+
+
 def _file_context(spark: SparkSession, path: str):
     jvm = spark._jvm
     location = jvm.org.apache.hadoop.fs.Path(path)
@@ -76,13 +95,12 @@ def _check_keys(rows: DataFrame, key: str) -> None:
         raise KeyViolation(f"{key} is null" if bad[key] is None else f"{key} {bad[key]!r} occurs {bad['n']} times")
 
 
-def _write_buckets(rows: DataFrame, table: str, version: int, key: str, buckets: int, schema: T.StructType) -> dict[str, str]:
-    """Write rows in the given schema below a new version folder and return the folder of every bucket written."""
-    folder = f"v={version}"
+def _write_buckets(rows: DataFrame, table: str, folder: str, key: str, buckets: int, schema: T.StructType, sort: Iterable[str]) -> dict[str, str]:
+    """Write rows in the given schema below a new folder and return the folder of every bucket written."""
     (
         rows.select([F.col(f.name).cast(f.dataType) for f in schema.fields]).withColumn(BUCKET, _bucket_of(key, buckets))
         .hint("rebalance", BUCKET)
-        .sortWithinPartitions(BUCKET, key)
+        .sortWithinPartitions(BUCKET, *sort)
         .write.mode("overwrite")
         .partitionBy(BUCKET)
         .option("compression", CODEC)
@@ -93,27 +111,40 @@ def _write_buckets(rows: DataFrame, table: str, version: int, key: str, buckets:
     return {n.split("=")[1]: f"{folder}/{n}" for n in names if n.startswith(f"{BUCKET}=")}
 
 
+def _derived(spark: SparkSession, table: str, state: dict, fresh: set[str], companions: Iterable[Companion]) -> dict:
+    """The companions of a state whose `fresh` buckets have new rows. Those that aren't given are dropped."""
+    out = {}
+    for one in companions:
+        held = state.get("companions", {}).get(one.name)
+        again = held is None or held["settings"] != one.settings
+        rows = one.derive(_read_folders(spark, table, state, None if again else fresh))
+        folder = f"{one.name}-v={state['version']}"
+        written = _write_buckets(rows, table, folder, state["key"], state["buckets"], rows.schema, one.sort)
+        kept = {} if again else {b: f for b, f in held["folders"].items() if b not in fresh}
+        out[one.name] = {"settings": one.settings, "schema": rows.schema.jsonValue(), "folders": kept | written}
+    return out
+
+
 def exists(spark: SparkSession, table: str) -> bool:
     return _read_pointer(spark, table) is not None
 
 
-def publish(df: DataFrame, table: str, key: str = "paper_id", buckets: int | None = None) -> int:
+def publish(df: DataFrame, table: str, key: str = "paper_id", buckets: int | None = None, companions: Iterable[Companion] = ()) -> int:
     """Replace the whole table; returns the new version. Folders are as many as its bytes ask for, unless given."""
     spark = df.sparkSession
-    current = _read_pointer(spark, table)
-    version = current["version"] + 1 if current else 1
-    size = data_bytes(df)
+    current = _read_pointer(spark, table) or {"version": 0}
     state = {
-        "version": version,
+        "version": current["version"] + 1,
         "key": key,
-        "buckets": buckets or parts_for(size, _FOLDER_BYTES, _LEAST, _MOST),
-        "bytes": size,
+        "buckets": buckets or parts_for(data_bytes(df), _FOLDER_BYTES, _LEAST, _MOST),
         "schema": df.schema.jsonValue(),
+        "commits": current.get("commits", {}),
     }
-    state["folders"] = _write_buckets(df, table, version, key, state["buckets"], df.schema)
+    state["folders"] = _write_buckets(df, table, f"v={state['version']}", key, state["buckets"], df.schema, [key])
     _check_keys(_read_folders(spark, table, state).select(key), key)
+    state["companions"] = _derived(spark, table, state, set(state["folders"]), companions)
     _swap_pointer(spark, table, state)
-    return version
+    return state["version"]
 
 
 def _read_folders(spark: SparkSession, table: str, state: dict, buckets: set[str] | None = None) -> DataFrame:
@@ -151,32 +182,50 @@ def lookup(spark: SparkSession, table: str, keys: DataFrame) -> DataFrame:
     return rows.join(broadcast_if_small(wanted), key, "left_semi")
 
 
+def settings(spark: SparkSession, table: str) -> dict[str, dict]:
+    """The companions of the last commit, by name, and the settings each was made with."""
+    state = _read_pointer(spark, table) or {}
+    return {name: one["settings"] for name, one in state.get("companions", {}).items()}
+
+
+def companion(spark: SparkSession, table: str, name: str) -> DataFrame:
+    """A companion as of the last commit."""
+    state = _read_pointer(spark, table)
+    if state is None or name not in state.get("companions", {}):
+        raise FileNotFoundError(f"no {name} is kept with the table at {table}")
+    return _read_folders(spark, table, state["companions"][name])
+
+
 def version(spark: SparkSession, table: str) -> int:
     """The version of the last commit; 0 for a table that was never published."""
     state = _read_pointer(spark, table)
     return state["version"] if state else 0
 
 
-def merge_into(updates: DataFrame, table: str, **merge) -> int:
+def merge_into(
+    updates: DataFrame, table: str, companions: Iterable[Companion] = (), commit: tuple[str, int] | None = None, **merge
+) -> int:
     """Upsert `updates` and commit; only folders holding their keys are rewritten.
 
-    A key that is null or comes twice fails the merge. `updates` is read several times.
+    A key that is null or comes twice fails the merge. `updates` is read several times. `commit` is a
+    source and a growing number; a merge that is repeated under a number already committed does nothing.
     """
     spark = updates.sparkSession
     state = _read_pointer(spark, table)
     if state is None:
         raise FileNotFoundError(f"no published table at {table}")
+    if commit and state.get("commits", {}).get(commit[0], -1) >= commit[1]:
+        return state["version"]
     key, buckets = state["key"], state["buckets"]
     _check_keys(updates.select(key), key)
     touched = {str(row[0]) for row in updates.select(_bucket_of(key, buckets)).distinct().collect()}
     if not touched:
         return state["version"]
-    schema = T.StructType.fromJson(state["schema"])
-    size = state.get("bytes", 0) + data_bytes(updates)
-    if size > _GROWTH * buckets * _FOLDER_BYTES and buckets < _MOST:
-        return publish(upsert(_read_folders(spark, table, state), updates, key=key, **merge), table, key)
-    version = state["version"] + 1
     merged = upsert(_read_folders(spark, table, state, touched), updates, key=key, **merge)
-    folders = state["folders"] | _write_buckets(merged, table, version, key, buckets, schema)
-    _swap_pointer(spark, table, state | {"version": version, "folders": folders, "bytes": size})
-    return version
+    number = state["version"] + 1
+    written = _write_buckets(merged, table, f"v={number}", key, buckets, T.StructType.fromJson(state["schema"]), [key])
+    state = state | {"version": number, "folders": state["folders"] | written}
+    state["companions"] = _derived(spark, table, state, touched, companions)
+    state["commits"] = state.get("commits", {}) | ({commit[0]: commit[1]} if commit else {})
+    _swap_pointer(spark, table, state)
+    return number

@@ -1,5 +1,7 @@
 """The daily feed as a file stream: every arrival is gated and merged like a batch."""
 
+import json
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,13 +23,14 @@ def stream_feed(
 ) -> StreamingQuery:
     """Merge every file that arrives in `landing`, then stop when all are taken in.
 
-    A micro-batch may run again after a failure. The merge is keyed, so running it twice
-    leaves the same table. Dead letters are kept per micro-batch.
+    A micro-batch may run again after a failure. Its number is committed with the table, under the id of the
+    query, so one that had got that far is recognised. Dead letters are kept per micro-batch.
     """
     items = read_feed(spark, landing, streaming=True, max_files=max_files)
 
     def take_in(batch, batch_id: int) -> None:
-        merge_feed(batch, serving, f"{dlq}/batch={batch_id}", url_prefix, max_error_rate, now, False)
+        source = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        merge_feed(batch, serving, f"{dlq}/batch={batch_id}", url_prefix, max_error_rate, now, False, (source, batch_id))
 
     return (
         items.writeStream.foreachBatch(take_in)

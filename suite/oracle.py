@@ -1,6 +1,7 @@
 """SQL for the registered queries, for an engine with RE2 patterns, lists and lambdas."""
 
 from paperlake.constants import MODEL_MAP, STOP_WORDS
+from paperlake.functions.porter import AFTER_PLURALS, DOUBLES, EXCEPTIONS, STEP_2, STEP_3, STEP_4, WHOLE_PREFIXES
 from paperlake.operators.dense import hyperplanes
 
 DIM = 64
@@ -164,6 +165,54 @@ def lsh_query(tables: int, bits: int, probes: int, seed: int = 7) -> str:
       FROM ranked QUALIFY rank_dense <= 20"""
 
 
+def cells_query(share: float = 0.85, part: int = 4, entries: int = 64, rounds: int = 4, rerank: int = 100) -> str:
+    """Integer vectors, Lloyd's rounds for the cells and for every run of what they leave over, code distances, exact ranks."""
+    away = "list_sum(list_transform(list_zip({0}, {1}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+    def lloyd(name: str, points: str, book: str) -> str:
+        """Books of a table of (run, r, v), from the first `book` rows of every run."""
+        steps = [f"{name}0 AS MATERIALIZED (SELECT run, r - 1 AS e, v AS b FROM {points} WHERE r <= {book})"]
+        for i in range(rounds):
+            steps.append(f"""{name}_at{i} AS MATERIALIZED (
+              SELECT run, r, v, min((({away.format("v", "b")})::BIGINT, e))[2] AS e FROM {points} JOIN {name}{i} USING (run) GROUP BY ALL)""")
+            steps.append(f"""{name}_sum{i} AS (SELECT run, e, k, sum(x)::BIGINT AS s, count(*) AS n FROM (
+              SELECT run, e, unnest(v) AS x, generate_subscripts(v, 1) AS k FROM {name}_at{i}) GROUP BY ALL)""")
+            steps.append(f"{name}_mean{i} AS (SELECT run, e, list((s - ((s % n) + n) % n) // n ORDER BY k) AS b FROM {name}_sum{i} GROUP BY ALL)")
+            steps.append(f"""{name}{i + 1} AS MATERIALIZED (
+              SELECT run, e, coalesce(m.b, o.b) AS b FROM {name}{i} o LEFT JOIN {name}_mean{i} m USING (run, e))""")
+        return ", ".join(steps)
+
+    whole = "list_transform({0}, lambda x: floor(x / sqrt(list_inner_product({0}, {0})) * 4096)::BIGINT)"
+    runs = f"range({DIM // part}) t(run)"
+    cut = f"list_slice({{0}}, run * {part} + 1, run * {part} + {part})"
+    left = "list_transform(list_zip({0}, {1}), lambda z: z[1] - z[2])"
+    return f"""WITH {PAPERS}, {QUESTIONS},
+      vectors AS MATERIALIZED (SELECT paper_id, {whole.format("d")} AS v FROM (SELECT paper_id, embedding::DOUBLE[] AS d FROM papers WHERE embedding IS NOT NULL)),
+      asked AS MATERIALIZED (SELECT query_id, {whole.format("d")} AS v FROM (SELECT query_id, embedding::DOUBLE[] AS d FROM questions WHERE embedding IS NOT NULL)),
+      sample AS MATERIALIZED (SELECT 0 AS run, row_number() OVER (ORDER BY md5(paper_id), paper_id) AS r, v FROM vectors QUALIFY r <= 4096),
+      n_cells AS (SELECT ceil(sqrt(count(*)) / 2)::BIGINT AS n FROM vectors),
+      {lloyd("cell", "sample", "(SELECT n FROM n_cells)")},
+      placed AS MATERIALIZED (SELECT paper_id, v, min((({away.format("v", "b")})::BIGINT, e))[2] AS cell FROM vectors, cell{rounds} GROUP BY ALL),
+      over AS MATERIALIZED (SELECT paper_id, cell, {left.format("v", "b")} AS v FROM placed JOIN cell{rounds} ON e = cell),
+      kept AS MATERIALIZED (
+        SELECT run, r, {cut.format("v")} AS v
+        FROM (SELECT v, row_number() OVER (ORDER BY md5(paper_id), paper_id) AS r FROM over QUALIFY r <= 4096), {runs}),
+      {lloyd("book", "kept", str(entries))},
+      pieces AS (SELECT paper_id, cell, run, {cut.format("v")} AS v FROM over, {runs}),
+      coded AS MATERIALIZED (
+        SELECT paper_id, cell, run, min((({away.format("v", "b")})::BIGINT, e))[2] AS e FROM pieces JOIN book{rounds} USING (run) GROUP BY paper_id, cell, run, v),
+      probed AS (SELECT query_id, e AS cell, a.v, c.b FROM asked a, cell{rounds} c
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY {away.format("a.v", "c.b")}, e) <= ceil({share} * (SELECT n FROM n_cells))),
+      questioned AS (SELECT query_id, cell, run, {cut.format(left.format("v", "b"))} AS q FROM probed, {runs}),
+      looked_up AS MATERIALIZED (SELECT query_id, cell, run, e, {away.format("q", "b")} AS d FROM questioned JOIN book{rounds} USING (run)),
+      near AS (SELECT query_id, paper_id, sum(d) AS d FROM coded JOIN looked_up USING (cell, run, e) GROUP BY ALL),
+      best AS (SELECT query_id, paper_id FROM near QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, paper_id) <= {rerank}),
+      ranked AS (SELECT query_id, paper_id, round(list_cosine_distance(q.embedding::DOUBLE[], p.embedding::DOUBLE[]), 9) AS distance
+        FROM best JOIN questions q USING (query_id) JOIN papers p USING (paper_id))
+      SELECT query_id, paper_id, round(distance, 6) AS distance, row_number() OVER (PARTITION BY query_id ORDER BY distance, paper_id) AS rank_dense
+      FROM ranked QUALIFY rank_dense <= 20"""
+
+
 # A phrase holds at a start s if the word at offset i of the question lies at s + i in the paper.
 MATCH_PHRASE = f"""
   spelled AS (SELECT query_id, unnest({words("text")}) AS term, generate_subscripts({words("text")}, 1) - 1 AS off FROM questions),
@@ -191,6 +240,65 @@ _STEM = """CASE WHEN regexp_matches(term, 'ies$') AND NOT regexp_matches(term, '
     WHEN regexp_matches(term, 's$') AND NOT regexp_matches(term, '[us]s$') THEN regexp_replace(term, 's$', '') ELSE term END"""
 STEMMED = keyword(MATCH_ANY).replace("kept AS (SELECT * FROM", f"kept AS (SELECT * REPLACE ({_STEM} AS term) FROM")
 STEMMED = STEMMED.replace("asked AS (SELECT DISTINCT query_id, term FROM", f"asked AS (SELECT DISTINCT query_id, {_STEM} AS term FROM")
+
+
+def _english() -> str:
+    """Porter2 on the distinct words, step by step: w is what is left, p1 and p2 are where the regions begin."""
+    region = "CASE WHEN regexp_matches({0}, '[aeiouy][^aeiouy]') THEN length(regexp_extract({0}, '^.*?[aeiouy][^aeiouy]')) ELSE length({0}) END"
+    short = "regexp_matches({0}, '[^aeiouy][aeiouy][^aeiouywxY]$|^[aeiouy][^aeiouy]$')"
+    cut = lambda n, w="w": f"substr({w}, 1, length({w}) - {n})"
+
+    def suffix(source: str, endings: dict[str, str], p: str, allowed: str) -> str:
+        pattern = "|".join(sorted(endings, key=len, reverse=True))
+        new = "CASE s " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in endings.items()) + " END"
+        return f"""(SELECT * REPLACE (CASE WHEN s <> '' AND length(rest) >= {p} AND {allowed} THEN rest || {new} ELSE w END AS w) FROM (
+          SELECT *, {cut("length(s)")} AS rest FROM (SELECT * EXCLUDE (s, rest), regexp_extract(w, '({pattern})$', 1) AS s FROM {source})))"""
+
+    fixed = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in EXCEPTIONS.items())
+    after = ", ".join(f"'{w}'" for w in AFTER_PLURALS)
+    return f"""
+  e0 AS (SELECT DISTINCT term AS x FROM places UNION SELECT DISTINCT unnest({words("text")}) FROM questions),
+  e1 AS (SELECT x, regexp_replace(regexp_replace(x, '^y', 'Y'), '([aeiouy])y', '\\1Y', 'g') AS w,
+           CASE x {fixed} ELSE CASE WHEN length(x) <= 2 THEN x END END AS done FROM e0),
+  e2 AS (SELECT *, CASE WHEN regexp_matches(w, '^({"|".join(WHOLE_PREFIXES)})') THEN length(regexp_extract(w, '^({"|".join(WHOLE_PREFIXES)})')) ELSE {region.format("w")} END AS p1 FROM e1),
+  e3 AS (SELECT *, p1 + {region.format("substr(w, p1 + 1)")} AS p2, '' AS s, '' AS rest FROM e2),
+  e4 AS (SELECT * REPLACE (CASE WHEN w LIKE '%sses' THEN {cut(2)} WHEN regexp_matches(w, 'ie[ds]$') THEN CASE WHEN length(w) > 4 THEN {cut(2)} ELSE {cut(1)} END
+           WHEN regexp_matches(w, '[us]s$') THEN w WHEN regexp_matches(w, '[aeiouy].+s$') THEN {cut(1)} ELSE w END AS w) FROM e3),
+  e5 AS (SELECT * REPLACE (coalesce(done, CASE WHEN w IN ({after}) THEN w END) AS done, regexp_extract(w, '(eedly|eed|ingly|edly|ing|ed)$', 1) AS s) FROM e4),
+  e6 AS (SELECT * REPLACE ({cut("length(s)")} AS rest) FROM e5),
+  e7 AS (SELECT * REPLACE (CASE WHEN s IN ('eed', 'eedly') THEN CASE WHEN length(rest) >= p1 THEN rest || 'ee' ELSE w END
+           WHEN s <> '' AND regexp_matches(rest, '[aeiouy]') THEN
+             CASE WHEN regexp_matches(rest, '(at|bl|iz)$') THEN rest || 'e' WHEN regexp_matches(rest, '({DOUBLES})$') THEN {cut(1, "rest")}
+                  WHEN length(rest) <= p1 AND {short.format("rest")} THEN rest || 'e' ELSE rest END ELSE w END AS w) FROM e6),
+  e8 AS (SELECT * REPLACE (regexp_replace(w, '^(.+[^aeiouy])[yY]$', '\\1i') AS w) FROM e7),
+  e9 AS (SELECT * FROM {suffix("e8", STEP_2, "p1", "(s <> 'li' OR regexp_matches(rest, '[cdeghkmnrt]$')) AND (s <> 'ogi' OR rest LIKE '%l')")}),
+  e10 AS (SELECT * FROM {suffix("e9", STEP_3, "p1", "(s <> 'ative' OR length(rest) >= p2)")}),
+  e11 AS (SELECT * FROM {suffix("e10", dict.fromkeys(STEP_4, ""), "p2", "(s <> 'ion' OR regexp_matches(rest, '[st]$'))")}),
+  e12 AS (SELECT * REPLACE ({cut(1)} AS rest) FROM e11),
+  stems AS (SELECT x AS term, coalesce(done, replace(CASE
+      WHEN w LIKE '%e' AND (length(rest) >= p2 OR (length(rest) >= p1 AND NOT {short.format("rest")})) THEN rest
+      WHEN w LIKE '%ll' AND length(rest) >= p2 THEN rest ELSE w END, 'Y', 'y')) AS stem FROM e12),"""
+
+
+ENGLISH = keyword(MATCH_ANY).replace("  kept AS (SELECT * FROM places", f"{_english()}\n  kept AS (SELECT places.* REPLACE (stem AS term) FROM places JOIN stems USING (term)")
+ENGLISH = ENGLISH.replace("asked AS (SELECT DISTINCT query_id, term FROM", "asked AS (SELECT DISTINCT query_id, stem AS term FROM").replace(
+    f"unnest({words('text')}) AS term FROM questions) WHERE term NOT IN", f"unnest({words('text')}) AS term FROM questions) JOIN stems USING (term) WHERE term NOT IN")
+
+# What is typed: (place in the item, alternative, piece, forbidden). Pieces of more than one indexed word are phrases.
+_TYPED = {0: ((0, 0, 0, 0), (1, 0, 0, 0), (5, 0, 1, 1), (2, 1, 2, 0), (3, 1, 3, 0)), 1000: ((6, 0, 0, 0), (7, 0, 1, 1), (8, 0, 1, 1), (9, 1, 2, 0), (10, 1, 2, 0))}
+_PIECES = ", ".join(f"({shift}, {place}, {alt}, {piece}, {no} = 1)" for shift, rows in _TYPED.items() for place, alt, piece, no in rows)
+SEARCH_BOX = f"""typed AS (
+    SELECT query_id + shift AS query_id, term, alt, piece, no, place FROM (
+      SELECT query_id, ws[place + 1] AS term, shift, alt, piece, no, place FROM (SELECT query_id, {words("text")} AS ws FROM questions), (VALUES {_PIECES}) t(shift, place, alt, piece, no))
+    WHERE term IS NOT NULL AND term NOT IN ({_STOPS})),
+  sized AS (SELECT *, count(*) OVER (PARTITION BY query_id, piece) AS n, place - min(place) OVER (PARTITION BY query_id, piece) AS off FROM typed),
+  stands AS (SELECT DISTINCT query_id, alt, piece, no, paper_id FROM (
+    SELECT query_id, alt, piece, no, paper_id, k.pos - off AS s, count(*) AS c, any_value(n) AS n FROM sized JOIN kept k USING (term) GROUP BY ALL) WHERE c = n),
+  wanted AS (SELECT query_id, alt, count(DISTINCT piece) AS n FROM sized WHERE NOT no GROUP BY ALL),
+  hit AS (SELECT DISTINCT query_id, paper_id FROM (
+    SELECT query_id, alt, paper_id FROM stands JOIN wanted USING (query_id, alt) GROUP BY ALL HAVING count(*) FILTER (NOT no) = any_value(n) AND count(*) FILTER (no) = 0)),
+  asked AS (SELECT DISTINCT query_id, term FROM sized WHERE NOT no),
+  matched AS (SELECT query_id, paper_id, sum(part) AS score FROM hit JOIN asked USING (query_id) JOIN scored USING (paper_id, term) GROUP BY ALL)"""
 _INDEXED = f"list_filter({words('text')}, lambda w: w NOT IN ({_STOPS}))"
 PAIRS = f"""asked AS (SELECT DISTINCT query_id, term FROM (
     SELECT item * 1000 + i AS query_id, unnest(terms[i + 1:i + 2]) AS term
@@ -303,8 +411,9 @@ ORACLE = {
         SELECT vec_id, round(list_cosine_distance(embedding::DOUBLE[], center), 6) AS distance FROM embeddings JOIN centers USING (label)""",
     "dense_topk": dense_query(),
     "dense_blocks": dense_query(),
-    "lsh_topk": lsh_query(tables=3, bits=6, probes=10),
+    "lsh_topk": lsh_query(tables=3, bits=6, probes=26),
     "lsh_all_cells": dense_query("embedding IS NOT NULL"),
+    "cells_topk": cells_query(),
     "inverted_index": _INVERTED,
     "index_written": _INVERTED,
     "keyword_topk": f"WITH {keyword(MATCH_ALL)} {_SPARSE_OUT}",
@@ -313,6 +422,8 @@ ORACLE = {
     "keyword_phrase": f"WITH {keyword(MATCH_PHRASE)} {_SPARSE_OUT}",
     "keyword_boolean": f"WITH {keyword(MATCH_BOOLEAN)} {_SPARSE_OUT}",
     "keyword_stemmed": f"WITH {STEMMED} {_SPARSE_OUT}",
+    "keyword_english": f"WITH {ENGLISH} {_SPARSE_OUT}",
+    "search_box": f"WITH {', '.join([PAPERS, QUESTIONS, POSTINGS, postings(), SEARCH_BOX, SPARSE])} {_SPARSE_OUT}",
     "keyword_pairs": f"WITH {keyword(MATCH_ALL).replace(ASKED, PAIRS)} {_SPARSE_OUT}",
     "rrf_fuse": f"WITH {keyword(MATCH_ANY)}, {DENSE}, {FUSED} SELECT * REPLACE (round(rrf_score, 9) AS rrf_score) FROM fused",
     "hybrid_search": _HYBRID_OUT,

@@ -13,6 +13,7 @@ from paperlake.functions.tokens import index_terms
 from paperlake.functions.vectors import cosine_distance, text_to_vector, vector_to_text
 from paperlake.operators import gate as G
 from paperlake.operators import keyword as kw
+from paperlake.operators.cells import build_cells, cell_search
 from paperlake.operators.context import build_context
 from paperlake.operators.dedupe import dedupe_latest
 from paperlake.operators.dense import LshTable, dense_search, dense_search_approx, write_lsh_table
@@ -34,7 +35,9 @@ from paperlake.streaming.feed import stream_feed
 from suite import views
 
 DIM = 64
-LSH_BITS, LSH_TABLES, LSH_PROBES = 6, 3, 10
+LSH_BITS, LSH_TABLES, LSH_PROBES = 6, 3, 26
+#: Search without reduced endings and without the grammar of a search box, as the SQL of most queries has it.
+PLAIN = {"stem": False}
 
 
 # --- sources, cleansing ---------------------------------------------------------
@@ -241,6 +244,13 @@ def lsh_all_cells(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("distance", F.round("distance", 6))
 
 
+def cells_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """Vector search on product codes of cells, the best ones ranked anew by their vectors."""
+    papers = views.papers(spark, sf)
+    found = cell_search(build_cells(papers, DIM), papers, views.questions(spark, sf))
+    return found.withColumn("distance", F.round("distance", 6))
+
+
 # --- keyword search -----------------------------------------------------------------
 
 
@@ -306,6 +316,24 @@ def keyword_stemmed(spark: SparkSession, sf: str) -> DataFrame:
     return kw.keyword_search(index, terms).withColumn("score", F.round("score", 6))
 
 
+def keyword_english(spark: SparkSession, sf: str) -> DataFrame:
+    """Any word of the item, in English word stems on both sides."""
+    terms = kw.any_terms(views.questions(spark, sf), stem="english")
+    index = kw.scan_index(views.papers(spark, sf), terms, stem="english")
+    return kw.keyword_search(index, terms).withColumn("score", F.round("score", 6))
+
+
+def search_box(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of the items typed with quotes, `or` and `-`: "a b" -e OR c d, or a phrase without another."""
+    w = lambda i: F.coalesce(F.get("ws", F.lit(i)), F.lit(""))
+    found = views.questions(spark, sf).select("query_id", kw.words(F.col("text")).alias("ws"))
+    quoted = lambda i: F.concat(F.lit('"'), w(i), F.lit("  "), w(i + 1), F.lit('"'))
+    first = F.concat(quoted(0), F.lit(" -"), w(5), F.lit(" OR "), w(2), F.lit(" - "), w(3))
+    second = F.concat(w(6), F.lit(" -"), quoted(7), F.lit(' or "'), w(9), F.lit(" "), w(10))
+    typed = found.select("query_id", first.alias("text")).unionByName(found.select((F.col("query_id") + 1000).alias("query_id"), second.alias("text")))
+    return _keyword(spark, sf, kw.search_terms(typed))
+
+
 def keyword_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Both words required, for every two neighbouring words of an item: many matches, so the cut to 20 acts."""
     found = index_terms(views.questions(spark, sf), "text")
@@ -326,7 +354,8 @@ def rrf_fuse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hybrid(spark: SparkSession, sf: str) -> DataFrame:
-    found = hybrid_search(views.papers(spark, sf), views.questions(spark, sf))
+    questions = views.questions(spark, sf)
+    found = hybrid_search(views.papers(spark, sf), questions, terms=kw.question_terms(questions), **PLAIN)
     return found.withColumns({"rrf_score": F.round("rrf_score", 9), "place": F.col("place").cast("long")})
 
 
@@ -336,7 +365,8 @@ def hybrid_stored(spark: SparkSession, sf: str) -> DataFrame:
     index = kw.write_index(papers, f"{base}/index", buckets=16)
     keyed.publish(papers, f"{base}/serving", buckets=8)
     serving = keyed.resolve(spark, f"{base}/serving")
-    found = hybrid_search(serving, views.questions(spark, sf), index=index, serving=f"{base}/serving")
+    questions = views.questions(spark, sf)
+    found = hybrid_search(serving, questions, index=index, serving=f"{base}/serving", terms=kw.question_terms(questions), **PLAIN)
     return found.withColumns({"rrf_score": F.round("rrf_score", 9), "place": F.col("place").cast("long")})
 
 
@@ -345,21 +375,20 @@ def hybrid_boolean(spark: SparkSession, sf: str) -> DataFrame:
     questions = views.questions(spark, sf)
     words = boolean_terms(questions).withColumns({"phrase": F.lit(None).cast("int"), "pos": F.lit(0)})
     phrase = kw.phrase_terms(questions).withColumns({"alt": F.lit(1000), "negated": F.lit(False)})
-    found = hybrid_search(views.papers(spark, sf), questions, terms=words.unionByName(phrase))
+    found = hybrid_search(views.papers(spark, sf), questions, terms=words.unionByName(phrase), **PLAIN)
     return found.withColumns({"rrf_score": F.round("rrf_score", 9), "place": F.col("place").cast("long")})
 
 
 def search_after_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Two thirds of the papers are published and indexed, the rest is merged, and some get a new title on the way."""
+    """Two thirds of the papers are published with their index, the rest is merged in four steps, and some get a new title on the way."""
     path, number = scratch_path(spark, "merged"), F.col("paper_id").cast("long")
-    papers = views.papers(spark, sf)
+    papers, questions = views.papers(spark, sf), views.questions(spark, sf)
     renewed = papers.withColumn("title", F.when(number % 5 == 0, F.concat(F.lit("renewed "), "title")).otherwise(F.col("title")))
-    keyed.publish(papers.where(number % 3 != 0), path, buckets=8)
-    pipelines.keep_index(spark, path, 0, papers)
-    changed = renewed.where((number % 3 == 0) | (number % 5 == 0))
-    keyed.merge_into(changed, path)
-    pipelines.keep_index(spark, path, 1, changed)
-    found = search_table(spark, path, views.questions(spark, sf))
+    keyed.publish(papers.where(number % 3 != 0), path, buckets=8, companions=[pipelines.text_companion(False)])
+    for step in range(4):
+        changed = renewed.where(((number % 3 == 0) | (number % 5 == 0)) & (number % 4 == step))
+        keyed.merge_into(changed, path, pipelines.kept_companions(spark, path))
+    found = search_table(spark, path, questions, terms=kw.question_terms(questions))
     return found.withColumns({"rrf_score": F.round("rrf_score", 9), "place": F.col("place").cast("long")})
 
 
@@ -376,7 +405,7 @@ def hybrid_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def rag_context(spark: SparkSession, sf: str) -> DataFrame:
     papers, questions = views.papers(spark, sf), views.questions(spark, sf)
-    context = ask(papers, questions)
+    context = ask(papers, questions, terms=kw.question_terms(questions), **PLAIN)
     matched = F.transform("matched", lambda m: F.concat_ws("|", m["paper_id"], m["published_date"], m["metadata"]))
     return context.select("query_id", "model", "prompt", F.array_join(matched, ";").alias("matched"))
 
@@ -576,6 +605,7 @@ QUERIES = {
     "dense_blocks": dense_blocks,
     "lsh_topk": lsh_topk,
     "lsh_all_cells": lsh_all_cells,
+    "cells_topk": cells_topk,
     "inverted_index": inverted_index,
     "index_written": index_written,
     "keyword_topk": keyword_topk,
@@ -584,6 +614,8 @@ QUERIES = {
     "keyword_phrase": keyword_phrase,
     "keyword_boolean": keyword_boolean,
     "keyword_stemmed": keyword_stemmed,
+    "keyword_english": keyword_english,
+    "search_box": search_box,
     "keyword_pairs": keyword_pairs,
     "rrf_fuse": rrf_fuse,
     "hybrid_search": hybrid,

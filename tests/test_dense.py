@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperlake.functions.vectors import cosine_distance, text_to_vector, vector_to_text
 from paperlake.operators.dense import (
-    StaleTable, dense_search, dense_search_approx, hyperplanes, lsh_cells, nearest_flips, read_lsh_table, write_lsh_table,
+    dense_search, dense_search_approx, hyperplanes, lsh_cells, nearest_flips, read_lsh_table, write_lsh_table,
 )
 from paperlake.operators.topk import TopK
 
@@ -134,13 +134,14 @@ def test_stored_and_plain_documents_agree_and_find_most(spark, data, frames, tmp
 
 def test_a_stored_table_knows_how_it_was_made(spark, frames, tmp_path):
     path = str(tmp_path / "lsh")
-    write_lsh_table(frames[0], path, DIM, bits=5, seed=3, tables=2, version=4)
-    stored = read_lsh_table(spark, path, 4)
+    write_lsh_table(frames[0], path, DIM, bits=5, seed=3, tables=2)
+    stored = read_lsh_table(spark, path)
     assert (stored.dim, stored.bits, stored.seed, stored.tables) == (DIM, 5, 3, 2)
     with pytest.raises(ValueError, match="made with"):
         dense_search_approx(stored, frames[1], bits=8)
-    with pytest.raises(StaleTable):
-        read_lsh_table(spark, path, 5)
+    assert stored.rows.columns == ["paper_id", "embedding", "cell"]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):  # what readers use is never written over
+        write_lsh_table(frames[0], path, DIM, bits=5)
 
 
 @pytest.mark.parametrize("block", [None, 5])

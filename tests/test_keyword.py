@@ -2,10 +2,14 @@ import math
 import re
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from paperlake.constants import STOP_WORDS
 from paperlake.functions.tokens import index_terms
 from paperlake.operators import keyword as kw
+from paperlake.sinks import table
 
 PAPERS = [
     ("1", "Deep learning", "Networks of layers. Learning networks is hard."),
@@ -132,30 +136,35 @@ def test_plain_questions_are_aggregated_once_by_question_and_paper(spark, docs,
     assert text.count("hashpartitioning(query_id") == 1
 
 
-def test_a_refreshed_index_equals_a_new_one(spark, docs, tmp_path):
+def test_an_index_kept_with_a_table_equals_a_new_one(spark, docs, tmp_path):
     """Replaced papers are found by their new words only, new papers are found, totals follow."""
-    path = str(tmp_path / "index")
-    kw.write_index(docs, path, buckets=4)
+    path = str(tmp_path / "table")
+    text = table.Companion("text", kw.paper_postings, ("term",), {"stem": False})
+    table.publish(docs, path, buckets=4, companions=[text])
     now = docs
-    for version, change in ((2, [("1", "cats", "only cats"), ("9", "graph", "deep graph")]), (3, [("9", "dogs", ""), ("2", "cats", "")])):
+    for change in ([("1", "cats", "only cats"), ("9", "graph", "deep graph")], [("9", "dogs", ""), ("2", "cats", "")]):
         changed = spark.createDataFrame(change, docs.schema)
         now = now.join(changed, "paper_id", "left_anti").unionByName(changed)
-        index = kw.refresh_index(now, changed, path, version - 1, version)
+        table.merge_into(changed, path, [text])
+        index, fresh = kw.kept_index(table.companion(spark, path, "text")), kw.build_index(now)
         terms = kw.any_terms(ask(spark, "deep learning", "cats", "graph", "networks dogs"))
-        fresh = kw.build_index(now)
         assert sorted(kw.keyword_search(kw.lookup(index, terms), terms).collect()) == sorted(kw.keyword_search(fresh, terms).collect())
-        assert tuple(index.corpus.select("n_docs", "avg_dl").first()) == tuple(fresh.corpus.first())
-    with pytest.raises(kw.StaleIndex):
-        kw.read_index(spark, path, 4)
+        assert tuple(index.corpus.first()) == tuple(fresh.corpus.first())
 
 
-def test_an_index_with_many_segments_is_written_anew(spark, docs, tmp_path, monkeypatch):
-    monkeypatch.setattr(kw, "_SEGMENTS", 2)
-    path = str(tmp_path / "index")
-    kw.write_index(docs, path, buckets=2)
-    for version in (2, 3):
-        index = kw.refresh_index(docs, docs.where("paper_id = '1'"), path, version - 1, version)
-    assert index.corpus.first()["segments"] == [3]
+def test_a_companion_that_is_not_kept_up_is_dropped(spark, docs, tmp_path):
+    path = str(tmp_path / "table")
+    text = table.Companion("text", kw.paper_postings, ("term",), {"stem": False})
+    table.publish(docs, path, buckets=4, companions=[text])
+    table.merge_into(docs.limit(1), path)
+    with pytest.raises(FileNotFoundError):
+        table.companion(spark, path, "text")
+    table.merge_into(docs.limit(1), path, [text])  # derived from all rows again
+    assert table.companion(spark, path, "text").where("term = ''").count() == docs.count()
+    other = text._replace(derive=lambda rows: kw.paper_postings(rows, True), settings={"stem": True})
+    table.merge_into(docs.limit(1), path, [other])
+    assert table.settings(spark, path) == {"text": {"stem": True}}
+    assert not table.companion(spark, path, "text").where("term = 'layers'").count()
 
 
 def test_candidates_give_the_same_answers_as_all_postings(spark, docs):
@@ -200,3 +209,55 @@ def test_large_term_tables_are_joined_by_shuffle(spark, docs, monkeypatch):
     expected = [sorted(search(docs, t).collect()) for t in terms]
     monkeypatch.setattr("paperlake.session.BROADCAST_BYTES", -1)
     assert [sorted(search(docs, t).collect()) for t in terms] == expected
+
+
+def parse(text):
+    """The search box in plain Python, character by character: (alternative, negated, words of a piece)."""
+    pieces, i = [], 0
+    while i < len(text):
+        if text[i].isspace():
+            i += 1
+            continue
+        start = i
+        while i < len(text) and text[i] == "-":
+            i += 1
+        if i < len(text) and text[i] == '"':
+            end = text.find('"', i + 1)
+            i = len(text) if end < 0 else end + 1
+        else:
+            while i < len(text) and not text[i].isspace() and text[i] != '"':
+                i += 1
+        pieces.append(text[start:i])
+    alt, rows = 0, set()
+    for number, piece in enumerate(pieces):
+        if piece.lower() == "or":
+            alt += 1
+            continue
+        kept = [(pos, w) for pos, w in enumerate(re.findall(r"[a-z0-9]+", piece.lower())) if w not in STOP_WORDS]
+        for pos, word in kept:
+            rows.add((word, alt, piece.startswith("-"), number if len(kept) > 1 else None, pos if len(kept) > 1 else 0))
+    return rows
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from(['"', "-", "or", "OR", " ", "  ", "a", "graph", "deep", "cats", "-dogs", "nets-2", '""', "\n"]), max_size=14).map("".join), min_size=25, max_size=25))
+def test_search_terms_equal_a_plain_parser(spark, texts):
+    found = {}
+    for r in kw.search_terms(ask(spark, *texts)).collect():
+        found.setdefault(r.query_id, set()).add((r.term, r.alt, r.negated, r.phrase, r.pos))
+    assert found == {i: rows for i, text in enumerate(texts) if (rows := parse(text))}
+
+
+def test_what_is_typed_is_found(spark):
+    schema = "paper_id string, title string, abstract string"
+    papers = spark.createDataFrame([("1", "deep graph nets", "cats"), ("2", "graph deep", "dogs"), ("3", "cats dogs", ""), ("4", "graph", "nets of cats")], schema)
+    typed = {
+        "deep graph": {"1", "2"}, '"deep graph"': {"1"}, '"deep graph': {"1"}, "deep -cats": {"2"}, "dogs or nets": {"1", "2", "3", "4"},
+        'graph -"deep graph"': {"2", "4"}, 'graph -"deep cats"': {"1", "2", "4"}, "or deep or": {"1", "2"}, "- deep": {"1", "2"}, "-deep": set(),
+        '"nets of cats"': {"4"}, "deep-graph": {"1"}, '""': set(), "": set(), 'cats -dogs or "graph deep"': {"1", "2", "4"}, "graph -deep-graph": {"2", "4"},
+    }
+    terms = kw.search_terms(ask(spark, *typed))
+    hits = {}
+    for r in kw.keyword_search(kw.scan_index(papers, terms), terms).collect():
+        hits.setdefault(r.query_id, set()).add(r.paper_id)
+    assert [hits.get(i, set()) for i in range(len(typed))] == list(typed.values())

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from paperlake.operators.embed import embed
 from paperlake.operators.gate import GateError
-from paperlake.operators.keyword import StaleIndex
 from paperlake.plans import pipelines as P
 from paperlake.plans.search import search_table
 from paperlake.schemas import SERVING
@@ -168,20 +167,93 @@ class TestDaily:
         assert state(spark, f"{tmp_path}/stream") == state(spark, f"{tmp_path}/batch")
 
 
+def words_found(spark, serving, asked, **search):
+    found = {}
+    for row in search_table(spark, serving, asked, limit=50, **search).where("rank_sparse < 999").collect():
+        found.setdefault(row.query_id, set()).add(row.paper_id)
+    return found
+
+
 def test_what_is_stored_for_search_follows_the_table(spark, tmp_path):
-    """Loaded, reloaded and fed papers are found by their present words; an index left behind is refused."""
+    """Loaded, reloaded and fed papers are found by their present words, with and without codes."""
     serving = f"{tmp_path}/serving"
     load(spark, tmp_path, [paper(i, title=f"graph {i}") for i in range(6)])
     load(spark, tmp_path, [paper(3, title="cats"), paper(7, title="dogs")], "more")
     feed_file(tmp_path / "in", "a.xml", item("3", "horses"), item("2608.2", "cats"))
     P.run_daily(spark, f"{tmp_path}/in", serving, f"{tmp_path}/dlq-daily", now=now())
-    asked = spark.createDataFrame([(0, "graph"), (1, "cats"), (2, "horses"), (3, "dogs")], "query_id long, text string")
+    asked = spark.createDataFrame([(0, "graphs"), (1, "cats"), (2, "horse"), (3, "dogs")], "query_id long, text string")
     asked = embed(asked, "text", dim=DIM)
-    for probes in (None, 256):
-        found = {}
-        for row in search_table(spark, serving, asked, probes=probes, limit=10).where("rank_sparse < 999").collect():
-            found.setdefault(row.query_id, set()).add(row.paper_id)
-        assert found == {0: {"0", "1", "2", "4", "5"}, 1: {"2608.2"}, 2: {"3"}, 3: {"7"}}
-    table.merge_into(table.resolve(spark, serving).where("paper_id = '1'"), serving)
-    with pytest.raises(StaleIndex):
-        search_table(spark, serving, asked)
+    for options in ({}, {"rerank": 100}):
+        assert words_found(spark, serving, asked, **options) == {0: {"0", "1", "2", "4", "5"}, 1: {"2608.2"}, 2: {"3"}, 3: {"7"}}
+    codes = table.companion(spark, serving, P.CELLS)
+    assert {r.paper_id for r in codes.collect()} == {r.paper_id for r in table.resolve(spark, serving).where("embedding IS NOT NULL").collect()}
+    assert set(table.settings(spark, serving)) == {P.TEXT, P.CELLS}
+
+
+def test_papers_are_found_after_any_number_of_merges(spark, tmp_path):
+    """Twenty feeds, each with a new paper and a new title for the one before."""
+    serving = f"{tmp_path}/serving"
+    asked = spark.createDataFrame([(0, "first"), (1, "second")], "query_id long, text string").withColumn("embedding", F.array(F.lit(1.0)).cast("array<float>"))
+    for i in range(20):
+        feed_file(tmp_path / f"in{i}", "a.xml", item(f"2608.{i}", "first title"), *([item(f"2608.{i - 1}", "second title")] if i else []))
+        P.run_daily(spark, f"{tmp_path}/in{i}", serving, f"{tmp_path}/dlq", now=now())
+        if i in (0, 1, 15, 16, 17, 19):
+            expected = {0: {f"2608.{i}"}} | ({1: {f"2608.{k}" for k in range(i)}} if i else {})
+            assert words_found(spark, serving, asked, depth=100) == expected
+            totals = table.companion(spark, serving, P.TEXT).where("term = ''")
+            assert totals.count() == i + 1
+
+
+class Lost(RuntimeError):
+    pass
+
+
+@pytest.mark.parametrize("step", ["_write_buckets", "_derived", "_swap_pointer"])
+def test_a_merge_that_is_lost_on_the_way_runs_again(spark, tmp_path, monkeypatch, step):
+    """Batch and stream, stopped before each step of the commit: readers see the old state, the next run the new one."""
+    asked = spark.createDataFrame([(0, "late")], "query_id long, text string").withColumn("embedding", F.array(F.lit(1.0)).cast("array<float>"))
+    for kind in ("batch", "stream"):
+        serving = f"{tmp_path}/{kind}"
+        feed_file(tmp_path / f"{kind}0", "a.xml", item("2608.1", "early"))
+        P.run_daily(spark, f"{tmp_path}/{kind}0", serving, f"{tmp_path}/dlq", now=now())
+        feed_file(tmp_path / f"{kind}-in", "b.xml", item("2608.1", "late"), item("2608.2", "late"))
+
+        def run(kind=kind, serving=serving):
+            if kind == "batch":
+                P.run_daily(spark, f"{tmp_path}/{kind}-in", serving, f"{tmp_path}/dlq", now=now())
+            else:
+                stream_feed(spark, f"{tmp_path}/{kind}-in", serving, f"{tmp_path}/dlq-{kind}", f"{tmp_path}/{kind}-cp", now=now()).awaitTermination()
+
+        def lost(*args, **kwargs):
+            raise Lost("Lost")
+
+        with monkeypatch.context() as patched:
+            patched.setattr(table, step, lost)
+            with pytest.raises(Exception, match="Lost"):
+                run()
+        assert words_found(spark, serving, asked) == {}
+        run()
+        assert words_found(spark, serving, asked) == {0: {"2608.1", "2608.2"}}
+
+
+def test_a_micro_batch_that_was_committed_is_recognised(spark, tmp_path, monkeypatch):
+    """Lost after the commit and before the checkpoint: the replay leaves the version alone."""
+    serving, swap = f"{tmp_path}/serving", table._swap_pointer
+    feed_file(tmp_path / "in", "a.xml", item("2608.1", "late"))
+    run = lambda: stream_feed(spark, f"{tmp_path}/in", serving, f"{tmp_path}/dlq", f"{tmp_path}/cp", now=now()).awaitTermination()
+
+    def lost(spark, path, state):
+        swap(spark, path, state)
+        if state["commits"]:
+            raise Lost("Lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(table, "_swap_pointer", lost)
+        with pytest.raises(Exception, match="Lost"):
+            run()
+    before = table.version(spark, serving)
+    run()
+    assert table.version(spark, serving) == before and set(state(spark, serving)) == {"2608.1"}
+    feed_file(tmp_path / "in", "b.xml", item("2608.2"))
+    run()
+    assert table.version(spark, serving) == before + 1 and set(state(spark, serving)) == {"2608.1", "2608.2"}

@@ -64,7 +64,7 @@ def test_hybrid_search(corpus, queries):
 
 
 def test_hybrid_search_on_a_stored_index(corpus, queries, tmp_path):
-    index = kw.write_index(corpus, str(tmp_path / "i"), buckets=2)
+    index = kw.write_index(corpus, str(tmp_path / "i"), stem="english", buckets=2)
     by = ["query_id", "place"]
     expected = hybrid_search(corpus, queries, with_metadata=True).orderBy(by).collect()
     table.publish(corpus, str(tmp_path / "t"), buckets=4)
@@ -75,6 +75,17 @@ def test_hybrid_search_on_a_stored_index(corpus, queries, tmp_path):
     assert near.orderBy(by).collect() == [r for r in expected if r.place <= 2]
 
 
+def test_plain_text_is_read_as_a_search_box_in_word_stems(spark, corpus):
+    asked = [(0, "networking graphs", {"1"}), (1, '"graph nets"', {"1"}), (2, "ovens -cake or networks", {"1"}), (3, "oven", {"2"})]
+    queries = spark.createDataFrame([(i, text, [1.0, 0.0]) for i, text, _ in asked], "query_id long, text string, embedding array<float>")
+    found = {}
+    for row in hybrid_search(corpus, queries).where("rank_sparse < 999").collect():
+        found.setdefault(row.query_id, set()).add(row.paper_id)
+    assert found == {i: papers for i, _, papers in asked}
+    with pytest.raises(kw.WordForms):
+        hybrid_search(corpus, queries, index=kw.build_index(corpus))
+
+
 @pytest.mark.parametrize("limit", [0, 51])
 def test_limit_is_checked(corpus, queries, limit):
     with pytest.raises(ValueError):
