@@ -1,5 +1,7 @@
 """Text analysis for keyword search: lower-case words of letters and digits."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,14 +32,21 @@ def without_stop_words(column: str) -> Column:
     return F.expr(f"filter({column}, w -> w NOT IN ({_STOP_LIST}))")
 
 
-def placed_terms(column: str) -> Column:
-    """The words that are indexed with their places: array of word and pos."""
-    return F.expr(f"filter(transform({column}, (w, i) -> struct(w AS word, i AS pos)), p -> p.word NOT IN ({_STOP_LIST}))")
+def _among(column: str, only: Sequence[str] | None) -> str:
+    """SQL for a word that is one of some; words have no quotes in them."""
+    return "TRUE" if only is None else f"{column} IN ({', '.join(f"'{w}'" for w in only)})" if only else "FALSE"
+
+
+def placed_terms(column: str, only: Sequence[str] | None = None) -> Column:
+    """The words that are indexed with their places: array of word and pos. With `only`, those of them."""
+    kept = f"{_among('p.word', only)} AND p.word NOT IN ({_STOP_LIST})"
+    return F.expr(f"filter(transform({column}, (w, i) -> struct(w AS word, i AS pos)), p -> {kept})")
 
 
-def without_stops(placed: Column) -> Column:
-    """An array of structs with a `word`, without those whose word is a stop word."""
-    return F.filter(placed, lambda p: ~p["word"].isin(*STOP_WORDS))
+def placed_forms(column: str, only: Sequence[str] | None = None) -> Column:
+    """The same for an array of struct(word, term): array of term and pos, by the word's own place."""
+    kept = f"{_among('p.term', only)} AND p.word NOT IN ({_STOP_LIST})"
+    return F.expr(f"filter(transform({column}, (z, i) -> struct(z.word AS word, z.term AS term, i AS pos)), p -> {kept})")
 
 
 def light_stem(word: Column) -> Column:

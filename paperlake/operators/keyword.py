@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperlake import constants as K
-from paperlake.functions.tokens import Stem, index_terms, is_stop_word, placed_terms, reduced, without_stop_words, without_stops, words
+from paperlake.functions.tokens import Stem, index_terms, is_stop_word, placed_forms, placed_terms, reduced, without_stop_words, words
 from paperlake.operators.dedupe import top_per_group
 from paperlake.session import broadcast_if_small, data_bytes, materialize, parts_for, probe
 from paperlake.sinks.lake import CODEC
@@ -20,6 +20,8 @@ from paperlake.sinks.lake import CODEC
 TITLE, ABSTRACT = "title", "abstract"
 BUCKET = "term_bucket"
 _PUSHED_TERMS = 10
+#: Terms that stand as a list in the plan of a scan of texts.
+_ROW_TERMS = 10_000
 #: Bytes of text behind one folder of a stored index.
 _FOLDER_BYTES = 64 << 20
 #: Stands in the place of a term in the one row of a paper that tells its length; no word is empty.
@@ -58,19 +60,20 @@ def _analyzed(docs: DataFrame) -> DataFrame:
     return joined.withColumn("dl", F.size(without_stop_words("words")))
 
 
-def paper_postings(docs: DataFrame, stem: Stem = False) -> DataFrame:
-    """Every paper's postings, one row per (term, paper), and one row per paper with an empty term.
+def paper_postings(docs: DataFrame, stem: Stem = False, only: list[str] | None = None) -> DataFrame:
+    """Every paper's postings (of the terms `only`), one row per (term, paper), and one row per paper with an empty term.
 
     All words of a paper stand in one row, so they are sorted and counted there: nothing is shuffled.
     Each step refers to the one before more than once, which keeps Spark from putting it into the
     lambdas, where it would be evaluated for every element.
     """
     analyzed = _analyzed(docs)
-    # Zipped, so that no lambda refers to the reduced words as a whole: it would be evaluated for every element.
-    both = F.arrays_zip(F.col("words").alias("word"), reduced(F.col("words"), stem).alias("term")) if stem else None
-    placed = placed_terms("words") if both is None else without_stops(F.transform(both, lambda z, i: F.struct(z["word"], z["term"], i.alias("pos"))))
+    if stem:  # zipped: a lambda that refers to all reduced words would reduce them for every element
+        both = F.arrays_zip(F.col("words").alias("word"), reduced(F.col("words"), stem).alias("term"))
+        analyzed = analyzed.withColumn("both", both)
+    placed = placed_forms("both", only) if stem else placed_terms("words", only)
     placed = F.transform(placed, lambda w: F.struct(w["term" if stem else "word"].alias("term"), w["pos"].alias("pos")))
-    rows = analyzed.select("paper_id", "dl", "n_title", F.array_sort(placed).alias("placed"))
+    rows = analyzed.select("paper_id", "dl", "n_title", F.sort_array(placed).alias("placed"))
     differs = lambda i: F.get("placed", i)["term"] != F.get("placed", i - 1)["term"]
     places = F.when(F.size("placed") > 0, F.sequence(F.lit(0), F.size("placed") - 1)).otherwise(F.expr("CAST(array() AS array<int>)"))
     rows = rows.withColumn("starts", F.filter(places, lambda i: (i == 0) | differs(i)))
@@ -220,13 +223,18 @@ def lookup(index: TextIndex, terms: DataFrame) -> TextIndex:
 def scan_index(docs: DataFrame, terms: DataFrame, stem: Stem = False) -> TextIndex:
     """Postings of the given terms straight from the papers, for search without a stored index.
 
-    One pass over the text, without a shuffle: words are counted in the row of their paper, and the
-    counts of wanted terms are written to shared scratch space in their final form. The row of each
+    One pass over the text, without a shuffle: words are counted in the row of their paper (up to `_ROW_TERMS` terms, only
+    wanted ones are looked at there; more are probed by a join), and the counts of wanted terms are written to shared scratch space in their final form. The row of each
     paper is written next to them, so the totals are read from storage, whatever tasks were repeated.
     """
-    wanted = terms.select("term").unionByName(docs.sparkSession.range(1).select(F.lit(_PAPER).alias("term"))).distinct()
-    asked = data_bytes(terms)
-    hits = materialize(probe(paper_postings(docs, stem), wanted, "term", "paper_id", "left_semi", asked), "postings")
+    wanted, asked = terms.select("term").where("term IS NOT NULL").distinct(), data_bytes(terms)
+    some = [row[0] for row in wanted.limit(_ROW_TERMS + 1).collect()]
+    if len(some) <= _ROW_TERMS:
+        hits = paper_postings(docs, stem, some)
+    else:
+        wanted = wanted.unionByName(docs.sparkSession.range(1).select(F.lit(_PAPER).alias("term")))
+        hits = probe(paper_postings(docs, stem), wanted, "term", "paper_id", "left_semi", asked)
+    hits = materialize(hits, "postings")
     return TextIndex(hits.where(F.col("term") != _PAPER), _totals(hits), stem, asked)
 
 
