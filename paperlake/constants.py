@@ -40,6 +40,8 @@ BM25_B = 0.75
 METADATA_FIELDS = ("core_method", "dataset_used", "key_findings")
 NOT_SPECIFIED = "Not specified"
 EXTRACTION_ERROR = "Extraction Error"
+METADATA_BATCH_ROWS = 50
+EMBEDDING_BATCH_ROWS = 200
 TEXT_SEPARATOR = ". "
 RESPONSE_FENCES = ("```json", "```")
 RESPONSE_LEADING_COMMA = r"^\{\s*,\s*"

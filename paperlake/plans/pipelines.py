@@ -1,5 +1,7 @@
 """The batch jobs: from a snapshot or a feed to the serving table."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,12 +11,12 @@ from paperlake.operators import cells
 from paperlake.operators import gate as G
 from paperlake.operators import keyword as kw
 from paperlake.operators.dedupe import dedupe_latest
-from paperlake.operators.embed import Encoder, embed, fuse_text
-from paperlake.operators.enrich import Extractor, enrich, fill_missing
+from paperlake.operators.embed import Encoder, embed, embed_in_batches, fuse_text
+from paperlake.operators.enrich import Extractor, enrich, enrich_in_batches, fill_missing
 from paperlake.schemas import PAPER, SERVING
 from paperlake.session import materialize, scratch_scope
 from paperlake.sinks import table
-from paperlake.sinks.lake import spread, write_lake, write_stage
+from paperlake.sinks.lake import spread, write_lake, write_slices, write_stage
 from paperlake.sources.feed import parse_feed, read_feed
 from paperlake.sources.lake import read_stage
 from paperlake.sources.snapshot import MALFORMED, clean_papers, read_snapshot
@@ -35,12 +37,31 @@ def run_backfill(
     return report
 
 
+def _run_stage(rows: DataFrame, stage: str, step: Callable[[DataFrame], DataFrame], partitions: int | None, slices: int | None) -> None:
+    """The step on rows dealt out evenly; written in one go, or in slices that a later call need not run again."""
+    spread_step = lambda part: step(spread(part, partitions))
+    if slices:
+        write_slices(rows, stage, slices, spread_step)
+    else:
+        write_stage(spread_step(rows), stage)
+
+
 def run_metadata(
-    spark: SparkSession, lake: str, stage: str, extractor: Extractor | None = None, partitions: int | None = None
+    spark: SparkSession,
+    lake: str,
+    stage: str,
+    extractor: Extractor | None = None,
+    partitions: int | None = None,
+    batch_rows: int = K.METADATA_BATCH_ROWS,
+    slices: int | None = None,
 ) -> None:
-    """Lake -> metadata stage."""
-    papers = spread(read_stage(spark, lake), partitions)
-    write_stage(fill_missing(enrich(papers, "abstract", extractor)), stage)
+    """Lake -> metadata stage. An injected extractor gets at most `batch_rows` abstracts at a time."""
+
+    def step(papers: DataFrame) -> DataFrame:
+        enriched = enrich_in_batches(papers, extractor, "abstract", batch_rows) if extractor else enrich(papers, "abstract")
+        return fill_missing(enriched)
+
+    _run_stage(read_stage(spark, lake), stage, step, partitions, slices)
 
 
 def run_embeddings(
@@ -50,10 +71,17 @@ def run_embeddings(
     encoder: Encoder | None = None,
     dim: int = K.EMBEDDING_DIM,
     partitions: int | None = None,
+    batch_rows: int = K.EMBEDDING_BATCH_ROWS,
+    slices: int | None = None,
 ) -> None:
-    """Metadata stage -> embedding stage."""
-    texts = fuse_text(spread(read_stage(spark, metadata_stage), partitions))
-    write_stage(embed(texts, "embedding_text", encoder, dim).drop("embedding_text"), stage)
+    """Metadata stage -> embedding stage. An injected encoder gets at most `batch_rows` texts at a time."""
+
+    def step(papers: DataFrame) -> DataFrame:
+        texts = fuse_text(papers)
+        made = embed_in_batches(texts, "embedding_text", encoder, dim, batch_rows) if encoder else embed(texts, "embedding_text", None, dim)
+        return made.drop("embedding_text")
+
+    _run_stage(read_stage(spark, metadata_stage), stage, step, partitions, slices)
 
 
 def serving_rows(enriched: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def ship_package(spark: SparkSession) -> None:
     batches of whole texts are kept small unless the session asks for a size of its own.
     """
     context = spark.sparkContext
-    if spark.conf.get(_BATCH) == "10000":
+    if spark.conf.get(_BATCH) == "10000" and not context.getConf().contains(_BATCH):
         spark.conf.set(_BATCH, DEFAULTS[_BATCH])
     if spark.conf.get("spark.paperlake.shipped", None) == context.applicationId:
         return

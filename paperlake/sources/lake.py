@@ -14,8 +14,8 @@ def read_lake(spark: SparkSession, path: str, years: tuple[int, int] | None = No
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
-    """A stage table written by the metadata or the embedding pass."""
-    return spark.read.parquet(path)
+    """A stage table written by the metadata or the embedding pass, in one go or in slices."""
+    return spark.read.parquet(path).drop("slice")
 
 
 #: Files below this size are dealt out; a larger table has splits enough of its own.

@@ -418,6 +418,7 @@ ORACLE = {
     "index_written": _INVERTED,
     "keyword_topk": f"WITH {keyword(MATCH_ALL)} {_SPARSE_OUT}",
     "keyword_any": f"WITH {keyword(MATCH_ANY)} {_SPARSE_OUT}",
+    "keyword_bounded": f"WITH {keyword(MATCH_ANY)} {_SPARSE_OUT}",
     "keyword_weighted": f"WITH {keyword(MATCH_ANY, 'CASE WHEN pos < n_title THEN 1e0 ELSE 0.4e0 END')} {_SPARSE_OUT}",
     "keyword_phrase": f"WITH {keyword(MATCH_PHRASE)} {_SPARSE_OUT}",
     "keyword_boolean": f"WITH {keyword(MATCH_BOOLEAN)} {_SPARSE_OUT}",
@@ -453,6 +454,8 @@ ORACLE = {
         FROM documents""",
     "enrich_in_batches": f"""SELECT doc_id, CASE WHEN lang = 'es' THEN {_DEFAULT_RECORD} ELSE {cues("'We propose ' || source || ' nets. Evaluated on ' || lang || ' texts. We show that ' || text")} END AS metadata_json
         FROM documents""",
+    "enrich_slices": f"""SELECT doc_id, CASE WHEN lang = 'es' THEN {_DEFAULT_RECORD} ELSE {cues("'We propose ' || source || ' nets. Evaluated on ' || lang || ' texts. We show that ' || text")} END AS metadata_json
+        FROM documents""",
     "default_fill": f"""SELECT doc_id, CASE WHEN quality IS NOT NULL THEN '{{"quality":' || quality || ',"toxic":' || toxic || '}}' ELSE {_DEFAULT_RECORD} END AS metadata_json
         FROM documents LEFT JOIN labels USING (doc_id)""",
     "embed_hash": _EMBED,

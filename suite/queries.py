@@ -27,7 +27,7 @@ from paperlake.plans.search import ask, hybrid_search, result_counts, search_tab
 from paperlake.session import scratch_path
 from paperlake.sinks import table as keyed
 from paperlake.sinks.jdbc import staging_rows
-from paperlake.sinks.lake import spread, write_lake
+from paperlake.sinks.lake import spread, write_lake, write_slices, write_stage
 from paperlake.sources.feed import parse_feed, read_feed
 from paperlake.sources.lake import read_lake, read_stage
 from paperlake.sources.snapshot import clean_papers, read_snapshot
@@ -287,6 +287,13 @@ def keyword_any(spark: SparkSession, sf: str) -> DataFrame:
     return _keyword(spark, sf, kw.any_terms(views.questions(spark, sf)))
 
 
+def keyword_bounded(spark: SparkSession, sf: str) -> DataFrame:
+    """Any word of the item, only in blocks of papers whose bound reaches the 20th score."""
+    terms = kw.any_terms(views.questions(spark, sf))
+    index = kw.scan_index(views.papers(spark, sf), terms)
+    return kw.bounded_search(index, terms).withColumn("score", F.round("score", 6))
+
+
 def keyword_weighted(spark: SparkSession, sf: str) -> DataFrame:
     terms = kw.any_terms(views.questions(spark, sf))
     return _keyword(spark, sf, terms, weights={"title": 1.0, "abstract": 0.4})
@@ -476,6 +483,16 @@ def cue_extractor():
     return lambda texts: [json.dumps({f: value(p.search(text)) for f, p in patterns.items()}) for text in texts]
 
 
+def enrich_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """The same extractor over slices of the papers, of which one had been finished by an earlier run."""
+    stage, papers = scratch_path(spark, "slices"), _cued_papers(spark, sf)
+    step = lambda part: enrich_in_batches(part, cue_extractor)
+    first = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 2
+    write_stage(step(papers.where(first)), f"{stage}/slice=2-of-4")
+    write_slices(papers, stage, 4, step, key="doc_id")
+    return read_stage(spark, stage).drop("abstract")
+
+
 def enrich_batches(spark: SparkSession, sf: str) -> DataFrame:
     return enrich_in_batches(_cued_papers(spark, sf), cue_extractor).drop("abstract")
 
@@ -610,6 +627,7 @@ QUERIES = {
     "index_written": index_written,
     "keyword_topk": keyword_topk,
     "keyword_any": keyword_any,
+    "keyword_bounded": keyword_bounded,
     "keyword_weighted": keyword_weighted,
     "keyword_phrase": keyword_phrase,
     "keyword_boolean": keyword_boolean,
@@ -630,6 +648,7 @@ QUERIES = {
     "response_recover": response_recover,
     "extract_metadata": extract_metadata,
     "enrich_in_batches": enrich_batches,
+    "enrich_slices": enrich_slices,
     "default_fill": default_fill,
     "embed_hash": embed_hash,
     "embed_batches": embed_batches,

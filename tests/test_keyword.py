@@ -1,4 +1,5 @@
 import math
+import random
 import re
 
 import pytest
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 from paperlake.constants import STOP_WORDS
 from paperlake.functions.tokens import index_terms
 from paperlake.operators import keyword as kw
+from paperlake.session import probe
 from paperlake.sinks import table
+from suite import views
 
 PAPERS = [
     ("1", "Deep learning", "Networks of layers. Learning networks is hard."),
@@ -261,3 +264,36 @@ def test_what_is_typed_is_found(spark):
     for r in kw.keyword_search(kw.scan_index(papers, terms), terms).collect():
         hits.setdefault(r.query_id, set()).add(r.paper_id)
     assert [hits.get(i, set()) for i in range(len(typed))] == list(typed.values())
+
+
+def test_bounded_search_equals_the_whole_one(spark):
+    pick = random.Random(3)
+    words = [f"w{i}" for i in range(120)]
+    weights = [1 / (i + 1) for i in range(120)]
+    rows = [(str(i), " ".join(pick.choices(words, weights, k=4)), " ".join(pick.choices(words, weights, k=pick.randint(0, 60)))) for i in range(900)]
+    papers = spark.createDataFrame(rows, "paper_id string, title string, abstract string")
+    asked = ask(spark, *[" ".join(pick.sample(words, n)) for n in (1, 1, 2, 2, 3, 5, 12)], "nothing", "")
+    terms = kw.any_terms(asked)
+    index = kw.scan_index(papers, terms)
+    for options in ({}, {"k": 3, "block_papers": 1, "seeds": 1}, {"block_papers": 50}, {"weights": {"title": 3.0, "abstract": 0.5}}):
+        k, w = options.pop("k", 20), options.pop("weights", None)
+        assert sorted(kw.bounded_search(index, terms, k, w, **options).collect()) == sorted(kw.keyword_search(index, terms, k, w).collect())
+
+
+def test_bounds_keep_most_rows_out_of_the_scores(spark, monkeypatch):
+    """Of the rows that the whole search sums up by question and paper, less than half meet their postings."""
+    sf, scored = "/root/testdata/sf0.1", []
+    terms = kw.any_terms(views.questions(spark, sf))
+    index = kw.scan_index(views.papers(spark, sf), terms)
+    whole = index.postings.join(F.broadcast(terms.select("query_id", "term")), "term").count()
+
+    def watch(big, small, key, spread_by, *args, **kwargs):
+        out = probe(big, small, key, spread_by, *args, **kwargs)
+        if key == "key":
+            scored.append(out.count())
+        return out
+
+    monkeypatch.setattr(kw, "probe", watch)
+    kw.bounded_search(index, terms)
+    print(f"rows scored {sum(scored)} of {whole}")
+    assert len(scored) == 2 and sum(scored) < whole / 2

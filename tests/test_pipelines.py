@@ -10,7 +10,7 @@ from paperlake.plans import pipelines as P
 from paperlake.plans.search import search_table
 from paperlake.schemas import SERVING
 from paperlake.sinks import table
-from paperlake.sinks.lake import spread, write_lake
+from paperlake.sinks.lake import SliceMismatch, spread, write_lake
 from paperlake.sources.lake import read_lake, read_stage
 from paperlake.streaming.feed import stream_feed
 
@@ -257,3 +257,38 @@ def test_a_micro_batch_that_was_committed_is_recognised(spark, tmp_path, monkeyp
     feed_file(tmp_path / "in", "b.xml", item("2608.2"))
     run()
     assert table.version(spark, serving) == before + 1 and set(state(spark, serving)) == {"2608.1", "2608.2"}
+
+
+def test_finished_slices_are_not_run_again(spark, tmp_path):
+    """An extractor that fails in the third slice: the next run calls it for that one and the rest only."""
+    P.run_backfill(spark, snapshot(tmp_path / "snap", [paper(i) for i in range(60)]), f"{tmp_path}/lake", f"{tmp_path}/dlq")
+    lake, log, fixed = read_stage(spark, f"{tmp_path}/lake"), tmp_path / "log", tmp_path / "fixed"
+    slice_of = {r.paper_id: r.n for r in lake.select("paper_id", F.pmod(F.xxhash64("paper_id"), F.lit(4)).alias("n")).collect()}
+    broken = {i for i, n in slice_of.items() if n == 2}
+    log.touch()
+
+    def extractor():
+        def run(texts):
+            with log.open("a") as out:
+                out.writelines(f"{len(texts)} {t}\n" for t in texts)
+            if not fixed.exists() and any(t.split("method ")[1].split(".")[0] in broken for t in texts):
+                raise SystemExit  # ends the worker, as a lost executor would
+            return ['{"core_method": "x"}'] * len(texts)
+
+        return run
+
+    stage = f"{tmp_path}/stage"
+    with pytest.raises(Exception):
+        P.run_metadata(spark, f"{tmp_path}/lake", stage, extractor, partitions=2, batch_rows=5, slices=4)
+    first = log.read_text().splitlines()
+    assert first and all(int(line.split()[0]) <= 5 for line in first)
+    log.write_text("")
+    fixed.touch()
+    P.run_metadata(spark, f"{tmp_path}/lake", stage, extractor, partitions=2, batch_rows=5, slices=4)
+    again = {line.split("method ")[1].split(".")[0] for line in log.read_text().splitlines()}
+    assert again == {i for i, n in slice_of.items() if n >= 2}
+    P.run_metadata(spark, f"{tmp_path}/lake", f"{tmp_path}/once", extractor)
+    rows = lambda path: sorted(map(str, read_stage(spark, path).drop("ingested_at").collect()))
+    assert rows(stage) == rows(f"{tmp_path}/once")
+    with pytest.raises(SliceMismatch):
+        P.run_metadata(spark, f"{tmp_path}/lake", stage, extractor, slices=3)
