@@ -2,7 +2,8 @@
 
 import json
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paperlake import constants as K
@@ -10,6 +11,13 @@ from paperlake.plans.pipelines import merge_feed
 from paperlake.sources.feed import read_feed
 
 
+def first_arrivals(items: DataFrame, within: str) -> DataFrame:
+    """A stream without rows that equal an earlier one; what is remembered of a row is a digest, and only for that long."""
+    content = F.sha2(F.to_json(F.struct(*items.columns), {"ignoreNullFields": "false"}), 256)
+    arrived = items.withColumns({"__arrived": F.current_timestamp(), "__content": content}).withWatermark("__arrived", within)
+    return arrived.dropDuplicatesWithinWatermark(["__content"]).select(*items.columns)
+
+
 def stream_feed(
     spark: SparkSession,
     landing: str,
@@ -20,13 +28,19 @@ def stream_feed(
     max_error_rate: float = K.DAILY_ERROR_LIMIT,
     now: Column | None = None,
     max_files: int | None = None,
+    repeats: str | None = "7 days",
 ) -> StreamingQuery:
     """Merge every file that arrives in `landing`, then stop when all are taken in.
 
+    An item that repeats an earlier one in every field within `repeats` of its arrival is dropped before the gate, so files
+    that overlap rewrite nothing. The clock is that of arrival, not the date of the item: no item is ever too late.
+
     A micro-batch may run again after a failure. Its number is committed with the table, under the id of the
     query, so one that had got that far is recognised. Dead letters are kept per micro-batch.
     """
     items = read_feed(spark, landing, streaming=True, max_files=max_files)
+    if repeats:
+        items = first_arrivals(items, repeats)
 
     def take_in(batch, batch_id: int) -> None:
         source = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]

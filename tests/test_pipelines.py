@@ -292,3 +292,19 @@ def test_finished_slices_are_not_run_again(spark, tmp_path):
     assert rows(stage) == rows(f"{tmp_path}/once")
     with pytest.raises(SliceMismatch):
         P.run_metadata(spark, f"{tmp_path}/lake", stage, extractor, slices=3)
+
+
+def test_a_late_repeat_leaves_the_version_alone(spark, tmp_path):
+    serving = f"{tmp_path}/serving"
+
+    def run(**options):
+        stream_feed(spark, f"{tmp_path}/in", serving, f"{tmp_path}/dlq", f"{tmp_path}/cp", now=now(), max_files=1, **options).awaitTermination()
+        return table.version(spark, serving)
+
+    feed_file(tmp_path / "in", "a.xml", item("2608.1", "one"), item("2608.2", "two"), item("2608.2", "two"))
+    before = run()
+    feed_file(tmp_path / "in", "b.xml", item("2608.2", "two"), item("2608.1", "one"))
+    assert run() == before
+    feed_file(tmp_path / "in", "c.xml", item("2608.1", "one"), item("2608.2", "new"))
+    assert run() == before + 1
+    assert {r.title for r in state(spark, serving).values()} == {"one", "new"}
