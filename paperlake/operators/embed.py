@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from paperlake import constants as K
 from paperlake.functions.tokens import NOT_WORD
+from paperlake.session import materialize, probe
 
 # Builds, once per task, a function from a batch of texts to a matrix with one row per text.
 Encoder = Callable[[], Callable[[Sequence[str]], np.ndarray]]
@@ -88,6 +89,49 @@ def embed_in_batches(
     return df.mapInArrow(run, schema)
 
 
+def embed_balanced(
+    df: DataFrame, text_col: str, encoder: Encoder | None = None, dim: int = K.EMBEDDING_DIM, batch_bytes: int = 1 << 16, tasks: int | None = None
+) -> DataFrame:
+    """`embed` for costly encoders: equal texts are encoded once, in batches of texts of like length.
+
+    Distinct texts are dealt out by a digest, sorted by length in each task, and handed to the encoder in batches of at most
+    `batch_bytes` (a longer text is a batch of its own), so a batch costs about the same whatever texts it holds. Vectors
+    go back to the rows by the digest, whatever share of the rows one text has.
+    """
+    encoder = encoder or hashing_encoder(dim)
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    keyed = df.withColumn("__text", digest)
+    texts = keyed.select("__text", F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = texts.groupBy("__text").agg(F.first("text").alias("text")).withColumn("bytes", F.octet_length("text"))
+    texts = (texts.repartition(tasks, "__text") if tasks else texts).sortWithinPartitions("bytes", "__text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder()
+        for keys, held in _filled(batches, batch_bytes):
+            matrix = unit_rows(np.asarray(encode(held), dtype=np.float64)).astype(np.float32)
+            offsets = pa.array(np.arange(len(matrix) + 1) * matrix.shape[1], pa.int32())
+            yield pa.record_batch({"__text": pa.array(keys), "embedding": pa.ListArray.from_arrays(offsets, pa.array(matrix.ravel()))})
+
+    vectors = materialize(texts.mapInArrow(run, "__text string, embedding array<float>"), "vectors")
+    row = F.monotonically_increasing_id()
+    return probe(keyed.withColumn("__row", row), vectors, "__text", "__row").select(*df.columns, "embedding")
+
+
+def _filled(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list[str], list[str]]]:
+    """Keys and texts in batches filled up to a number of bytes, across the batches they come in."""
+    keys, texts, total = [], [], 0
+    for batch in batches:
+        for key, text, size in zip(*(batch.column(c).to_pylist() for c in ("__text", "text", "bytes")), strict=True):
+            if keys and total + size > most:
+                yield keys, texts
+                keys, texts, total = [], [], 0
+            keys.append(key)
+            texts.append(text)
+            total += size
+    if keys:
+        yield keys, texts
+
+
 def fuse_text(df: DataFrame) -> DataFrame:
     """Add `embedding_text`: title, abstract and the metadata values, nulls left out."""
     values = [F.get_json_object("metadata_json", f"$.{f}") for f in K.METADATA_FIELDS]

@@ -460,6 +460,7 @@ ORACLE = {
         FROM documents LEFT JOIN labels USING (doc_id)""",
     "embed_hash": _EMBED,
     "embed_batches": _EMBED,
+    "embed_balanced": _EMBED,
     "pipeline_load": f"""WITH {CLEAN} SELECT * EXCLUDE (lang), CASE WHEN trim(abstract) = '' THEN {_DEFAULT_RECORD} ELSE {cues("abstract")} END AS metadata,
         {DIM}::BIGINT AS dim FROM clean WHERE length(title) > 0 AND length(abstract) >= 20""",
     "stage_tables": f"""WITH {CLEAN}, held AS (

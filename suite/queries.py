@@ -17,7 +17,7 @@ from paperlake.operators.cells import build_cells, cell_search
 from paperlake.operators.context import build_context
 from paperlake.operators.dedupe import dedupe_latest
 from paperlake.operators.dense import LshTable, dense_search, dense_search_approx, write_lsh_table
-from paperlake.operators.embed import embed, embed_in_batches, fuse_text
+from paperlake.operators.embed import embed, embed_balanced, embed_in_batches, fuse_text
 from paperlake.operators.enrich import CUES, enrich, enrich_in_batches, fill_missing
 from paperlake.operators.fusion import rrf
 from paperlake.operators.responses import recover_fields
@@ -518,6 +518,12 @@ def embed_batches(spark: SparkSession, sf: str) -> DataFrame:
     return _parts(embed_in_batches(documents, "text", dim=DIM))
 
 
+def embed_by_length(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text of the documents twice, each encoded once, in batches of like length."""
+    documents = views.texts(spark, sf, "documents").select("doc_id", "text")
+    return _parts(embed_balanced(documents.unionByName(documents), "text", dim=DIM)).distinct()
+
+
 # --- whole pipelines -----------------------------------------------------------------------
 
 
@@ -652,6 +658,7 @@ QUERIES = {
     "default_fill": default_fill,
     "embed_hash": embed_hash,
     "embed_batches": embed_batches,
+    "embed_balanced": embed_by_length,
     "pipeline_load": pipeline_load,
     "stage_tables": stage_tables,
     "daily_merge": daily_merge,

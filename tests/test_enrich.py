@@ -1,10 +1,11 @@
 import json
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paperlake.operators.embed import embed, embed_in_batches, fuse_text
+from paperlake.operators.embed import embed, embed_balanced, embed_in_batches, fuse_text, hashing_encoder
 from paperlake.operators.enrich import enrich, enrich_in_batches, fill_missing
 from paperlake.operators.responses import recover_fields
 
@@ -110,3 +111,32 @@ def test_the_extractor_gets_batches_of_the_size_asked_for(spark):
     texts = spark.range(130).coalesce(1).selectExpr("concat('text ', id) AS abstract")
     found = enrich_in_batches(texts, extractor, batch_rows=50).selectExpr("get_json_object(metadata_json, '$.core_method') AS n")
     assert sorted((r.n, r["count"]) for r in found.groupBy("n").count().collect()) == [("30", 30), ("50", 100)]
+
+
+def test_batches_of_like_length_and_equal_texts_once(spark, tmp_path):
+    pick = random.Random(2)
+    texts = [" ".join(pick.choices("abcdefg", k=pick.choice([1, 5, 50, 900]))) for _ in range(400)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, texts[0]) for i in range(300)] + [(2000, None), (2001, ""), (2002, "x" * 10_000)]
+    frame = spark.createDataFrame(rows, "id long, text string").repartition(5)
+    log = tmp_path / "log"
+
+    def encoder():
+        encode = hashing_encoder(16)()
+
+        def run(batch):
+            with log.open("a") as out:
+                out.write(f"{len(batch)} {sum(len(t.encode()) for t in batch)} {min(map(len, batch))} {max(map(len, batch))}\n")
+            return encode(batch)
+
+        return run
+
+    made = embed_balanced(frame, "text", encoder, 16, batch_bytes=4000, tasks=3)
+    expected = {r.id: r.embedding for r in embed(frame, "text", dim=16).collect()}
+    assert {r.id: r.embedding for r in made.collect()} == expected and made.count() == len(rows)
+    batches = [tuple(map(int, line.split())) for line in log.read_text().splitlines()]
+    assert sum(n for n, *_ in batches) == len({t or "" for _, t in rows})
+    assert all(size <= 4000 or n == 1 for n, size, _, _ in batches)
+    full = sorted(size for n, size, _, longest in batches if longest > 500 and n > 1)
+    assert full[len(full) // 2] >= 1700  # filled as far as the texts allow
+    spread = [longest - shortest for n, _, shortest, longest in batches if n > 1]
+    assert sorted(spread)[len(spread) // 2] <= 100  # a batch holds texts of like length
