@@ -152,3 +152,55 @@ def test_a_sample_holds_one_row_of_each_id(spark):
     assert len(rows) == 3 and sorted(x for _, x in rows) == [0, 1, 1]
     assert sorted(map(str, rows)) == sorted(str(tuple(r)) for r in labelled.sample(docs.repartition(7), labels, "quality", 10).collect())
     assert labelled.sample(docs, labels, "quality", 2).count() == 2
+
+
+def test_descent_reaches_the_optimum_of_a_plain_solver():
+    """The hinge loss over scaled indicators with a bias, its dual solved densely by projected gradients."""
+    rng = np.random.default_rng(3)
+    labels = (np.arange(60) % 3 == 0).astype(float)
+    rows = [np.unique(rng.integers(0, 40, 12) + (20 if one else 0)).astype(np.int32) for one in labels]
+    ratios = nbsvm.log_count_ratios(rows, labels)
+    dense = np.zeros((60, 61))
+    for i, row in enumerate(rows):
+        dense[i, row] = ratios[row]
+    dense[:, 60] = 1.0
+    sign = np.where(labels > 0, 1.0, -1.0)
+    cost = 0.5
+    limit = np.where(labels > 0, cost * 60 / (2 * labels.sum()), cost * 60 / (2 * (60 - labels.sum())))
+    kernel = (dense @ dense.T) * np.outer(sign, sign)
+    dual, step = np.zeros(60), 1 / np.linalg.eigvalsh(kernel)[-1]
+    for _ in range(200_000):
+        dual = np.clip(dual - step * (kernel @ dual - 1), 0, limit)
+    plain = (dual * sign) @ dense
+    scaled, bias = nbsvm.descend(rows, labels, ratios, cost, rounds=3000)
+    assert np.allclose(scaled[:60], plain[:60] * ratios[:60], atol=1e-3) and abs(bias - plain[60]) < 1e-3
+
+
+def test_margins_are_sums_of_the_weights_of_indicators():
+    rng = np.random.default_rng(4)
+    model = nbsvm.Model(rng.standard_normal(nbsvm.DIMENSIONS), 0.3, 1.0, 0.0)
+    texts = ["Ein Satz, zwei Wörter!", "a b c d", "", "%%% *** !!!", "x\ny\n\nz 12 12 12 AB", "the the the cat 😀 " * 40]
+    chunk = texts_of(pa.array(texts))
+    found = nbsvm.indicators(chunk)
+    assert np.allclose(model.margins(chunk), [0.3 + model.weights[f].sum() for f in found])
+    for text, numbers in zip(texts, found, strict=True):  # trigrams of byte classes, counted one by one
+        classes = [int(nbsvm._CLASS[b]) for b in text.encode()]
+        grams = Counter((a * 12 + b) * 12 + c for a, b, c in zip(classes, classes[1:], classes[2:]))
+        total = max(sum(grams.values()), 1)
+        expected = {g + i * nbsvm.N_GRAMS for i, level in enumerate(nbsvm.LEVELS) for g, n in grams.items() if n / total >= level}
+        assert {n for n in numbers.tolist() if n < len(nbsvm.LEVELS) * nbsvm.N_GRAMS and n % nbsvm.N_GRAMS < 12**3} == expected
+
+
+def test_lexicon_hits_equal_naive_matching():
+    pick = random.Random(5)
+    words = ["abc", "abcd", "ab", "bcd", "cab", "dabc", "xyz"]
+    weights = {entry: pick.uniform(0.5, 3) for entry in (" abc ", " abc", " ab ", " bcd", " cab ", " dab")}
+    model = toxicity.Model(weights, exceptions=("cab abc", "xyz bcd"), power=0.5)
+    for _ in range(300):
+        text = toxicity._lines(" ".join(pick.choices(words, k=pick.randint(0, 40))))[0]
+        covered = [(i, i + len(p)) for p in (" cab abc ", " xyz bcd ") for i in range(len(text)) if text.startswith(p, i)]
+        total = 0.0
+        for entry, weight in weights.items():
+            hits = [i for i in range(len(text)) if text.startswith(entry, i) and not any(a <= i and i + len(entry) <= b for a, b in covered)]
+            total += weight * (1 + np.log(len(hits))) if hits else 0.0
+        assert np.isclose(model.raw(text), total / (1 + len(text.split()) / 100) ** 0.5)
