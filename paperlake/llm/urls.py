@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperlake.session import ship_package
+from paperlake.session import probe, ship_package
 
 #: Rules beyond this many characters are joined instead of broadcast.
 TRIE_CHARS = 16 << 20
@@ -120,18 +120,23 @@ def _verdict(block: Column, default: str) -> Column:
 
 
 def judge_by_join(parsed: DataFrame, rules: list[Rule], default: str) -> DataFrame:
-    """The same verdicts for rule lists beyond a broadcast: an equi-join of host suffixes with the rules."""
+    """The same verdicts for rule lists beyond a broadcast: an equi-join on host suffix and path prefix.
+
+    A url has one key for each of its host suffixes and each length that the path of some rule has, so it meets the rules
+    that fit it and no others, however many a host has. Keys that many urls share (`com` and `/`) are dealt out by salt.
+    """
     spark = parsed.sparkSession
-    table = spark.createDataFrame([(r.host, r.path, r.block) for r in rules], "__host string, __path string, __block boolean")
+    unique = {(r.host, r.path): r for r in sorted(rules, key=lambda r: r.block)}  # of equal rules one that blocks
+    rows = [(f"{r.host}\n{r.path}", len(r.host), len(r.path), r.text, r.block) for r in unique.values()]
+    table = spark.createDataFrame(rows, "__key string, __host int, __path int, __rule string, __block boolean")
+    lengths = F.array(*[F.lit(n) for n in sorted({len(r.path) for r in rules})])
     labels = F.split("host", r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-    )
-    pairs = parsed.select("host", "path").distinct()
-    pairs = pairs.withColumn("__host", F.explode(F.concat(suffixes, F.array(F.lit("")))))
-    fits = pairs.join(table, "__host").where(F.startswith("path", "__path"))
-    order = F.struct(F.length("__host"), F.length("__path"), F.col("__block"))
-    best = fits.groupBy("host", "path").agg(F.max_by(F.struct(F.concat("__host", "__path").alias("rule"), "__block"), order).alias("__best"))
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    pairs = parsed.select("host", "path").distinct().withColumn("__suffix", F.explode(F.concat(suffixes, F.array(F.lit("")))))
+    cuts = F.transform(F.filter(lengths, lambda n: n <= F.length("path")), lambda n: F.substr("path", F.lit(1), n))
+    keyed = pairs.withColumn("__cut", F.explode(cuts)).select("host", "path", F.concat_ws("\n", "__suffix", "__cut").alias("__key"))
+    fits = probe(keyed, table, "__key", "path")
+    best = fits.groupBy("host", "path").agg(F.max_by(F.struct("__rule", "__block"), F.struct("__host", "__path")).alias("__best"))
     joined = parsed.drop("rule", "verdict").join(best, ["host", "path"], "left")
-    found = joined.withColumns({"rule": F.col("__best.rule"), "verdict": _verdict(F.col("__best.__block"), default)})
+    found = joined.withColumns({"rule": F.col("__best.__rule"), "verdict": _verdict(F.col("__best.__block"), default)})
     return found.drop("__best")

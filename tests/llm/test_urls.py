@@ -71,3 +71,23 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
 def test_very_long_url(spark):
     frame = spark.createDataFrame([(1, "http://example.com/en/" + "a/" * 100_000)], "page_id long, url string")
     assert urls.judge(frame, RULES).first().verdict == "block"
+
+
+def test_many_rules_of_one_host_by_join(spark, monkeypatch):
+    """A url meets the rules that fit it, not the ten thousand of its host."""
+    monkeypatch.setattr(urls, "TRIE_CHARS", 0)
+    rules = [urls.Rule("example.com", f"/{i}/p", i % 2 == 0) for i in range(10_000)] + [urls.Rule("com", "/", True), urls.Rule("", "", False)]
+    rows = [(i, f"http://www.example.com/{i * 7}/p{i}", None, 0) for i in range(1000)] + [(5000 + i, f"http://x{i}.com/a", None, 0) for i in range(500)]
+    found, met = {}, []
+
+    def watch(*args, **kwargs):
+        met.append(joined := probe(*args, **kwargs))
+        return joined
+
+    probe = urls.probe
+    monkeypatch.setattr(urls, "probe", watch)
+    found = judged(spark, rows, rules)
+    for (i, _), (rule, verdict, _, _) in found.items():
+        expected = (f"example.com/{i * 7}/p", "block" if i % 2 == 0 else "allow") if i < 1000 else ("com/", "block")
+        assert (rule, verdict) == expected
+    assert met[0].count() <= 3 * len(rows)
