@@ -24,7 +24,7 @@ rows and ties are copies of one class. An empty table gives an empty result.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperlake.llm.components import components
@@ -279,9 +279,10 @@ def _shared_prefixes(docs: DataFrame, scanned: DataFrame, classes: DataFrame) ->
 
     rows = _texts(docs, classes.select("node", "rid", "rkey")).select("node", "text")
     tokens = map_texts(rows, "node bigint, prefix array<bigint>", run)
-    tokens = tokens.select("node", F.posexplode("prefix").alias("pos", "token"))
-    held = F.count("*").over(Window.partitionBy("token"))
-    return materialize(tokens.withColumn("held", held).where("held > 1").drop("held"), "jaccard-shared")
+    tokens = materialize(tokens.select("node", F.posexplode("prefix").alias("pos", "token")), "jaccard-prefixes")
+    # Counted in every task first: a token of all classes is a count, not a window in one task.
+    several = tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
+    return materialize(tokens.join(several.hint("shuffle_merge"), "token", "left_semi"), "jaccard-shared")
 
 
 def _groups(classes: DataFrame, pairs: DataFrame, stars: DataFrame) -> DataFrame:
@@ -303,9 +304,9 @@ def _groups(classes: DataFrame, pairs: DataFrame, stars: DataFrame) -> DataFrame
 def _matrix_links(docs: DataFrame, scanned: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame | None:
     """Links (a, b) of classes that are not connected yet: matrix, bound, then the members of qualifying parts."""
     shared = _shared_prefixes(docs, scanned, classes).join(broadcast_if_small(groups), "node")
-    of_token = Window.partitionBy("token")
-    across = shared.withColumns({"low": F.min("component").over(of_token), "high": F.max("component").over(of_token)})
-    shared = materialize(across.where("low < high").drop("low", "high"), "jaccard-across")
+    shared = materialize(shared, "jaccard-grouped")
+    across = shared.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    shared = materialize(shared.join(across.select("token").hint("shuffle_merge"), "token", "left_semi"), "jaccard-across")
     matrix = shared.groupBy("token", F.col("group").alias("group_b"), F.col("part").alias("part_b")).agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest")
     )

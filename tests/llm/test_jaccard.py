@@ -120,3 +120,14 @@ def test_the_bound_of_a_part_covers_every_size_of_its_members(spark):
     frame = spark.createDataFrame(rows, "n int, low int, high int, best int")
     wrong = frame.where(jaccard._spare(F.col("n"), F.col("low"), F.col("high")) != F.col("best"))
     assert wrong.count() == 0
+
+
+def test_a_token_that_every_document_holds(spark, documents):
+    """One shingle in all sets, and no window over the rows of a token in any plan."""
+    pick = random.Random(21)
+    word = lambda: "".join(pick.choices("abcdefghijklmnop", k=6))
+    shared = "this very line stands everywhere"
+    texts = [" ".join([shared, *(word() for _ in range(20))]) for _ in range(300)]
+    texts += [texts[i].rsplit(" ", 1)[0] for i in range(0, 300, 10)]
+    found = {r.doc_id: r.component_id for r in jaccard.similar_components(documents(list(enumerate(texts)))).collect()}
+    assert found == {i: 10 * (i - 300) if i >= 300 else i for i in range(len(texts))}
