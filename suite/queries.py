@@ -366,17 +366,26 @@ def hybrid(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumns({"rrf_score": F.round("rrf_score", 9), "place": F.col("place").cast("long")})
 
 
-def hybrid_stored(spark: SparkSession, sf: str) -> DataFrame:
-    """Hybrid search on stored tables: a text index, and a keyed table the results are fetched from."""
+def store_papers(spark: SparkSession, sf: str) -> str:
+    """A text index and a keyed table of the papers, in a new folder."""
     papers, base = views.papers(spark, sf), scratch_path(spark, "stored")
-    index = kw.write_index(papers, f"{base}/index", buckets=16)
+    kw.write_index(papers, f"{base}/index", buckets=16)
     keyed.publish(papers, f"{base}/serving", buckets=8)
-    serving = keyed.resolve(spark, f"{base}/serving")
-    questions = views.questions(spark, sf)
+    return base
+
+
+def search_stored(spark: SparkSession, sf: str, base: str) -> DataFrame:
+    serving, questions = keyed.resolve(spark, f"{base}/serving"), views.questions(spark, sf)
+    index = kw.read_index(spark, f"{base}/index")
     found = hybrid_search(serving, questions, index=index, serving=f"{base}/serving", terms=kw.question_terms(questions), **PLAIN)
     return found.withColumns({"rrf_score": F.round("rrf_score", 9), "place": F.col("place").cast("long")})
 
 
+def hybrid_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Hybrid search on stored tables: a text index, and a keyed table the results are fetched from."""
+    return search_stored(spark, sf, store_papers(spark, sf))
+
+
 def hybrid_boolean(spark: SparkSession, sf: str) -> DataFrame:
     """The boolean questions in the hybrid search; or the whole item as a phrase, whatever is forbidden."""
     questions = views.questions(spark, sf)
