@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperlake import constants as K
+from paperlake.functions.metadata import json_text
 
 
 def target_model(tag: Column, model_map: Mapping[str, str] | None = None) -> Column:
@@ -33,9 +34,11 @@ def _entry(match: Column) -> Column:
 def build_context(queries: DataFrame, matches: DataFrame, model_map: Mapping[str, str] | None = None) -> DataFrame:
     """One row per question -> (query_id, model, prompt, matched).
 
-    `matches` come from a hybrid search with metadata, which bounds the rows per question.
+    `matches` come from a hybrid search with metadata, which bounds the rows per question; it is shown as JSON,
+    whether it is kept as text or as VARIANT.
     `queries` may carry a `model_tag`.
     """
+    matches = matches.withColumn("metadata", json_text(matches, "metadata"))
     fields = ("place", "paper_id", "title", "abstract", "url", "published_date", "metadata")
     grouped = matches.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("found"))
     summary = F.transform(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperlake import constants as K
+from paperlake.functions.metadata import json_field
 from paperlake.functions.tokens import NOT_WORD
 from paperlake.session import materialize, probe
 
@@ -133,6 +134,6 @@ def _filled(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list
 
 
 def fuse_text(df: DataFrame) -> DataFrame:
-    """Add `embedding_text`: title, abstract and the metadata values, nulls left out."""
-    values = [F.get_json_object("metadata_json", f"$.{f}") for f in K.METADATA_FIELDS]
+    """Add `embedding_text`: title, abstract and the metadata values, nulls left out. The metadata is JSON text or VARIANT."""
+    values = [json_field(df, "metadata_json", f) for f in K.METADATA_FIELDS]
     return df.withColumn("embedding_text", F.concat_ws(K.TEXT_SEPARATOR, "title", "abstract", *values))

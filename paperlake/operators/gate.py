@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperlake import constants as K
 from paperlake.functions.feedtext import strip
+from paperlake.functions.metadata import is_json
 from paperlake.session import materialize
 from paperlake.sinks.lake import write_dead_letters
 
@@ -31,13 +32,6 @@ def daily_rules(url_prefix: str = K.FEED_URL_PREFIX) -> Rules:
     }
 
 
-def is_json(text: Column) -> Column:
-    """Exactly one JSON value. The parser stops after the first one, so the text is read as the elements of a list."""
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    second = F.try_variant_get(listed, "$[1]", "variant")
-    return (F.trim(text) != "") & listed.isNotNull() & second.isNull()
-
-
 def serving_rules(dim: int | None = None) -> Rules:
     """The constraints of the serving table on a row; that keys are unique is checked when it is written."""
     rules = {

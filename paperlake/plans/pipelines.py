@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperlake import constants as K
+from paperlake.functions.metadata import in_types_of
 from paperlake.functions.tokens import Stem
 from paperlake.operators import cells
 from paperlake.operators import gate as G
@@ -13,7 +14,7 @@ from paperlake.operators import keyword as kw
 from paperlake.operators.dedupe import dedupe_latest
 from paperlake.operators.embed import Encoder, embed, embed_in_batches, fuse_text
 from paperlake.operators.enrich import Extractor, enrich, enrich_in_batches, fill_missing
-from paperlake.schemas import PAPER, SERVING
+from paperlake.schemas import PAPER, SERVING, SERVING_VARIANT
 from paperlake.session import materialize, scratch_scope
 from paperlake.sinks import table
 from paperlake.sinks.lake import spread, write_lake, write_slices, write_stage
@@ -110,12 +111,14 @@ def kept_companions(spark: SparkSession, serving: str) -> list[table.Companion]:
 
 
 def run_loading(
-    spark: SparkSession, stage: str, serving: str, dim: int = K.EMBEDDING_DIM, buckets: int | None = None, stem: Stem | None = None
+    spark: SparkSession, stage: str, serving: str, dim: int = K.EMBEDDING_DIM, buckets: int | None = None, stem: Stem | None = None,
+    variant: bool = False,
 ) -> int:
     """Embedding stage -> full-row upsert into the serving table, with its text index and the codes of its vectors.
 
     Returns the version served. The first load with vectors fits the cells and codebooks, which stay as they are. A row that
-    breaks a constraint of the table fails the load, as it would in a database.
+    breaks a constraint of the table fails the load, as it would in a database. With `variant` the first load makes a table whose
+    metadata are typed values; every later load and feed follows the table.
     """
     rows = read_stage(spark, stage)
     if rows.isEmpty():
@@ -129,6 +132,7 @@ def run_loading(
             companions.append(cells_companion(spark, cells.write_model(spark, cells.train(rows, dim), f"{serving}/models")))
         if table.exists(spark, serving):
             return table.merge_into(rows, serving, companions)
+        rows = in_types_of(rows, SERVING_VARIANT) if variant else rows
         return table.publish(rows, serving, buckets=buckets, companions=companions)
 
 

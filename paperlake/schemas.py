@@ -56,3 +56,6 @@ SERVING = T.StructType(
         T.StructField("metadata", T.StringType()),
     ]
 )
+
+#: The same with metadata as typed values.
+SERVING_VARIANT = T.StructType([T.StructField(f.name, T.VariantType()) if f.name == "metadata" else f for f in SERVING.fields])

@@ -10,7 +10,7 @@ rows has its bucket of each companion, written with it and named by the same poi
 stored for search never differs from the table. Where rows change, theirs are derived anew.
 
 Keys are unique and not null: a commit that would break this fails. Every commit has the schema of
-the table. The number of folders follows the bytes of the table when it is published, so that a merge of few keys
+the table; JSON text is parsed where it holds VARIANT, and fails the commit if it can't be. The number of folders follows the bytes of the table when it is published, so that a merge of few keys
 rewrites a small share of it.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paperlake.functions.metadata import in_types_of
 from paperlake.operators.upsert import upsert
 from paperlake.session import broadcast_if_small, data_bytes, parts_for
 from paperlake.sinks.lake import CODEC
@@ -217,13 +218,15 @@ def merge_into(
     if commit and state.get("commits", {}).get(commit[0], -1) >= commit[1]:
         return state["version"]
     key, buckets = state["key"], state["buckets"]
+    schema = T.StructType.fromJson(state["schema"])
+    updates = in_types_of(updates, schema)
     _check_keys(updates.select(key), key)
     touched = {str(row[0]) for row in updates.select(_bucket_of(key, buckets)).distinct().collect()}
     if not touched:
         return state["version"]
     merged = upsert(_read_folders(spark, table, state, touched), updates, key=key, **merge)
     number = state["version"] + 1
-    written = _write_buckets(merged, table, f"v={number}", key, buckets, T.StructType.fromJson(state["schema"]), [key])
+    written = _write_buckets(merged, table, f"v={number}", key, buckets, schema, [key])
     state = state | {"version": number, "folders": state["folders"] | written}
     state["companions"] = _derived(spark, table, state, touched, companions)
     state["commits"] = state.get("commits", {}) | ({commit[0]: commit[1]} if commit else {})

@@ -471,3 +471,11 @@ ORACLE = {
     "daily_merge": _DAILY_MERGED,
     "feed_stream": _DAILY_MERGED,
 }
+
+# What is stored as typed values reads like the text it was made from.
+ORACLE |= {
+    "json_fuse_variant": ORACLE["json_fuse"],
+    "rag_context_variant": ORACLE["rag_context"],
+    "metadata_fields": f"""WITH {PAPERS} SELECT json_extract_string(metadata, '$.lang') AS lang, json_extract_string(metadata, '$.source') AS source,
+        json_extract_string(metadata, '$.none') AS "none", count(*) AS n FROM papers GROUP BY 1, 2, 3""",
+}

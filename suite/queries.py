@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from paperlake.constants import NOT_SPECIFIED
 from paperlake.functions import cleanse
 from paperlake.functions.feedtext import feed_abstract
+from paperlake.functions.metadata import in_types_of, json_field, to_variant
 from paperlake.functions.tokens import index_terms
 from paperlake.functions.vectors import cosine_distance, text_to_vector, vector_to_text
 from paperlake.operators import gate as G
@@ -24,7 +25,8 @@ from paperlake.operators.responses import recover_fields
 from paperlake.operators.upsert import upsert
 from paperlake.plans import pipelines
 from paperlake.plans.search import ask, hybrid_search, result_counts, search_table
-from paperlake.session import scratch_path
+from paperlake.schemas import SERVING_VARIANT
+from paperlake.session import materialize, scratch_path
 from paperlake.sinks import table as keyed
 from paperlake.sinks.jdbc import staging_rows
 from paperlake.sinks.lake import spread, write_lake, write_slices, write_stage
@@ -419,13 +421,39 @@ def hybrid_counts(spark: SparkSession, sf: str) -> DataFrame:
     return result_counts(views.questions(spark, sf), hybrid(spark, sf))
 
 
-def rag_context(spark: SparkSession, sf: str) -> DataFrame:
-    papers, questions = views.papers(spark, sf), views.questions(spark, sf)
-    context = ask(papers, questions, terms=kw.question_terms(questions), **PLAIN)
+def _context(papers: DataFrame, questions: DataFrame, **search) -> DataFrame:
+    context = ask(papers, questions, terms=kw.question_terms(questions), **PLAIN, **search)
     matched = F.transform("matched", lambda m: F.concat_ws("|", m["paper_id"], m["published_date"], m["metadata"]))
     return context.select("query_id", "model", "prompt", F.array_join(matched, ";").alias("matched"))
 
 
+def rag_context(spark: SparkSession, sf: str) -> DataFrame:
+    return _context(views.papers(spark, sf), views.questions(spark, sf))
+
+
+def _variant_table(spark: SparkSession, sf: str) -> str:
+    """A keyed table with typed metadata: half of the papers are published, the rest merged with their metadata as text."""
+    path, papers = scratch_path(spark, "variant"), views.papers(spark, sf)
+    papers = papers.select([F.col(f.name).cast(SERVING_VARIANT[f.name].dataType if f.name != "metadata" else "string") for f in SERVING_VARIANT])
+    even = F.col("paper_id").cast("long") % 2 == 0
+    keyed.publish(in_types_of(papers.where(even), SERVING_VARIANT), path)
+    keyed.merge_into(papers.where(~even), path)
+    return path
+
+
+def rag_context_variant(spark: SparkSession, sf: str) -> DataFrame:
+    """`rag_context` from a stored table with typed metadata."""
+    path = _variant_table(spark, sf)
+    return _context(keyed.resolve(spark, path), views.questions(spark, sf), serving=path)
+
+
+def metadata_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Papers by the fields of their typed metadata."""
+    papers = keyed.resolve(spark, _variant_table(spark, sf))
+    fields = [json_field(papers, "metadata", name).alias(name) for name in ("lang", "source", "none")]
+    return papers.select(*fields).groupBy("lang", "source", "none").agg(F.count(F.lit(1)).alias("n"))
+
+
 def rag_no_match(spark: SparkSession, sf: str) -> DataFrame:
     """Context from the keyword branch alone: questions without a match get the fixed sentence."""
     papers, questions = views.papers(spark, sf), views.questions(spark, sf)
@@ -437,18 +465,27 @@ def rag_no_match(spark: SparkSession, sf: str) -> DataFrame:
 # --- enrichment -------------------------------------------------------------------------
 
 
-def json_fuse(spark: SparkSession, sf: str) -> DataFrame:
+def _fusable(spark: SparkSession, sf: str) -> DataFrame:
     k = F.get_json_object("props", "$.k")
     metadata = F.concat(
         F.lit('{"core_method": "k='), k, F.lit('", "key_findings": "'), F.col("event_type"), F.lit('"}')
     )
-    events = views.table(spark, sf, "events").select(
+    return views.table(spark, sf, "events").select(
         "event_id",
         F.col("event_type").alias("title"),
         F.when(F.col("value") > 10, F.col("props")).alias("abstract"),
         metadata.alias("metadata_json"),
     )
-    return fuse_text(events).select("event_id", "embedding_text")
+
+
+def json_fuse(spark: SparkSession, sf: str) -> DataFrame:
+    return fuse_text(_fusable(spark, sf)).select("event_id", "embedding_text")
+
+
+def json_fuse_variant(spark: SparkSession, sf: str) -> DataFrame:
+    """`json_fuse` from metadata that is stored as VARIANT."""
+    events = _fusable(spark, sf).withColumn("metadata_json", to_variant(F.col("metadata_json")))
+    return fuse_text(materialize(events, "variant")).select("event_id", "embedding_text")
 
 
 def response_recover(spark: SparkSession, sf: str) -> DataFrame:
@@ -658,8 +695,11 @@ QUERIES = {
     "search_counts": search_counts,
     "hybrid_counts": hybrid_counts,
     "rag_context": rag_context,
+    "rag_context_variant": rag_context_variant,
+    "metadata_fields": metadata_fields,
     "rag_no_match": rag_no_match,
     "json_fuse": json_fuse,
+    "json_fuse_variant": json_fuse_variant,
     "response_recover": response_recover,
     "extract_metadata": extract_metadata,
     "enrich_in_batches": enrich_batches,
