@@ -72,7 +72,7 @@ def _fit(points: np.ndarray, entries: int, rounds: int) -> np.ndarray:
 def _runs(matrix: np.ndarray) -> np.ndarray:
     """run x row x component; the last run is filled up with zeros."""
     filled = np.pad(matrix, ((0, 0), (0, -matrix.shape[1] % PART)))
-    return filled.reshape(len(filled), -1, PART).transpose(1, 0, 2)
+    return filled.reshape(len(filled), filled.shape[1] // PART, PART).transpose(1, 0, 2)
 
 
 def train(docs: DataFrame, dim: int = K.EMBEDDING_DIM, cells: int | None = None, entries: int = ENTRIES, rounds: int = ROUNDS) -> CellModel:

@@ -85,3 +85,11 @@ def test_codes_follow_the_table_and_only_candidates_are_read(spark, frames, tmp_
     assert found == ranked(dense_search(table.resolve(spark, path).where("paper_id NOT IN ('none', 'zero')"), asked))
     few = cells.cell_search(index, table.resolve(spark, path), asked.where("query_id = 1"), k=2, rerank=3, serving=path)
     assert "In(paper_id" in plan(few)  # the vectors of three candidates
+
+
+def test_a_batch_without_vectors(spark, frames):
+    docs, asked = frames
+    made = cells.train(docs, DIM)
+    none = docs.where("paper_id IN ('none', 'zero')").repartition(1)
+    assert cells.code_rows(docs.where("paper_id = 'none'"), made).collect() == []
+    assert cells.code_rows(none.unionByName(docs.where("paper_id = '5'")), made).count() == 1
