@@ -4,9 +4,13 @@ Each step of the algorithm is one `transform` over the array, so an element is c
 as often as a rule needs it. The state of a word is struct(x, w, p1, p2, done): the word as given, what is left of it, where
 its regions R1 and R2 begin (places, as suffixes go the regions stay), and its stem if an exception has fixed that.
 Consonant y is written Y between the first and the last step.
+
+`english_stem` says the same of one word in plain Python, for texts whose many words are few different ones (tokens.forms).
 """
 
+import re
 from collections.abc import Callable, Mapping
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -150,3 +154,65 @@ def english_stems(words: Column) -> Column:
     for step in STEPS:
         states = F.transform(states, step)
     return F.transform(states, lambda s: F.coalesce(s["done"], F.translate(s["w"], "Y", "y")))
+
+
+# --- word by word --------------------------------------------------------------
+#: Different words whose forms a Python worker remembers.
+REMEMBERED = 1 << 17
+_VOWEL_LATER = re.compile("[aeiouy].+s$")
+_PARTICIPLE, _GONE = re.compile("[aeiouy].*(ingly|edly|ing|ed)$"), re.compile("(ingly|edly|ing|ed)$")
+_SHORT, _DOUBLED = re.compile(SHORT_SYLLABLE), re.compile(f"({DOUBLES})$")
+_REGION, _PREFIX = re.compile(_TO_REGION), re.compile(f"({'|'.join(WHOLE_PREFIXES)})")
+
+
+def _region_of(w: str) -> int:
+    found = _REGION.match(w)
+    return found.end() if found else len(w)
+
+
+def _without(w: str, start: int, endings: Mapping[str, str], allowed: Callable[[str, str], bool]) -> str:
+    ending = next((e for n in range(min(7, len(w)), 0, -1) if (e := w[-n:]) in endings), None)
+    if ending is None:
+        return w
+    rest = w[: -len(ending)]
+    return rest + endings[ending] if len(rest) >= start and allowed(ending, rest) else w
+
+
+_FOUR = dict.fromkeys(STEP_4, "")
+
+
+@lru_cache(REMEMBERED)
+def english_stem(word: str) -> str:
+    """The stem of one lower-case word, by the steps above."""
+    if len(word) <= 2 or word in EXCEPTIONS:
+        return EXCEPTIONS.get(word, word)
+    w = re.sub("([aeiouy])y", r"\1Y", re.sub("^y", "Y", word))
+    prefix = _PREFIX.match(w)
+    p1 = prefix.end() if prefix else _region_of(w)
+    p2 = p1 + _region_of(w[p1:])
+    if w.endswith("sses"):
+        w = w[:-2]
+    elif w.endswith(("ied", "ies")):
+        w = w[:-2] if len(w) > 4 else w[:-1]
+    elif not w.endswith(("us", "ss")) and _VOWEL_LATER.search(w):
+        w = w[:-1]
+    if w in AFTER_PLURALS:
+        return w
+    long = "eedly" if w.endswith("eedly") else "eed" if w.endswith("eed") else ""
+    if long:
+        w = w[: -len(long)] + "ee" if len(w) - len(long) >= p1 else w
+    elif _PARTICIPLE.search(w):
+        w = _GONE.sub("", w)
+        if w.endswith(("at", "bl", "iz")) or (len(w) <= p1 and _SHORT.search(w)):
+            w += "e"
+        elif _DOUBLED.search(w):
+            w = w[:-1]
+    if len(w) > 2 and w[-1] in "yY" and w[-2] not in "aeiouy":
+        w = w[:-1] + "i"
+    w = _without(w, p1, STEP_2, lambda e, rest: (e != "li" or rest[-1:] in tuple("cdeghkmnrt")) and (e != "ogi" or rest.endswith("l")))
+    w = _without(w, p1, STEP_3, lambda e, rest: e != "ative" or len(rest) >= p2)
+    w = _without(w, p2, _FOUR, lambda e, rest: e != "ion" or rest.endswith(("s", "t")))
+    n = len(w) - 1
+    if (w.endswith("e") and (n >= p2 or (n >= p1 and not _SHORT.search(w[:-1])))) or (w.endswith("ll") and n >= p2):
+        w = w[:-1]
+    return w.replace("Y", "y")

@@ -1,12 +1,17 @@
 """Text analysis for keyword search: lower-case words of letters and digits."""
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperlake.constants import STOP_WORDS
-from paperlake.functions.porter import english_stems
+from paperlake.functions.porter import REMEMBERED, english_stem, english_stems
 
 #: How word endings are reduced: not at all, plural endings only (True), or by the English suffix rules ("english").
 Stem = bool | str
@@ -66,6 +71,34 @@ def reduced(found: Column, stem: Stem) -> Column:
     return F.transform(found, light_stem) if stem else found
 
 
+_PLURALS = tuple((re.compile(ending), cut, put) for ending, cut, put in (("(?<![ea])ies$", 3, "y"), ("(?<![aeo])es$", 2, "e"), ("(?<![us])s$", 1, "")))
+
+
+@lru_cache(REMEMBERED)
+def plain_stem(word: str) -> str:
+    """`light_stem` of one word."""
+    return next((word[:-cut] + put for ending, cut, put in _PLURALS if ending.search(word)), word)
+
+
+def _each(form: Callable[[str], str]):
+    def run(found: pa.Array) -> pa.Array:
+        words = found.flatten().dictionary_encode()
+        forms = pa.array([w if w is None else form(w) for w in words.dictionary.to_pylist()], pa.string())
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False))
+        places = pa.array(np.concatenate(([0], ends)), pa.int32())
+        return pa.ListArray.from_arrays(places, forms.take(words.indices), mask=found.is_null() if found.null_count else None)
+
+    return F.arrow_udf(run, "array<string>").asNondeterministic()
+
+
+def forms(found: Column, stem: Stem) -> Column:
+    """`reduced` for the words of whole texts: a task reduces each different word of a batch once, and remembers the frequent ones.
+
+    Not for use inside a lambda. Column expressions would reduce every word anew wherever it stands.
+    """
+    return _each(english_stem if stem == "english" else plain_stem)(found) if stem else found
+
+
 def index_terms(df: DataFrame, text: str, name: str = "terms", stem: Stem = False) -> DataFrame:
     """Add the words of a text column that are indexed: no stop words, endings reduced on request."""
     kept = df.withColumn(name, words(F.col(text))).withColumn(name, without_stop_words(name))

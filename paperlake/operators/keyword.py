@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperlake import constants as K
-from paperlake.functions.tokens import Stem, index_terms, is_stop_word, placed_forms, placed_terms, reduced, without_stop_words, words
+from paperlake.functions.tokens import Stem, forms, index_terms, is_stop_word, placed_forms, placed_terms, reduced, without_stop_words, words
 from paperlake.operators.dedupe import top_per_group
-from paperlake.session import broadcast_if_small, data_bytes, materialize, parts_for, probe
+from paperlake.session import broadcast_if_small, data_bytes, materialize, parts_for, probe, ship_package
 from paperlake.sinks.lake import CODEC
 
 TITLE, ABSTRACT = "title", "abstract"
@@ -69,7 +69,8 @@ def paper_postings(docs: DataFrame, stem: Stem = False, only: list[str] | None =
     """
     analyzed = _analyzed(docs)
     if stem:  # zipped: a lambda that refers to all reduced words would reduce them for every element
-        both = F.arrays_zip(F.col("words").alias("word"), reduced(F.col("words"), stem).alias("term"))
+        ship_package(docs.sparkSession)
+        both = F.arrays_zip(F.col("words").alias("word"), forms(F.col("words"), stem).alias("term"))
         analyzed = analyzed.withColumn("both", both)
     placed = placed_forms("both", only) if stem else placed_terms("words", only)
     placed = F.transform(placed, lambda w: F.struct(w["term" if stem else "word"].alias("term"), w["pos"].alias("pos")))

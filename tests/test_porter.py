@@ -128,3 +128,20 @@ def test_words_are_reduced_once(plan, spark):
     """One chain of transforms: no step stands in the plan more than once for an element."""
     text = plan(spark.createDataFrame([(["a"],)], "w array<string>").select(english_stems(F.col("w")).alias("s"))).split("== Physical Plan ==")[1]
     assert text.count("transform(") == len(STEPS) + 2
+
+
+def test_words_of_texts_are_reduced_as_by_expressions(plan, spark):
+    from paperlake.functions.tokens import forms, reduced
+    from paperlake.operators.keyword import paper_postings
+
+    pick = random.Random(7)
+    ends = ["", *"s es ies ed ing edly eedly y ly tional alize ness ative ion e ll ement ogi li".split()]
+    words = ["".join(pick.choices("a e i y o t s l b n g é 7 co ni st".split(), k=pick.randint(1, 4))) + pick.choice(ends) for _ in range(4000)]
+    rows = spark.createDataFrame([(words[:3000],), ([],), (None,), (words[3000:] * 2,)], "w array<string>").repartition(1)
+    for stem in (False, True, "english"):
+        got = rows.select(forms(F.col("w"), stem).alias("a"), reduced(F.col("w"), stem).alias("b")).collect()
+        assert all(r.a == r.b for r in got)
+    docs = spark.createDataFrame([("1", "Networks", "learning to learn")], "paper_id string, title string, abstract string")
+    text = plan(paper_postings(docs, "english")).split("== Physical Plan ==")[1]
+    assert text.count("transform(") < len(STEPS)  # no rule of the algorithm runs for every word
+    assert {r.term for r in paper_postings(docs, "english").collect()} == {"network", "learn", ""}
