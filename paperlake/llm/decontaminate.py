@@ -11,8 +11,9 @@ An item dense in numbers, names or units may have no such window. It gets longer
 fewer than `SHORTEST` words are not searched: a phrase that short says nothing about where a text comes from.
 
 Items with the same template and the same pattern of equal slots are one class, reported by its smallest item_id. A window
-that more than `SHARED` classes hold (a common preamble) proves none of them and is left out, also of the item's count; an item
-made of such windows only is not searched. So a window never meets more than `SHARED` classes.
+that more than `SHARED` classes hold (a common preamble) proves none of them and is left out, also of the item's count. An item
+made of such windows only is searched as a whole: by two windows at its ends that cover it (of the largest of the sizes 8, 12, 16, 24, 32 ...
+that fits), both of which have to match on one diagonal. Only those may meet more than `SHARED` classes.
 
 A run of matches on one diagonal (place in the document minus place in the item) counts only if its slots are
 consistent: the same value in the item always stands for the same value in the document, so a question with other
@@ -145,6 +146,15 @@ def _dense(words: Words, literal: np.ndarray, item: int) -> tuple[int, int, np.n
     return largest, min(most, LITERALS), first + np.flatnonzero(held == most) if most >= PLAIN else np.zeros(0, int)
 
 
+def _largest(n: int) -> int:
+    """The largest size of windows that fits, at least two thirds of `n`: all up to `WINDOW`, then 12, 16, 24, 32 ..."""
+    size, step = min(n, WINDOW), WINDOW + WINDOW // 2
+    following = 2 * WINDOW
+    while step <= n:
+        size, step, following = step, following, 2 * step
+    return size
+
+
 def _class_keys(words: Words, codes: np.ndarray, values: np.ndarray) -> pa.Array:
     """Equal for items of the same template whose slots are equal in the same places."""
     keys = []
@@ -166,8 +176,9 @@ def _slots(values: np.ndarray, starts: np.ndarray, size: int) -> pa.Array:
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(window, size, plain, item_id, item_place, windows, item_slots) of one item of each class, without windows that many
-    classes hold; windows is how many of its kind the item has. Item ids are text here."""
+    """(window, size, plain, item_id, item_place, windows, item_slots, whole) of one item of each class, without windows that many
+    classes hold; an item that would have none of a kind has the `whole` ones of its ends. windows is how many of its kind the item has.
+    Item ids are text here."""
 
     def run(batch: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
         found = templates(texts)
@@ -176,7 +187,7 @@ def item_windows(items: DataFrame) -> DataFrame:
         keys = _class_keys(words, codes, values)
         parts = []
 
-        def add(of: Words, starts: np.ndarray, hashes: np.ndarray, size: int, plain: int) -> None:
+        def add(of: Words, starts: np.ndarray, hashes: np.ndarray, size: int, plain: int, whole: bool = False) -> None:
             text = of.text[starts]
             parts.append(
                 pa.RecordBatch.from_arrays(
@@ -188,11 +199,18 @@ def item_windows(items: DataFrame) -> DataFrame:
                         keys.take(pa.array(text)),
                         pa.array(starts - of.firsts[text], pa.int32()),
                         _slots(values if size > 0 else np.zeros(len(tokens), np.uint64), starts, abs(size)),
+                        pa.array(np.full(len(starts), whole)),
                     ],
                     names,
                 )
             )
 
+        def add_whole(of: Words, item: int, hashes: np.ndarray, sign: int) -> None:
+            n = int(of.counts[item])
+            size = _largest(n)
+            starts = of.firsts[item] + np.unique([0, n - size])
+            add(of, starts, window_hashes(hashes, starts, size), sign * size, 0, True)
+
         usual = np.zeros(len(texts), bool)
         for size in np.unique(sizes[sizes >= SHORTEST]).tolist():
             least = min(LITERALS, size - 1)
@@ -200,26 +218,35 @@ def item_windows(items: DataFrame) -> DataFrame:
             fits = sizes[words.text[starts]] == size
             add(words, starts[fits], hashes[fits], size, least)
             usual[words.text[starts[fits]]] = True
+        for item in np.flatnonzero(usual).tolist():
+            add_whole(words, item, codes, 1)
         for item in np.flatnonzero(~usual).tolist():
             size, least, starts = _dense(words, literal, item)
             add(words, starts, window_hashes(codes, starts, size), size, least)
+            if len(starts):
+                add_whole(words, item, codes, 1)
             size = min(WINDOW, int(plain_words.counts[item]))
             if size >= SHORTEST:
                 starts = np.arange(plain_words.firsts[item], plain_words.firsts[item + 1] - size + 1)
                 add(plain_words, starts, window_hashes(tokens, starts, size), -size, 0)
+                add_whole(plain_words, item, tokens, -1)
         return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if sum(p.num_rows for p in parts) else empty
 
-    names = ["window", "size", "plain", "item_id", "class", "item_place", "item_slots"]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.int32(), pa.list_(pa.int64())]
+    names = ["window", "size", "plain", "item_id", "class", "item_place", "item_slots", "whole"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.bool_()]
     empty = pa.RecordBatch.from_arrays([pa.array([], t) for t in types], names)
-    schema = "window bigint, size int, plain int, item_id string, class binary, item_place int, item_slots array<bigint>"
+    schema = "window bigint, size int, plain int, item_id string, class binary, item_place int, item_slots array<bigint>, whole boolean"
     rows = materialize(map_texts(items.select(F.col("item_id").cast("string").alias("item_id"), "text"), schema, run), "decontaminate-items")
     order = F.struct(F.length("item_id"), "item_id")  # numbers in order of their value
     first = rows.groupBy("class").agg(F.min(order).alias("first")).select("class", F.col("first.item_id").alias("item_id"))
     rows = rows.join(broadcast_if_small(first), (rows["class"] == first["class"]) & rows["item_id"].eqNullSafe(first["item_id"]), "left_semi")
     rows = rows.distinct()
+    ends, rows = rows.where("whole"), rows.where("NOT whole")
     many = rows.groupBy("window", "size").agg(F.count_distinct("class").alias("n")).where(F.col("n") > SHARED)
     rows = rows.join(broadcast_if_small(many), ["window", "size"], "left_anti")
+    verbatim = (F.col("size") < 0).alias("verbatim")
+    left = broadcast_if_small(rows.select("class", verbatim).distinct())
+    rows = rows.unionByName(ends.withColumn("verbatim", verbatim).join(left, ["class", "verbatim"], "left_anti").select(rows.columns))
     windows = F.count("*").over(Window.partitionBy("class", F.col("size") < 0)).cast("int")
     return rows.withColumn("windows", windows).drop("class")
 
@@ -293,6 +320,7 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
             F.collect_set("item_place").alias("places"),
             F.collect_set(F.when(F.col("item_slots") == F.col("slots"), F.col("item_place"))).alias("same"),
             F.max("windows").alias("windows"),
+            F.max("whole").alias("whole"),
             F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"),
         )
     )
@@ -300,7 +328,7 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     consistent = F.size("slots") == values
     edited = F.size(F.filter("slots", lambda s: s["item_slots"] == s["slots"])) == values
     kept = diagonals.withColumn("places", F.when(consistent, F.col("places")).when(edited, F.col("same")).otherwise(F.array().cast("array<int>")))
-    kept = kept.where(F.size("places") > 0)
+    kept = kept.where((F.size("places") > 0) & (~F.col("whole") | (F.size("places") >= F.col("windows"))))
     kinds = kept.groupBy("doc_id", "key", "item_id", "verbatim").agg(
         (F.size(F.array_distinct(F.flatten(F.collect_list("places")))) / F.max("windows")).alias("covered"),
         F.max(F.size("places")).alias("longest"),

@@ -176,3 +176,21 @@ def test_slots_against_brute_force(spark, documents):
     docs = documents([(i, " ".join(t)) for i, t in enumerate(texts)])
     got = D.contaminated(docs, items(spark, [(k, " ".join(x)) for k, x in enumerate(benchmark)]))
     assert {(r.doc_id, r.item_id) for r in got.collect()} == expected and len(expected) > 30
+
+
+def test_items_of_shared_windows_only_are_searched_as_a_whole(spark, documents):
+    pick = random.Random(3)
+    pieces = [" ".join("".join(pick.choices("abcdefghij", k=6)) for _ in range(14)) for _ in range(3)]
+    one = "put {} red balls and {} blue balls into {} boxes beside {} green lamps"
+    benchmark = [one.format(*x) for x in ((3, 4, 5, 6), (3, 3, 5, 6), (3, 4, 3, 6), (3, 4, 5, 3), (3, 4, 4, 6))]  # one template, five patterns of slots
+    benchmark += [" ".join(pieces[:2] + pieces[2:])[: len(" ".join(pieces[:2])) + 1 + n].rsplit(" ", 1)[0] for n in (40, 48, 56, 64, 72)]  # each begins the next
+    benchmark += ["7 8 9 1 2 3 4 5 6 " * 2 + "7 8 9 1 2 3 4 5 6 " * k for k in range(5)]  # no plain words, the same windows
+    noise = " ".join(f"n{chr(97 + i % 26)}" for i in range(30))
+    texts = [f"{noise} {t} {noise}" for t in benchmark] + [f"{noise} {one.format(30, 40, 50, 60)} {noise}", f"{noise} {pieces[0]} {noise}", noise]
+    docs = documents(list(enumerate(texts)))
+    got = {(r.doc_id, r.item_id) for r in D.contaminated(docs, items(spark, list(enumerate(benchmark)))).collect()}
+    assert {(i, i) for i in range(len(benchmark))} <= got
+    n = len(benchmark)
+    assert (n, 0) in got and not {(n, i) for i in (1, 2, 3, 4)} & got  # renamed: other values for the same ones
+    assert not {d for d, _ in got if d > n}
+    assert (0, 1) not in got and (0, 4) not in got
