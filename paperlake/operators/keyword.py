@@ -296,15 +296,16 @@ def _stands(words_found: Column) -> Column:
 def _candidate_matches(postings: DataFrame, asked: DataFrame, size: int) -> DataFrame:
     """Postings of the asked terms, only in papers that hold the rarest required term of an alternative.
 
-    A paper without that term cannot match, so frequent terms cost nothing where they stand alone.
+    A paper without that term cannot match, so frequent terms cost nothing where they stand alone. Each candidate meets the
+    few terms of its question, not all postings of its paper.
     """
     rarest = Window.partitionBy("query_id", "alt").orderBy(F.col("rarity").desc_nulls_first(), "term", "pos")
     leads = asked.where("NOT negated").withColumn("place", F.row_number().over(rarest)).where("place = 1")
     hits = probe(postings.select("paper_id", "term"), leads.select("query_id", "term").distinct(), "term", "paper_id", size=size)
-    rows = probe(postings, materialize(hits.select("paper_id", "query_id").distinct(), "candidates"), "paper_id", "term")
-    both = asked.withColumn("key", F.struct("query_id", "term")).drop("query_id", "term")
-    rows = rows.withColumn("key", F.struct("query_id", "term"))
-    return probe(rows, both, "key", "paper_id", size=size).drop("key")
+    found = materialize(hits.select("paper_id", "query_id").distinct(), "candidates")
+    key = F.struct("query_id")
+    wanted = probe(found.withColumn("key", key), asked.withColumn("key", key).drop("query_id"), "key", "paper_id", size=size).drop("key")
+    return postings.join(wanted, ["paper_id", "term"])
 
 
 def _alternatives_hold(found: Column, phrases: bool) -> Column:

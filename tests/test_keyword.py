@@ -297,3 +297,15 @@ def test_bounds_keep_most_rows_out_of_the_scores(spark, monkeypatch):
     kw.bounded_search(index, terms)
     print(f"rows scored {sum(scored)} of {whole}")
     assert len(scored) == 2 and sum(scored) < whole / 2
+
+
+def test_a_candidate_meets_only_the_terms_of_its_question(spark, plan):
+    """Candidates are joined to postings by paper and term; by paper alone each would meet every asked posting of the paper."""
+    many = " ".join(f"word{i}" for i in range(40))
+    docs = spark.createDataFrame([(str(i), "t", many) for i in range(20)] + [("x", "t", "word1")], "paper_id string, title string, abstract string")
+    asked = spark.createDataFrame([(i, f"word{i} word{i + 1}") for i in range(39)], "query_id long, text string")
+    terms = kw.question_terms(asked)
+    found = kw.match_terms(kw.scan_index(docs, terms), terms)
+    assert sorted({(r.query_id, r.paper_id) for r in found.collect()}) == sorted((q, str(i)) for q in range(39) for i in range(20))
+    joins = [line for line in plan(found).split("== Physical Plan ==")[1].splitlines() if "Join" in line]
+    assert any(re.search(r"Join \[paper_id#\d+, term#\d+\]", line) for line in joins)
