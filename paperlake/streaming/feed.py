@@ -8,6 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from paperlake import constants as K
 from paperlake.plans.pipelines import merge_feed
+from paperlake.session import scratch_path, scratch_scope
+from paperlake.sinks.lake import CODEC
 from paperlake.sources.feed import read_feed
 
 
@@ -37,6 +39,9 @@ def stream_feed(
 
     A micro-batch may run again after a failure. Its number is committed with the table, under the id of the
     query, so one that had got that far is recognised. Dead letters are kept per micro-batch.
+
+    A stream's own session plans without adaptive execution, so a merge there would leave a file of each task in every folder,
+    more with every batch. What arrives is written once and merged in the given session.
     """
     items = read_feed(spark, landing, streaming=True, max_files=max_files)
     if repeats:
@@ -44,7 +49,11 @@ def stream_feed(
 
     def take_in(batch, batch_id: int) -> None:
         source = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-        merge_feed(batch, serving, f"{dlq}/batch={batch_id}", url_prefix, max_error_rate, now, False, (source, batch_id))
+        with scratch_scope(spark):
+            arrived = scratch_path(spark, "arrived")
+            batch.write.option("compression", CODEC).parquet(arrived)
+            items = spark.read.schema(batch.schema).parquet(arrived)
+            merge_feed(items, serving, f"{dlq}/batch={batch_id}", url_prefix, max_error_rate, now, False, (source, batch_id))
 
     return (
         items.writeStream.foreachBatch(take_in)

@@ -308,3 +308,14 @@ def test_a_late_repeat_leaves_the_version_alone(spark, tmp_path):
     feed_file(tmp_path / "in", "c.xml", item("2608.1", "one"), item("2608.2", "new"))
     assert run() == before + 1
     assert {r.title for r in state(spark, serving).values()} == {"one", "new"}
+
+
+def test_a_stream_leaves_one_file_in_a_folder(spark, tmp_path):
+    serving = f"{tmp_path}/serving"
+    for part in range(2):
+        feed_file(tmp_path / "in", f"{part}.xml", *(item(f"2608.{i}", f"t{i}") for i in range(part, 80, 2)))
+        stream_feed(spark, f"{tmp_path}/in", serving, f"{tmp_path}/dlq", f"{tmp_path}/cp", now=now()).awaitTermination()
+    pointer = table._read_pointer(spark, serving)
+    folders = [*pointer["folders"].values(), *pointer["companions"]["text"]["folders"].values()]
+    files = [len(list((tmp_path / "serving" / f).glob("*.parquet"))) for f in folders]
+    assert len(state(spark, serving)) == 80 and set(files) == {1}
