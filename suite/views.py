@@ -75,8 +75,9 @@ def snapshot_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_snapshot(spark: SparkSession, sf_dir: str) -> str:
+    """The snapshot as compressed JSON lines, which name every field and hold a text up to three times."""
     path = scratch_path(spark, "snapshot")
-    snapshot_records(spark, sf_dir).write.json(path)
+    snapshot_records(spark, sf_dir).write.json(path, compression="gzip")
     return path
 
 

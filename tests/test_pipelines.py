@@ -319,3 +319,17 @@ def test_a_stream_leaves_one_file_in_a_folder(spark, tmp_path):
     folders = [*pointer["folders"].values(), *pointer["companions"]["text"]["folders"].values()]
     files = [len(list((tmp_path / "serving" / f).glob("*.parquet"))) for f in folders]
     assert len(state(spark, serving)) == 80 and set(files) == {1}
+
+
+def test_the_snapshot_of_the_suite_is_smaller_than_its_texts(spark):
+    from pathlib import Path
+
+    from paperlake.sources.snapshot import read_snapshot
+    from suite import views
+
+    sf = "/root/testdata/sf0.001"
+    path, records = views.write_snapshot(spark, sf), views.snapshot_records(spark, sf)
+    texts = records.selectExpr("sum(octet_length(abstract))").first()[0]
+    assert sum(f.stat().st_size for f in Path(path.removeprefix("file:")).glob("part-*")) < texts
+    back = read_snapshot(spark, path).select(records.columns)
+    assert back.exceptAll(records).count() == 0 and back.count() == records.count()
