@@ -37,23 +37,6 @@ def without_stop_words(column: str) -> Column:
     return F.expr(f"filter({column}, w -> w NOT IN ({_STOP_LIST}))")
 
 
-def _among(column: str, only: Sequence[str] | None) -> str:
-    """SQL for a word that is one of some; words have no quotes in them."""
-    return "TRUE" if only is None else f"{column} IN ({', '.join(f"'{w}'" for w in only)})" if only else "FALSE"
-
-
-def placed_terms(column: str, only: Sequence[str] | None = None) -> Column:
-    """The words that are indexed with their places: array of word and pos. With `only`, those of them."""
-    kept = f"{_among('p.word', only)} AND p.word NOT IN ({_STOP_LIST})"
-    return F.expr(f"filter(transform({column}, (w, i) -> struct(w AS word, i AS pos)), p -> {kept})")
-
-
-def placed_forms(column: str, only: Sequence[str] | None = None) -> Column:
-    """The same for an array of struct(word, term): array of term and pos, by the word's own place."""
-    kept = f"{_among('p.term', only)} AND p.word NOT IN ({_STOP_LIST})"
-    return F.expr(f"filter(transform({column}, (z, i) -> struct(z.word AS word, z.term AS term, i AS pos)), p -> {kept})")
-
-
 def light_stem(word: Column) -> Column:
     """Plural endings only, after Harman's S-stemmer (1991)."""
     return (
@@ -99,6 +82,49 @@ def forms(found: Column, stem: Stem) -> Column:
     return _each(english_stem if stem == "english" else plain_stem)(found) if stem else found
 
 
+#: Of one paper: how many of its words are indexed, and each different term with its places, ascending.
+_PLACED = "struct<dl: int, found: array<struct<term: string, title_tf: bigint, positions: array<int>>>>"
+
+
+def _grouped(found: pa.Array, n_title: pa.Array, form: Callable[[str], str] | None, only: Sequence[str] | None) -> pa.Array:
+    """`_PLACED` of a batch of word arrays: words become numbers, and one stable sort of them by paper and term keeps their places in order."""
+    coded = found.flatten().dictionary_encode()
+    different, word = coded.dictionary, coded.indices.to_numpy()
+    forms = pa.array([form(w) for w in different.to_pylist()], different.type) if form else different
+    indexed = ~pc.is_in(different, value_set=pa.array(STOP_WORDS, different.type)).to_numpy(zero_copy_only=False)
+    asked = True if only is None else pc.is_in(forms, value_set=pa.array(only, forms.type)).to_numpy(zero_copy_only=False)
+    terms = forms.dictionary_encode()  # words of one form have one number
+    lengths = pc.list_value_length(found).to_numpy()
+    paper = np.repeat(np.arange(len(lengths)), lengths)
+    place = np.arange(len(paper)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    dl = np.bincount(paper[indexed[word]], minlength=len(lengths))
+
+    kept = np.flatnonzero((indexed & asked)[word])
+    paper, place, term = paper[kept], place[kept], terms.indices.to_numpy()[word[kept]]
+    order = np.argsort(paper * len(terms.dictionary) + term, kind="stable")
+    paper, place, term = paper[order], place[order], term[order]
+    starts = np.flatnonzero(np.diff(paper, prepend=-1) | np.diff(term, prepend=-1))
+    titled = np.concatenate(([0], np.cumsum(place < n_title.to_numpy()[paper])))
+    ends = np.append(starts, len(paper))
+    columns = {
+        "term": terms.dictionary.take(pa.array(term[starts])),
+        "title_tf": pa.array(titled[ends[1:]] - titled[starts], pa.int64()),
+        "positions": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place, pa.int32())),
+    }
+    of_paper = np.concatenate(([0], np.cumsum(np.bincount(paper[starts], minlength=len(lengths)))))
+    rows = pa.ListArray.from_arrays(pa.array(of_paper, pa.int32()), pa.StructArray.from_arrays([*columns.values()], [*columns]))
+    return pa.StructArray.from_arrays([pa.array(dl, pa.int32()), rows], ["dl", "found"])
+
+
+def placed_terms(found: Column, n_title: Column, stem: Stem = False, only: Sequence[str] | None = None) -> Column:
+    """The terms of each array of words, the first `n_title` of them from the title, as `_PLACED`. With `only`, those of them.
+
+    Stop words are left out but hold their place, and each different word of a batch is reduced once. Not for use inside a lambda.
+    """
+    form = (english_stem if stem == "english" else plain_stem) if stem else None
+    return F.arrow_udf(lambda ws, n: _grouped(ws, n, form, only), _PLACED).asNondeterministic()(found, n_title)
+
+
 def index_terms(df: DataFrame, text: str, name: str = "terms", stem: Stem = False) -> DataFrame:
     """Add the words of a text column that are indexed: no stop words, endings reduced on request."""
     kept = df.withColumn(name, words(F.col(text))).withColumn(name, without_stop_words(name))

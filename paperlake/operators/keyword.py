@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperlake import constants as K
-from paperlake.functions.tokens import Stem, forms, index_terms, is_stop_word, placed_forms, placed_terms, reduced, without_stop_words, words
+from paperlake.functions.tokens import Stem, index_terms, is_stop_word, placed_terms, reduced, words
 from paperlake.operators.dedupe import top_per_group
 from paperlake.session import broadcast_if_small, data_bytes, materialize, parts_for, probe, ship_package
 from paperlake.sinks.lake import CODEC
@@ -49,50 +49,23 @@ class TextIndex(NamedTuple):
 # --- text analysis ------------------------------------------------------------
 
 
-def _analyzed(docs: DataFrame) -> DataFrame:
-    """(paper_id, words, n_title, dl): all words of a paper and how many of them are indexed.
-
-    Title and abstract form one sequence of words. Stop words are not indexed but keep their
-    place, so phrases can tell `a b` from `a of b`.
-    """
-    fields = docs.select("paper_id", words(F.col(TITLE)).alias("title"), words(F.col(ABSTRACT)).alias("abstract"))
-    joined = fields.select("paper_id", F.concat("title", "abstract").alias("words"), F.size("title").alias("n_title"))
-    return joined.withColumn("dl", F.size(without_stop_words("words")))
-
-
 def paper_postings(docs: DataFrame, stem: Stem = False, only: list[str] | None = None) -> DataFrame:
     """Every paper's postings (of the terms `only`), one row per (term, paper), and one row per paper with an empty term.
 
-    All words of a paper stand in one row, so they are sorted and counted there: nothing is shuffled.
-    Each step refers to the one before more than once, which keeps Spark from putting it into the
-    lambdas, where it would be evaluated for every element.
+    Title and abstract form one sequence of words. Stop words are not indexed but keep their place, so phrases can tell `a b`
+    from `a of b`. All words of a paper stand in one row, so they are sorted and counted there: nothing is shuffled.
     """
-    analyzed = _analyzed(docs)
-    if stem:  # zipped: a lambda that refers to all reduced words would reduce them for every element
-        ship_package(docs.sparkSession)
-        both = F.arrays_zip(F.col("words").alias("word"), forms(F.col("words"), stem).alias("term"))
-        analyzed = analyzed.withColumn("both", both)
-    placed = placed_forms("both", only) if stem else placed_terms("words", only)
-    placed = F.transform(placed, lambda w: F.struct(w["term" if stem else "word"].alias("term"), w["pos"].alias("pos")))
-    rows = analyzed.select("paper_id", "dl", "n_title", F.sort_array(placed).alias("placed"))
-    differs = lambda i: F.get("placed", i)["term"] != F.get("placed", i - 1)["term"]
-    places = F.when(F.size("placed") > 0, F.sequence(F.lit(0), F.size("placed") - 1)).otherwise(F.expr("CAST(array() AS array<int>)"))
-    rows = rows.withColumn("starts", F.filter(places, lambda i: (i == 0) | differs(i)))
-
-    def posting(start: Column, i: Column) -> Column:
-        end = F.coalesce(F.get("starts", i + 1), F.size("placed"))
-        positions = F.transform(F.slice("placed", start + 1, end - start), lambda p: p["pos"])
-        return F.struct(F.get("placed", start)["term"].alias("term"), positions.alias("positions"))
-
-    rows = rows.select("paper_id", "dl", "n_title", F.transform("starts", posting).alias("found"))
-    paper = F.array(F.struct(F.lit(_PAPER).alias("term"), F.expr("CAST(array() AS array<int>)").alias("positions")))
-    rows = rows.select("paper_id", "dl", "n_title", F.explode_outer(F.concat("found", paper)).alias("p"))
-    in_title = F.size(F.filter("p.positions", lambda pos: pos < F.col("n_title"))).cast("long")
+    ship_package(docs.sparkSession)
+    fields = docs.select("paper_id", words(F.col(TITLE)).alias("title"), words(F.col(ABSTRACT)).alias("abstract"))
+    joined = fields.select("paper_id", F.concat("title", "abstract").alias("words"), F.size("title").alias("n_title"))
+    rows = joined.select("paper_id", placed_terms(F.col("words"), F.col("n_title"), stem, only).alias("placed"))
+    paper = F.struct(F.lit(_PAPER).alias("term"), F.lit(0).cast("long").alias("title_tf"), F.expr("CAST(array() AS array<int>)").alias("positions"))
+    rows = rows.select("paper_id", F.col("placed.dl").alias("dl"), F.explode(F.concat("placed.found", F.array(paper))).alias("p"))
     return rows.select(
         F.col("p.term").alias("term"),
         "paper_id",
-        in_title.alias("title_tf"),
-        (F.size("p.positions") - in_title).cast("long").alias("abstract_tf"),
+        F.col("p.title_tf").alias("title_tf"),
+        (F.size("p.positions") - F.col("p.title_tf")).alias("abstract_tf"),
         F.col("p.positions").alias("positions"),
         "dl",
     )

@@ -15,9 +15,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of long texts, spread over the cores if it is one small file."""
-    return widen(table(spark, sf_dir, name))
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    """A table of long texts, spread over the cores if it is one small file; a larger one only by the `key` of a join."""
+    return widen(table(spark, sf_dir, name), key)
 
 
 def first_line(text):
@@ -26,7 +26,7 @@ def first_line(text):
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the vector of the same number; not every document has one."""
-    documents, vectors = texts(spark, sf_dir, "documents"), table(spark, sf_dir, "embeddings")
+    documents, vectors = texts(spark, sf_dir, "documents", "doc_id"), table(spark, sf_dir, "embeddings")
     joined = documents.join(vectors.select("vec_id", "embedding"), documents["doc_id"] == vectors["vec_id"], "left")
     paper_id = F.col("doc_id").cast("string")
     return joined.select(

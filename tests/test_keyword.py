@@ -8,10 +8,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from paperlake.constants import STOP_WORDS
-from paperlake.functions.tokens import index_terms
+from paperlake.functions.tokens import index_terms, plain_stem
 from paperlake.operators import keyword as kw
 from paperlake.session import probe
 from paperlake.sinks import table
+from paperlake.sources import lake
 from suite import views
 
 PAPERS = [
@@ -132,6 +133,49 @@ def test_postings_are_formed_without_a_shuffle(spark, docs, plan):
     assert counts.where("count > 1").count() == 0
 
 
+def test_postings_equal_those_of_plain_loops(spark, plan):
+    """Empty and missing texts, stop words, words of one form, few of the terms; and no step that runs for every place of a word."""
+    pick = random.Random(3)
+    text = lambda n: " ".join(pick.choices(["the", "of", "net", "nets", "Layer", "layers", "é", "x1", "ties", "-"], k=n))
+    papers = [(str(i), text(i % 7), text(i * 5 % 90)) for i in range(60)] + [("n", None, None), ("e", "", "the of"), ("t", "net", None), (None, "nets", "x1")]
+    docs = spark.createDataFrame(papers, "paper_id string, title string, abstract string").repartition(2)
+    for stem in (False, True):
+        for only in (None, ["net", "layers", "tie", "zebra"], []):
+            expected = []
+            for paper_id, title, abstract in papers:
+                in_title, rest = (re.findall(r"[^\W_]+", (t or "").lower()) for t in (title, abstract))
+                places = {}
+                for pos, word in enumerate(in_title + rest):
+                    if word not in STOP_WORDS:
+                        places.setdefault(plain_stem(word) if stem else word, []).append(pos)
+                dl = sum(map(len, places.values()))
+                for term, at in places.items():
+                    if only is None or term in only:
+                        n = sum(pos < len(in_title) for pos in at)
+                        expected.append((term, paper_id, n, len(at) - n, at, dl))
+                expected.append(("", paper_id, 0, 0, [], dl))
+            got = [tuple(r) for r in kw.paper_postings(docs, stem, only).collect()]
+            assert sorted(got, key=repr) == sorted(expected, key=repr), (stem, only)
+    text = plan(kw.paper_postings(docs)).split("== Physical Plan ==")[1]
+    assert "transform(" not in text and "sort_array(" not in text
+
+
+def test_papers_of_a_large_table_are_indexed_in_parts_of_their_bytes(spark, tmp_path, monkeypatch):
+    """Where a join shuffles the texts, adaptive execution would leave a part for each core or 64 MB, and all postings of it to one task."""
+    documents = spark.range(4000).selectExpr("id AS doc_id", "concat('word', id, ' of text') AS text", "'en' AS lang", "'s' AS source", "12L AS n_chars")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(0, 4000, 2).selectExpr("id AS vec_id", "array(1f, 2f) AS embedding").write.parquet(f"{tmp_path}/embeddings.parquet")
+    monkeypatch.setattr(lake, "WIDEN_BYTES", 0)
+    monkeypatch.setattr(lake, "_KEYED_BYTES", 1 << 9, raising=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = kw.paper_postings(views.papers(spark, str(tmp_path)))
+        parts = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(parts) == 3 * 4000 and len(parts) > 16 and max(parts) < 2000
+
+
 def test_plain_questions_are_aggregated_once_by_question_and_paper(spark, docs, plan):
     terms = kw.any_terms(ask(spark, "deep learning", "oven"))
     text = plan(kw.match_terms(kw.scan_index(docs, terms), terms)).split("== Physical Plan ==")[1]
