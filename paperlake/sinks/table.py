@@ -7,7 +7,8 @@ state before or after a commit; a failed commit leaves folders that nothing name
 
 Companions are tables derived from the rows, such as the postings of a text index. Each bucket of
 rows has its bucket of each companion, written with it and named by the same pointer, so what is
-stored for search never differs from the table. Where rows change, theirs are derived anew.
+stored for search never differs from the table. A merge derives those of its own rows; what is held of the
+other rows of a bucket moves to the new folder as it is.
 
 Keys are unique and not null: a commit that would break this fails. Every commit has the schema of
 the table; JSON text is parsed where it holds VARIANT, and fails the commit if it can't be. The number of folders follows the bytes of the table when it is published, so that a merge of few keys
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 
 from paperlake.functions.metadata import in_types_of
 from paperlake.operators.upsert import upsert
-from paperlake.session import broadcast_if_small, data_bytes, parts_for
+from paperlake.session import broadcast_if_small, data_bytes, materialize, parts_for
 from paperlake.sinks.lake import CODEC
 
 BUCKET = "key_bucket"
@@ -112,17 +113,26 @@ def _write_buckets(rows: DataFrame, table: str, folder: str, key: str, buckets:
     return {n.split("=")[1]: f"{folder}/{n}" for n in names if n.startswith(f"{BUCKET}=")}
 
 
-def _derived(spark: SparkSession, table: str, state: dict, fresh: set[str], companions: Iterable[Companion]) -> dict:
-    """The companions of a state whose `fresh` buckets have new rows. Those that aren't given are dropped."""
+def _derived(
+    spark: SparkSession, table: str, state: dict, fresh: set[str], companions: Iterable[Companion], changed: DataFrame | None = None
+) -> dict:
+    """The companions of a state whose `fresh` buckets have new rows. Those that aren't given are dropped.
+
+    `changed` holds the keys of all rows that are new or differ from those before.
+    """
     out = {}
     for one in companions:
-        held = state.get("companions", {}).get(one.name)
-        again = held is None or held["settings"] != one.settings
-        rows = one.derive(_read_folders(spark, table, state, None if again else fresh))
-        folder = f"{one.name}-v={state['version']}"
-        written = _write_buckets(rows, table, folder, state["key"], state["buckets"], rows.schema, one.sort)
-        kept = {} if again else {b: f for b, f in held["folders"].items() if b not in fresh}
-        out[one.name] = {"settings": one.settings, "schema": rows.schema.jsonValue(), "folders": kept | written}
+        held, source = state.get("companions", {}).get(one.name), _read_folders(spark, table, state)
+        schema = one.derive(source).schema
+        again = changed is None or held is None or held["settings"] != one.settings
+        if again or T.StructType.fromJson(held["schema"]).simpleString() != schema.simpleString():
+            rows, kept = one.derive(source), {}
+        else:
+            rows = one.derive(_read_folders(spark, table, state, fresh).join(changed, state["key"], "left_semi"))
+            others = _read_folders(spark, table, held, fresh).join(changed, state["key"], "left_anti")
+            rows, kept = others.select(schema.names).unionByName(rows), {b: f for b, f in held["folders"].items() if b not in fresh}
+        written = _write_buckets(rows, table, f"{one.name}-v={state['version']}", state["key"], state["buckets"], schema, one.sort)
+        out[one.name] = {"settings": one.settings, "schema": schema.jsonValue(), "folders": kept | written}
     return out
 
 
@@ -208,7 +218,7 @@ def merge_into(
 ) -> int:
     """Upsert `updates` and commit; only folders holding their keys are rewritten.
 
-    A key that is null or comes twice fails the merge. `updates` is read several times. `commit` is a
+    A key that is null or comes twice fails the merge. `updates` is read several times, its keys are written to scratch space once. `commit` is a
     source and a growing number; a merge that is repeated under a number already committed does nothing.
     """
     spark = updates.sparkSession
@@ -220,15 +230,16 @@ def merge_into(
     key, buckets = state["key"], state["buckets"]
     schema = T.StructType.fromJson(state["schema"])
     updates = in_types_of(updates, schema)
-    _check_keys(updates.select(key), key)
-    touched = {str(row[0]) for row in updates.select(_bucket_of(key, buckets)).distinct().collect()}
+    keys = materialize(updates.select(key), "keys")
+    _check_keys(keys, key)
+    touched = {str(row[0]) for row in keys.select(_bucket_of(key, buckets)).distinct().collect()}
     if not touched:
         return state["version"]
     merged = upsert(_read_folders(spark, table, state, touched), updates, key=key, **merge)
     number = state["version"] + 1
     written = _write_buckets(merged, table, f"v={number}", key, buckets, schema, [key])
     state = state | {"version": number, "folders": state["folders"] | written}
-    state["companions"] = _derived(spark, table, state, touched, companions)
+    state["companions"] = _derived(spark, table, state, touched, companions, broadcast_if_small(keys))
     state["commits"] = state.get("commits", {}) | ({commit[0]: commit[1]} if commit else {})
     _swap_pointer(spark, table, state)
     return number

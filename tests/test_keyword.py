@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from paperlake import session
 from paperlake.constants import STOP_WORDS
 from paperlake.functions.tokens import index_terms, plain_stem
 from paperlake.operators import keyword as kw
@@ -214,6 +215,25 @@ def test_a_companion_that_is_not_kept_up_is_dropped(spark, docs, tmp_path):
     assert not table.companion(spark, path, "text").where("term = 'layers'").count()
 
 
+def test_a_merge_derives_only_what_its_own_rows_need(spark, docs, tmp_path, monkeypatch):
+    """What is kept of other rows of a bucket moves along, whether the keys are broadcast or not; other columns derive all anew."""
+    path, columns = str(tmp_path / "table"), ["paper_id", "n"]
+
+    def made(n, *more):
+        return table.Companion("text", lambda rows: rows.select("paper_id", F.lit(n).alias("n"), *map(F.lit, more)), ("paper_id",), {})
+
+    held = lambda: sorted(tuple(r) for r in table.companion(spark, path, "text").select(columns).collect())
+    table.publish(docs, path, buckets=2, companions=[made(0)])
+    change = spark.createDataFrame([("2", "cats", "x"), ("9", "dogs", "y"), ("3", "birds", None)], docs.schema)
+    table.merge_into(change, path, [made(1)])
+    assert held() == [("1", 0), ("2", 1), ("3", 1), ("4", 0), ("5", 0), ("9", 1)]
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 0)
+    table.merge_into(change.where("paper_id = '9'"), path, [made(2)])
+    assert held() == [("1", 0), ("2", 1), ("3", 1), ("4", 0), ("5", 0), ("9", 2)]
+    table.merge_into(change.where("paper_id = '9'"), path, [made(3, "more")])
+    assert {n for _, n in held()} == {3}
+
+
 def test_candidates_give_the_same_answers_as_all_postings(spark, docs):
     """With an alternative given, every posting is looked at; without, only papers with the rarest term."""
     asked = ask(spark, "the deep learning deep", "layers", "oven zebra", "learning layers networks")
