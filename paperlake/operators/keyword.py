@@ -22,6 +22,8 @@ BUCKET = "term_bucket"
 _PUSHED_TERMS = 10
 #: Terms that stand as a list in the plan of a scan of texts.
 _ROW_TERMS = 10_000
+#: Candidates that one task joins with the terms of their questions, which makes a row for each.
+_TASK_CANDIDATES = 10_000
 #: Bytes of text behind one folder of a stored index.
 _FOLDER_BYTES = 64 << 20
 #: Stands in the place of a term in the one row of a paper that tells its length; no word is empty.
@@ -270,12 +272,15 @@ def _candidate_matches(postings: DataFrame, asked: DataFrame, size: int) -> Data
     """Postings of the asked terms, only in papers that hold the rarest required term of an alternative.
 
     A paper without that term cannot match, so frequent terms cost nothing where they stand alone. Each candidate meets the
-    few terms of its question, not all postings of its paper.
+    few terms of its question, not all postings of its paper. Candidates are narrow rows, so their bytes make few splits;
+    they are dealt out by their number before that.
     """
     rarest = Window.partitionBy("query_id", "alt").orderBy(F.col("rarity").desc_nulls_first(), "term", "pos")
     leads = asked.where("NOT negated").withColumn("place", F.row_number().over(rarest)).where("place = 1")
     hits = probe(postings.select("paper_id", "term"), leads.select("query_id", "term").distinct(), "term", "paper_id", size=size)
     found = materialize(hits.select("paper_id", "query_id").distinct(), "candidates")
+    parts = parts_for(found.count(), _TASK_CANDIDATES, 1, 4096)
+    found = found.repartition(parts, "paper_id", "query_id") if parts > 1 else found
     key = F.struct("query_id")
     wanted = probe(found.withColumn("key", key), asked.withColumn("key", key).drop("query_id"), "key", "paper_id", size=size).drop("key")
     return postings.join(wanted, ["paper_id", "term"])

@@ -373,3 +373,23 @@ def test_a_candidate_meets_only_the_terms_of_its_question(spark, plan):
     assert sorted({(r.query_id, r.paper_id) for r in found.collect()}) == sorted((q, str(i)) for q in range(39) for i in range(20))
     joins = [line for line in plan(found).split("== Physical Plan ==")[1].splitlines() if "Join" in line]
     assert any(re.search(r"Join \[paper_id#\d+, term#\d+\]", line) for line in joins)
+
+
+def test_many_candidates_meet_their_terms_in_several_tasks(spark, monkeypatch):
+    """However few bytes the candidates have; a pair of a null id is kept as well."""
+    docs = spark.createDataFrame([(str(i), "t", "left right" + " north" * (i % 2)) for i in range(60)], "paper_id string, title string, abstract string")
+    asked = spark.createDataFrame([(1, "left right"), (2, "north left"), (None, "right north")], "query_id long, text string")
+    terms, parts = kw.question_terms(asked), []
+    index = kw.scan_index(docs, terms)
+
+    def watch(big, small, key, spread_by, *args, **kwargs):
+        if key == "key":
+            parts.append(big.rdd.getNumPartitions())
+        return probe(big, small, key, spread_by, *args, **kwargs)
+
+    monkeypatch.setattr(kw, "probe", watch)
+    whole = sorted(kw.match_terms(index, terms).collect(), key=str)
+    monkeypatch.setattr(kw, "_TASK_CANDIDATES", 10, raising=False)
+    dealt = sorted(kw.match_terms(index, terms).collect(), key=str)
+    assert len(whole) == 60 + 30 + 30 and dealt == whole
+    assert parts[0] == 1 and parts[1] >= 12
