@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from paperlake import constants as K
 from paperlake.functions.tokens import Stem, index_terms, is_stop_word, placed_terms, reduced, words
 from paperlake.operators.dedupe import top_per_group
-from paperlake.session import broadcast_if_small, data_bytes, materialize, parts_for, probe, ship_package
+from paperlake.session import broadcast_if_small, data_bytes, is_small, materialize, parts_for, probe, ship_package
 from paperlake.sinks.lake import CODEC
 
 TITLE, ABSTRACT = "title", "abstract"
@@ -272,18 +272,36 @@ def _candidate_matches(postings: DataFrame, asked: DataFrame, size: int) -> Data
     """Postings of the asked terms, only in papers that hold the rarest required term of an alternative.
 
     A paper without that term cannot match, so frequent terms cost nothing where they stand alone. Each candidate meets the
-    few terms of its question, not all postings of its paper. Candidates are narrow rows, so their bytes make few splits;
-    they are dealt out by their number before that.
+    few terms of its question, not all postings of its paper. Many candidates and the postings are dealt out by paper, in
+    parts that follow the number of candidates; there they look their terms up in the one row that holds the postings of their
+    paper, so that no row for each candidate and term is shuffled.
     """
     rarest = Window.partitionBy("query_id", "alt").orderBy(F.col("rarity").desc_nulls_first(), "term", "pos")
     leads = asked.where("NOT negated").withColumn("place", F.row_number().over(rarest)).where("place = 1")
     hits = probe(postings.select("paper_id", "term"), leads.select("query_id", "term").distinct(), "term", "paper_id", size=size)
     found = materialize(hits.select("paper_id", "query_id").distinct(), "candidates")
     parts = parts_for(found.count(), _TASK_CANDIDATES, 1, 4096)
-    found = found.repartition(parts, "paper_id", "query_id") if parts > 1 else found
-    key = F.struct("query_id")
-    wanted = probe(found.withColumn("key", key), asked.withColumn("key", key).drop("query_id"), "key", "paper_id", size=size).drop("key")
-    return postings.join(wanted, ["paper_id", "term"])
+    papers = found.select("paper_id").distinct()
+    if is_small(few := data_bytes(papers)):
+        postings = postings.join(broadcast_if_small(papers, few), "paper_id", "left_semi")
+
+    def with_terms(candidates: DataFrame) -> DataFrame:
+        key = F.struct("query_id")
+        return probe(candidates.withColumn("key", key), asked.withColumn("key", key).drop("query_id"), "key", "paper_id", size=size).drop("key")
+
+    if parts == 1:
+        return postings.join(with_terms(found), ["paper_id", "term"])
+    found, held = found.repartition(parts, "paper_id"), _held(postings.repartition(parts, "paper_id"))
+    # Terms beyond a broadcast meet the candidates by a shuffle, which the postings are kept out of.
+    met = with_terms(found.join(held, "paper_id")) if is_small(size) else with_terms(found).join(held, "paper_id")
+    return met.withColumn("one", F.explode(F.col("held")[F.col("term")])).select(*met.drop("held").columns, "one.*")
+
+
+def _held(postings: DataFrame) -> DataFrame:
+    """One row per paper with its postings by term; a list of them, as papers of one id add up."""
+    values = [c for c in postings.columns if c not in ("paper_id", "term")]
+    lists = postings.groupBy("paper_id", "term").agg(F.collect_list(F.struct(*values)).alias("list"))
+    return lists.groupBy("paper_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "list"))).alias("held"))
 
 
 def _alternatives_hold(found: Column, phrases: bool) -> Column:

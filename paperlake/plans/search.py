@@ -19,6 +19,8 @@ from paperlake.sinks import table
 _SHOWN = ("title", "abstract", "url", "published_date")
 # Two ids of up to 64 characters, three numbers and the overhead of a row.
 _RANKED_ROW_BYTES = 256
+#: Ranked papers whose ids stand as a list in the plan of what fetches them.
+_LISTED_ROWS = 10_000
 
 
 def hybrid_search(
@@ -54,8 +56,8 @@ def hybrid_search(
     found = lookup(index, terms) if index is not None else scan_index(docs, terms, stem)
     dense = dense_search(docs, queries, depth) if dense is None else dense
     best = best_fused(rrf(dense, keyword_search(found, terms, depth, weights)), limit)
+    best = materialize(best, "ranked")
     if serving is not None:
-        best = materialize(best, "ranked")
         docs = table.lookup(docs.sparkSession, serving, best)
     return fetch(docs, best, queries.count() * limit, with_metadata)
 
@@ -76,7 +78,12 @@ def search_table(spark: SparkSession, serving: str, queries: DataFrame, rerank:
 
 
 def fetch(docs: DataFrame, best: DataFrame, most_rows: int, with_metadata: bool) -> DataFrame:
-    """Join the shown columns to at most `most_rows` ranked papers."""
+    """Join the shown columns to at most `most_rows` ranked papers; `best` is read twice.
+
+    The ids of some thousand papers stand as a list in the plan, so other texts are left out before anything moves them.
+    """
+    if most_rows <= _LISTED_ROWS:
+        docs = docs.where(F.col("paper_id").isin([row[0] for row in best.select("paper_id").distinct().collect()]))
     shown = [*_SHOWN, "metadata"] if with_metadata else list(_SHOWN)
     side = broadcast_if_small(best, most_rows * _RANKED_ROW_BYTES)
     return docs.select("paper_id", *shown).join(side, "paper_id").select(

@@ -393,3 +393,21 @@ def test_many_candidates_meet_their_terms_in_several_tasks(spark, monkeypatch):
     dealt = sorted(kw.match_terms(index, terms).collect(), key=str)
     assert len(whole) == 60 + 30 + 30 and dealt == whole
     assert parts[0] == 1 and parts[1] >= 12
+
+
+def test_rows_of_many_candidates_and_their_terms_are_not_shuffled(spark, plan, monkeypatch):
+    """Phrases, alternatives, papers of one id and a null id give the same matches as few candidates do."""
+    docs = [(str(i % 50), "t", "left right" + " north" * (i % 2) + " south left" * (i % 3)) for i in range(60)] + [(None, "t", "left right")]
+    docs = spark.createDataFrame(docs, "paper_id string, title string, abstract string")
+    asked = spark.createDataFrame([(1, 'left -"south left" or north'), (2, '"left right north"'), (3, "right -north"), (None, "south")], "query_id long, text string")
+    for terms in (kw.search_terms(asked), kw.question_terms(asked)):
+        index = kw.scan_index(docs, terms)
+        few = sorted(kw.match_terms(index, terms).collect(), key=str)
+        with monkeypatch.context() as m:
+            m.setattr(kw, "_TASK_CANDIDATES", 10)
+            many = kw.match_terms(index, terms)
+            assert sorted(many.collect(), key=str) == few and few
+            moved = [line for line in plan(many).split("== Physical Plan ==")[1].splitlines() if "hashpartitioning" in line]
+            assert moved and not any(re.search(r"hashpartitioning\((paper_id#\d+, term|term#\d+, paper_id|query_id#\d+L?, paper_id)", line) for line in moved)
+            m.setattr(session, "BROADCAST_BYTES", 0)
+            assert sorted(kw.match_terms(index, terms).collect(), key=str) == few

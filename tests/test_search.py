@@ -118,3 +118,11 @@ def test_unknown_tag_gets_the_default(spark):
     frame = spark.createDataFrame([("nope",), (None,), ("DeepSeek-V3",)], "tag string")
     models = [r[0] for r in frame.select(target_model(F.col("tag"))).collect()]
     assert models == ["google/gemini-3.7-flash"] * 2 + ["deepseek/deepseek-chat"]
+
+
+def test_only_ranked_papers_are_moved_for_their_texts(corpus, queries, plan):
+    dealt = hybrid_search(corpus.repartition(3, "paper_id"), queries)
+    assert sorted(dealt.collect()) == sorted(hybrid_search(corpus, queries).collect())
+    text = plan(dealt).split("== Physical Plan ==")[1]
+    moved = text[: text.index("REPARTITION_BY_NUM")]
+    assert "paper_id" in text[len(moved) :].split("Scan", 1)[0] and " IN (" in text[len(moved) :]
