@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from paperlake import session
 from paperlake.operators.dedupe import dedupe_latest
 from paperlake.operators.upsert import upsert
 from paperlake.sinks import table
@@ -163,6 +164,61 @@ class TestKeyedTable:
         assert {r.paper_id for r in found.collect()} == {str(i) for i in range(n)}
         assert {f.split("key_bucket=")[1].split("/")[0] for f in found.inputFiles()} < {str(b) for b in range(64)}
 
+    def test_a_merge_writes_the_rows_that_change_and_no_others(self, spark, tmp_path):
+        """Of the table and of what is kept with it, though the merge touches every bucket."""
+        path = tmp_path / "t"
+        many = spark.range(400).select(F.col("id").cast("string").alias("paper_id"), F.lit(0).alias("v"))
+        twice = table.Companion("twice", lambda rows: rows.select("paper_id", F.explode(F.array("v", "v")).alias("w")), ("w",), {})
+        table.publish(many, str(path), buckets=4, companions=[twice])
+        for step in (1, 2):
+            some = many.where(F.col("paper_id").cast("int") % 10 == step).unionByName(spark.createDataFrame([(f"new {step}", 0)], many.schema))
+            table.merge_into(some.withColumn("v", F.lit(step)), str(path), [twice])
+            stored = [spark.read.parquet(f"{path}/{folder}v={step + 1}").count() for folder in ("", "twice-")]
+            assert stored == [41, 82] and len(list((path / f"v={step + 1}").glob("key_bucket=*"))) == 4
+        assert table.resolve(spark, str(path)).groupBy("v").count().orderBy("v").collect() == [(0, 320), (1, 41), (2, 41)]
+        assert table.companion(spark, str(path), "twice").groupBy("w").count().orderBy("w").collect() == [(0, 640), (1, 82), (2, 82)]
+        state = table._read_pointer(spark, str(path))
+        assert [one["version"] for one in state["replaced"]] == [2, 3] and {len(f) for f in state["older"].values()} == {2}
+
+    @pytest.mark.parametrize("limit", [None, 0])
+    def test_merges_are_dictionary_updates_however_buckets_are_kept(self, spark, tmp_path, monkeypatch, limit):
+        """More merges than a bucket keeps folders, of known and new keys, in whole and in part; one of them replaces most rows."""
+        path, schema = str(tmp_path / "t"), "paper_id string, v int, w int"
+        if limit is not None:
+            monkeypatch.setattr(session, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(table, "_MOST_OLDER", 1)
+        kept = table.Companion("kept", lambda rows: rows.select("paper_id", (F.col("v") + F.col("w")).alias("s")), ("s",), {})
+        known = {str(i): (0, i) for i in range(60)}
+        table.publish(spark.createDataFrame([(k, *v) for k, v in known.items()], schema), path, buckets=3, companions=[kept])
+        older = []
+        for step in range(1, 6):
+            keys = [str(i) for i in (range(50) if step == 4 else (step, step + 1, 70 + step, 30))]
+            change = spark.createDataFrame([(k, step, -step) for k in keys], schema)
+            whole = step % 2 == 0
+            table.merge_into(change, path, [kept], **({} if whole else {"update_cols": ["v"]}))
+            known |= {k: (step, -step if whole else known.get(k, (0, None))[1]) for k in keys}
+            assert {r.paper_id: (r.v, r.w) for r in table.resolve(spark, path).collect()} == known
+            sums = {k: None if w is None else v + w for k, (v, w) in known.items()}
+            held = table.companion(spark, path, "kept").collect()
+            assert len(held) == len(known) and {r.paper_id: r.s for r in held} == sums
+            few = table.lookup(spark, path, change.where("paper_id IN ('30', '1')"))
+            assert {r.paper_id: (r.v, r.w) for r in few.collect()} == {k: known[k] for k in ("30", "1") if k in keys}
+            older.append(max(map(len, table._read_pointer(spark, path)["older"].values()), default=0))
+        assert older == ([1, 0, 1, 0, 1] if limit is None else [0] * 5)
+
+    def test_tables_of_rows_without_a_version_are_read_on(self, spark, tmp_path):
+        path = tmp_path / "t"
+        many = spark.range(40).select(F.col("id").cast("string").alias("paper_id"), F.lit(0).alias("v"))
+        table.publish(many, str(path), buckets=2)
+        state = table._read_pointer(spark, str(path))
+        for bucket, folder in state["folders"].items():
+            spark.read.parquet(f"{path}/{folder}").drop(table.VERSION).write.parquet(f"{path}/was-{folder}")
+            state["folders"][bucket] = f"was-{folder}"
+        del state["companions"]
+        table._swap_pointer(spark, str(path), state)
+        table.merge_into(many.limit(3).withColumn("v", F.lit(1)), str(path))
+        assert table.resolve(spark, str(path)).groupBy("v").count().orderBy("v").collect() == [(0, 37), (1, 3)]
+
     def test_missing_table(self, spark, tmp_path):
         with pytest.raises(FileNotFoundError):
             table.resolve(spark, str(tmp_path / "none"))
