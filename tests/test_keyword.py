@@ -407,7 +407,10 @@ def test_rows_of_many_candidates_and_their_terms_are_not_shuffled(spark, plan, m
             m.setattr(kw, "_TASK_CANDIDATES", 10)
             many = kw.match_terms(index, terms)
             assert sorted(many.collect(), key=str) == few and few
-            moved = [line for line in plan(many).split("== Physical Plan ==")[1].splitlines() if "hashpartitioning" in line]
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of any size
+            text = plan(kw.match_terms(index, terms)).split("== Physical Plan ==")[1]
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            moved = [line for line in text.splitlines() if "hashpartitioning" in line]
             assert moved and not any(re.search(r"hashpartitioning\((paper_id#\d+, term|term#\d+, paper_id|query_id#\d+L?, paper_id)", line) for line in moved)
             m.setattr(session, "BROADCAST_BYTES", 0)
             assert sorted(kw.match_terms(index, terms).collect(), key=str) == few
